@@ -150,3 +150,141 @@ def q_order_value_anomalies(spark, d):
 def q_category_value_ranking(spark, d):
     g = driver_star(spark, d)
     return N.category_value_ranking(g["fact_order_item"], g["dim_product"])
+
+
+# ---------------------------------------------------------------- data quality
+from ..operators import profile as G  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import taxonomy as X  # noqa: E402
+
+
+def _as_of():
+    return F.lit(D.FRESHNESS_AS_OF).cast("timestamp_ntz")
+
+
+@query("dq_report")
+def q_dq_report(spark, d):
+    g = driver_star(spark, d)
+    events, ts = D.feed_times(spark, d)["events"]
+    return Q.dq_report(g, events, ts, _as_of())
+
+
+@query("dq_failing_rows")
+def q_dq_failing_rows(spark, d):
+    f = driver_star(spark, d)["fact_order_item"]
+    rule = F.col("delivered_at").isNotNull() & F.col("purchased_at").isNotNull() & (F.col("delivered_at") < F.col("purchased_at"))
+    return f.where(rule).select("order_id", "order_item_id", "purchased_at", "delivered_at")
+
+
+@query("fact_grain_check")
+def q_fact_grain_check(spark, d):
+    g = driver_star(spark, d)
+    return Q.union_all([
+        Q.grain_rule(g["fact_order_item"], ["order_id", "order_item_id"], "fact_order_item"),
+        Q.grain_rule(g["fact_payment"], ["order_id", "payment_sequential"], "fact_payment"),
+        Q.grain_rule(g["fact_review"], ["review_id", "order_id", "product_key"], "fact_review"),
+    ])
+
+
+@query("ri_check_matrix")
+def q_ri_check_matrix(spark, d):
+    return Q.ri_check_matrix(driver_star(spark, d))
+
+
+@query("unresolved_fk_rates")
+def q_unresolved_fk_rates(spark, d):
+    return Q.unresolved_fk_rates(driver_star(spark, d))
+
+
+@query("surrogate_key_collisions")
+def q_surrogate_key_collisions(spark, d):
+    return Q.surrogate_key_collisions(driver_star(spark, d))
+
+
+@query("freshness_check")
+def q_freshness_check(spark, d):
+    return Q.freshness_by_table(D.feed_times(spark, d), _as_of())
+
+
+# ---------------------------------------------------------------- profiling
+@query("null_profile")
+def q_null_profile(spark, d):
+    return G.null_profiles(D.raw_tables(spark, d)).drop("data_type")
+
+
+DUPLICATE_CHECKS = (
+    ("customers", ("customer_id",)),
+    ("products", ("product_id",)),
+    ("sellers", ("seller_id",)),
+    ("orders", ("order_id",)),
+    ("order_reviews", ("review_id",)),
+    ("order_reviews", ("order_id", "review_id")),
+    ("order_items", ("order_id", "order_item_id")),
+    ("order_payments", ("order_id", "payment_sequential")),
+)
+
+
+@query("duplicate_key_groups")
+def q_duplicate_key_groups(spark, d):
+    raw = D.raw_tables(spark, d)
+    return Q.union_all([G.duplicate_key_groups(raw[t], keys, t) for t, keys in DUPLICATE_CHECKS])
+
+
+@query("duplicate_rows")
+def q_duplicate_rows(spark, d):
+    return G.duplicate_rows(D.raw_tables(spark, d)["order_items"], ["order_id", "order_item_id"])
+
+
+@query("duplicate_histogram")
+def q_duplicate_histogram(spark, d):
+    return G.duplicate_histogram(D.raw_tables(spark, d)["order_reviews"], "review_id", "order_id")
+
+
+def _raw_relations(raw):
+    return [
+        ("orders.customer_id -> customers", raw["orders"], "customer_id", raw["customers"], "customer_id"),
+        ("order_items.order_id -> orders", raw["order_items"], "order_id", raw["orders"], "order_id"),
+        ("order_items.product_id -> products", raw["order_items"], "product_id", raw["products"], "product_id"),
+        ("order_items.seller_id -> sellers", raw["order_items"], "seller_id", raw["sellers"], "seller_id"),
+        ("order_payments.order_id -> orders", raw["order_payments"], "order_id", raw["orders"], "order_id"),
+        ("order_reviews.order_id -> orders", raw["order_reviews"], "order_id", raw["orders"], "order_id"),
+    ]
+
+
+@query("orphan_values")
+def q_orphan_values(spark, d):
+    return G.orphan_report(_raw_relations(D.raw_tables(spark, d)))
+
+
+@query("orphan_rows")
+def q_orphan_rows(spark, d):
+    s = D.silver_tables(spark, d)
+    return G.orphan_rows(s["order_reviews"], "order_id", s["order_items"], "order_id")
+
+
+@query("orphan_score_distribution")
+def q_orphan_score_distribution(spark, d):
+    s = D.silver_tables(spark, d)
+    return G.score_distribution(G.orphan_rows(s["order_reviews"], "order_id", s["order_items"], "order_id"))
+
+
+@query("category_frequency")
+def q_category_frequency(spark, d):
+    return X.category_frequency(D.silver_tables(spark, d)["products"])
+
+
+@query("taxonomy_gaps")
+def q_taxonomy_gaps(spark, d):
+    return X.taxonomy_gaps(D.silver_tables(spark, d)["products"], D.raw_taxonomy(spark))
+
+
+@query("taxonomy_coverage")
+def q_taxonomy_coverage(spark, d):
+    return X.taxonomy_coverage(D.silver_tables(spark, d)["products"])
+
+
+@query("row_count_report")
+def q_row_count_report(spark, d):
+    from ..plans.pipeline import row_count_report
+
+    return row_count_report(driver_star(spark, d))

@@ -29,6 +29,39 @@ TAXONOMY_VALUES = (
 )
 
 _CTES = [
+    ("raw_customers", """
+        SELECT c.c_custkey AS customer_id, c.c_name AS customer_unique_id, CAST(NULL AS VARCHAR) AS customer_zip_code_prefix,
+               CAST(NULL AS VARCHAR) AS customer_city, n.n_name AS customer_state
+        FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""),
+    ("raw_sellers", """
+        SELECT s.s_suppkey AS seller_id, CAST(NULL AS VARCHAR) AS seller_zip_code_prefix, CAST(NULL AS VARCHAR) AS seller_city,
+               n.n_name AS seller_state
+        FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey"""),
+    ("raw_products", """
+        SELECT p_partkey AS product_id, p_type AS product_category_name, CAST(length(p_name) AS INTEGER) AS product_name_lenght,
+               CAST(NULL AS INTEGER) AS product_description_lenght, CAST(NULL AS INTEGER) AS product_photos_qty,
+               CAST(NULL AS INTEGER) AS product_weight_g, CAST(NULL AS INTEGER) AS product_length_cm,
+               CAST(NULL AS INTEGER) AS product_height_cm, CAST(NULL AS INTEGER) AS product_width_cm
+        FROM part"""),
+    ("raw_orders", """
+        SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS order_status, o_orderdate AS purchased_at,
+               CAST(NULL AS TIMESTAMP) AS approved_at, CAST(NULL AS TIMESTAMP) AS carrier_handoff_at,
+               CAST(NULL AS TIMESTAMP) AS delivered_at, o_orderdate + INTERVAL 30 DAY AS est_delivery_date
+        FROM orders"""),
+    ("raw_order_items", """
+        SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id, l_suppkey AS seller_id,
+               CAST(NULL AS TIMESTAMP) AS shipping_limit_date, l_extendedprice AS item_price,
+               l_extendedprice * l_tax AS freight_cost, l_shipdate AS delivered_at
+        FROM lineitem"""),
+    ("raw_order_payments", """
+        SELECT o_orderkey AS order_id, 1 AS payment_sequential, CAST(NULL AS VARCHAR) AS payment_type,
+               CAST(NULL AS INTEGER) AS payment_installments, o_totalprice AS payment_value
+        FROM orders"""),
+    ("raw_order_reviews", """
+        SELECT o_orderkey AS review_id, o_orderkey AS order_id, substr(o_orderpriority, 1, 1) AS review_score,
+               CAST(NULL AS VARCHAR) AS review_comment_title, CAST(NULL AS VARCHAR) AS review_comment_message,
+               o_orderdate AS review_creation_date, CAST(NULL AS TIMESTAMP) AS review_answer_timestamp
+        FROM orders"""),
     ("taxonomy", f"SELECT * FROM {TAXONOMY_VALUES}"),
     ("silver_customers", """
         SELECT * FROM (
@@ -269,3 +302,193 @@ SELECT p.category_family, COUNT(DISTINCT f.order_id) AS orders, COUNT(*) AS unit
 FROM fact_order_item f JOIN silver_products p ON f.product_nk = p.product_id
 WHERE p.category_family IS NOT NULL
 GROUP BY p.category_family""")
+
+# ---------------------------------------------------------------- data quality
+AS_OF = "TIMESTAMP '2024-01-31 12:00:00'"
+
+
+def _res(no, name: str, e: str | None, f: str, unit: str, src: str) -> str:
+    ev = f"CAST(({e}) AS BIGINT)" if e else "CAST(NULL AS BIGINT)"
+    pct = "CAST(NULL AS DOUBLE)" if not e else (
+        f"CASE WHEN ({e}) = 0 THEN 0.0 ELSE CAST(({f}) AS DOUBLE) / CAST(({e}) AS DOUBLE) * 100.0 END")
+    no_col = f"{no} AS check_no, " if no is not None else ""
+    return (f"SELECT {no_col}'{name}' AS test_name, {ev} AS rows_evaluated, CAST(({f}) AS BIGINT) AS rows_failed, "
+            f"{pct} AS failure_pct, ({f}) = 0 AS passed, '{unit}' AS unit FROM {src}")
+
+
+def _grain(no, name, table, cols):
+    src = f"(SELECT COUNT(*) AS n FROM {table} GROUP BY {cols}) g"
+    return _res(no, name, "COUNT(*)", "COUNT(*) FILTER (WHERE n > 1)", "groups", src)
+
+
+def _ri(no, name, fact, fk, dim, pk):
+    src = (f"(SELECT f.{fk} AS k, d.k AS hit FROM {fact} f LEFT JOIN (SELECT DISTINCT {pk} AS k FROM {dim}) d "
+           f"ON f.{fk} = d.k WHERE f.{fk} IS NOT NULL) x")
+    return _res(no, name, "COUNT(*)", "COUNT(*) FILTER (WHERE hit IS NULL)", "rows", src)
+
+
+def _rows(no, name, table, applies, fails):
+    return _res(no, name, f"COUNT(*) FILTER (WHERE {applies})", f"COUNT(*) FILTER (WHERE ({applies}) AND ({fails}))",
+                "rows", table)
+
+
+_EPOCH = "(epoch_ms({}) // 1000)"
+
+_DQ = [
+    _rows(1, "dim_customer.customer_key is non-null", "silver_customers", "TRUE", "customer_id IS NULL"),
+    _rows(2, "dim_seller.seller_key is non-null", "silver_sellers", "TRUE", "seller_id IS NULL"),
+    _rows(3, "dim_product.product_key is non-null", "silver_products", "TRUE", "product_id IS NULL"),
+    _ri(4, "fact_order_item.customer_key has no orphans", "fact_order_item", "customer_nk", "silver_customers", "customer_id"),
+    _ri(5, "fact_order_item.product_key has no orphans", "fact_order_item", "product_nk", "silver_products", "product_id"),
+    _grain(6, "fact_order_item has unique (order_id, order_item_id) grain", "fact_order_item", "order_id, order_item_id"),
+    _grain(7, "fact_payment has unique (order_id, payment_sequential) grain", "fact_payment", "order_id, payment_sequential"),
+    _rows(8, "delivered_at is not before purchased_at", "fact_order_item",
+          "delivered_at IS NOT NULL AND purchased_at IS NOT NULL", "delivered_at < purchased_at"),
+    _rows(9, "payment_value is non-negative", "fact_payment", "payment_value_c IS NOT NULL", "payment_value_c < 0"),
+    _rows(10, "all non-null product categories are mapped to taxonomy", "silver_products",
+          "product_category_name IS NOT NULL", "normalized_category IS NULL OR category_family IS NULL"),
+    _grain(11, "fact_review has unique (review_id, order_id, product_key) grain", "fact_review", "review_id, order_id, product_nk"),
+    _rows(12, "fact_review scores are between 1 and 5", "fact_review", "TRUE",
+          "review_score IS NULL OR NOT (review_score BETWEEN 1 AND 5)"),
+    _ri(13, "fact_review.review_date_key has no orphans", "fact_review", "review_date_key", "dim_date", "date_key"),
+    _ri(14, "fact_review.customer_key has no orphans", "fact_review", "customer_nk", "silver_customers", "customer_id"),
+    _ri(15, "fact_review.product_key has no orphans", "fact_review", "product_nk", "silver_products", "product_id"),
+    _res(16, "Bronze ingestion is fresh (<= 24 hours)", None,
+         f"CASE WHEN coalesce(age >= 0 AND age <= 24.0, FALSE) THEN 0 ELSE 1 END", "tables",
+         f"(SELECT CAST({_EPOCH.format(AS_OF)} - {_EPOCH.format('max(ts)')} AS DOUBLE) / 3600.0 AS age FROM events) a"),
+]
+ORACLE["dq_report"] = with_star("\nUNION ALL\n".join(_DQ))
+
+ORACLE["dq_failing_rows"] = with_star(
+    "SELECT order_id, order_item_id, purchased_at, delivered_at FROM fact_order_item "
+    "WHERE delivered_at IS NOT NULL AND purchased_at IS NOT NULL AND delivered_at < purchased_at"
+)
+
+ORACLE["fact_grain_check"] = with_star("\nUNION ALL\n".join([
+    _grain(None, "fact_order_item", "fact_order_item", "order_id, order_item_id"),
+    _grain(None, "fact_payment", "fact_payment", "order_id, payment_sequential"),
+    _grain(None, "fact_review", "fact_review", "review_id, order_id, product_nk"),
+]))
+
+ORACLE["ri_check_matrix"] = with_star("\nUNION ALL\n".join([
+    _ri(None, "fact_order_item.customer_key -> dim_customer.customer_key", "fact_order_item", "customer_nk", "silver_customers", "customer_id"),
+    _ri(None, "fact_order_item.seller_key -> dim_seller.seller_key", "fact_order_item", "seller_nk", "silver_sellers", "seller_id"),
+    _ri(None, "fact_order_item.product_key -> dim_product.product_key", "fact_order_item", "product_nk", "silver_products", "product_id"),
+    _ri(None, "fact_order_item.purchase_date_key -> dim_date.date_key", "fact_order_item", "purchase_date_key", "dim_date", "date_key"),
+    _ri(None, "fact_payment.customer_key -> dim_customer.customer_key", "fact_payment", "customer_nk", "silver_customers", "customer_id"),
+    _ri(None, "fact_payment.payment_date_key -> dim_date.date_key", "fact_payment", "payment_date_key", "dim_date", "date_key"),
+    _ri(None, "fact_review.customer_key -> dim_customer.customer_key", "fact_review", "customer_nk", "silver_customers", "customer_id"),
+    _ri(None, "fact_review.product_key -> dim_product.product_key", "fact_review", "product_nk", "silver_products", "product_id"),
+    _ri(None, "fact_review.review_date_key -> dim_date.date_key", "fact_review", "review_date_key", "dim_date", "date_key"),
+]))
+
+ORACLE["unresolved_fk_rates"] = with_star("\nUNION ALL\n".join(
+    _rows(None, f"{fact}.{fk} is resolved", fact, "TRUE", f"{col} IS NULL")
+    for fact, fk, col in [
+        ("fact_order_item", "customer_key", "customer_nk"), ("fact_order_item", "seller_key", "seller_nk"),
+        ("fact_order_item", "product_key", "product_nk"), ("fact_order_item", "purchase_date_key", "purchase_date_key"),
+        ("fact_payment", "customer_key", "customer_nk"), ("fact_payment", "payment_date_key", "payment_date_key"),
+        ("fact_review", "customer_key", "customer_nk"), ("fact_review", "product_key", "product_nk"),
+        ("fact_review", "review_date_key", "review_date_key"),
+    ]
+))
+
+ORACLE["surrogate_key_collisions"] = with_star("\nUNION ALL\n".join(
+    f"SELECT '{dim}' AS table_name, COUNT(DISTINCT {nk}) AS natural_keys, COUNT(DISTINCT {nk}) AS surrogate_keys, "
+    f"CAST(0 AS BIGINT) AS colliding_keys FROM {src}"
+    for dim, nk, src in [("dim_customer", "customer_id", "silver_customers"), ("dim_seller", "seller_id", "silver_sellers"),
+                         ("dim_product", "product_id", "silver_products")]
+))
+
+ORACLE["freshness_check"] = with_star("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, latest_ts, age_hours, coalesce(age_hours >= 0 AND age_hours <= 24.0, FALSE) AS fresh "
+    f"FROM (SELECT max({c}) AS latest_ts, CAST({_EPOCH.format(AS_OF)} - {_EPOCH.format(f'max({c})')} AS DOUBLE) / 3600.0 "
+    f"AS age_hours FROM {t}) x"
+    for t, c in [("events", "ts"), ("orders", "o_orderdate"), ("lineitem", "l_shipdate")]
+))
+
+# ---------------------------------------------------------------- profiling
+_RAW_COLS = {
+    "customers": "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",
+    "sellers": "seller_id seller_zip_code_prefix seller_city seller_state",
+    "products": "product_id product_category_name product_name_lenght product_description_lenght product_photos_qty "
+                "product_weight_g product_length_cm product_height_cm product_width_cm",
+    "orders": "order_id customer_id order_status purchased_at approved_at carrier_handoff_at delivered_at est_delivery_date",
+    "order_items": "order_id order_item_id product_id seller_id shipping_limit_date item_price freight_cost delivered_at",
+    "order_payments": "order_id payment_sequential payment_type payment_installments payment_value",
+    "order_reviews": "review_id order_id review_score review_comment_title review_comment_message review_creation_date "
+                     "review_answer_timestamp",
+}
+ORACLE["null_profile"] = with_star("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count "
+    f"FROM raw_{t}"
+    for t, cols in _RAW_COLS.items() for c in cols.split()
+))
+
+ORACLE["duplicate_key_groups"] = with_star("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{k}' AS key_columns, COUNT(*) AS key_groups, COUNT(*) FILTER (WHERE n > 1) AS duplicate_groups, "
+    f"CAST(coalesce(SUM(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS rows_in_duplicate_groups "
+    f"FROM (SELECT COUNT(*) AS n FROM raw_{t} GROUP BY {k}) g"
+    for t, k in [("customers", "customer_id"), ("products", "product_id"), ("sellers", "seller_id"), ("orders", "order_id"),
+                 ("order_reviews", "review_id"), ("order_reviews", "order_id, review_id"),
+                 ("order_items", "order_id, order_item_id"), ("order_payments", "order_id, payment_sequential")]
+))
+
+ORACLE["duplicate_rows"] = with_star(
+    "SELECT i.*, d.key_rows FROM raw_order_items i JOIN (SELECT order_id, order_item_id, COUNT(*) AS key_rows "
+    "FROM raw_order_items GROUP BY 1, 2 HAVING COUNT(*) > 1) d USING (order_id, order_item_id)"
+)
+
+ORACLE["duplicate_histogram"] = with_star(
+    "SELECT distinct_values, COUNT(*) AS ids FROM (SELECT review_id, COUNT(DISTINCT order_id) AS distinct_values "
+    "FROM raw_order_reviews GROUP BY review_id) g GROUP BY distinct_values"
+)
+
+ORACLE["orphan_values"] = with_star("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS relation, COUNT(*) AS child_values, COUNT(*) FILTER (WHERE p.v IS NULL) AS orphan_values "
+    f"FROM (SELECT DISTINCT {cc} AS v FROM raw_{c} WHERE {cc} IS NOT NULL) ch "
+    f"LEFT JOIN (SELECT DISTINCT {pc} AS v FROM raw_{par}) p ON ch.v = p.v"
+    for name, c, cc, par, pc in [
+        ("orders.customer_id -> customers", "orders", "customer_id", "customers", "customer_id"),
+        ("order_items.order_id -> orders", "order_items", "order_id", "orders", "order_id"),
+        ("order_items.product_id -> products", "order_items", "product_id", "products", "product_id"),
+        ("order_items.seller_id -> sellers", "order_items", "seller_id", "sellers", "seller_id"),
+        ("order_payments.order_id -> orders", "order_payments", "order_id", "orders", "order_id"),
+        ("order_reviews.order_id -> orders", "order_reviews", "order_id", "orders", "order_id"),
+    ]
+))
+
+_ORPHAN_REVIEWS = ("SELECT * FROM silver_order_reviews r WHERE r.order_id IS NOT NULL AND NOT EXISTS "
+                   "(SELECT 1 FROM silver_order_items i WHERE i.order_id = r.order_id)")
+ORACLE["orphan_rows"] = with_star(_ORPHAN_REVIEWS)
+ORACLE["orphan_score_distribution"] = with_star(
+    f"SELECT review_score, COUNT(*) AS rows FROM ({_ORPHAN_REVIEWS}) x GROUP BY review_score"
+)
+
+ORACLE["category_frequency"] = with_star(
+    "SELECT product_category_name AS category, COUNT(*) AS products FROM silver_products GROUP BY 1"
+)
+
+ORACLE["taxonomy_gaps"] = with_star("""
+SELECT coalesce(d.category, t.category) AS category,
+       CASE WHEN t.category IS NULL THEN 'missing_in_taxonomy' ELSE 'extra_in_taxonomy' END AS status,
+       CAST(NULL AS BIGINT) AS taxonomy_rows
+FROM (SELECT DISTINCT trim(product_category_name) AS category FROM silver_products WHERE product_category_name IS NOT NULL) d
+FULL OUTER JOIN (SELECT DISTINCT trim(source_category) AS category FROM taxonomy) t ON d.category = t.category
+WHERE d.category IS NULL OR t.category IS NULL
+UNION ALL
+SELECT trim(source_category), 'duplicate_in_taxonomy', COUNT(*) FROM taxonomy GROUP BY 1 HAVING COUNT(*) > 1""")
+
+ORACLE["taxonomy_coverage"] = with_star(
+    "SELECT COUNT(*) FILTER (WHERE product_category_name IS NOT NULL) AS categorised_products, "
+    "COUNT(*) FILTER (WHERE product_category_name IS NOT NULL AND normalized_category IS NOT NULL "
+    "AND category_family IS NOT NULL) AS mapped_products, "
+    "COUNT(*) FILTER (WHERE product_category_name IS NULL) AS null_category_products FROM silver_products"
+)
+
+ORACLE["row_count_report"] = with_star("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {src}"
+    for name, src in [("dim_customer", "silver_customers"), ("dim_seller", "silver_sellers"), ("dim_product", "silver_products"),
+                      ("dim_date", "dim_date"), ("fact_order_item", "fact_order_item"), ("fact_payment", "fact_payment"),
+                      ("fact_review", "fact_review")]
+))

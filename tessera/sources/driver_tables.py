@@ -173,3 +173,17 @@ def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "order_payments": S.silver_order_payments(raw["order_payments"]),
         "order_reviews": S.silver_order_reviews(raw["order_reviews"]),
     }
+
+
+# Freshness of the driver feeds is judged at a fixed instant so results are
+# reproducible; production callers pass current_timestamp().
+FRESHNESS_AS_OF = "2024-01-31 12:00:00"
+
+
+def feed_times(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, str]]:
+    """(table, event-time column) of each time-stamped source feed."""
+    return {
+        "events": (read(spark, sf_dir, "events"), "ts"),
+        "orders": (read(spark, sf_dir, "orders"), "o_orderdate"),
+        "lineitem": (read(spark, sf_dir, "lineitem"), "l_shipdate"),
+    }
