@@ -288,3 +288,152 @@ def q_row_count_report(spark, d):
     from ..plans.pipeline import row_count_report
 
     return row_count_report(driver_star(spark, d))
+
+
+# ---------------------------------------------------------------- marts
+from ..operators import marts as M  # noqa: E402
+
+
+@query("mart_sales")
+def q_mart_sales(spark, d):
+    s = D.silver_tables(spark, d)
+    return _money(M.mart_sales(s["order_items"], s["order_payments"]), "item_price", "freight_cost", "total_payment_value")
+
+
+@query("mart_delivery_performance")
+def q_mart_delivery_performance(spark, d):
+    s = D.silver_tables(spark, d)
+    return M.mart_delivery_performance(s["orders"], s["order_items"])
+
+
+@query("mart_customer_summary")
+def q_mart_customer_summary(spark, d):
+    s = D.silver_tables(spark, d)
+    return M.mart_customer_summary(s["customers"], s["orders"], s["order_items"])
+
+
+@query("mart_product_performance")
+def q_mart_product_performance(spark, d):
+    s = D.silver_tables(spark, d)
+    return M.mart_product_performance(s["products"], s["orders"], s["order_items"])
+
+
+@query("mart_seller_performance")
+def q_mart_seller_performance(spark, d):
+    s = D.silver_tables(spark, d)
+    return M.mart_seller_performance(s["sellers"], s["orders"], s["order_items"])
+
+
+# ---------------------------------------------------------------- incremental
+from ..operators import incremental as T  # noqa: E402
+from ..operators import star as K  # noqa: E402
+from ..operators.fingerprint import fingerprints, table_diff  # noqa: E402
+from ..operators.silver import conform  # noqa: E402
+from ..sources.schemas import SILVER_SPECS  # noqa: E402
+
+SNAPSHOT_LAG_DAYS = 180
+BATCH_DAYS = 30
+LATE_AFTER_DAYS = 365
+BACKFILL_DAYS = 30
+
+
+def _items_split(spark, d, days):
+    """Raw order items before / from (latest delivery - ``days``): a snapshot and its increment."""
+    raw = D.raw_tables(spark, d)["order_items"]
+    cutoff = raw.select(F.max("delivered_at") - F.expr(f"INTERVAL {days} DAYS")).scalar()
+    return raw.where(F.col("delivered_at") < cutoff), raw.where(F.col("delivered_at") >= cutoff)
+
+
+@query("table_diff")
+def q_table_diff(spark, d):
+    from ..operators.silver import silver_order_items
+
+    old_raw, _ = _items_split(spark, d, SNAPSHOT_LAG_DAYS)
+    old = silver_order_items(old_raw, latest_by=D.ITEM_LATEST_BY)
+    new = D.silver_tables(spark, d)["order_items"]
+    return table_diff(old, new, ["order_id", "order_item_id"])
+
+
+@query("scd1_upsert")
+def q_scd1_upsert(spark, d):
+    from ..operators.silver import silver_order_items
+
+    old_raw, new_raw = _items_split(spark, d, SNAPSHOT_LAG_DAYS)
+    current = silver_order_items(old_raw, latest_by=D.ITEM_LATEST_BY)
+    updates = conform(new_raw, SILVER_SPECS["order_items"])
+    out = T.scd1_upsert(current, updates, ["order_id", "order_item_id"], "delivered_at")
+    return _money(out, "item_price", "freight_cost")
+
+
+@query("scd2_history")
+def q_scd2_history(spark, d):
+    versions = conform(D.raw_tables(spark, d)["order_items"], SILVER_SPECS["order_items"])
+    out = T.scd2_history(versions, ["order_id", "order_item_id"], ["product_id", "seller_id", "item_price", "freight_cost"],
+                         "delivered_at")
+    return _money(out, "item_price", "freight_cost")
+
+
+@query("affected_partitions")
+def q_affected_partitions(spark, d):
+    s = D.silver_tables(spark, d)
+    g = driver_star(spark, d)
+    _, batch = _items_split(spark, d, BATCH_DAYS)
+    rows = K.fact_order_item(s["orders"], conform(batch, SILVER_SPECS["order_items"]), g["dim_customer"], g["dim_seller"],
+                             g["dim_product"])
+    return T.affected_partitions(rows, K.PARTITIONS["fact_order_item"])
+
+
+@query("late_arrivals")
+def q_late_arrivals(spark, d):
+    f = driver_star(spark, d)["fact_order_item"]
+    return T.late_arrivals(f, "purchased_at", "delivered_at", LATE_AFTER_DAYS).select(
+        "order_id", "order_item_id", "purchase_year", "purchased_at", "delivered_at", "delay_days"
+    )
+
+
+@query("late_arrival_volume")
+def q_late_arrival_volume(spark, d):
+    f = driver_star(spark, d)["fact_order_item"]
+    return T.late_arrival_volume(T.late_arrivals(f, "purchased_at", "delivered_at", LATE_AFTER_DAYS), "purchase_year")
+
+
+@query("backfill_window")
+def q_backfill_window(spark, d):
+    f = driver_star(spark, d)["fact_order_item"]
+    return _money(T.backfill_window(f, "purchased_at", BACKFILL_DAYS).select(
+        "order_id", "order_item_id", "purchase_year", "purchased_at", "item_price"), "item_price")
+
+
+@query("run_metrics")
+def q_run_metrics(spark, d):
+    keys = {name: spec.keys for name, spec in SILVER_SPECS.items()}
+    return T.run_metrics(D.raw_tables(spark, d), D.silver_tables(spark, d), keys)
+
+
+# ---------------------------------------------------------------- fingerprints (rows-only: engine-specific hashes)
+@query("table_fingerprint")
+def q_table_fingerprint(spark, d):
+    return fingerprints(driver_star(spark, d))
+
+
+@query("idempotency_check")
+def q_idempotency_check(spark, d):
+    from ..plans.publish import idempotency_check
+
+    return idempotency_check(driver_star(spark, d), driver_star(spark, d))
+
+
+@query("bronze_stream_append")
+def q_bronze_stream_append(spark, d):
+    """Stream the events feed into a fresh Bronze folder (availableNow) and read it back."""
+    import os
+
+    from ..session import scratch_path
+    from ..streaming.bronze_stream import ingest_bronze
+
+    root = scratch_path(spark, "bronze-events")
+    src = spark.read.parquet(os.path.join(d, "events.parquet"))
+    ingest_bronze(spark, os.path.join(d, "events*.parquet"), src.schema, os.path.join(root, "data"),
+                  os.path.join(root, "_checkpoint"), batch_id="events-initial",
+                  dedupe=("ts", ["event_id"], "1 hour"))
+    return spark.read.parquet(os.path.join(root, "data")).drop("ingestion_ts")

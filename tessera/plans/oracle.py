@@ -492,3 +492,145 @@ ORACLE["row_count_report"] = with_star("\nUNION ALL\n".join(
                       ("dim_date", "dim_date"), ("fact_order_item", "fact_order_item"), ("fact_payment", "fact_payment"),
                       ("fact_review", "fact_review")]
 ))
+
+# ---------------------------------------------------------------- marts
+_ITEM_FACTS = """
+  SELECT i.order_id, i.product_id, i.seller_id, i.item_price_c, i.freight_cost_c, o.customer_id, o.purchased_at,
+         o.est_delivery_date, coalesce(i.delivered_at, od.delivered_at) AS delivered
+  FROM silver_order_items i
+  LEFT JOIN silver_orders o ON i.order_id = o.order_id
+  LEFT JOIN (SELECT o2.order_id, coalesce(o2.delivered_at, m.d) AS delivered_at FROM silver_orders o2
+             LEFT JOIN (SELECT order_id, max(delivered_at) AS d FROM silver_order_items GROUP BY 1) m
+             ON o2.order_id = m.order_id) od ON i.order_id = od.order_id"""
+
+_MEASURES = """
+  COUNT(DISTINCT f.order_id) AS orders, COUNT(*) AS units,
+  CAST(SUM(f.item_price_c) AS DOUBLE) / 100.0 AS item_revenue, CAST(SUM(f.freight_cost_c) AS DOUBLE) / 100.0 AS freight_cost,
+  COUNT(*) FILTER (WHERE f.delivered IS NOT NULL AND f.est_delivery_date IS NOT NULL) AS delivered_items,
+  COUNT(*) FILTER (WHERE f.delivered IS NOT NULL AND f.est_delivery_date IS NOT NULL
+                   AND f.delivered > f.est_delivery_date) AS late_items"""
+
+ORACLE["mart_sales"] = with_star("""
+SELECT i.order_id, i.order_item_id, i.product_id, i.seller_id, CAST(i.item_price_c AS DOUBLE) / 100.0 AS item_price,
+       CAST(i.freight_cost_c AS DOUBLE) / 100.0 AS freight_cost, CAST(p.t AS DOUBLE) / 100.0 AS total_payment_value
+FROM silver_order_items i
+LEFT JOIN (SELECT order_id, SUM(payment_value_c) AS t FROM silver_order_payments GROUP BY 1) p ON i.order_id = p.order_id""")
+
+ORACLE["mart_delivery_performance"] = with_star("""
+SELECT o.order_id, o.order_status, coalesce(o.delivered_at, m.d) AS delivered_at, o.est_delivery_date,
+       CASE WHEN coalesce(o.delivered_at, m.d) IS NOT NULL AND o.est_delivery_date IS NOT NULL
+            THEN NOT (coalesce(o.delivered_at, m.d) > o.est_delivery_date) END AS delivered_on_time,
+       CASE WHEN coalesce(o.delivered_at, m.d) IS NOT NULL AND o.est_delivery_date IS NOT NULL
+            THEN CAST(CAST(coalesce(o.delivered_at, m.d) AS DATE) - CAST(o.est_delivery_date AS DATE) AS INTEGER) END
+            AS delivery_delay_days
+FROM silver_orders o LEFT JOIN (SELECT order_id, max(delivered_at) AS d FROM silver_order_items GROUP BY 1) m
+  ON o.order_id = m.order_id""")
+
+ORACLE["mart_customer_summary"] = with_star(f"""
+SELECT c.customer_unique_id, {_MEASURES}, min(f.purchased_at) AS first_purchase_at, max(f.purchased_at) AS last_purchase_at
+FROM ({_ITEM_FACTS}) f JOIN silver_customers c ON f.customer_id = c.customer_id
+GROUP BY c.customer_unique_id""")
+
+ORACLE["mart_product_performance"] = with_star(f"""
+SELECT p.product_id, p.product_category_name, {_MEASURES}
+FROM ({_ITEM_FACTS}) f JOIN silver_products p ON f.product_id = p.product_id
+GROUP BY p.product_id, p.product_category_name""")
+
+ORACLE["mart_seller_performance"] = with_star(f"""
+SELECT s.seller_id, s.seller_city, s.seller_state, {_MEASURES}
+FROM ({_ITEM_FACTS}) f JOIN silver_sellers s ON f.seller_id = s.seller_id
+GROUP BY s.seller_id, s.seller_city, s.seller_state""")
+
+# ---------------------------------------------------------------- incremental
+_CONFORMED_ITEMS = f"""
+  SELECT l_orderkey AS order_id, l_linenumber AS order_item_id, l_partkey AS product_id, l_suppkey AS seller_id,
+         CAST(NULL AS TIMESTAMP) AS shipping_limit_date, {cents_sql('l_extendedprice')} AS item_price_c,
+         {cents_sql('l_extendedprice * l_tax')} AS freight_cost_c, l_shipdate AS delivered_at
+  FROM lineitem"""
+
+
+def _cutoff(days: int) -> str:
+    return f"(SELECT max(l_shipdate) - INTERVAL {days} DAY FROM lineitem)"
+
+
+def _latest(src: str) -> str:
+    return (f"SELECT * FROM ({src}) x QUALIFY row_number() OVER (PARTITION BY order_id, order_item_id ORDER BY "
+            "delivered_at DESC NULLS LAST, product_id DESC NULLS LAST, seller_id DESC NULLS LAST, "
+            "shipping_limit_date DESC NULLS LAST, item_price_c DESC NULLS LAST, freight_cost_c DESC NULLS LAST) = 1")
+
+
+_OLD_ITEMS = _latest(f"SELECT * FROM ({_CONFORMED_ITEMS}) c WHERE delivered_at < {_cutoff(180)}")
+_VALUE_COLS = ["product_id", "seller_id", "shipping_limit_date", "item_price_c", "freight_cost_c", "delivered_at"]
+_CHANGED = ", ".join(
+    f"CASE WHEN a.{c} IS DISTINCT FROM b.{c} THEN '{c.removesuffix('_c')}' END" for c in _VALUE_COLS
+)
+ORACLE["table_diff"] = with_star(f"""
+SELECT order_id, order_item_id, change, changed_columns FROM (
+  SELECT coalesce(a.order_id, b.order_id) AS order_id, coalesce(a.order_item_id, b.order_item_id) AS order_item_id,
+         CASE WHEN a.order_id IS NULL THEN 'added' WHEN b.order_id IS NULL THEN 'removed'
+              WHEN concat_ws(',', {_CHANGED}) <> '' THEN 'changed' END AS change,
+         CASE WHEN a.order_id IS NOT NULL AND b.order_id IS NOT NULL AND concat_ws(',', {_CHANGED}) <> ''
+              THEN concat_ws(',', {_CHANGED}) END AS changed_columns
+  FROM ({_OLD_ITEMS}) a FULL OUTER JOIN silver_order_items b
+    ON a.order_id = b.order_id AND a.order_item_id = b.order_item_id) d
+WHERE change IS NOT NULL""")
+
+ORACLE["scd1_upsert"] = with_star(
+    "SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, "
+    "CAST(item_price_c AS DOUBLE) / 100.0 AS item_price, CAST(freight_cost_c AS DOUBLE) / 100.0 AS freight_cost, delivered_at "
+    "FROM silver_order_items"
+)
+
+ORACLE["scd2_history"] = with_star(f"""
+SELECT order_id, order_item_id, product_id, seller_id, CAST(item_price_c AS DOUBLE) / 100.0 AS item_price,
+       CAST(freight_cost_c AS DOUBLE) / 100.0 AS freight_cost, delivered_at AS valid_from,
+       lead(delivered_at) OVER w AS valid_to, lead(delivered_at) OVER w IS NULL AS is_current
+FROM (
+  SELECT *, row_number() OVER v AS rn, lag(product_id) OVER v AS p1, lag(seller_id) OVER v AS p2,
+         lag(item_price_c) OVER v AS p3, lag(freight_cost_c) OVER v AS p4
+  FROM ({_CONFORMED_ITEMS}) c
+  WINDOW v AS (PARTITION BY order_id, order_item_id ORDER BY delivered_at ASC NULLS FIRST, product_id ASC NULLS FIRST,
+               seller_id ASC NULLS FIRST, item_price_c ASC NULLS FIRST, freight_cost_c ASC NULLS FIRST)) s
+WHERE rn = 1 OR NOT (product_id IS NOT DISTINCT FROM p1 AND seller_id IS NOT DISTINCT FROM p2
+                     AND item_price_c IS NOT DISTINCT FROM p3 AND freight_cost_c IS NOT DISTINCT FROM p4)
+WINDOW w AS (PARTITION BY order_id, order_item_id ORDER BY delivered_at ASC NULLS FIRST, product_id ASC NULLS FIRST,
+             seller_id ASC NULLS FIRST, item_price_c ASC NULLS FIRST, freight_cost_c ASC NULLS FIRST)""")
+
+ORACLE["affected_partitions"] = with_star(f"""
+SELECT DISTINCT CAST(year(o.purchased_at) AS INTEGER) AS purchase_year, s.seller_state
+FROM ({_CONFORMED_ITEMS}) b
+LEFT JOIN silver_orders o ON b.order_id = o.order_id
+LEFT JOIN silver_sellers s ON b.seller_id = s.seller_id
+WHERE b.delivered_at >= {_cutoff(30)}""")
+
+_LATE = """
+  SELECT order_id, order_item_id, purchase_year, purchased_at, delivered_at,
+         CAST(CAST(delivered_at AS DATE) - CAST(purchased_at AS DATE) AS INTEGER) AS delay_days
+  FROM fact_order_item
+  WHERE purchased_at IS NOT NULL AND delivered_at IS NOT NULL
+    AND CAST(delivered_at AS DATE) - CAST(purchased_at AS DATE) > 365"""
+ORACLE["late_arrivals"] = with_star(_LATE)
+ORACLE["late_arrival_volume"] = with_star(
+    f"SELECT purchase_year, COUNT(*) AS late_rows, max(delay_days) AS max_delay_days FROM ({_LATE}) l GROUP BY 1"
+)
+
+ORACLE["backfill_window"] = with_star("""
+SELECT order_id, order_item_id, purchase_year, purchased_at, CAST(item_price_c AS DOUBLE) / 100.0 AS item_price
+FROM fact_order_item
+WHERE CAST(purchased_at AS DATE) >= (SELECT max(CAST(purchased_at AS DATE)) FROM fact_order_item) - 29""")
+
+_RUN = [
+    ("customers", "raw_customers", "customer_id IS NULL", "silver_customers"),
+    ("orders", "raw_orders", "order_id IS NULL", "silver_orders"),
+    ("products", "raw_products", "product_id IS NULL", "silver_products"),
+    ("sellers", "raw_sellers", "seller_id IS NULL", "silver_sellers"),
+    ("order_items", "raw_order_items", "order_id IS NULL OR order_item_id IS NULL", "silver_order_items"),
+    ("order_payments", "raw_order_payments", "order_id IS NULL OR payment_sequential IS NULL", "silver_order_payments"),
+    ("order_reviews", "raw_order_reviews", "review_id IS NULL OR order_id IS NULL", "silver_order_reviews"),
+]
+ORACLE["run_metrics"] = with_star("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, m.metric, m.value FROM (SELECT COUNT(*) AS r, COUNT(*) FILTER (WHERE {nk}) AS n, "
+    f"(SELECT COUNT(*) FROM {s}) AS s FROM {raw}) x, LATERAL (VALUES ('raw_rows', r), ('null_key_rows', n), "
+    f"('silver_rows', s), ('duplicates_removed', r - s)) m(metric, value)"
+    for t, raw, nk, s in _RUN
+))
