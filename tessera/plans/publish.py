@@ -22,27 +22,62 @@ from ..sources.io import new_batch, write_partitioned, write_table
 POINTER = "_current"
 
 
-def stage_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Write tables (facts partitioned) and return them read back from storage."""
-    out = {}
-    for name, df in tables.items():
-        path = os.path.join(folder, name)
-        if name in PARTITIONS:
-            write_partitioned(df, path, PARTITIONS[name])
-        else:
-            write_table(df, path)
-        read = spark.read.parquet(path)
-        # partition columns come back last: restore the declared order
-        out[name] = read.select(*df.columns)
-    return out
-
-
-def publish_gold(spark: SparkSession, gold: dict[str, DataFrame], root: str, fresh_df: DataFrame, fresh_ts: str,
+def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str) -> DataFrame:
+    path = os.path.join(folder, name)
+    if name in PARTITIONS:
+        write_partitioned(df, path, PARTITIONS[name])
+    else:
+        write_table(df, path)
+    # partition columns come back last: restore the declared order
+    return spark.read.parquet(path).select(*df.columns)
+
+
+def stage_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
+                 parallel: int = 4) -> dict[str, DataFrame]:
+    """Write independent tables (facts partitioned) and return them read back.
+
+    The writes are submitted as concurrent Spark jobs from driver threads, so
+    small tables do not leave executors idle while a large one finishes.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = {name: pool.submit(_stage_one, spark, name, df, folder) for name, df in tables.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
+DIMENSIONS = ("dim_customer", "dim_seller", "dim_product", "dim_date")
+FACTS = ("fact_order_item", "fact_payment", "fact_review")
+
+
+def stage_layers(spark: SparkSession, silver, folder: str) -> dict[str, DataFrame]:
+    """Materialise the medallion once per layer: Silver, then dimensions, then facts.
+
+    Each layer is written and read back before the next is defined, so every
+    table is computed exactly once (no lineage is recomputed by later
+    tables or checks) and a lost executor only re-runs the current layer.
+    """
+    from .pipeline import build_star
+
+    written_silver = stage_tables(spark, dict(silver.items()), os.path.join(folder, "silver"))
+    star = build_star(written_silver)
+    dims = stage_tables(spark, {n: star[n] for n in DIMENSIONS}, os.path.join(folder, "gold"))
+    star_on_dims = build_star(written_silver)  # facts join the written dimensions
+    for n, df in dims.items():
+        star_on_dims.provide(n, df)
+    facts = stage_tables(spark, {n: star_on_dims[n] for n in FACTS}, os.path.join(folder, "gold"))
+    return {**dims, **facts}
+
+
+def publish_gold(spark: SparkSession, silver, root: str, fresh_df: DataFrame, fresh_ts: str,
                  as_of: Column | None = None, run_id: str | None = None) -> DataFrame:
-    """Stage, check, then publish. Raises QualityGateError (nothing published) on failure."""
+    """Stage Silver and Gold, check what was written, then publish.
+
+    Raises QualityGateError (and publishes nothing) when a check fails.
+    """
     run_id = run_id or new_batch()[0]
     folder = os.path.join(root, "runs", run_id)
-    written = stage_tables(spark, gold, folder)
+    written = stage_layers(spark, silver, folder)
     report = Q.dq_report(written, fresh_df, fresh_ts, as_of if as_of is not None else F.current_timestamp())
     report_path = os.path.join(folder, "_dq_report")
     write_table(report.coalesce(1), report_path)
@@ -57,7 +92,7 @@ def current_run(spark: SparkSession, root: str) -> str:
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, "runs", current_run(spark, root), name))
+    return spark.read.parquet(os.path.join(root, "runs", current_run(spark, root), "gold", name))
 
 
 def idempotency_check(first: dict[str, DataFrame], second: dict[str, DataFrame]) -> DataFrame:

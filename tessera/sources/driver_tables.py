@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..operators import silver as S
 from ..operators.taxonomy import taxonomy_from_rows
+from ..plans.lazy import LazyTables
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -158,21 +159,39 @@ RAW = {
 }
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: fn(spark, sf_dir) for name, fn in RAW.items()}
+_CACHE: dict = {}
 
 
-def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = raw_tables(spark, sf_dir)
-    return {
-        "customers": S.silver_customers(raw["customers"]),
-        "sellers": S.silver_sellers(raw["sellers"]),
-        "products": S.silver_products(raw["products"], taxonomy(spark)),
-        "orders": S.silver_orders(raw["orders"]),
-        "order_items": S.silver_order_items(raw["order_items"], latest_by=ITEM_LATEST_BY),
-        "order_payments": S.silver_order_payments(raw["order_payments"]),
-        "order_reviews": S.silver_order_reviews(raw["order_reviews"]),
-    }
+def _cached(kind: str, spark: SparkSession, sf_dir: str, make):
+    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _CACHE:
+        if len(_CACHE) > 16:
+            _CACHE.clear()
+        _CACHE[key] = make()
+    return _CACHE[key]
+
+
+def raw_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    """Raw tables, each defined on first access; one definition per session and folder."""
+    return _cached("raw", spark, sf_dir, lambda: LazyTables(
+        {name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in RAW.items()}))
+
+
+def build_silver(spark: SparkSession, raw) -> LazyTables:
+    """Silver tables of the driver mapping from (any version of) the raw tables."""
+    return LazyTables({
+        "customers": lambda: S.silver_customers(raw["customers"]),
+        "sellers": lambda: S.silver_sellers(raw["sellers"]),
+        "products": lambda: S.silver_products(raw["products"], taxonomy(spark)),
+        "orders": lambda: S.silver_orders(raw["orders"]),
+        "order_items": lambda: S.silver_order_items(raw["order_items"], latest_by=ITEM_LATEST_BY),
+        "order_payments": lambda: S.silver_order_payments(raw["order_payments"]),
+        "order_reviews": lambda: S.silver_order_reviews(raw["order_reviews"]),
+    })
+
+
+def silver_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
+    return _cached("silver", spark, sf_dir, lambda: build_silver(spark, raw_tables(spark, sf_dir)))
 
 
 # Freshness of the driver feeds is judged at a fixed instant so results are
