@@ -48,7 +48,7 @@ def to_int(df: DataFrame, name: str, target: str = "int") -> Column:
     """Typed integer; a malformed string becomes NULL (counted by DQ rules)."""
     c = F.col(name)
     if is_string(df, name):
-        return F.try_cast(F.trim(c), target) if hasattr(F, "try_cast") else F.expr(f"try_cast(trim(`{name}`) as {target})")
+        return F.trim(c).try_cast(target)
     return c.cast(target)
 
 
@@ -75,7 +75,7 @@ def to_money(df: DataFrame, name: str) -> Column:
     dt = dtype_of(df, name)
     c = F.col(name)
     if isinstance(dt, T.StringType):
-        return F.try_cast(F.trim(c), "decimal(18,2)")
+        return F.trim(c).try_cast(MONEY)
     if isinstance(dt, _NUMERIC_FLOATS):
         return money_from_cents(cents(c))
     return c.cast(MONEY)
