@@ -442,3 +442,47 @@ def q_bronze_stream_append(spark, d):
                   os.path.join(root, "_checkpoint"), batch_id="events-initial",
                   dedupe=("ts", ["event_id"], "1 hour"))
     return spark.read.parquet(os.path.join(root, "data")).drop("ingestion_ts")
+
+
+# ---------------------------------------------------------------- validation reports, top-k
+from ..operators import validation as V  # noqa: E402
+
+TOP_K = 20
+
+
+@query("silver_validation")
+def q_silver_validation(spark, d):
+    s = D.silver_tables(spark, d)
+    rel = [
+        ("orders.customer_id -> customers", s["orders"], "customer_id", s["customers"], "customer_id"),
+        ("order_items.order_id -> orders", s["order_items"], "order_id", s["orders"], "order_id"),
+        ("order_items.product_id -> products", s["order_items"], "product_id", s["products"], "product_id"),
+        ("order_items.seller_id -> sellers", s["order_items"], "seller_id", s["sellers"], "seller_id"),
+        ("order_payments.order_id -> orders", s["order_payments"], "order_id", s["orders"], "order_id"),
+        ("order_reviews.order_id -> orders", s["order_reviews"], "order_id", s["orders"], "order_id"),
+    ]
+    return V.silver_validation(s, rel)
+
+
+@query("mart_validation")
+def q_mart_validation(spark, d):
+    s = D.silver_tables(spark, d)
+    marts = {  # exact decimal money: the totals are summed before any conversion
+        "mart_sales": M.mart_sales(s["order_items"], s["order_payments"]),
+        "mart_delivery_performance": M.mart_delivery_performance(s["orders"], s["order_items"]),
+        "mart_customer_summary": M.mart_customer_summary(s["customers"], s["orders"], s["order_items"]),
+        "mart_product_performance": M.mart_product_performance(s["products"], s["orders"], s["order_items"]),
+        "mart_seller_performance": M.mart_seller_performance(s["sellers"], s["orders"], s["order_items"]),
+    }
+    return V.mart_validation(marts)
+
+
+@query("late_delivery_top20")
+def q_late_delivery_top20(spark, d):
+    """The report as the reference shows it: the first 20 rows (a total order, so the same 20)."""
+    return q_late_delivery_rate(spark, d).limit(TOP_K)
+
+
+@query("order_value_anomalies_top20")
+def q_order_value_anomalies_top20(spark, d):
+    return q_order_value_anomalies(spark, d).limit(TOP_K)

@@ -634,3 +634,60 @@ ORACLE["run_metrics"] = with_star("\nUNION ALL\n".join(
     f"('silver_rows', s), ('duplicates_removed', r - s)) m(metric, value)"
     for t, raw, nk, s in _RUN
 ))
+
+# ---------------------------------------------------------------- validation reports, top-k
+def _vrow(check: str, subject: str, value_sql: str, src: str) -> str:
+    return f"SELECT '{check}' AS check_type, '{subject}' AS subject, CAST(({value_sql}) AS DOUBLE) AS value FROM {src}"
+
+
+_SV = [_vrow("row_count", t, "COUNT(*)", f"silver_{t}") for t in
+       ("customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews")]
+_SV += [_vrow("duplicate_key_groups", f"{t}({k})", "COUNT(*) FILTER (WHERE n > 1)",
+              f"(SELECT COUNT(*) AS n FROM silver_{t} GROUP BY {k}) g")
+        for t, k in [("customers", "customer_id"), ("products", "product_id"), ("sellers", "seller_id"), ("orders", "order_id"),
+                     ("order_items", "order_id, order_item_id"), ("order_payments", "order_id, payment_sequential")]]
+_SV += [_vrow("orphan_values", name, "COUNT(*) FILTER (WHERE p.v IS NULL)",
+              f"(SELECT DISTINCT {cc} AS v FROM silver_{c} WHERE {cc} IS NOT NULL) ch "
+              f"LEFT JOIN (SELECT DISTINCT {pc} AS v FROM silver_{par}) p ON ch.v = p.v")
+        for name, c, cc, par, pc in [
+            ("orders.customer_id -> customers", "orders", "customer_id", "customers", "customer_id"),
+            ("order_items.order_id -> orders", "order_items", "order_id", "orders", "order_id"),
+            ("order_items.product_id -> products", "order_items", "product_id", "products", "product_id"),
+            ("order_items.seller_id -> sellers", "order_items", "seller_id", "sellers", "seller_id"),
+            ("order_payments.order_id -> orders", "order_payments", "order_id", "orders", "order_id"),
+            ("order_reviews.order_id -> orders", "order_reviews", "order_id", "orders", "order_id")]]
+ORACLE["silver_validation"] = with_star("\nUNION ALL\n".join(_SV))
+
+
+def _body(name: str) -> str:
+    """The query part (after the CTEs) of an oracle registered above."""
+    sql = ORACLE[name]
+    return sql[len(with_star("")):]
+
+
+_MARTS = {n: f"({_body(n)})" for n in ("mart_sales", "mart_delivery_performance", "mart_customer_summary",
+                                        "mart_product_performance", "mart_seller_performance")}
+_MV = [_vrow("row_count", n, "COUNT(*)", f"{src} m") for n, src in _MARTS.items()]
+_MV += [_vrow("duplicate_key_groups", n, "COUNT(*) FILTER (WHERE n > 1)", f"(SELECT COUNT(*) AS n FROM {_MARTS[n]} m GROUP BY {g}) g")
+        for n, g in [("mart_sales", "order_id, order_item_id"), ("mart_delivery_performance", "order_id"),
+                     ("mart_customer_summary", "customer_unique_id"), ("mart_product_performance", "product_id, product_category_name"),
+                     ("mart_seller_performance", "seller_id, seller_city, seller_state")]]
+_MV += [_vrow("null_key_rows", f"{n}.{c}", f"COUNT(*) FILTER (WHERE {c} IS NULL)", f"{_MARTS[n]} m")
+        for n, cols in [("mart_sales", ["order_id", "order_item_id", "product_id", "seller_id"]),
+                        ("mart_delivery_performance", ["order_id"]), ("mart_customer_summary", ["customer_unique_id"]),
+                        ("mart_product_performance", ["product_id"]), ("mart_seller_performance", ["seller_id"])]
+        for c in cols]
+_MV += [_vrow("delivery_split", s, f"COUNT(*) FILTER (WHERE {cond})", f"{_MARTS['mart_delivery_performance']} m")
+        for s, cond in [("on_time", "delivered_on_time"), ("late", "NOT delivered_on_time"),
+                        ("undelivered", "delivered_on_time IS NULL"), ("delayed", "delivery_delay_days > 0")]]
+_MV += [_vrow("money_total", "item_price", "SUM(item_price_c) / 100.0", "silver_order_items"),
+        _vrow("money_total", "freight_cost", "SUM(freight_cost_c) / 100.0", "silver_order_items"),
+        _vrow("money_total", "total_payment_value", "SUM(t) / 100.0",
+              "(SELECT i.order_id, max(p.t) AS t FROM silver_order_items i LEFT JOIN "
+              "(SELECT order_id, SUM(payment_value_c) AS t FROM silver_order_payments GROUP BY 1) p "
+              "ON i.order_id = p.order_id GROUP BY i.order_id) x")]
+ORACLE["mart_validation"] = with_star("\nUNION ALL\n".join(_MV))
+
+ORACLE["late_delivery_top20"] = ORACLE["late_delivery_rate"] + ", seller_id, category_family LIMIT 20"
+ORACLE["order_value_anomalies_top20"] = ORACLE["order_value_anomalies"] + \
+    "\nORDER BY multiple_of_category_p95 DESC, order_id, category_family LIMIT 20"
