@@ -67,25 +67,59 @@ def scd1_upsert(current: DataFrame, updates: DataFrame, keys: Sequence[str], upd
     return dedupe_latest(both, keys, (updated_col,))
 
 
-def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str], valid_from: str) -> DataFrame:
+def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str], valid_from: str,
+                 segments: int | None = None) -> DataFrame:
     """Type-2 history: one interval per run of identical tracked values.
 
     Versions are ordered by ``valid_from`` then the tracked values (a total
     order); a version equal to its predecessor (NULL-safe) extends the
     interval instead of opening one. ``valid_to`` is the next interval's
     start (NULL for the current one).
+
+    Skew-safe plan: rows are range-partitioned on (key, order) into
+    ``segments`` balanced ranges, so one key with a large share of all
+    versions spans several segments instead of one task. LAG/LEAD run inside
+    each (segment, key); the first row of a segment takes its predecessor
+    from a small per-segment summary (the previous segment's last version),
+    and the last interval start of a segment takes its successor from the
+    next segment that has one. The summaries have one row per (segment, key).
     """
-    order = [F.col(valid_from).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in tracked]
-    w = Window.partitionBy(*keys).orderBy(*order)
+    spark = versions.sparkSession
+    n = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order_cols = [valid_from, *tracked]
+    sort = [F.col(c).asc_nulls_first() for c in order_cols]
+    seg_keys = ["_seg", *keys]
+    by_key = Window.partitionBy(*keys).orderBy("_seg")
+
+    ranged = (
+        versions.select(*keys, *tracked, valid_from)
+        .repartitionByRange(n, *(F.col(k).asc_nulls_first() for k in keys), *sort)
+        .withColumn("_seg", F.spark_partition_id())
+    )
+    w = Window.partitionBy(*seg_keys).orderBy(*sort)
+    local = ranged.select(
+        "*", F.row_number().over(w).alias("_rn"), F.struct(*(F.lag(c).over(w).alias(c) for c in tracked)).alias("_lag")
+    )
+    last = local.groupBy(*seg_keys).agg(F.max_by(F.struct(*tracked), F.struct(*order_cols)).alias("_last"))
+    prev_seg = last.select(*seg_keys, F.lag("_last").over(by_key).alias("_prev_seg"))
+    prev = F.when(F.col("_rn") == 1, F.col("_prev_seg")).otherwise(F.col("_lag"))
     same = F.lit(True)
     for c in tracked:
-        same = same & F.col(c).eqNullSafe(F.lag(c).over(w))
-    starts = versions.select(*keys, *tracked, valid_from).withColumn(
-        "_new", (F.row_number().over(w) == 1) | ~same
-    ).where(F.col("_new"))
-    return starts.select(
-        *keys, *tracked, F.col(valid_from).alias("valid_from"),
-        F.lead(valid_from).over(w).alias("valid_to"),
+        same = same & F.col(c).eqNullSafe(prev[c])
+    starts = (
+        local.join(prev_seg, seg_keys, "left")
+        .where(prev.isNull() | ~same)
+        .select(*seg_keys, *tracked, valid_from)
+    )
+    w2 = Window.partitionBy(*seg_keys).orderBy(*sort)
+    starts = starts.select(
+        "*", F.lead(valid_from).over(w2).alias("_next"), F.lead(F.lit(1)).over(w2).isNotNull().alias("_has_next")
+    )
+    first = starts.groupBy(*seg_keys).agg(F.min_by(valid_from, F.struct(*order_cols)).alias("_first"))
+    next_seg = first.select(*seg_keys, F.lead("_first").over(by_key).alias("_next_seg"))
+    valid_to = F.when(F.col("_has_next"), F.col("_next")).otherwise(F.col("_next_seg"))
+    return starts.join(next_seg, seg_keys, "left").select(
+        *keys, *tracked, F.col(valid_from).alias("valid_from"), valid_to.alias("valid_to"),
     ).withColumn("is_current", F.col("valid_to").isNull())
 
 

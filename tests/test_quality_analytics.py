@@ -203,3 +203,35 @@ def test_late_arrivals_backfill_affected(spark):
     assert parts == {(2019, "RJ")}
     assert T.restrict_to_partitions(df, T.affected_partitions(late, ["purchase_year", "seller_state"]),
                                     ["purchase_year", "seller_state"]).count() == 1
+
+
+def _scd2_brute(rows):
+    """rows: (key, attr, day). Expected intervals by the definition."""
+    out = []
+    by_key = {}
+    for k, a, d in rows:
+        by_key.setdefault(k, []).append((d, a))
+    for k, vs in by_key.items():
+        vs.sort(key=lambda t: (t[0], (t[1] is not None, t[1])))
+        starts = [v for i, v in enumerate(vs) if i == 0 or v[1] != vs[i - 1][1]]
+        for i, (d, a) in enumerate(starts):
+            nxt = starts[i + 1][0] if i + 1 < len(starts) else None
+            out.append((k, a, d, nxt))
+    return sorted(out, key=repr)
+
+
+def test_scd2_hot_key_spans_segments(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [("hot", rnd.choice(["A", "B", None]), rnd.randrange(0, 400)) for _ in range(3000)]
+    rows += [(f"k{i}", rnd.choice(["A", "B"]), rnd.randrange(0, 50)) for i in range(300) for _ in range(3)]
+    df = spark.createDataFrame(rows, "key string, attr string, day int")
+    got = T.scd2_history(df, ["key"], ["attr"], "day", segments=8)
+    # the hot key really is split across several range segments
+    assert df.repartitionByRange(8, "key", "day", "attr").where("key = 'hot'").select(
+        F.spark_partition_id()).distinct().count() > 2
+    res = sorted(((r.key, r.attr, r.valid_from, r.valid_to) for r in got.collect()), key=repr)
+    assert res == _scd2_brute(rows)
+    cur = got.where("is_current").groupBy("key").count().where("count <> 1").count()
+    assert cur == 0
