@@ -67,7 +67,9 @@ def cents(c: Column) -> Column:
 
 
 def money_from_cents(c: Column) -> Column:
-    return (c.cast("decimal(20,0)") / F.lit(100)).cast(MONEY)
+    """Integer cents as decimal(18,2). Multiplying by an exact decimal 0.01 is
+    exact and much cheaper than a decimal division per row."""
+    return (c.cast("decimal(18,0)") * F.lit(0.01).cast("decimal(2,2)")).cast(MONEY)
 
 
 def to_money(df: DataFrame, name: str) -> Column:
