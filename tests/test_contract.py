@@ -95,3 +95,67 @@ def test_bronze_stream_is_incremental(spark, tmp_path):
     assert back.count() == 150
     assert back.select(F.countDistinct("event_id")).first()[0] == 150
     assert {r.batch_id for r in back.select("batch_id").distinct().collect()} == {"b1", "b2"}
+
+
+def test_incremental_refresh_equals_full_rebuild(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from conftest import raw_df
+    from tessera.operators.fingerprint import fingerprint
+    from tessera.operators import silver as S
+    from tessera.plans.pipeline import build_star
+    from tessera.plans.refresh import refresh_order_items
+    from tessera.sources.io import write_partitioned
+    from test_silver_star import market
+
+    raw, silver, gold = market(spark)
+    fact_path = str(tmp_path / "fact_order_item")
+    write_partitioned(gold["fact_order_item"], fact_path, ["purchase_year", "seller_state"])
+    # an unrelated partition (2016, RJ) that the refresh must leave alone
+    other = gold["fact_order_item"].limit(1).withColumn("purchase_year", F.lit(2016)).withColumn("seller_state", F.lit("RJ"))
+    write_partitioned(other, fact_path, ["purchase_year", "seller_state"])
+    before = {r[0] for r in spark.read.parquet(fact_path).where("purchase_year = 2016").select(F.input_file_name()).collect()}
+    # batch: item (o1, 3) moves to seller s2 (NULL state partition); a new item for o4 (2018, SP)
+    batch = raw_df(spark, "order_items", [
+        {"order_id": "o1", "order_item_id": "3", "product_id": "p2", "seller_id": "s2", "item_price": "5.25", "freight_cost": "0.75"},
+        {"order_id": "o4", "order_item_id": "1", "product_id": "p1", "seller_id": "s1", "item_price": "3.00", "freight_cost": "0.10"},
+    ], "2024-02-01 00:00:00")
+    upserted, affected = refresh_order_items(
+        spark, silver["order_items"], batch, silver["orders"], gold["dim_customer"], gold["dim_seller"], gold["dim_product"],
+        fact_path)
+    parts = {(r.purchase_year, r.seller_state) for r in affected.collect()}
+    assert parts == {(2018, "SP"), (2018, None)}
+    refreshed = spark.read.parquet(fact_path).where("purchase_year <> 2016").select(*gold["fact_order_item"].columns)
+    full_items = S.silver_order_items(raw["order_items"].withColumn("ingestion_ts", F.lit(None).cast("timestamp"))
+                                      .unionByName(batch.drop("batch_id")))
+    full = build_star({**silver, "order_items": full_items})["fact_order_item"]
+    assert refreshed.count() == 5
+    assert fingerprint(refreshed).drop("table_name").first() == fingerprint(full).drop("table_name").first()
+    after = {r[0] for r in spark.read.parquet(fact_path).where("purchase_year = 2016").select(F.input_file_name()).collect()}
+    assert before == after and len(after) == 1  # the untouched partition keeps its file
+
+
+def test_incremental_refresh_deletes_emptied_partition(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from conftest import raw_df
+    from tessera.plans.refresh import refresh_order_items
+    from tessera.sources.io import write_partitioned
+    from test_silver_star import market
+
+    raw, silver, gold = market(spark)
+    fact_path = str(tmp_path / "fact_order_item")
+    write_partitioned(gold["fact_order_item"], fact_path, ["purchase_year", "seller_state"])
+    null_part = os.path.join(fact_path, "purchase_year=2018", "seller_state=__HIVE_DEFAULT_PARTITION__")
+    assert os.path.isdir(null_part)
+    # the only item of the (2018, NULL-state) partition moves to seller s1 (state SP)
+    batch = raw_df(spark, "order_items", [
+        {"order_id": "o2", "order_item_id": "1", "product_id": "pX", "seller_id": "s1", "item_price": "7.00", "freight_cost": "1.00"},
+    ], "2024-02-01 00:00:00")
+    _, affected = refresh_order_items(spark, silver["order_items"], batch, silver["orders"], gold["dim_customer"],
+                                      gold["dim_seller"], gold["dim_product"], fact_path)
+    assert not os.path.exists(null_part)
+    back = spark.read.parquet(fact_path)
+    assert back.count() == 4 and back.where(F.col("seller_state").isNull()).count() == 0
