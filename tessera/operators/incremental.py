@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
 from .dedupe import dedupe_latest
 
 
@@ -78,11 +79,12 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
 
     Skew-safe plan: rows are range-partitioned on (key, order) into
     ``segments`` balanced ranges, so one key with a large share of all
-    versions spans several segments instead of one task. LAG/LEAD run inside
-    each (segment, key); the first row of a segment takes its predecessor
-    from a small per-segment summary (the previous segment's last version),
-    and the last interval start of a segment takes its successor from the
-    next segment that has one. The summaries have one row per (segment, key).
+    versions spans several segments instead of one task. One windowed pass
+    per (segment, key) finds the local interval starts and, for every row,
+    the next local start; it is checkpointed once in the shared checkpoint
+    folder. What crosses segment borders (the previous segment's last version,
+    the next segment's first start) is taken from a table with one row per
+    (segment, key), joined back once.
     """
     spark = versions.sparkSession
     n = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -90,37 +92,54 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     sort = [F.col(c).asc_nulls_first() for c in order_cols]
     seg_keys = ["_seg", *keys]
     by_key = Window.partitionBy(*keys).orderBy("_seg")
+    w = Window.partitionBy(*seg_keys).orderBy(*sort)
+    after = w.rowsBetween(1, Window.unboundedFollowing)
 
     ranged = (
         versions.select(*keys, *tracked, valid_from)
         .repartitionByRange(n, *(F.col(k).asc_nulls_first() for k in keys), *sort)
         .withColumn("_seg", F.spark_partition_id())
     )
-    w = Window.partitionBy(*seg_keys).orderBy(*sort)
-    local = ranged.select(
-        "*", F.row_number().over(w).alias("_rn"), F.struct(*(F.lag(c).over(w).alias(c) for c in tracked)).alias("_lag")
-    )
-    last = local.groupBy(*seg_keys).agg(F.max_by(F.struct(*tracked), F.struct(*order_cols)).alias("_last"))
-    prev_seg = last.select(*seg_keys, F.lag("_last").over(by_key).alias("_prev_seg"))
-    prev = F.when(F.col("_rn") == 1, F.col("_prev_seg")).otherwise(F.col("_lag"))
-    same = F.lit(True)
+    same_as_lag = F.lit(True)
     for c in tracked:
-        same = same & F.col(c).eqNullSafe(prev[c])
-    starts = (
-        local.join(prev_seg, seg_keys, "left")
-        .where(prev.isNull() | ~same)
-        .select(*seg_keys, *tracked, valid_from)
+        same_as_lag = same_as_lag & F.col(c).eqNullSafe(F.lag(c).over(w))
+    pass1 = ranged.select(
+        "*", F.row_number().over(w).alias("_rn"), F.count(F.lit(1)).over(Window.partitionBy(*seg_keys)).alias("_n"),
+        same_as_lag.alias("_same"),
     )
-    w2 = Window.partitionBy(*seg_keys).orderBy(*sort)
-    starts = starts.select(
-        "*", F.lead(valid_from).over(w2).alias("_next"), F.lead(F.lit(1)).over(w2).isNotNull().alias("_has_next")
+    # a row after the first is a start when it differs from its predecessor
+    local_start = (F.col("_rn") > 1) & ~F.col("_same")
+    nxt = F.when(local_start, F.struct(F.col(valid_from).alias("vf")))
+    local = pass1.select(
+        *keys, *tracked, valid_from, "_seg", "_rn", "_n", local_start.alias("_local_start"),
+        F.first(nxt, ignorenulls=True).over(after).alias("_next_local"),
+    )
+    ensure_checkpoint_dir(spark)
+    local = local.checkpoint(eager=True)  # read by both branches below; lineage cut
+
+    # one row per (segment, key): first and last version of the segment
+    first_rows = local.where(F.col("_rn") == 1).select(
+        *seg_keys, F.struct(*tracked).alias("_first_vals"), F.col(valid_from).alias("_first_vf"), "_next_local")
+    last_rows = local.where(F.col("_rn") == F.col("_n")).select(*seg_keys, F.struct(*tracked).alias("_last_vals"))
+    seg = first_rows.join(last_rows, seg_keys)
+    prev_last = F.lag("_last_vals").over(by_key)
+    first_same = F.lit(True)
+    for c in tracked:
+        first_same = first_same & F.col(f"_first_vals.{c}").eqNullSafe(prev_last[c])
+    seg = seg.select("*", (prev_last.isNull() | ~first_same).alias("_first_is_start"))
+    # the segment's first interval start (a struct, so a NULL valid_from is still "present")
+    seg_first_start = F.when(F.col("_first_is_start"), F.struct(F.col("_first_vf").alias("vf"))).otherwise(F.col("_next_local"))
+    seg = seg.select(*seg_keys, "_first_is_start", seg_first_start.alias("_seg_start"))
+    seg = seg.select(*seg_keys, "_first_is_start",
+                     F.first("_seg_start", ignorenulls=True).over(by_key.rowsBetween(1, Window.unboundedFollowing))
+                     .alias("_next_seg_start"))
+
+    starts = local.join(seg, seg_keys).where(F.col("_local_start") | ((F.col("_rn") == 1) & F.col("_first_is_start")))
+    successor = F.coalesce(F.col("_next_local"), F.col("_next_seg_start"))
+    return starts.select(
+        *keys, *tracked, F.col(valid_from).alias("valid_from"), successor["vf"].alias("valid_to"),
+        successor.isNull().alias("is_current"),
     )
-    first = starts.groupBy(*seg_keys).agg(F.min_by(valid_from, F.struct(*order_cols)).alias("_first"))
-    next_seg = first.select(*seg_keys, F.lead("_first").over(by_key).alias("_next_seg"))
-    valid_to = F.when(F.col("_has_next"), F.col("_next")).otherwise(F.col("_next_seg"))
-    return starts.join(next_seg, seg_keys, "left").select(
-        *keys, *tracked, F.col(valid_from).alias("valid_from"), valid_to.alias("valid_to"),
-    ).withColumn("is_current", F.col("valid_to").isNull())
 
 
 # ------------------------------------------------------------ schema drift
