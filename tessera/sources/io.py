@@ -57,6 +57,15 @@ def append_bronze(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def ingest_batch(spark: SparkSession, sources: dict[str, str], bronze_root: str,
+                 batch: tuple[str, datetime] | None = None) -> tuple[str, datetime]:
+    """Append one run's raw CSV files to Bronze: same batch id and ingestion time for all data sets."""
+    batch_id, ts = batch or new_batch()
+    for name, path in sources.items():
+        append_bronze(stamp_batch(read_raw(spark, path, name), batch_id, ts), os.path.join(bronze_root, name))
+    return batch_id, ts
+
+
 def read_table(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(root, layer, name))
 

@@ -202,3 +202,28 @@ def test_dim_date_calendar(spark):
     r = d[20180105]
     assert (r.year, r.quarter, r.month, r.month_name, r.day_of_week, r.day_name) == (2018, 1, 1, "January", 6, "Friday")
     assert len(d) == 8  # 4 purchase dates + 4 review dates, all distinct
+
+
+def test_bronze_batches_and_file_profile(spark, tmp_path):
+    from datetime import datetime
+
+    from tessera.operators.profile import profile_files
+    from tessera.sources.io import ingest_batch, read_table
+
+    hdr = "order_id,customer_id,order_status,purchased_at,approved_at,carrier_handoff_at,delivered_at,est_delivery_date\n"
+    d1 = tmp_path / "drop1"
+    d1.mkdir()
+    (d1 / "orders_a.csv").write_text(hdr + "o1,c1,created,2018-01-01 10:00:00,,,,\no2,c2,created,2018-01-02 10:00:00,,,,\n")
+    (d1 / "orders_b.csv").write_text(hdr + "o3,c3,created,2018-01-03 10:00:00,,,,\n")
+    d2 = tmp_path / "drop2"
+    d2.mkdir()
+    (d2 / "orders.csv").write_text(hdr + "o1,c1,delivered,2018-01-01 10:00:00,,,2018-01-05 00:00:00,\n")
+    bronze = str(tmp_path / "bronze")
+    ingest_batch(spark, {"orders": str(d1)}, bronze, ("b1", datetime(2024, 1, 1)))
+    ingest_batch(spark, {"orders": str(d2)}, bronze, ("b2", datetime(2024, 1, 2)))
+    b = read_table(spark, bronze, "", "orders")
+    assert b.count() == 4 and {r.batch_id for r in b.select("batch_id").distinct().collect()} == {"b1", "b2"}
+    s = {r.order_id: r for r in S.silver_orders(b).collect()}
+    assert s["o1"].order_status == "delivered" and len(s) == 3
+    files = {r.file_name: r.row_count for r in profile_files(spark, str(d1), header=True).collect()}
+    assert files == {"orders_a.csv": 2, "orders_b.csv": 1}
