@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.columns import is_late, pct, ratio2
+from .quantiles import exact_percentile
 
 RECENT_DAYS = 90
 MIN_GROUP_ITEMS = 5
@@ -118,20 +119,24 @@ def order_category_values(foi: DataFrame, dim_product: DataFrame) -> DataFrame:
 
 
 def order_value_anomalies(foi: DataFrame, dim_product: DataFrame, quantile: float = 0.95,
-                          accuracy: int = P95_ACCURACY) -> DataFrame:
+                          method: str = "exact", accuracy: int = P95_ACCURACY) -> DataFrame:
     """Order x family values strictly above the family's p95.
 
-    The p95 is ``percentile_approx`` with a large accuracy: a mergeable,
-    memory-bounded sketch computed with partial aggregation (no sort of all
-    values). It equals the exact discrete percentile while a family has fewer
-    than about ``accuracy`` values. The per-order values are one aggregate
-    that both the p95 and the comparison read (Spark reuses the exchange);
-    the p95 side has one row per family.
+    ``method="exact"`` (default): the discrete percentile (value at rank
+    ceil(0.95 n)) found by range selection (``quantiles.exact_percentile``):
+    exact at any scale, no task sorts more than one segment.
+    ``method="approx"``: ``percentile_approx`` with ``accuracy`` (a mergeable
+    sketch; exact only while a family has fewer than about ``accuracy``
+    values, and its memory grows with the accuracy).
+    The p95 side has one row per family.
     """
     ocv = order_category_values(foi, dim_product)
-    p95 = ocv.groupBy("category_family").agg(
-        F.percentile_approx("value_cents", quantile, accuracy).alias("p95_cents")
-    )
+    if method == "exact":
+        p95 = exact_percentile(ocv, ["category_family"], "value_cents", quantile, alias="p95_cents")
+    else:
+        p95 = ocv.groupBy("category_family").agg(
+            F.percentile_approx("value_cents", quantile, accuracy).alias("p95_cents")
+        )
     return (
         ocv.join(p95, "category_family")
         .where(F.col("value_cents") > F.col("p95_cents"))

@@ -235,3 +235,23 @@ def test_scd2_hot_key_spans_segments(spark):
     assert res == _scd2_brute(rows)
     cur = got.where("is_current").groupBy("key").count().where("count <> 1").count()
     assert cur == 0
+
+
+def test_exact_percentile_hot_group_matches_brute_force(spark):
+    import math
+    import random
+
+    from tessera.operators.quantiles import exact_percentile
+
+    rnd = random.Random(11)
+    rows = [("hot", rnd.randrange(0, 10**6)) for _ in range(5000)]
+    rows += [(f"g{i}", rnd.randrange(0, 100)) for i in range(40) for _ in range(rnd.randrange(1, 30))]
+    rows += [("nulls", None), ("nulls", 5)]
+    df = spark.createDataFrame(rows, "g string, v long")
+    for q in (0.95, 0.5, 1.0, 0.01):
+        got = {r.g: r.percentile for r in exact_percentile(df, ["g"], "v", q, segments=8).collect()}
+        exp = {}
+        for g in {r[0] for r in rows}:
+            vals = sorted(v for gg, v in rows if gg == g and v is not None)
+            exp[g] = vals[math.ceil(q * len(vals) - 1e-12) - 1]
+        assert got == exp, q
