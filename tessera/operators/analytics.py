@@ -16,11 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.columns import is_late, pct, ratio2
-from .quantiles import exact_percentile
+from .quantiles import segment_percentile, segmented
 
 RECENT_DAYS = 90
 MIN_GROUP_ITEMS = 5
-P95_ACCURACY = 1_000_000
+P95_ACCURACY = 10_000  # Spark's default; only used by method="approx"
 
 
 def _cents(c):
@@ -132,7 +132,10 @@ def order_value_anomalies(foi: DataFrame, dim_product: DataFrame, quantile: floa
     """
     ocv = order_category_values(foi, dim_product)
     if method == "exact":
-        p95 = exact_percentile(ocv, ["category_family"], "value_cents", quantile, alias="p95_cents")
+        # one materialised, range-segmented copy of the values serves both the
+        # p95 and the comparison: the per-order aggregate is computed once
+        ocv = segmented(ocv, ["category_family"], "value_cents")
+        p95 = segment_percentile(ocv, ["category_family"], "value_cents", quantile, alias="p95_cents")
     else:
         p95 = ocv.groupBy("category_family").agg(
             F.percentile_approx("value_cents", quantile, accuracy).alias("p95_cents")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from .dedupe import dedupe_latest
 
 
@@ -81,8 +81,8 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     ``segments`` balanced ranges, so one key with a large share of all
     versions spans several segments instead of one task. One windowed pass
     per (segment, key) finds the local interval starts and, for every row,
-    the next local start; it is checkpointed once in the shared checkpoint
-    folder. What crosses segment borders (the previous segment's last version,
+    the next local start; it is written once to the shared checkpoint
+    folder and read back. What crosses segment borders (the previous segment's last version,
     the next segment's first start) is taken from a table with one row per
     (segment, key), joined back once.
     """
@@ -114,8 +114,7 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
         *keys, *tracked, valid_from, "_seg", "_rn", "_n", local_start.alias("_local_start"),
         F.first(nxt, ignorenulls=True).over(after).alias("_next_local"),
     )
-    ensure_checkpoint_dir(spark)
-    local = local.checkpoint(eager=True)  # read by both branches below; lineage cut
+    local = materialize(local, "scd2-segments")  # read by both branches below; lineage cut
 
     # one row per (segment, key): first and last version of the segment
     first_rows = local.where(F.col("_rn") == 1).select(

@@ -6,7 +6,8 @@ a very large sketch per group and task. Here the exact value at rank
 ``ceil(q * n)`` (the SQL-standard discrete percentile) is found by selection:
 
 1. range-partition (group, value) into balanced segments and materialise
-   them once (checkpoint): a large group spans many segments;
+   them once (a written table in the shared checkpoint folder): a large
+   group spans many segments;
 2. count rows per (group, segment): a table with about groups + segments rows;
 3. running sums over that small table locate, per group, the segment that
    holds the target rank and the rank inside it;
@@ -23,34 +24,33 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 
 def range_segments(df: DataFrame, order: Sequence, segments: int) -> DataFrame:
     """Rows range-partitioned on ``order`` with their segment number, materialised once.
 
-    The checkpoint matters for correctness, not only speed: the range
+    Materialising matters for correctness, not only speed: the range
     boundaries come from a sample, so every consumer must see the same
     assignment of rows to segments.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    return df.repartitionByRange(segments, *order).withColumn("_seg", F.spark_partition_id()).checkpoint(eager=True)
+    return materialize(df.repartitionByRange(segments, *order).withColumn("_seg", F.spark_partition_id()), "segments")
 
 
-def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_col: str, q: float,
-                     segments: int | None = None, alias: str = "percentile") -> DataFrame:
-    """Per group, the value at 1-based rank ceil(q * n) among the non-NULL values."""
+def segmented(df: DataFrame, group_cols: Sequence[str], value_col: str, segments: int | None = None) -> DataFrame:
+    """All columns of ``df`` (non-NULL values only), range-segmented on (groups, value) and materialised."""
+    n = segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col(value_col).asc()]
+    return range_segments(df.where(F.col(value_col).isNotNull()), order, n)
+
+
+def segment_percentile(ranged: DataFrame, group_cols: Sequence[str], value_col: str, q: float,
+                       alias: str = "percentile") -> DataFrame:
+    """Exact discrete percentile per group from a ``segmented`` table."""
     frac = Fraction(str(q))
     if not 0 < frac <= 1:
         raise ValueError("q must be in (0, 1]")
-    spark = df.sparkSession
-    n = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = list(group_cols)
-    rows = df.select(*groups, value_col).where(F.col(value_col).isNotNull())
-    order = [F.col(g).asc_nulls_first() for g in groups] + [F.col(value_col).asc()]
-    ranged = range_segments(rows, order, n)
-
     counts = ranged.groupBy(*groups, "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
     by_group = Window.partitionBy(*groups)
     running = by_group.orderBy("_seg").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -64,8 +64,15 @@ def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_col: str, q
     target = counts.withColumn("_k", k).where((before < F.col("_k")) & (F.col("_cum") >= F.col("_k"))).select(
         *groups, "_seg", (F.col("_k") - before).alias("_local_k")
     )
-    cand = ranged.join(target, [*groups, "_seg"])  # only the target segments' rows
+    cand = ranged.select(*groups, "_seg", value_col).join(target, [*groups, "_seg"])  # target segments only
     w = Window.partitionBy(*groups, "_seg").orderBy(F.col(value_col).asc())
     return cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == F.col("_local_k")).select(
         *groups, F.col(value_col).alias(alias)
     )
+
+
+def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_col: str, q: float,
+                     segments: int | None = None, alias: str = "percentile") -> DataFrame:
+    """Per group, the value at 1-based rank ceil(q * n) among the non-NULL values."""
+    ranged = segmented(df.select(*group_cols, value_col), group_cols, value_col, segments)
+    return segment_percentile(ranged, group_cols, value_col, q, alias)
