@@ -3,8 +3,11 @@
 For users who query the star with ``spark.sql``. The statements are ours and
 follow the DataFrame operators in ``operators.analytics`` (same semantics:
 inclusive 90-day window on the raw timestamp, distinct review ids, LAG over
-present months, p95 via a mergeable sketch, exact HALF_UP rounding, total
-orders on ties). Each entry is one statement; nothing is parsed here.
+present months, exact discrete p95, exact HALF_UP rounding, total orders on
+ties). Each entry is one statement; nothing is parsed here. Note: SQL
+``percentile_disc`` buffers the values of a group in one aggregate; for very
+large groups use ``operators.analytics.order_value_anomalies``, whose exact
+p95 works on range segments.
 """
 
 from __future__ import annotations
@@ -72,8 +75,8 @@ ANALYSIS_SQL = {
           FROM fact_order_item f JOIN dim_product p ON f.product_key = p.product_key
           WHERE p.category_family IS NOT NULL
           GROUP BY f.order_id, p.category_family),
-        p95 AS (SELECT category_family, percentile_approx(value_cents, 0.95, 1000000) AS p95_cents FROM ocv
-                GROUP BY category_family)
+        p95 AS (SELECT category_family, CAST(percentile_disc(0.95) WITHIN GROUP (ORDER BY value_cents) AS BIGINT) AS p95_cents
+                FROM ocv GROUP BY category_family)
         SELECT o.order_id, o.category_family, o.value_cents / 100.0D AS order_category_value,
                q.p95_cents / 100.0D AS category_p95_value, {_pct('o.value_cents', 'q.p95_cents', 1)} AS multiple_of_category_p95
         FROM ocv o JOIN p95 q ON o.category_family = q.category_family
