@@ -14,8 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import analytics as N
+from ..operators import incremental as T
+from ..operators import marts as M
+from ..operators import profile as G
+from ..operators import quality as Q
+from ..operators import star as K
+from ..operators import taxonomy as X
+from ..operators import validation as V
+from ..operators.fingerprint import fingerprints, table_diff
+from ..operators.silver import conform
 from ..plans.pipeline import driver_star
 from ..sources import driver_tables as D
+from ..sources.schemas import SILVER_SPECS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -153,9 +163,6 @@ def q_category_value_ranking(spark, d):
 
 
 # ---------------------------------------------------------------- data quality
-from ..operators import profile as G  # noqa: E402
-from ..operators import quality as Q  # noqa: E402
-from ..operators import taxonomy as X  # noqa: E402
 
 
 def _as_of():
@@ -291,7 +298,6 @@ def q_row_count_report(spark, d):
 
 
 # ---------------------------------------------------------------- marts
-from ..operators import marts as M  # noqa: E402
 
 
 @query("mart_sales")
@@ -325,11 +331,6 @@ def q_mart_seller_performance(spark, d):
 
 
 # ---------------------------------------------------------------- incremental
-from ..operators import incremental as T  # noqa: E402
-from ..operators import star as K  # noqa: E402
-from ..operators.fingerprint import fingerprints, table_diff  # noqa: E402
-from ..operators.silver import conform  # noqa: E402
-from ..sources.schemas import SILVER_SPECS  # noqa: E402
 
 SNAPSHOT_LAG_DAYS = 180
 BATCH_DAYS = 30
@@ -445,7 +446,6 @@ def q_bronze_stream_append(spark, d):
 
 
 # ---------------------------------------------------------------- validation reports, top-k
-from ..operators import validation as V  # noqa: E402
 
 TOP_K = 20
 
