@@ -22,6 +22,24 @@ def row_hash(df: DataFrame) -> tuple[Column, Column]:
     return F.xxhash64(*parts), F.hash(*parts)
 
 
+def sha256_fingerprint(df: DataFrame, table_name: str = "table") -> DataFrame:
+    """Cryptographic variant: per-row SHA-256 of the row as JSON (columns sorted by
+    name; JSON omits NULL fields, so a NULL moved to another column changes it).
+
+    The 256-bit digests are combined order-insensitively by summing their four
+    64-bit chunks as exact decimals on the executors; no digest is collected.
+    """
+    digest = F.sha2(F.to_json(F.struct(*(F.col(c) for c in sorted(df.columns)))), 256)
+    chunks = [F.conv(F.substring(digest, 16 * i + 1, 16), 16, 10).cast("decimal(20,0)") for i in range(4)]
+    hashed = df.select(*(c.alias(f"_c{i}") for i, c in enumerate(chunks)))
+    zero = F.lit(0).cast("decimal(38,0)")
+    return hashed.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.concat_ws(":", *(F.coalesce(F.sum(f"_c{i}").cast("decimal(38,0)"), zero).cast("string") for i in range(4)))
+        .alias("sha256_sum"),
+    ).select(F.lit(table_name).alias("table_name"), F.lit(",".join(sorted(df.columns))).alias("columns"), "*")
+
+
 def fingerprint(df: DataFrame, table_name: str = "table") -> DataFrame:
     h64, h32 = row_hash(df)
     hashed = df.select(h64.alias("_h"), h32.alias("_g"))

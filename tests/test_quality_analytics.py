@@ -255,3 +255,15 @@ def test_exact_percentile_hot_group_matches_brute_force(spark):
             vals = sorted(v for gg, v in rows if gg == g and v is not None)
             exp[g] = vals[math.ceil(q * len(vals) - 1e-12) - 1]
         assert got == exp, q
+
+
+def test_sha256_fingerprint_properties(spark):
+    from tessera.operators.fingerprint import sha256_fingerprint
+
+    a = spark.createDataFrame([(1, "x", None), (2, None, "y")], "id int, a string, b string")
+    fa = sha256_fingerprint(a).drop("table_name").first()
+    assert sha256_fingerprint(a.orderBy(F.col("id").desc()).repartition(3)).drop("table_name").first() == fa
+    assert sha256_fingerprint(a.select("b", "id", "a")).drop("table_name").first() == fa
+    moved = spark.createDataFrame([(1, None, "x"), (2, None, "y")], "id int, a string, b string")
+    assert sha256_fingerprint(moved).drop("table_name").first() != fa
+    assert sha256_fingerprint(a.unionByName(a.limit(1))).drop("table_name").first() != fa
