@@ -46,7 +46,8 @@ def fingerprint(df: DataFrame, table_name: str = "table") -> DataFrame:
     return hashed.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.coalesce(F.sum(F.col("_h").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string").alias("hash_sum"),
-        F.coalesce(F.sum(F.col("_g").cast("long")), F.lit(0)).alias("hash32_sum"),
+        # decimal sums: a long sum of hashes would overflow (ANSI error) beyond ~2^32 rows
+        F.coalesce(F.sum(F.col("_g").cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string").alias("hash32_sum"),
         F.coalesce(F.bit_xor("_h"), F.lit(0).cast("long")).alias("hash_xor"),
     ).select(F.lit(table_name).alias("table_name"), F.lit(",".join(sorted(df.columns))).alias("columns"), "*")
 
