@@ -103,17 +103,31 @@ def ri_orphan_rows(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFra
     )
 
 
+def _epoch_seconds(ts: Column) -> Column:
+    """Whole seconds of a wall-clock timestamp since 1970-01-01 (fraction dropped), zone-free."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("SECOND", epoch, ts.cast("timestamp_ntz"))
+
+
+def age_hours(latest: Column, as_of: Column) -> Column:
+    """(whole seconds of ``as_of``) - (whole seconds of ``latest``), in hours.
+
+    As ``unix_timestamp(a) - unix_timestamp(b)``, but both sides are read as
+    wall-clock (NTZ) timestamps, so the result does not depend on the session
+    time zone and a daylight-saving change between them adds no hour.
+    """
+    return (_epoch_seconds(as_of) - _epoch_seconds(latest)) / F.lit(3600.0)
+
+
 def freshness_rule(df: DataFrame, ts_col: str, as_of: Column, name: str,
                    max_hours: float = FRESHNESS_HOURS) -> DataFrame:
     """Pass when 0 <= as_of - max(ts) <= max_hours. Empty table / NULL max -> fail, no exception.
 
-    Age is whole seconds / 3600 (fractions of a second dropped, as
-    ``unix_timestamp`` does). ``as_of`` is explicit so the rule is testable;
+    Age is whole seconds / 3600 (fractions of a second dropped). ``as_of`` is explicit so the rule is testable;
     pass ``F.current_timestamp()`` in production.
     """
     latest = df.agg(F.max(ts_col).alias("_m"))
-    secs = F.unix_timestamp(as_of.cast("timestamp")) - F.unix_timestamp(F.col("_m").cast("timestamp"))
-    age = secs / F.lit(3600.0)
+    age = age_hours(F.col("_m"), as_of)
     ok = F.coalesce((age >= 0) & (age <= F.lit(float(max_hours))), F.lit(False))
     one = latest.select(F.when(ok, 0).otherwise(1).alias("f"), age.alias("age_hours"))
     return result(one, name, None, "f", "tables")
@@ -125,8 +139,7 @@ def freshness_by_table(tables: dict[str, tuple[DataFrame, str]], as_of: Column,
     parts = []
     for name, (df, ts) in tables.items():
         latest = df.agg(F.max(F.col(ts).cast("timestamp_ntz")).alias("latest_ts"))
-        secs = F.unix_timestamp(as_of.cast("timestamp")) - F.unix_timestamp(F.col("latest_ts").cast("timestamp"))
-        age = secs / F.lit(3600.0)
+        age = age_hours(F.col("latest_ts"), as_of)
         parts.append(latest.select(
             F.lit(name).alias("table_name"), "latest_ts", age.alias("age_hours"),
             F.coalesce((age >= 0) & (age <= F.lit(float(max_hours))), F.lit(False)).alias("fresh"),

@@ -181,3 +181,15 @@ def test_sql_surface_equals_dataframe_operators(spark):
         assert sql_df.columns == frames[name].columns, name
         assert fingerprint(sql_df).drop("table_name").first() == fingerprint(frames[name]).drop("table_name").first(), name
         assert [tuple(r) for r in sql_df.collect()] == [tuple(r) for r in frames[name].collect()], name
+
+
+@pytest.mark.parametrize("name", ["freshness_check", "dq_report", "negative_review_mom", "dim_date", "late_delivery_rate",
+                                  "backfill_window"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck_sf01, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        res = compare(spark, duck_sf01, name, E.queries()[name], E.oracle_sql()[name], SF01)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert res["ok"], res
