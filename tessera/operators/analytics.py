@@ -37,7 +37,8 @@ def late_delivery_rate(foi: DataFrame, dim_seller: DataFrame, dim_product: DataF
     and ``purchase_year >= year(cutoff)`` prunes year partitions of a
     published fact.
     """
-    cutoff = foi.select(F.date_sub(F.max(F.to_date("purchased_at")), recent_days)).scalar()
+    # to_date is monotone, so max(to_date(t)) = to_date(max(t)): one conversion, not one per row
+    cutoff = foi.select(F.date_sub(F.to_date(F.max("purchased_at")), recent_days)).scalar()
     recent = foi.where(
         (F.col("purchase_year") >= F.year(cutoff))
         & (F.col("purchased_at") >= cutoff.cast("timestamp_ntz"))
