@@ -486,3 +486,18 @@ def q_late_delivery_top20(spark, d):
 @query("order_value_anomalies_top20")
 def q_order_value_anomalies_top20(spark, d):
     return q_order_value_anomalies(spark, d).limit(TOP_K)
+
+
+# ---------------------------------------------------------------- generic operators on the source tables
+@query("dedupe_latest")
+def q_dedupe_latest(spark, d):
+    """Latest version of each (l_orderkey, l_linenumber) over all lineitem columns."""
+    from ..operators.dedupe import dedupe_latest
+
+    return dedupe_latest(D.read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate"])
+
+
+@query("taxonomy_enrich")
+def q_taxonomy_enrich(spark, d):
+    """Parts enriched with the category taxonomy (left join on the trimmed type)."""
+    return X.enrich_taxonomy(D.read(spark, d, "part").select("p_partkey", "p_type"), D.taxonomy(spark), "p_type")

@@ -691,3 +691,14 @@ ORACLE["mart_validation"] = with_star("\nUNION ALL\n".join(_MV))
 ORACLE["late_delivery_top20"] = ORACLE["late_delivery_rate"] + ", seller_id, category_family LIMIT 20"
 ORACLE["order_value_anomalies_top20"] = ORACLE["order_value_anomalies"] + \
     "\nORDER BY multiple_of_category_p95 DESC, order_id, category_family LIMIT 20"
+
+# ---------------------------------------------------------------- generic operators on the source tables
+ORACLE["dedupe_latest"] = with_star("""
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC NULLS LAST,
+        l_partkey DESC NULLS LAST, l_suppkey DESC NULLS LAST, l_quantity DESC NULLS LAST, l_extendedprice DESC NULLS LAST,
+        l_discount DESC NULLS LAST, l_tax DESC NULLS LAST, l_returnflag DESC NULLS LAST, l_linestatus DESC NULLS LAST) = 1""")
+
+ORACLE["taxonomy_enrich"] = with_star("""
+SELECT p.p_partkey, p.p_type, t.normalized_category, t.category_family
+FROM part p LEFT JOIN taxonomy t ON trim(p.p_type) = t.source_category""")
