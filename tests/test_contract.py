@@ -196,7 +196,7 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck_sf01, name):
 
 
 def test_streaming_incremental_order_items(spark, tmp_path):
-    from pyspark.sql import functions as F
+    import os
 
     from tessera.operators import silver as S
     from tessera.operators.fingerprint import fingerprint
@@ -216,6 +216,9 @@ def test_streaming_incremental_order_items(spark, tmp_path):
     hdr = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,item_price,freight_cost\n"
     (landing / "b1.csv").write_text(hdr + "o1,3,p2,s2,,5.25,0.75\no4,1,p1,s1,,3.00,0.10\n")
     (landing / "b2.csv").write_text(hdr + "o4,1,p1,s1,,4.00,0.10\n")   # a later change of o4/1
+    # files are taken in arrival (modification-time) order: make the arrival order explicit
+    os.utime(landing / "b1.csv", (1_700_000_000, 1_700_000_000))
+    os.utime(landing / "b2.csv", (1_700_000_100, 1_700_000_100))
     args = dict(orders=silver["orders"], dim_customer=gold["dim_customer"], dim_seller=gold["dim_seller"],
                 dim_product=gold["dim_product"], fmt="csv", max_files_per_trigger=1, header=True)
     stream_order_items(spark, str(landing), RAW_SCHEMAS["order_items"], silver_root, fact_path,
