@@ -501,3 +501,16 @@ def q_dedupe_latest(spark, d):
 def q_taxonomy_enrich(spark, d):
     """Parts enriched with the category taxonomy (left join on the trimmed type)."""
     return X.enrich_taxonomy(D.read(spark, d, "part").select("p_partkey", "p_type"), D.taxonomy(spark), "p_type")
+
+
+@query("fact_partition_sizes")
+def q_fact_partition_sizes(spark, d):
+    """Rows per (purchase_year, seller_state) partition of the order-item fact (run metric)."""
+    cols = list(K.PARTITIONS["fact_order_item"])
+    return driver_star(spark, d)["fact_order_item"].groupBy(*cols).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("missing_key_rows")
+def q_missing_key_rows(spark, d):
+    """Raw reviews without a review id (kept out of the key checks, reported here)."""
+    return G.missing_key_rows(D.raw_tables(spark, d)["order_reviews"], "review_id")

@@ -702,3 +702,8 @@ QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_ship
 ORACLE["taxonomy_enrich"] = with_star("""
 SELECT p.p_partkey, p.p_type, t.normalized_category, t.category_family
 FROM part p LEFT JOIN taxonomy t ON trim(p.p_type) = t.source_category""")
+
+ORACLE["fact_partition_sizes"] = with_star(
+    "SELECT purchase_year, seller_state, COUNT(*) AS row_count FROM fact_order_item GROUP BY 1, 2"
+)
+ORACLE["missing_key_rows"] = with_star("SELECT * FROM raw_order_reviews WHERE review_id IS NULL")
