@@ -119,6 +119,13 @@ def age_hours(latest: Column, as_of: Column) -> Column:
     return (_epoch_seconds(as_of) - _epoch_seconds(latest)) / F.lit(3600.0)
 
 
+def malformed_rows_rule(bronze: DataFrame, name: str, corrupt_col: str = "_corrupt_record") -> DataFrame:
+    """Raw lines that did not parse into the declared columns (captured at read time)."""
+    if corrupt_col not in bronze.columns:
+        return row_rules(bronze, [RowRule(name, F.lit(False))])
+    return row_rules(bronze, [RowRule(name, F.col(corrupt_col).isNotNull())])
+
+
 def freshness_rule(df: DataFrame, ts_col: str, as_of: Column, name: str,
                    max_hours: float = FRESHNESS_HOURS) -> DataFrame:
     """Pass when 0 <= as_of - max(ts) <= max_hours. Empty table / NULL max -> fail, no exception.

@@ -18,23 +18,30 @@ from pyspark.sql import types as T
 from .schemas import MULTILINE_TABLES, RAW_SCHEMAS
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_raw(spark: SparkSession, path: str, name: str, schema: T.StructType | None = None,
              multiline: bool | None = None) -> DataFrame:
     """RFC-4180 CSV with a header, read with a declared (all-string) schema.
 
     ``multiLine`` is enabled only for data sets with free text that may hold
     quoted newlines: a multiLine file is read by one task, every other file is
-    split across tasks. ``mode=PERMISSIVE`` keeps malformed lines as NULLs so
-    DQ rules can count them.
+    split across tasks. Malformed lines do not fail the job: in PERMISSIVE
+    mode their text lands in ``_corrupt_record`` (kept in Bronze) and
+    ``quality.malformed_rows_rule`` counts them.
     """
     ml = name in MULTILINE_TABLES if multiline is None else multiline
+    declared = schema or RAW_SCHEMAS[name]
+    with_corrupt = T.StructType(list(declared.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     return (
-        spark.read.schema(schema or RAW_SCHEMAS[name])
+        spark.read.schema(with_corrupt)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", ml)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
 

@@ -227,3 +227,22 @@ def test_bronze_batches_and_file_profile(spark, tmp_path):
     assert s["o1"].order_status == "delivered" and len(s) == 3
     files = {r.file_name: r.row_count for r in profile_files(spark, str(d1), header=True).collect()}
     assert files == {"orders_a.csv": 2, "orders_b.csv": 1}
+
+
+def test_malformed_csv_lines_are_kept_and_counted(spark, tmp_path):
+    from datetime import datetime
+
+    from tessera.operators.quality import malformed_rows_rule
+    from tessera.sources.io import ingest_batch, read_table
+
+    hdr = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
+    src = tmp_path / "c"
+    src.mkdir()
+    (src / "c.csv").write_text(hdr + "c1,u1,01409,x,sp\nc2,u2,1,2,3,4,5,6\nc3,u3,22000,y,rj\n")
+    bronze = str(tmp_path / "bronze")
+    ingest_batch(spark, {"customers": str(src)}, bronze, ("b1", datetime(2024, 1, 1)))
+    b = read_table(spark, bronze, "", "customers")
+    assert b.count() == 3
+    r = malformed_rows_rule(b, "customers parse cleanly").first()
+    assert (r.rows_evaluated, r.rows_failed) == (3, 1)
+    assert S.silver_customers(b).count() == 3 and "_corrupt_record" not in S.silver_customers(b).columns
