@@ -2,6 +2,8 @@
 
   publish  --source-dir DIR --root ROOT [--as-of TS]   stage Silver + Gold, run the
                                                       16 checks, publish if they pass
+  publish-csv --source NAME=PATH ... --taxonomy CSV --root ROOT
+                                                      raw CSV -> Bronze -> Silver -> Gold, gated
   report   --source-dir DIR [--as-of TS]               the DQ report, nothing written
   query    NAME --source-dir DIR [--rows N]            show a named query
   list                                                 list the named queries
@@ -35,6 +37,10 @@ def main(argv: list[str] | None = None) -> int:
     pub.add_argument("--source-dir", required=True)
     pub.add_argument("--root", required=True)
     pub.add_argument("--as-of")
+    pc = sub.add_parser("publish-csv")
+    pc.add_argument("--source", action="append", required=True, metavar="NAME=PATH")
+    pc.add_argument("--taxonomy", required=True)
+    pc.add_argument("--root", required=True)
     rep = sub.add_parser("report")
     rep.add_argument("--source-dir", required=True)
     rep.add_argument("--as-of")
@@ -55,6 +61,17 @@ def main(argv: list[str] | None = None) -> int:
     from .operators import quality as Q
     from .sources import driver_tables as D
 
+    if args.cmd == "publish-csv":
+        from .plans.pipeline import csv_pipeline
+
+        sources = dict(item.split("=", 1) for item in args.source)
+        try:
+            report = csv_pipeline(spark, sources, args.taxonomy, args.root)
+        except Q.QualityGateError as exc:
+            print(f"NOT PUBLISHED: {exc}", file=sys.stderr)
+            return 1
+        report.orderBy("check_no").show(20, truncate=False)
+        return 0
     if args.cmd == "query":
         QUERIES[args.name](spark, args.source_dir).show(args.rows, truncate=False)
         return 0
