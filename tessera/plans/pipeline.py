@@ -78,7 +78,7 @@ def silver_from_bronze(spark: SparkSession, bronze_root: str, taxonomy: DataFram
 
 
 def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str, lake_root: str,
-                 as_of=None, run_id: str | None = None) -> DataFrame:
+                 as_of=None, run_id: str | None = None, order_buckets: int | None = None) -> DataFrame:
     """Raw CSV files -> Bronze (append, one batch) -> Silver -> Gold, published behind the DQ gate.
 
     ``sources`` maps data-set names (customers, orders, order_items,
@@ -97,4 +97,4 @@ def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str
     ingest_batch(spark, sources, bronze_root)
     silver = silver_from_bronze(spark, bronze_root, load_taxonomy(spark, taxonomy_csv))
     fresh = spark.read.parquet(os.path.join(bronze_root, "customers"))
-    return publish_gold(spark, silver, lake_root, fresh, "ingestion_ts", as_of, run_id)
+    return publish_gold(spark, silver, lake_root, fresh, "ingestion_ts", as_of, run_id, order_buckets)

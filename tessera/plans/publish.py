@@ -10,6 +10,7 @@ never visible and a published version is never half-written.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,13 +18,17 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators.fingerprint import compare_fingerprints, fingerprints
 from ..operators.star import PARTITIONS
-from ..sources.io import new_batch, write_partitioned, write_table
+from ..sources.io import new_batch, write_bucketed, write_partitioned, write_table
 
 POINTER = "_current"
 
 
-def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str) -> DataFrame:
+def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str, bucket=None) -> DataFrame:
     path = os.path.join(folder, name)
+    if bucket is not None:
+        cols, n = bucket
+        table = "tessera_" + re.sub(r"[^0-9a-zA-Z]", "_", os.path.basename(folder.rstrip("/")) + "_" + name)
+        return write_bucketed(df, path, table, cols, n).select(*df.columns)
     if name in PARTITIONS:
         write_partitioned(df, path, PARTITIONS[name])
     else:
@@ -33,7 +38,7 @@ def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str) -> Da
 
 
 def stage_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
-                 parallel: int = 4) -> dict[str, DataFrame]:
+                 parallel: int = 4, buckets: dict | None = None) -> dict[str, DataFrame]:
     """Write independent tables (facts partitioned) and return them read back.
 
     The writes are submitted as concurrent Spark jobs from driver threads, so
@@ -42,7 +47,8 @@ def stage_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        futures = {name: pool.submit(_stage_one, spark, name, df, folder) for name, df in tables.items()}
+        futures = {name: pool.submit(_stage_one, spark, name, df, folder, (buckets or {}).get(name))
+                   for name, df in tables.items()}
         return {name: f.result() for name, f in futures.items()}
 
 
@@ -50,16 +56,26 @@ DIMENSIONS = ("dim_customer", "dim_seller", "dim_product", "dim_date")
 FACTS = ("fact_order_item", "fact_payment", "fact_review")
 
 
-def stage_layers(spark: SparkSession, silver, folder: str) -> dict[str, DataFrame]:
+ORDER_LEVEL = ("orders", "order_items", "order_payments", "order_reviews")
+
+
+def stage_layers(spark: SparkSession, silver, folder: str, order_buckets: int | None = None) -> dict[str, DataFrame]:
     """Materialise the medallion once per layer: Silver, then dimensions, then facts.
 
     Each layer is written and read back before the next is defined, so every
     table is computed exactly once (no lineage is recomputed by later
     tables or checks) and a lost executor only re-runs the current layer.
+
+    ``order_buckets``: write the order-level Silver tables (orders, items,
+    payments, reviews) bucketed by ``order_id`` into that many buckets. At
+    scale, where ``orders`` cannot be broadcast, every fact then joins on
+    ``order_id`` (and the review fan-out aggregates) without shuffling either
+    side. Leave it unset where the tables are small enough to broadcast.
     """
     from .pipeline import build_star
 
-    written_silver = stage_tables(spark, dict(silver.items()), os.path.join(folder, "silver"))
+    buckets = {n: (["order_id"], order_buckets) for n in ORDER_LEVEL} if order_buckets else None
+    written_silver = stage_tables(spark, dict(silver.items()), os.path.join(folder, "silver"), buckets=buckets)
     star = build_star(written_silver)
     dims = stage_tables(spark, {n: star[n] for n in DIMENSIONS}, os.path.join(folder, "gold"))
     star_on_dims = build_star(written_silver)  # facts join the written dimensions
@@ -70,14 +86,15 @@ def stage_layers(spark: SparkSession, silver, folder: str) -> dict[str, DataFram
 
 
 def publish_gold(spark: SparkSession, silver, root: str, fresh_df: DataFrame, fresh_ts: str,
-                 as_of: Column | None = None, run_id: str | None = None) -> DataFrame:
+                 as_of: Column | None = None, run_id: str | None = None,
+                 order_buckets: int | None = None) -> DataFrame:
     """Stage Silver and Gold, check what was written, then publish.
 
     Raises QualityGateError (and publishes nothing) when a check fails.
     """
     run_id = run_id or new_batch()[0]
     folder = os.path.join(root, "runs", run_id)
-    written = stage_layers(spark, silver, folder)
+    written = stage_layers(spark, silver, folder, order_buckets)
     report = Q.dq_report(written, fresh_df, fresh_ts, as_of if as_of is not None else F.current_timestamp())
     report_path = os.path.join(folder, "_dq_report")
     write_table(report.coalesce(1), report_path)

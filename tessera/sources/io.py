@@ -102,6 +102,23 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     )
 
 
+def write_bucketed(df: DataFrame, path: str, table: str, cols: Sequence[str], buckets: int) -> DataFrame:
+    """Write ``df`` bucketed (and sorted) by ``cols`` as an external catalog table; return the table.
+
+    Tables bucketed by the same key into the same number of buckets join and
+    aggregate on that key without a shuffle. The preceding ``repartition``
+    uses the same hash as bucketing, so every task writes exactly one bucket
+    file (no buckets x tasks small files).
+    """
+    (
+        df.repartition(buckets, *cols)
+        .write.mode("overwrite").format("parquet").option("path", path)
+        .bucketBy(buckets, *cols).sortBy(*cols)
+        .saveAsTable(table)
+    )
+    return df.sparkSession.table(table)
+
+
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> list[str]:
     for name, df in tables.items():
         df.createOrReplaceTempView(name)

@@ -235,3 +235,44 @@ def test_streaming_incremental_order_items(spark, tmp_path):
                        str(tmp_path / "ckpt"), **args)
     assert fingerprint(spark.read.parquet(fact_path).select(*full.columns)).drop("table_name").first() == \
         fingerprint(full).drop("table_name").first()
+
+
+def _folder_bytes(path):
+    import os
+
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+
+def test_bucketed_silver_builds_facts_without_shuffling_order_tables(spark, tmp_path):
+    from tessera.operators.fingerprint import fingerprint
+    from tessera.plans.pipeline import build_star
+    from tessera.plans.publish import ORDER_LEVEL, stage_tables
+    from tessera.sources import driver_tables as D
+
+    silver = D.silver_tables(spark, SF001)
+    folder = tmp_path / "silver"
+    written = stage_tables(spark, dict(silver.items()), str(folder), buckets={n: (["order_id"], 8) for n in ORDER_LEVEL})
+    # as at scale: the order-level tables are too large to broadcast, the product catalogue is not
+    small = max(_folder_bytes(folder / n) for n in ("products", "customers", "sellers"))
+    large = min(_folder_bytes(folder / n) for n in ORDER_LEVEL)
+    assert small < large
+    threshold = str((small + large) // 2)
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, threshold)
+        gold = build_star(written)
+        for fact in ("fact_order_item", "fact_payment", "fact_review"):
+            plan = gold[fact]._jdf.queryExecution().executedPlan().toString()
+            shuffles = [line.strip()[:90] for line in plan.split("\n") if "Exchange hashpartitioning(order_id" in line]
+            assert shuffles == [], (fact, shuffles)
+        plain = build_star(silver)
+        for fact in ("fact_order_item", "fact_review"):
+            assert fingerprint(gold[fact]).drop("table_name").first() == fingerprint(plain[fact]).drop("table_name").first()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
