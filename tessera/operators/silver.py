@@ -51,6 +51,33 @@ def conform(df: DataFrame, spec: SilverSpec, keep: Sequence[str] = ()) -> DataFr
     return df.select(*exprs, *extra)
 
 
+TYPED_KINDS = ("int", "double", "money", "ts")
+
+
+def cast_failures(raw: DataFrame, spec: SilverSpec, table_name: str | None = None) -> DataFrame:
+    """Per typed column: non-NULL raw values and how many of them failed to convert.
+
+    Silver converts with try_* functions, so a bad value becomes NULL instead
+    of failing the job; this one-pass profile counts those values (a value-level
+    signal of schema drift, e.g. text arriving in a numeric column).
+    """
+    cols = [c for c in spec.columns if c.kind in TYPED_KINDS and c.src in raw.columns]
+    if not cols:
+        return raw.sparkSession.createDataFrame(
+            [], "table_name string, column_name string, non_null_values bigint, failed_casts bigint")
+    aggs = []
+    for i, c in enumerate(cols):
+        src = F.col(c.src)
+        aggs += [F.count_if(src.isNotNull()).alias(f"n{i}"),
+                 F.count_if(src.isNotNull() & _KIND[c.kind](raw, c.src).isNull()).alias(f"f{i}")]
+    one = raw.agg(*aggs)
+    rows = F.explode(F.array(*(
+        F.struct(F.lit(c.out).alias("column_name"), F.col(f"n{i}").alias("non_null_values"), F.col(f"f{i}").alias("failed_casts"))
+        for i, c in enumerate(cols)
+    )))
+    return one.select(F.lit(table_name or spec.name).alias("table_name"), rows.alias("r")).select("table_name", "r.*")
+
+
 def build_silver(raw: DataFrame, spec: SilverSpec, latest_by: Sequence[str] | None = None) -> DataFrame:
     """conform -> latest-wins dedupe on the spec key -> drop batch metadata."""
     order = tuple(latest_by) if latest_by is not None else spec.latest_by

@@ -517,3 +517,14 @@ def q_fact_partition_sizes(spark, d):
 def q_missing_key_rows(spark, d):
     """Raw reviews without a review id (kept out of the key checks, reported here)."""
     return G.missing_key_rows(D.raw_tables(spark, d)["order_reviews"], "review_id")
+
+
+@query("cast_failures")
+def q_cast_failures(spark, d):
+    """Typed Silver columns: non-NULL raw values and failed conversions, per raw table."""
+    from ..operators.silver import cast_failures
+
+    raw = D.raw_tables(spark, d)
+    parts = [cast_failures(raw[n], SILVER_SPECS[n]) for n in raw if any(
+        c.kind in ("int", "double", "money", "ts") for c in SILVER_SPECS[n].columns)]
+    return Q.union_all(parts)

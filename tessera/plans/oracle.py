@@ -707,3 +707,31 @@ ORACLE["fact_partition_sizes"] = with_star(
     "SELECT purchase_year, seller_state, COUNT(*) AS row_count FROM fact_order_item GROUP BY 1, 2"
 )
 ORACLE["missing_key_rows"] = with_star("SELECT * FROM raw_order_reviews WHERE review_id IS NULL")
+
+# typed columns of the raw driver tables: (table, output column, raw expression, target SQL type)
+_TYPED = [
+    ("orders", "purchased_at", "purchased_at", None), ("orders", "approved_at", "approved_at", None),
+    ("orders", "carrier_handoff_at", "carrier_handoff_at", None), ("orders", "delivered_at", "delivered_at", None),
+    ("orders", "est_delivery_date", "est_delivery_date", None),
+    ("products", "product_name_length", "product_name_lenght", None),
+    ("products", "product_description_length", "product_description_lenght", None),
+    ("products", "product_photos_qty", "product_photos_qty", None), ("products", "product_weight_g", "product_weight_g", None),
+    ("products", "product_length_cm", "product_length_cm", None), ("products", "product_height_cm", "product_height_cm", None),
+    ("products", "product_width_cm", "product_width_cm", None),
+    ("order_items", "order_item_id", "order_item_id", None), ("order_items", "shipping_limit_date", "shipping_limit_date", None),
+    ("order_items", "item_price", "item_price", None), ("order_items", "freight_cost", "freight_cost", None),
+    ("order_items", "delivered_at", "delivered_at", None),
+    ("order_payments", "payment_sequential", "payment_sequential", None),
+    ("order_payments", "payment_installments", "payment_installments", None),
+    ("order_payments", "payment_value", "payment_value", None),
+    ("order_reviews", "review_score", "review_score", "INTEGER"),
+    ("order_reviews", "review_creation_date", "review_creation_date", None),
+    ("order_reviews", "review_answer_timestamp", "review_answer_timestamp", None),
+]
+ORACLE["cast_failures"] = with_star("\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{out}' AS column_name, COUNT({src}) AS non_null_values, "
+    + (f"COUNT(*) FILTER (WHERE {src} IS NOT NULL AND TRY_CAST(trim({src}) AS {typ}) IS NULL)" if typ
+       else "CAST(0 AS BIGINT)")
+    + f" AS failed_casts FROM raw_{t}"
+    for t, out, src, typ in _TYPED
+))

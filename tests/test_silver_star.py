@@ -291,3 +291,22 @@ def test_csv_pipeline_end_to_end(spark, tmp_path):
     csv_pipeline(spark, sources, str(tax), root, run_id="second")
     after = {t: fingerprint(read_published(spark, root, t)).drop("table_name").first() for t in before}
     assert before == after
+
+
+def test_cast_failures_counts_bad_values(spark):
+    from tessera.sources.schemas import SILVER_SPECS
+
+    raw = raw_df(spark, "order_reviews", [
+        {"review_id": "r1", "order_id": "o1", "review_score": "x", "review_creation_date": "2018-01-01 00:00:00"},
+        {"review_id": "r2", "order_id": "o1", "review_score": "4", "review_creation_date": "not a date"},
+        {"review_id": "r3", "order_id": "o1", "review_score": None, "review_creation_date": None},
+    ])
+    got = {r.column_name: (r.non_null_values, r.failed_casts)
+           for r in S.cast_failures(raw, SILVER_SPECS["order_reviews"]).collect()}
+    assert got["review_score"] == (2, 1)
+    assert got["review_creation_date"] == (2, 1)
+    assert got["review_answer_timestamp"] == (0, 0)
+    items = raw_df(spark, "order_items", [{"order_id": "o", "order_item_id": "1", "item_price": "12,50"},
+                                          {"order_id": "o", "order_item_id": "two", "item_price": "3.10"}])
+    got = {r.column_name: r.failed_casts for r in S.cast_failures(items, SILVER_SPECS["order_items"]).collect()}
+    assert got["item_price"] == 1 and got["order_item_id"] == 1
