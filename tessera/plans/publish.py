@@ -33,8 +33,10 @@ def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str, bucke
         write_partitioned(df, path, PARTITIONS[name])
     else:
         write_table(df, path)
-    # partition columns come back last: restore the declared order
-    return spark.read.parquet(path).select(*df.columns)
+    # read back with the declared schema: partition values are not type-inferred
+    # from folder names (a state code "01" stays a string), and the declared
+    # column order is restored (partition columns would come back last)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def stage_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,

@@ -68,10 +68,11 @@ def refresh_order_items(spark: SparkSession, silver_items: DataFrame, batch_raw:
     both = current.unionByName(batch.withColumn("_src", F.lit(1)))
     upserted = dedupe_latest(both, ITEM_KEYS, ["_src", *keep]).drop("_src", *keep)
 
-    existing = spark.read.parquet(fact_path)
+    new_rows = K.fact_order_item(orders, batch.drop(*keep), dim_customer, dim_seller, dim_product)
+    # declared schema: partition values are not type-inferred from folder names
+    existing = spark.read.schema(new_rows.schema).parquet(fact_path)
     batch_keys = batch.select(*ITEM_KEYS).distinct()
     old_parts = existing.join(batch_keys, ITEM_KEYS, "left_semi").select(*cols)
-    new_rows = K.fact_order_item(orders, batch.drop(*keep), dim_customer, dim_seller, dim_product)
     affected = T.affected_partitions(new_rows, cols).unionByName(old_parts).distinct()
 
     # rebuild only what lies in the affected partitions: restrict the orders to
@@ -87,8 +88,8 @@ def refresh_order_items(spark: SparkSession, silver_items: DataFrame, batch_raw:
     staged = os.path.join(os.path.dirname(base), "_refresh_" + os.path.basename(base))
     write_partitioned(rebuilt, os.path.join(staged, "rows"), cols, dynamic=False)
     affected.write.mode("overwrite").parquet(os.path.join(staged, "affected"))
-    fresh = spark.read.parquet(os.path.join(staged, "rows")).select(*rebuilt.columns)
-    affected = spark.read.parquet(os.path.join(staged, "affected"))
+    fresh = spark.read.schema(rebuilt.schema).parquet(os.path.join(staged, "rows")).select(*rebuilt.columns)
+    affected = spark.read.schema(affected.schema).parquet(os.path.join(staged, "affected"))
     emptied = affected.join(fresh.select(*cols).distinct(), [affected[c].eqNullSafe(fresh[c]) for c in cols], "left_anti")
     delete_partitions(spark, fact_path, cols, emptied)
     write_partitioned(fresh, fact_path, cols, dynamic=True)

@@ -267,3 +267,14 @@ def test_sha256_fingerprint_properties(spark):
     moved = spark.createDataFrame([(1, None, "x"), (2, None, "y")], "id int, a string, b string")
     assert sha256_fingerprint(moved).drop("table_name").first() != fa
     assert sha256_fingerprint(a.unionByName(a.limit(1))).drop("table_name").first() != fa
+
+
+def test_staged_partition_values_keep_their_type(spark, tmp_path):
+    from tessera.plans.publish import stage_tables
+
+    df = spark.createDataFrame([("o1", 1, 2018, "01"), ("o2", 1, 2018, None)],
+                               "order_id string, order_item_id int, purchase_year int, seller_state string")
+    # fact_order_item is staged partitioned by (purchase_year, seller_state)
+    back = stage_tables(spark, {"fact_order_item": df}, str(tmp_path))["fact_order_item"]
+    assert back.schema == df.schema
+    assert sorted((r.seller_state or "") for r in back.collect()) == ["", "01"]
