@@ -9,6 +9,7 @@ never visible and a published version is never half-written.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -21,6 +22,7 @@ from ..operators.star import PARTITIONS
 from ..sources.io import new_batch, write_bucketed, write_partitioned, write_table
 
 POINTER = "_current"
+SCHEMA_SUFFIX = "._schema"
 
 
 def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str, bucket=None) -> DataFrame:
@@ -31,6 +33,9 @@ def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str, bucke
         return write_bucketed(df, path, table, cols, n).select(*df.columns)
     if name in PARTITIONS:
         write_partitioned(df, path, PARTITIONS[name])
+        # keep the declared schema next to the table so readers need no inference
+        spark.createDataFrame([(df.schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(
+            path + SCHEMA_SUFFIX)
     else:
         write_table(df, path)
     # read back with the declared schema: partition values are not type-inferred
@@ -111,7 +116,14 @@ def current_run(spark: SparkSession, root: str) -> str:
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, "runs", current_run(spark, root), "gold", name))
+    """A table of the published run (partitioned tables with their stored schema)."""
+    from pyspark.sql.types import StructType
+
+    path = os.path.join(root, "runs", current_run(spark, root), "gold", name)
+    if name in PARTITIONS:
+        schema = StructType.fromJson(json.loads(spark.read.text(path + SCHEMA_SUFFIX).first()[0]))
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    return spark.read.parquet(path)
 
 
 def idempotency_check(first: dict[str, DataFrame], second: dict[str, DataFrame]) -> DataFrame:
