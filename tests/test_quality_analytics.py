@@ -278,3 +278,14 @@ def test_staged_partition_values_keep_their_type(spark, tmp_path):
     back = stage_tables(spark, {"fact_order_item": df}, str(tmp_path))["fact_order_item"]
     assert back.schema == df.schema
     assert sorted((r.seller_state or "") for r in back.collect()) == ["", "01"]
+
+
+def test_profile_table_and_null_filter(spark):
+    from tessera.operators.profile import null_profiles, profile_table
+
+    df = spark.createDataFrame([(1, None, "a"), (2, None, None), (3, 1.5, "c")], "id int, x double, s string")
+    rows = {r.column_name: r for r in profile_table(df, "t").collect()}
+    assert {c: (r.data_type, r.row_count, r.null_count, r.column_count) for c, r in rows.items()} == {
+        "id": ("int", 3, 0, 3), "x": ("double", 3, 2, 3), "s": ("string", 3, 1, 3)}
+    only = {(r.table_name, r.column_name) for r in null_profiles({"t": df, "u": df.select("id")}, only_with_nulls=True).collect()}
+    assert only == {("t", "x"), ("t", "s")}
