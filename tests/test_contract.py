@@ -276,3 +276,28 @@ def test_bucketed_silver_builds_facts_without_shuffling_order_tables(spark, tmp_
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_late_events_are_routed_not_dropped(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tessera.streaming.late_stream import route_late_events
+
+    ev = spark.read.parquet(os.path.join(SF001, "events.parquet"))
+    landing = tmp_path / "landing"
+    ev.where("event_id < 100").coalesce(1).write.parquet(str(landing / "b1"))
+    replay = ev.where("event_id < 5").withColumn("event_id", F.col("event_id") + 100000)  # old event times, new ids
+    ev.where("event_id >= 100 AND event_id < 150").unionByName(replay).coalesce(1).write.parquet(str(landing / "b2"))
+    for i, d in enumerate(("b1", "b2")):
+        for f in os.listdir(landing / d):
+            os.utime(landing / d / f, (1_700_000_000 + 100 * i, 1_700_000_000 + 100 * i))
+    out = tmp_path / "routed"
+    route_late_events(spark, str(landing / "*"), ev.schema, "ts", 60, str(out), str(tmp_path / "ckpt"),
+                      max_files_per_trigger=1)
+    schema = ev.schema.add("batch_id", "integer")
+    on_time = spark.read.schema(schema).parquet(str(out / "on_time"))
+    late = spark.read.schema(schema).parquet(str(out / "late"))
+    assert on_time.count() == 150 and late.count() == 5
+    assert {r.event_id for r in late.collect()} == {100000 + i for i in range(5)}
