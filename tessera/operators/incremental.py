@@ -93,7 +93,12 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     seg_keys = ["_seg", *keys]
     by_key = Window.partitionBy(*keys).orderBy("_seg")
     w = Window.partitionBy(*seg_keys).orderBy(*sort)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
+    # "the first start after this row", written as "the last start before it" in
+    # reversed order: a growing frame Spark evaluates incrementally, where an
+    # unbounded-following frame is re-evaluated for every row (quadratic in the
+    # group size, which a hot key makes large)
+    reverse = [F.col(c).desc_nulls_last() for c in order_cols]
+    after = Window.partitionBy(*seg_keys).orderBy(*reverse).rowsBetween(Window.unboundedPreceding, -1)
 
     ranged = (
         versions.select(*keys, *tracked, valid_from)
@@ -112,7 +117,7 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     nxt = F.when(local_start, F.struct(F.col(valid_from).alias("vf")))
     local = pass1.select(
         *keys, *tracked, valid_from, "_seg", "_rn", "_n", local_start.alias("_local_start"),
-        F.first(nxt, ignorenulls=True).over(after).alias("_next_local"),
+        F.last(nxt, ignorenulls=True).over(after).alias("_next_local"),
     )
     local = materialize(local, "scd2-segments")  # read by both branches below; lineage cut
 
@@ -129,9 +134,9 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     # the segment's first interval start (a struct, so a NULL valid_from is still "present")
     seg_first_start = F.when(F.col("_first_is_start"), F.struct(F.col("_first_vf").alias("vf"))).otherwise(F.col("_next_local"))
     seg = seg.select(*seg_keys, "_first_is_start", seg_first_start.alias("_seg_start"))
+    later_segments = Window.partitionBy(*keys).orderBy(F.col("_seg").desc()).rowsBetween(Window.unboundedPreceding, -1)
     seg = seg.select(*seg_keys, "_first_is_start",
-                     F.first("_seg_start", ignorenulls=True).over(by_key.rowsBetween(1, Window.unboundedFollowing))
-                     .alias("_next_seg_start"))
+                     F.last("_seg_start", ignorenulls=True).over(later_segments).alias("_next_seg_start"))
 
     starts = local.join(seg, seg_keys).where(F.col("_local_start") | ((F.col("_rn") == 1) & F.col("_first_is_start")))
     successor = F.coalesce(F.col("_next_local"), F.col("_next_seg_start"))
