@@ -59,14 +59,18 @@ def refresh_order_items(spark: SparkSession, silver_items: DataFrame, batch_raw:
     by partition.
     """
     cols = list(K.PARTITIONS["fact_order_item"])
-    keep = [c for c in latest_by if c in batch_raw.columns]
-    batch = conform(batch_raw, SILVER_SPECS["order_items"], keep=keep)
+    spec = SILVER_SPECS["order_items"]
+    outs = {c.out for c in spec.columns}
+    # ordering columns that are not Silver columns (e.g. ingestion_ts) ride along until the dedupe
+    keep = [c for c in latest_by if c in batch_raw.columns and c not in outs]
+    batch = conform(batch_raw, spec, keep=keep)
+    order = [c for c in latest_by if c in batch.columns]
     # the batch is newer than Silver: it wins for its keys; inside the batch the latest-by order decides
     current = silver_items.select(
         "*", *(F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in keep), F.lit(0).alias("_src")
     )
     both = current.unionByName(batch.withColumn("_src", F.lit(1)))
-    upserted = dedupe_latest(both, ITEM_KEYS, ["_src", *keep]).drop("_src", *keep)
+    upserted = dedupe_latest(both, ITEM_KEYS, ["_src", *order]).drop("_src", *keep)
 
     new_rows = K.fact_order_item(orders, batch.drop(*keep), dim_customer, dim_seller, dim_product)
     # declared schema: partition values are not type-inferred from folder names
@@ -79,7 +83,11 @@ def refresh_order_items(spark: SparkSession, silver_items: DataFrame, batch_raw:
     # the affected years first, then keep the exact (year, state) pairs
     years = affected.select("purchase_year").distinct()
     orders_in = orders.join(years, F.year("purchased_at") == F.col("purchase_year"), "left_semi")
-    rebuilt = K.fact_order_item(orders_in, upserted, dim_customer, dim_seller, dim_product)
+    # the dedupe is per (order, item) key, so restricting to the affected orders
+    # first gives the same rows and leaves every other order untouched
+    both_in = both.join(orders_in.select("order_id"), "order_id", "left_semi")
+    items_in = dedupe_latest(both_in, ITEM_KEYS, ["_src", *order]).drop("_src", *keep)
+    rebuilt = K.fact_order_item(orders_in, items_in, dim_customer, dim_seller, dim_product)
     rebuilt = rebuilt.join(affected, [rebuilt[c].eqNullSafe(affected[c]) for c in cols], "left_semi")
 
     # stage the rebuilt rows and the affected set first: the overwrite below
