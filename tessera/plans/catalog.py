@@ -528,3 +528,8 @@ def q_cast_failures(spark, d):
     parts = [cast_failures(raw[n], SILVER_SPECS[n]) for n in raw if any(
         c.kind in ("int", "double", "money", "ts") for c in SILVER_SPECS[n].columns)]
     return Q.union_all(parts)
+
+
+@query("negative_review_mom_top20")
+def q_negative_review_mom_top20(spark, d):
+    return q_negative_review_mom(spark, d).limit(TOP_K)

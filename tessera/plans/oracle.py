@@ -735,3 +735,6 @@ ORACLE["cast_failures"] = with_star("\nUNION ALL\n".join(
     + f" AS failed_casts FROM raw_{t}"
     for t, out, src, typ in _TYPED
 ))
+
+ORACLE["negative_review_mom_top20"] = ORACLE["negative_review_mom"] + \
+    "\nORDER BY mom_change_pct DESC, review_month, category_family LIMIT 20"
