@@ -171,9 +171,14 @@ def _as_of():
 
 @query("dq_report")
 def q_dq_report(spark, d):
-    g = driver_star(spark, d)
+    """The 16 checks on what was written: Silver, dimensions and facts are staged
+    (each computed once) in the shared scratch folder, as before a publish."""
+    from ..plans.publish import stage_layers
+    from ..session import scratch_path
+
+    written = stage_layers(spark, D.silver_tables(spark, d), scratch_path(spark, "dq-run"))
     events, ts = D.feed_times(spark, d)["events"]
-    return Q.dq_report(g, events, ts, _as_of())
+    return Q.dq_report(written, events, ts, _as_of())
 
 
 @query("dq_failing_rows")
