@@ -412,8 +412,16 @@ def q_backfill_window(spark, d):
 
 @query("run_metrics")
 def q_run_metrics(spark, d):
+    """Per data set: raw / NULL-key / Silver / removed rows; for the order-item fact:
+    written partitions and late-arriving rows."""
     keys = {name: spec.keys for name, spec in SILVER_SPECS.items()}
-    return T.run_metrics(D.raw_tables(spark, d), D.silver_tables(spark, d), keys)
+    base = T.run_metrics(D.raw_tables(spark, d), D.silver_tables(spark, d), keys)
+    f = driver_star(spark, d)["fact_order_item"]
+    parts = f.select(*K.PARTITIONS["fact_order_item"]).distinct().agg(F.count(F.lit(1)).alias("value"))
+    late = T.late_arrivals(f, "purchased_at", "delivered_at", LATE_AFTER_DAYS).agg(F.count(F.lit(1)).alias("value"))
+    extra = [x.select(F.lit("fact_order_item").alias("table_name"), F.lit(m).alias("metric"), "value")
+             for m, x in (("partitions", parts), ("late_rows", late))]
+    return Q.union_all([base, *extra])
 
 
 # ---------------------------------------------------------------- fingerprints (rows-only: engine-specific hashes)

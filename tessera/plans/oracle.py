@@ -629,10 +629,13 @@ _RUN = [
     ("order_reviews", "raw_order_reviews", "review_id IS NULL OR order_id IS NULL", "silver_order_reviews"),
 ]
 ORACLE["run_metrics"] = with_star("\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, m.metric, m.value FROM (SELECT COUNT(*) AS r, COUNT(*) FILTER (WHERE {nk}) AS n, "
-    f"(SELECT COUNT(*) FROM {s}) AS s FROM {raw}) x, LATERAL (VALUES ('raw_rows', r), ('null_key_rows', n), "
-    f"('silver_rows', s), ('duplicates_removed', r - s)) m(metric, value)"
-    for t, raw, nk, s in _RUN
+    [f"SELECT '{t}' AS table_name, m.metric, m.value FROM (SELECT COUNT(*) AS r, COUNT(*) FILTER (WHERE {nk}) AS n, "
+     f"(SELECT COUNT(*) FROM {s}) AS s FROM {raw}) x, LATERAL (VALUES ('raw_rows', r), ('null_key_rows', n), "
+     f"('silver_rows', s), ('duplicates_removed', r - s)) m(metric, value)"
+     for t, raw, nk, s in _RUN]
+    + ["SELECT 'fact_order_item', 'partitions', COUNT(*) FROM (SELECT DISTINCT purchase_year, seller_state FROM fact_order_item) p",
+       "SELECT 'fact_order_item', 'late_rows', COUNT(*) FROM fact_order_item WHERE purchased_at IS NOT NULL "
+       "AND delivered_at IS NOT NULL AND CAST(delivered_at AS DATE) - CAST(purchased_at AS DATE) > 365"]
 ))
 
 # ---------------------------------------------------------------- validation reports, top-k
