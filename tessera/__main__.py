@@ -2,7 +2,7 @@
 
   publish  --source-dir DIR --root ROOT [--as-of TS]   stage Silver + Gold, run the
                                                       16 checks, publish if they pass
-  publish-csv --source NAME=PATH ... --taxonomy CSV --root ROOT
+  publish-csv --source NAME=PATH ... [--taxonomy CSV] --root ROOT
                                                       raw CSV -> Bronze -> Silver -> Gold, gated
   report   --source-dir DIR [--as-of TS]               the DQ report, nothing written
   query    NAME --source-dir DIR [--rows N]            show a named query
@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     pub.add_argument("--as-of")
     pc = sub.add_parser("publish-csv")
     pc.add_argument("--source", action="append", required=True, metavar="NAME=PATH")
-    pc.add_argument("--taxonomy", required=True)
+    pc.add_argument("--taxonomy", help="taxonomy CSV (default: the marketplace taxonomy shipped with tessera)")
     pc.add_argument("--root", required=True)
     rep = sub.add_parser("report")
     rep.add_argument("--source-dir", required=True)

@@ -77,13 +77,14 @@ def silver_from_bronze(spark: SparkSession, bronze_root: str, taxonomy: DataFram
     })
 
 
-def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str, lake_root: str,
+def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str | None, lake_root: str,
                  as_of=None, run_id: str | None = None, order_buckets: int | None = None) -> DataFrame:
     """Raw CSV files -> Bronze (append, one batch) -> Silver -> Gold, published behind the DQ gate.
 
     ``sources`` maps data-set names (customers, orders, order_items,
     order_payments, order_reviews, products, sellers, geolocation) to CSV
-    files or folders. Freshness is checked on the Bronze ``customers``
+    files or folders. ``taxonomy_csv=None`` uses the marketplace taxonomy
+    shipped in ``sources.taxonomy_data``. Freshness is checked on the Bronze ``customers``
     ingestion time. Returns the stored DQ report; raises QualityGateError
     (nothing published) when a check fails.
     """
@@ -95,6 +96,12 @@ def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str
 
     bronze_root = os.path.join(lake_root, "bronze")
     ingest_batch(spark, sources, bronze_root)
-    silver = silver_from_bronze(spark, bronze_root, load_taxonomy(spark, taxonomy_csv))
+    if taxonomy_csv is None:
+        from ..sources.taxonomy_data import marketplace_taxonomy
+
+        taxonomy = marketplace_taxonomy(spark)
+    else:
+        taxonomy = load_taxonomy(spark, taxonomy_csv)
+    silver = silver_from_bronze(spark, bronze_root, taxonomy)
     fresh = spark.read.parquet(os.path.join(bronze_root, "customers"))
     return publish_gold(spark, silver, lake_root, fresh, "ingestion_ts", as_of, run_id, order_buckets)

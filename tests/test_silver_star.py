@@ -310,3 +310,17 @@ def test_cast_failures_counts_bad_values(spark):
                                           {"order_id": "o", "order_item_id": "two", "item_price": "3.10"}])
     got = {r.column_name: r.failed_casts for r in S.cast_failures(items, SILVER_SPECS["order_items"]).collect()}
     assert got["item_price"] == 1 and got["order_item_id"] == 1
+
+
+def test_marketplace_taxonomy_fixed_values(spark):
+    from tessera.operators.taxonomy import enrich_taxonomy
+    from tessera.sources.taxonomy_data import marketplace_taxonomy, marketplace_taxonomy_rows
+
+    rows = marketplace_taxonomy_rows()
+    assert len(rows) == 73 and len({r[0] for r in rows}) == 73 and len({r[1] for r in rows}) == 73
+    assert len({r[2] for r in rows}) == 26
+    tax = marketplace_taxonomy(spark)
+    assert tax.count() == 73
+    products = spark.createDataFrame([("p1", " alimentos "), ("p2", "unknown")], "product_id string, product_category_name string")
+    got = {r.product_id: r.category_family for r in enrich_taxonomy(products, tax, "product_category_name").collect()}
+    assert got == {"p1": "Food & Beverage", "p2": None}
