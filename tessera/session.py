@@ -33,6 +33,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
+        # catalog tables (bucketed Silver) of local runs live in a fresh folder, not the working directory
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tessera-warehouse-"))
     )
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
