@@ -546,3 +546,13 @@ def q_cast_failures(spark, d):
 @query("negative_review_mom_top20")
 def q_negative_review_mom_top20(spark, d):
     return q_negative_review_mom(spark, d).limit(TOP_K)
+
+
+@query("event_payment_sequence")
+def q_event_payment_sequence(spark, d):
+    """Purchase events as payments: the per-user sequence number of each payment by (ts, event_id)."""
+    from ..operators.sequence import sequence_number
+
+    ev = D.read(spark, d, "events").where(F.col("event_type") == "purchase").select(
+        "user_id", "event_id", "ts", F.col("value").alias("payment_value"))
+    return sequence_number(ev, ["user_id"], ["ts", "event_id"], "payment_sequential")

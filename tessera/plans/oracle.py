@@ -741,3 +741,8 @@ ORACLE["cast_failures"] = with_star("\nUNION ALL\n".join(
 
 ORACLE["negative_review_mom_top20"] = ORACLE["negative_review_mom"] + \
     "\nORDER BY mom_change_pct DESC, review_month, category_family LIMIT 20"
+
+ORACLE["event_payment_sequence"] = with_star("""
+SELECT user_id, event_id, ts, value AS payment_value,
+       ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS payment_sequential
+FROM events WHERE event_type = 'purchase'""")

@@ -102,3 +102,22 @@ def test_exact_percentile_matches_definition(spark, data, q, segments):
         k = -(-Fraction(str(q)) * len(vals) // 1)  # ceil(q * n), exact
         exp[g] = vals[int(k) - 1]
     assert got == exp
+
+
+seq_rows = st.lists(st.tuples(st.sampled_from(["hot", "a", "b", None]), st.integers(0, 20)), min_size=1, max_size=120)
+
+
+@settings(max_examples=6, deadline=None)
+@given(seq_rows, st.integers(1, 6))
+def test_sequence_number_matches_row_number(spark, data, segments):
+    from tessera.operators.sequence import sequence_number
+
+    rows = [(k, t, i) for i, (k, t) in enumerate(data)]
+    df = spark.createDataFrame(rows, "k string, t int, id int")
+    got = {(r.k, r.id): r.seq for r in sequence_number(df, ["k"], ["t", "id"], "seq", segments=segments).collect()}
+    exp = {}
+    for k in {r[0] for r in rows}:
+        members = sorted((t, i) for kk, t, i in rows if kk == k)
+        for pos, (t, i) in enumerate(members, start=1):
+            exp[(k, i)] = pos
+    assert got == exp
