@@ -71,8 +71,13 @@ def main(out: str) -> None:
     sf = os.path.join(scratch, "sf")
     os.makedirs(sf, exist_ok=True)
     for f in os.listdir(src):
-        if f not in ("lineitem.parquet", "orders.parquet") and not os.path.exists(os.path.join(sf, f)):
+        if f not in ("lineitem.parquet", "orders.parquet", "events.parquet") and not os.path.exists(os.path.join(sf, f)):
             os.symlink(os.path.join(src, f), os.path.join(sf, f))
+    # one user produces a third of all events
+    ev = spark.read.parquet(os.path.join(src, "events.parquet"))
+    hot_user = F.pmod(F.xxhash64("event_id"), F.lit(3)) == 0
+    ev.withColumn("user_id", F.when(hot_user, F.lit(HOT_CUSTOMER).cast("long")).otherwise(F.col("user_id"))) \
+        .write.mode("overwrite").parquet(os.path.join(sf, "events.parquet"))
     # one customer places a third of all orders
     orders = spark.read.parquet(os.path.join(src, "orders.parquet"))
     hot_cust = F.pmod(F.xxhash64("o_orderkey"), F.lit(3)) == 0
@@ -91,7 +96,8 @@ def main(out: str) -> None:
 
     results = {}
     for name in ("silver_order_items", "fact_order_item", "late_delivery_rate", "scd2_history", "fact_review",
-                 "order_value_anomalies", "duplicate_rows", "mart_customer_summary", "negative_review_mom", "dq_report"):
+                 "order_value_anomalies", "duplicate_rows", "mart_customer_summary", "negative_review_mom", "dq_report",
+                 "event_payment_sequence"):
         t0 = time.time()
         rows = QUERIES[name](spark, sf).count()
         results[name] = (rows, round(time.time() - t0, 2))
@@ -100,7 +106,7 @@ def main(out: str) -> None:
     shares = stage_shares(events)
     doc = ["# SKEW", "",
            f"Generated by `scripts/skew_check.py`: `lineitem` of `{src}` with {hot_rows:,} of {total:,} rows "
-           f"({hot_rows / total:.0%}) moved to one order id, and a third of `orders` moved to one customer; local[8], 16 shuffle partitions, AQE on "
+           f"({hot_rows / total:.0%}) moved to one order id, a third of `orders` moved to one customer and a third of `events` to one user; local[8], 16 shuffle partitions, AQE on "
            "(partition coalescing off, so each shuffle keeps 16 tasks and a share near 1/16 = 6% is balanced).", "",
            "| query | rows | seconds |", "|---|---:|---:|"]
     doc += [f"| {n} | {r:,} | {s} |" for n, (r, s) in results.items()]
