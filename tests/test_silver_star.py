@@ -324,3 +324,17 @@ def test_marketplace_taxonomy_fixed_values(spark):
     products = spark.createDataFrame([("p1", " alimentos "), ("p2", "unknown")], "product_id string, product_category_name string")
     got = {r.product_id: r.category_family for r in enrich_taxonomy(products, tax, "product_category_name").collect()}
     assert got == {"p1": "Food & Beverage", "p2": None}
+
+
+def test_null_keys_and_orphans_are_reported(spark):
+    from tessera.operators.profile import orphan_rows, orphan_summary
+    from tessera.operators.quality import unresolved_fk_rates
+
+    raw, silver, gold = market(spark)
+    rates = {r.test_name: (r.rows_evaluated, r.rows_failed) for r in unresolved_fk_rates(gold).collect()}
+    assert rates["fact_payment.customer_key is resolved"] == (3, 1)        # o3 has a NULL customer
+    assert rates["fact_order_item.product_key is resolved"] == (4, 1)      # unknown product pX
+    s = orphan_summary(silver["order_items"], "product_id", silver["products"], "product_id", "items -> products").first()
+    assert (s.child_values, s.orphan_values) == (3, 1)
+    rows = orphan_rows(silver["order_items"], "product_id", silver["products"], "product_id").collect()
+    assert [(r.order_id, r.product_id) for r in rows] == [("o2", "pX")]
