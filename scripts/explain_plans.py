@@ -24,7 +24,11 @@ def summarize(df) -> list[str]:
     for _ in df.toLocalIterator():
         pass
     plan = df._jdf.queryExecution().executedPlan().toString()
-    plan = plan.split("== Initial Plan ==")[0]  # keep the final adaptive plan only
+    # keep the final adaptive plan only: cut at the top-level "Initial Plan"
+    # marker (subqueries carry their own, indented, markers)
+    lines = plan.split("\n")
+    cut = next((i for i, line in enumerate(lines) if line.startswith("+- == Initial Plan ==")), len(lines))
+    plan = "\n".join(lines[:cut])
     codegen = len(set(re.findall(r"[*][(](\d+)[)]", plan)))
     lines = []
     scans = re.findall(r"FileScan parquet [^\n]*", plan)
