@@ -338,3 +338,30 @@ def test_null_keys_and_orphans_are_reported(spark):
     assert (s.child_values, s.orphan_values) == (3, 1)
     rows = orphan_rows(silver["order_items"], "product_id", silver["products"], "product_id").collect()
     assert [(r.order_id, r.product_id) for r in rows] == [("o2", "pX")]
+
+
+def test_analyses_run_on_zoned_timestamps_from_csv(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.operators import analytics as N
+    from tessera.operators import marts as M
+    from tessera.operators import quality as Q
+
+    raw, silver, gold = market(spark)
+    assert dict(silver["orders"].dtypes)["purchased_at"] == "timestamp"
+    outs = [
+        N.late_delivery_rate(gold["fact_order_item"], gold["dim_seller"], gold["dim_product"], min_items=1),
+        N.delivery_lag_by_state(gold["fact_order_item"], gold["dim_customer"]),
+        N.negative_review_mom(gold["fact_review"]),
+        N.order_value_anomalies(gold["fact_order_item"], gold["dim_product"]),
+        N.category_value_ranking(gold["fact_order_item"], gold["dim_product"]),
+        Q.dq_report(gold, silver["orders"], "purchased_at", F.lit("2018-03-03 12:00:00").cast("timestamp")),
+        M.mart_delivery_performance(silver["orders"], silver["order_items"]),
+        M.mart_customer_summary(silver["customers"], silver["orders"], silver["order_items"]),
+    ]
+    for df in outs:
+        df.collect()
+    late = outs[0].collect()
+    assert [(r.seller_id, r.delivered_items, r.late_items) for r in late] == [("s1", 2, 0)]  # item 3 is unmapped
+    lag = {r.customer_state: r.average_purchase_to_delivery_days for r in outs[1].collect()}
+    assert lag == {"SP": 5.0, "RJ": -2.0}
