@@ -77,7 +77,10 @@ def stage_layers(spark: SparkSession, silver, folder: str, order_buckets: int |
     payments, reviews) bucketed by ``order_id`` into that many buckets. At
     scale, where ``orders`` cannot be broadcast, every fact then joins on
     ``order_id`` (and the review fan-out aggregates) without shuffling either
-    side. Leave it unset where the tables are small enough to broadcast.
+    side. Leave it unset where the tables are small enough to broadcast, and
+    where a single order can hold a large share of the (deduplicated) items:
+    a bucket keeps all rows of a key together and AQE cannot split a bucketed
+    scan, whereas unbucketed sort-merge joins get AQE's skew splitting.
     """
     from .pipeline import build_star
 
