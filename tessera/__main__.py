@@ -6,6 +6,7 @@
                                                       raw CSV -> Bronze -> Silver -> Gold, gated
   report   --source-dir DIR [--as-of TS]               the DQ report, nothing written
   query    NAME --source-dir DIR [--rows N]            show a named query
+  explain  NAME --source-dir DIR                       print its formatted physical plan
   list                                                 list the named queries
 
 The session comes from ``spark-submit`` / the environment when one exists;
@@ -48,6 +49,9 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("name")
     q.add_argument("--source-dir", required=True)
     q.add_argument("--rows", type=int, default=20)
+    ex = sub.add_parser("explain")
+    ex.add_argument("name")
+    ex.add_argument("--source-dir", required=True)
     sub.add_parser("list")
     args = p.parse_args(argv)
 
@@ -72,6 +76,9 @@ def main(argv: list[str] | None = None) -> int:
             return 1
         report.orderBy("check_no").show(20, truncate=False)
         return 0
+    if args.cmd == "explain":
+        QUERIES[args.name](spark, args.source_dir).explain("formatted")
+        return 0
     if args.cmd == "query":
         QUERIES[args.name](spark, args.source_dir).show(args.rows, truncate=False)
         return 0
