@@ -21,10 +21,27 @@ from .schemas import MULTILINE_TABLES, RAW_SCHEMAS
 CORRUPT = "_corrupt_record"
 
 
+def _csv(spark: SparkSession, multiline: bool):
+    return (
+        spark.read.option("header", True).option("quote", '"').option("escape", '"')
+        .option("multiLine", multiline).option("mode", "PERMISSIVE")
+    )
+
+
+def raw_header(spark: SparkSession, path: str, multiline: bool = False) -> list[str]:
+    """Column names of the CSV header (one small read of the first line)."""
+    return _csv(spark, multiline).csv(path).columns
+
+
 def read_raw(spark: SparkSession, path: str, name: str, schema: T.StructType | None = None,
              multiline: bool | None = None) -> DataFrame:
-    """RFC-4180 CSV with a header, read with a declared (all-string) schema.
+    """RFC-4180 CSV with a header; the declared (all-string) columns are taken *by name*.
 
+    The file is parsed with its own header order (so an added or reordered
+    column cannot shift values into the wrong column), every file's header is
+    checked against it (``enforceSchema=false``: a folder whose files disagree
+    fails instead of being misread), and the declared columns are projected by
+    name; a declared column the file lacks is NULL (see ``header_drift``).
     ``multiLine`` is enabled only for data sets with free text that may hold
     quoted newlines: a multiLine file is read by one task, every other file is
     split across tasks. Malformed lines do not fail the job: in PERMISSIVE
@@ -33,17 +50,26 @@ def read_raw(spark: SparkSession, path: str, name: str, schema: T.StructType | N
     """
     ml = name in MULTILINE_TABLES if multiline is None else multiline
     declared = schema or RAW_SCHEMAS[name]
-    with_corrupt = T.StructType(list(declared.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-    return (
-        spark.read.schema(with_corrupt)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", ml)
-        .option("mode", "PERMISSIVE")
+    header = raw_header(spark, path, ml)
+    file_schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header]
+                               + [T.StructField(CORRUPT, T.StringType(), True)])
+    df = (
+        _csv(spark, ml).schema(file_schema)
+        .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
+    cols = [F.col(c) if c in header else F.lit(None).cast("string").alias(c) for c in declared.fieldNames()]
+    return df.select(*cols, CORRUPT)
+
+
+def header_drift(spark: SparkSession, path: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """Schema drift of a raw CSV source against its declared columns (from the header)."""
+    from ..operators.incremental import schema_drift
+
+    declared = schema or RAW_SCHEMAS[name]
+    actual = T.StructType([T.StructField(c, T.StringType(), True) for c in raw_header(spark, path, name in MULTILINE_TABLES)])
+    return schema_drift(spark, declared, actual)
 
 
 def new_batch() -> tuple[str, datetime]:
@@ -65,8 +91,18 @@ def append_bronze(df: DataFrame, path: str) -> None:
 
 
 def ingest_batch(spark: SparkSession, sources: dict[str, str], bronze_root: str,
-                 batch: tuple[str, datetime] | None = None) -> tuple[str, datetime]:
-    """Append one run's raw CSV files to Bronze: same batch id and ingestion time for all data sets."""
+                 batch: tuple[str, datetime] | None = None, check_schema: bool = True) -> tuple[str, datetime]:
+    """Append one run's raw CSV files to Bronze: same batch id and ingestion time for all data sets.
+
+    With ``check_schema`` every source's header is compared with its declared
+    columns first; a breaking change (a declared column missing) fails the run
+    before anything is appended. Added columns are compatible (not kept).
+    """
+    if check_schema:
+        from ..operators.incremental import assert_compatible
+
+        for name, path in sources.items():
+            assert_compatible(header_drift(spark, path, name))
     batch_id, ts = batch or new_batch()
     for name, path in sources.items():
         append_bronze(stamp_batch(read_raw(spark, path, name), batch_id, ts), os.path.join(bronze_root, name))

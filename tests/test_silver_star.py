@@ -365,3 +365,34 @@ def test_analyses_run_on_zoned_timestamps_from_csv(spark):
     assert [(r.seller_id, r.delivered_items, r.late_items) for r in late] == [("s1", 2, 0)]  # item 3 is unmapped
     lag = {r.customer_state: r.average_purchase_to_delivery_days for r in outs[1].collect()}
     assert lag == {"SP": 5.0, "RJ": -2.0}
+
+
+def test_csv_columns_are_taken_by_name_and_breaking_headers_fail(spark, tmp_path):
+    from datetime import datetime
+
+    import pytest
+
+    from tessera.sources.io import header_drift, ingest_batch, read_raw
+
+    # reordered columns and an extra one: values must land in the right columns
+    p = tmp_path / "c1"
+    p.mkdir()
+    (p / "c.csv").write_text("customer_state,extra,customer_id,customer_city,customer_unique_id,customer_zip_code_prefix\n"
+                             "sp,x,c1,sao paulo,u1,01409\n")
+    r = read_raw(spark, str(p), "customers").first()
+    assert (r.customer_id, r.customer_state, r.customer_zip_code_prefix) == ("c1", "sp", "01409")
+    drift = {(d.column_name, d.change, d.breaking) for d in header_drift(spark, str(p), "customers").collect()}
+    assert drift == {("extra", "added", False)}
+    # a missing declared column is a breaking change: nothing is appended
+    q = tmp_path / "c2"
+    q.mkdir()
+    (q / "c.csv").write_text("customer_id,customer_unique_id,customer_city,customer_state\nc2,u2,rio,rj\n")
+    bronze = str(tmp_path / "bronze")
+    with pytest.raises(ValueError):
+        ingest_batch(spark, {"customers": str(q)}, bronze, ("b1", datetime(2024, 1, 1)))
+    import os
+
+    assert not os.path.exists(os.path.join(bronze, "customers"))
+    # the compatible source ingests
+    ingest_batch(spark, {"customers": str(p)}, bronze, ("b2", datetime(2024, 1, 2)))
+    assert spark.read.parquet(os.path.join(bronze, "customers")).count() == 1
