@@ -21,6 +21,10 @@ from pyspark.sql import types as T
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None, **options) -> DataFrame:
     reader = spark.readStream.format(fmt).schema(schema)
+    if fmt == "csv":
+        # a stream has a fixed schema: check every file's header against it so a
+        # reordered or renamed column fails the stream instead of being misread
+        reader = reader.option("enforceSchema", False)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     for k, v in options.items():

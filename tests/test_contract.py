@@ -301,3 +301,15 @@ def test_late_events_are_routed_not_dropped(spark, tmp_path):
     late = spark.read.schema(schema).parquet(str(out / "late"))
     assert on_time.count() == 150 and late.count() == 5
     assert {r.event_id for r in late.collect()} == {100000 + i for i in range(5)}
+
+
+def test_csv_stream_rejects_a_mismatching_header(spark, tmp_path):
+    from tessera.sources.schemas import RAW_SCHEMAS
+    from tessera.streaming.bronze_stream import ingest_bronze
+
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    (landing / "a.csv").write_text("seller_city,seller_id,seller_zip_code_prefix,seller_state\nx,s1,01000,sp\n")
+    with pytest.raises(Exception):
+        ingest_bronze(spark, str(landing), RAW_SCHEMAS["sellers"], str(tmp_path / "bronze"), str(tmp_path / "ckpt"),
+                      "b1", fmt="csv", header=True)
