@@ -104,8 +104,15 @@ def ingest_batch(spark: SparkSession, sources: dict[str, str], bronze_root: str,
         for name, path in sources.items():
             assert_compatible(header_drift(spark, path, name))
     batch_id, ts = batch or new_batch()
-    for name, path in sources.items():
+    from concurrent.futures import ThreadPoolExecutor
+
+    def append(name: str, path: str) -> None:
         append_bronze(stamp_batch(read_raw(spark, path, name), batch_id, ts), os.path.join(bronze_root, name))
+
+    # independent data sets: submitted as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for f in [pool.submit(append, name, path) for name, path in sources.items()]:
+            f.result()
     return batch_id, ts
 
 
