@@ -86,8 +86,6 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     the next segment's first start) is taken from a table with one row per
     (segment, key), joined back once.
     """
-    spark = versions.sparkSession
-    n = segments or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [valid_from, *tracked]
     sort = [F.col(c).asc_nulls_first() for c in order_cols]
     seg_keys = ["_seg", *keys]
@@ -100,11 +98,11 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     reverse = [F.col(c).desc_nulls_last() for c in order_cols]
     after = Window.partitionBy(*seg_keys).orderBy(*reverse).rowsBetween(Window.unboundedPreceding, -1)
 
-    ranged = (
-        versions.select(*keys, *tracked, valid_from)
-        .repartitionByRange(n, *(F.col(k).asc_nulls_first() for k in keys), *sort)
-        .withColumn("_seg", F.spark_partition_id())
-    )
+    range_order = [*(F.col(k).asc_nulls_first() for k in keys), *sort]
+    base = versions.select(*keys, *tracked, valid_from)
+    # no explicit count: AQE may merge adjacent small ranges (segments stay ordered)
+    ranged = (base.repartitionByRange(segments, *range_order) if segments else base.repartitionByRange(*range_order)
+              ).withColumn("_seg", F.spark_partition_id())
     same_as_lag = F.lit(True)
     for c in tracked:
         same_as_lag = same_as_lag & F.col(c).eqNullSafe(F.lag(c).over(w))

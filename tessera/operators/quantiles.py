@@ -27,21 +27,24 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 
-def range_segments(df: DataFrame, order: Sequence, segments: int) -> DataFrame:
+def range_segments(df: DataFrame, order: Sequence, segments: int | None = None) -> DataFrame:
     """Rows range-partitioned on ``order`` with their segment number, materialised once.
 
-    Materialising matters for correctness, not only speed: the range
+    Without an explicit ``segments`` the shuffle uses the session's partition
+    count and AQE may merge adjacent small ranges (segments stay contiguous
+    and ordered), so a small input does not become thousands of tiny
+    segments. Materialising matters for correctness, not only speed: the range
     boundaries come from a sample, so every consumer must see the same
     assignment of rows to segments.
     """
-    return materialize(df.repartitionByRange(segments, *order).withColumn("_seg", F.spark_partition_id()), "segments")
+    ranged = df.repartitionByRange(segments, *order) if segments else df.repartitionByRange(*order)
+    return materialize(ranged.withColumn("_seg", F.spark_partition_id()), "segments")
 
 
 def segmented(df: DataFrame, group_cols: Sequence[str], value_col: str, segments: int | None = None) -> DataFrame:
     """All columns of ``df`` (non-NULL values only), range-segmented on (groups, value) and materialised."""
-    n = segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col(value_col).asc()]
-    return range_segments(df.where(F.col(value_col).isNotNull()), order, n)
+    return range_segments(df.where(F.col(value_col).isNotNull()), order, segments)
 
 
 def segment_percentile(ranged: DataFrame, group_cols: Sequence[str], value_col: str, q: float,

@@ -21,9 +21,8 @@ from .quantiles import range_segments
 def sequence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "seq",
                     segments: int | None = None) -> DataFrame:
     """``df`` with a 1-based ``name`` column numbering the rows of each key by ``order``."""
-    n = segments or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(c).asc_nulls_first() for c in order]
-    ranged = range_segments(df, [*(F.col(k).asc_nulls_first() for k in keys), *sort], n)
+    ranged = range_segments(df, [*(F.col(k).asc_nulls_first() for k in keys), *sort], segments)
     seg_keys = ["_seg", *keys]
     local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy(*seg_keys).orderBy(*sort)))
     before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
