@@ -51,13 +51,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     Where it is unset (local tests), a fresh folder is created and set.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    local = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    folder = configured or tempfile.mkdtemp(prefix="tessera-ckpt-")
+    if not configured:
+        spark.conf.set("spark.checkpoint.dir", folder)
+    try:  # lineage cuts here are written tables; the RDD setting is only a convenience
+        spark.sparkContext.setCheckpointDir(folder)
+    except Exception:  # e.g. a Spark Connect session has no SparkContext
+        pass
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
