@@ -44,16 +44,22 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+_FALLBACK: dict = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the platform and only read here.
-    Where it is unset (local tests), a fresh folder is created and set.
+    Where it is unset (local tests), a fresh local folder is used for this
+    session; the core setting itself cannot be changed at runtime, so it is
+    left alone.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    folder = configured or tempfile.mkdtemp(prefix="tessera-ckpt-")
-    if not configured:
-        spark.conf.set("spark.checkpoint.dir", folder)
+    if configured:
+        folder = configured
+    else:
+        folder = _FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="tessera-ckpt-"))
     try:  # lineage cuts here are written tables; the RDD setting is only a convenience
         spark.sparkContext.setCheckpointDir(folder)
     except Exception:  # e.g. a Spark Connect session has no SparkContext
