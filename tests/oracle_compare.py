@@ -1,6 +1,6 @@
 """Run catalog queries in Spark and their oracle SQL in DuckDB, compare results.
 
-Usage: python tests/oracle_compare.py [sf_dir] [name ...]
+Usage: python tests/oracle_compare.py [--tz ZONE] [sf_dir] [name ...]
 Comparison: column names (sorted), row count, and the multiset of rows with
 exact values (floats compared exactly; dates/timestamps as ISO strings).
 """
@@ -73,12 +73,19 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main(argv):
+    tz = None
+    if "--tz" in argv:  # e.g. --tz America/Los_Angeles: results must not depend on the session zone
+        i = argv.index("--tz")
+        tz = argv[i + 1]
+        argv = argv[:i] + argv[i + 2:]
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     import __spark_entry__ as E
     from tessera.session import local_session
 
     spark = local_session()
+    if tz:
+        spark.conf.set("spark.sql.session.timeZone", tz)
     con = duck(sf_dir)
     qs = E.queries()
     oracle = E.oracle_sql()
