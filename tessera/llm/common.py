@@ -104,3 +104,59 @@ def file_bytes(path: str) -> bytes:
     """A small file (a vocabulary) of this machine, read on the driver and sent along."""
     with open(os.path.expanduser(path), "rb") as f:
         return f.read()
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (a staged, narrow table) marked for broadcast if its counted rows are at most ``limit``.
+
+    Beyond that it is left alone and a shuffle join takes over.
+    """
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def in_groups(df: DataFrame, key: str, run, schema) -> DataFrame:
+    """``run(rows)`` for the rows (dicts) of every value of ``key``; yields tuples of ``schema``.
+
+    Groups must be bounded by the caller. Rows are dealt out by the key and
+    streamed in order, so a task holds one group and one batch.
+    """
+    import pyarrow as pa
+
+    arrow = pa.schema([(f.name, _ARROW[f.dataType.typeName()]) for f in schema])
+
+    def task(batches):
+        now, rows, out = None, [], []
+
+        def flush():
+            cut = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
+            out.clear()
+            return cut
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if rows and row[key] != now:
+                    out.extend(run(rows))
+                    rows = []
+                    if len(out) > 5000:
+                        yield flush()
+                now = row[key]
+                rows.append(row)
+        if rows:
+            out.extend(run(rows))
+        if out:
+            yield flush()
+
+    return df.repartition(key).sortWithinPartitions(key).mapInArrow(task, schema)
+
+
+def _arrow_types():
+    import pyarrow as pa
+
+    return {"long": pa.int64(), "integer": pa.int32(), "binary": pa.binary(), "double": pa.float64(),
+            "string": pa.string(), "boolean": pa.bool_()}
+
+
+_ARROW = _arrow_types()

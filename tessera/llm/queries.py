@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, chat, decontaminate, packing, pu_quality, rules, suffix_tree, warc
+from . import byte_bpe, chat, chosen_path, decontaminate, packing, pu_quality, rules, suffix_tree, warc
 from .common import staged, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def op1_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.matches(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query
+def op2_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
+    return chosen_path.join(table(spark, d, "documents")).drop("sig")
+
+
 @query
 def op3_chat_format(spark: SparkSession, d: str) -> DataFrame:
     """Digests of all conversations, formatted and read back; conversation -7 shows the escaping."""
