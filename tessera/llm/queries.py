@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import byte_bpe, chat, chosen_path, decontaminate, packing, pu_quality, rules, suffix_tree, warc
+from . import byte_bpe, chat, chosen_path, decontaminate, packing, pu_quality, rules, substrings, suffix_tree, warc
 from .common import staged, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +76,11 @@ def op7_warc_bundles(spark: SparkSession, d: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op8_compact_windows(spark: SparkSession, d: str) -> DataFrame:
+    return substrings.passages(table(spark, d, "documents"))
+
+
 @query
 def op9_suffix_tree(spark: SparkSession, d: str) -> DataFrame:
     return suffix_tree.score(table(spark, d, "documents"))
