@@ -22,11 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
+from public_tokenizers import PATTERN as SPLIT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import task_number
+from .byte_bpe import ByteBPE, mapped
+from .common import file_bytes, task_number
 
 PACKED = T.StructType([
     T.StructField("pack_id", T.LongType()),
@@ -107,6 +110,28 @@ def pack_block(docs: list[tuple[int | None, np.ndarray]], length: int, pad: int,
         yield row.tobytes(), places.tobytes(), cu, [pieces[i][0] for i in members], [pieces[i][1] for i in members]
 
 
+def tokenize(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Add ``ids`` (little-endian unsigned 32-bit integers) of ``text`` by the tokenizer library."""
+    shared = df.sparkSession.sparkContext.broadcast(file_bytes(vocabulary))
+
+    def make():
+        encoding = _encoding(shared.value)
+        return lambda t: np.array(encoding.encode_ordinary(t or ""), "<u4").tobytes()
+
+    return mapped(df, [text], ids, T.BinaryType(), pa.binary(), make)
+
+
+_ENCODINGS: dict[int, tiktoken.Encoding] = {}
+
+
+def _encoding(raw: bytes) -> tiktoken.Encoding:
+    key = hash(raw)
+    if key not in _ENCODINGS:
+        ranks = ByteBPE.from_file_bytes(raw).ranks
+        _ENCODINGS[key] = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    return _ENCODINGS[key]
+
+
 def pack(df: DataFrame, doc_id: str = "doc_id", ids: str = "ids", length: int = 2048, end: int = 50256,
          pad: int = 50256, dtype: str = "<u2", block_tokens: int = 2_000_000) -> DataFrame:
     """Packed rows of the documents' ids (binary, little-endian unsigned 32-bit integers).
