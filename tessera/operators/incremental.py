@@ -28,7 +28,8 @@ def restrict_to_partitions(table: DataFrame, partitions: DataFrame, partition_co
     """Rows of ``table`` in the affected partitions (a semi join; partition
     pruning applies when ``table`` is a partitioned scan and the partition
     set is small enough for Catalyst to broadcast)."""
-    return table.join(partitions, list(partition_cols), "left_semi")
+    same = [table[c].eqNullSafe(partitions[c]) for c in partition_cols]  # a NULL partition is a partition
+    return table.join(partitions, same, "left_semi")
 
 
 # ------------------------------------------------------------ late data

@@ -103,14 +103,21 @@ def profile_table(df: DataFrame, table_name: str = "table") -> DataFrame:
 
 
 def profile_files(spark: SparkSession, path: str, fmt: str = "csv", **options) -> DataFrame:
-    """Rows per source file of one folder in a single scan (file name from ``_metadata``)."""
-    reader = spark.read.format(fmt)
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    df = reader.load(path)
-    return (
-        df.select(F.col("_metadata.file_name").alias("file_name"))
-        .groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count"))
-        .withColumn("column_count", F.lit(len(df.columns)))
-        .orderBy("file_name")
-    )
+    """Rows, columns and null cells per source file of one folder, each read by its own header or schema.
+
+    The file names (one short row per file) are listed through ``_metadata``.
+    """
+    def read(p: str) -> DataFrame:
+        return spark.read.format(fmt).options(**options).load(p)
+
+    names = read(path).select("_metadata.file_path", "_metadata.file_name").distinct().orderBy("file_name").collect()
+    parts = []
+    for name in names:
+        df = read(name["file_path"])
+        nulls = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns), F.lit(0))
+        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), nulls.cast("long").alias("null_cells")).select(
+            F.lit(name["file_name"]).alias("file_name"), "row_count", F.lit(len(df.columns)).alias("column_count"), "null_cells",
+            F.lit(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)).alias("file_schema")))
+    if not parts:
+        return spark.createDataFrame([], "file_name string, row_count long, column_count int, null_cells long, file_schema string")
+    return union_all(parts).orderBy("file_name")

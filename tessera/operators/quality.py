@@ -215,7 +215,7 @@ class QualityGateError(RuntimeError):
 def assert_passed(report: DataFrame) -> None:
     """Raise if any rule failed. The report has one row per rule, so this
     action moves a fixed, small number of rows to the driver."""
-    failed = report.where(~F.col("passed")).select("test_name", "rows_failed").collect()
+    failed = report.where(~F.coalesce("passed", F.lit(False))).select("test_name", "rows_failed").collect()
     if failed:
         names = ", ".join(f"{r.test_name} ({r.rows_failed})" for r in failed)
         raise QualityGateError(f"{len(failed)} data-quality checks failed: {names}")

@@ -5,15 +5,18 @@ group in one buffer, and ``percentile_approx`` with a tight error bound keeps
 a very large sketch per group and task. Here the exact value at rank
 ``ceil(q * n)`` (the SQL-standard discrete percentile) is found by selection:
 
-1. range-partition (group, value) into balanced segments and materialise
+1. aggregate to a histogram (group, value, count): map-side combined, so a hot
+   value is one row;
+2. range-partition it on (group, value) into balanced segments and materialise
    them once (a written table in the shared checkpoint folder): a large
    group spans many segments;
-2. count rows per (group, segment): a table with about groups + segments rows;
-3. running sums over that small table locate, per group, the segment that
+3. sum the counts per (group, segment): a table with about groups + segments rows;
+4. running sums over that small table locate, per group, the segment that
    holds the target rank and the rank inside it;
-4. rank only the rows of those target segments (one segment per group).
+5. running sums over the values of those target segments (one per group).
 
-No task ever sorts more than one segment, whatever the group sizes.
+No task ever sorts more than one segment of distinct values, whatever the
+group sizes and however often a value occurs.
 """
 
 from __future__ import annotations
@@ -41,23 +44,19 @@ def range_segments(df: DataFrame, order: Sequence, segments: int | None = None)
     return materialize(ranged.withColumn("_seg", F.spark_partition_id()), "segments")
 
 
-def segmented(df: DataFrame, group_cols: Sequence[str], value_col: str, segments: int | None = None) -> DataFrame:
-    """All columns of ``df`` (non-NULL values only), range-segmented on (groups, value) and materialised."""
-    order = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col(value_col).asc()]
-    return range_segments(df.where(F.col(value_col).isNotNull()), order, segments)
-
-
-def segment_percentile(ranged: DataFrame, group_cols: Sequence[str], value_col: str, q: float,
-                       alias: str = "percentile") -> DataFrame:
-    """Exact discrete percentile per group from a ``segmented`` table."""
+def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_col: str, q: float,
+                     segments: int | None = None, alias: str = "percentile") -> DataFrame:
+    """Per group (a NULL group too), the value at 1-based rank ceil(q * n) among the non-NULL values."""
     frac = Fraction(str(q))
     if not 0 < frac <= 1:
         raise ValueError("q must be in (0, 1]")
     groups = list(group_cols)
-    counts = ranged.groupBy(*groups, "_seg").agg(F.count(F.lit(1)).alias("_cnt"))
+    histogram = df.where(F.col(value_col).isNotNull()).groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    order = [F.col(g).asc_nulls_first() for g in groups] + [F.col(value_col).asc()]
+    ranged = range_segments(histogram, order, segments)
     by_group = Window.partitionBy(*groups)
     running = by_group.orderBy("_seg").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = counts.select(
+    counts = ranged.groupBy(*groups, "_seg").agg(F.sum("_n").alias("_cnt")).select(
         "*", F.sum("_cnt").over(running).alias("_cum"), F.sum("_cnt").over(by_group).alias("_total"),
     )
     # ceil(q * total) on integers: (num * total + den - 1) div den
@@ -65,17 +64,12 @@ def segment_percentile(ranged: DataFrame, group_cols: Sequence[str], value_col:
     k = ((x - x % frac.denominator) / frac.denominator).cast("long")
     before = F.col("_cum") - F.col("_cnt")
     target = counts.withColumn("_k", k).where((before < F.col("_k")) & (F.col("_cum") >= F.col("_k"))).select(
-        *groups, "_seg", (F.col("_k") - before).alias("_local_k")
-    )
-    cand = ranged.select(*groups, "_seg", value_col).join(target, [*groups, "_seg"])  # target segments only
-    w = Window.partitionBy(*groups, "_seg").orderBy(F.col(value_col).asc())
-    return cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") == F.col("_local_k")).select(
-        *groups, F.col(value_col).alias(alias)
+        *(F.col(g).alias(f"_t_{g}") for g in groups), F.col("_seg").alias("_t_seg"), (F.col("_k") - before).alias("_local_k")
     )
-
-
-def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_col: str, q: float,
-                     segments: int | None = None, alias: str = "percentile") -> DataFrame:
-    """Per group, the value at 1-based rank ceil(q * n) among the non-NULL values."""
-    ranged = segmented(df.select(*group_cols, value_col), group_cols, value_col, segments)
-    return segment_percentile(ranged, group_cols, value_col, q, alias)
+    same = [F.col(g).eqNullSafe(F.col(f"_t_{g}")) for g in groups]
+    candidates = ranged.join(target, [F.col("_seg") == F.col("_t_seg"), *same])  # target segments only
+    in_segment = Window.partitionBy(*groups, "_seg").orderBy(F.col(value_col).asc())
+    upto = F.sum("_n").over(in_segment.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return candidates.withColumn("_upto", upto).where(
+        (F.col("_upto") >= F.col("_local_k")) & (F.col("_upto") - F.col("_n") < F.col("_local_k"))
+    ).select(*groups, F.col(value_col).alias(alias))

@@ -456,8 +456,7 @@ def q_bronze_stream_append(spark, d):
     root = scratch_path(spark, "bronze-events")
     src = spark.read.parquet(os.path.join(d, "events.parquet"))
     ingest_bronze(spark, os.path.join(d, "events*.parquet"), src.schema, os.path.join(root, "data"),
-                  os.path.join(root, "_checkpoint"), batch_id="events-initial",
-                  dedupe=("ts", ["event_id"], "1 hour"))
+                  os.path.join(root, "_checkpoint"), batch_id="events-initial")
     return spark.read.parquet(os.path.join(root, "data")).drop("ingestion_ts")
 
 

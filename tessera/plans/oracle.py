@@ -746,3 +746,5 @@ ORACLE["event_payment_sequence"] = with_star("""
 SELECT user_id, event_id, ts, value AS payment_value,
        ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS payment_sequential
 FROM events WHERE event_type = 'purchase'""")
+
+ORACLE["bronze_stream_append"] = "SELECT *, 'events-initial' AS batch_id FROM events"

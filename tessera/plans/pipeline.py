@@ -57,8 +57,11 @@ def row_count_report(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def silver_from_bronze(spark: SparkSession, bronze_root: str, taxonomy: DataFrame) -> LazyTables:
-    """Silver tables (latest ingestion wins) from Bronze folders written by ``sources.io.ingest_batch``."""
+def silver_from_bronze(spark: SparkSession, bronze_root: str, taxonomy: DataFrame, geolocation: bool = False) -> LazyTables:
+    """Silver tables (latest ingestion wins) from Bronze folders written by ``sources.io.ingest_batch``.
+
+    ``geolocation`` tells whether that (optional) data set was ingested.
+    """
     import os
 
     from ..operators import silver as S
@@ -66,7 +69,8 @@ def silver_from_bronze(spark: SparkSession, bronze_root: str, taxonomy: DataFram
     def bronze(name: str) -> DataFrame:
         return spark.read.parquet(os.path.join(bronze_root, name))
 
-    return LazyTables({
+    extra = {"geolocation": lambda: S.silver_geolocation(bronze("geolocation"))} if geolocation else {}
+    return LazyTables(extra | {
         "customers": lambda: S.silver_customers(bronze("customers")),
         "sellers": lambda: S.silver_sellers(bronze("sellers")),
         "products": lambda: S.silver_products(bronze("products"), taxonomy),
@@ -102,6 +106,6 @@ def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str
         taxonomy = marketplace_taxonomy(spark)
     else:
         taxonomy = load_taxonomy(spark, taxonomy_csv)
-    silver = silver_from_bronze(spark, bronze_root, taxonomy)
+    silver = silver_from_bronze(spark, bronze_root, taxonomy, geolocation="geolocation" in sources)
     fresh = spark.read.parquet(os.path.join(bronze_root, "customers"))
     return publish_gold(spark, silver, lake_root, fresh, "ingestion_ts", as_of, run_id, order_buckets)

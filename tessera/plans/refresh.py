@@ -14,6 +14,7 @@ explicitly.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,12 +66,12 @@ def refresh_order_items(spark: SparkSession, silver_items: DataFrame, batch_raw:
     keep = [c for c in latest_by if c in batch_raw.columns and c not in outs]
     batch = conform(batch_raw, spec, keep=keep)
     order = [c for c in latest_by if c in batch.columns]
-    # the batch is newer than Silver: it wins for its keys; inside the batch the latest-by order decides
+    # the latest-by order decides, as in a full rebuild; the batch wins only ties (and over rows without that order)
     current = silver_items.select(
         "*", *(F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in keep), F.lit(0).alias("_src")
     )
     both = current.unionByName(batch.withColumn("_src", F.lit(1)))
-    upserted = dedupe_latest(both, ITEM_KEYS, ["_src", *order]).drop("_src", *keep)
+    upserted = dedupe_latest(both, ITEM_KEYS, [*order, "_src"]).drop("_src", *keep)
 
     new_rows = K.fact_order_item(orders, batch.drop(*keep), dim_customer, dim_seller, dim_product)
     # declared schema: partition values are not type-inferred from folder names
@@ -82,18 +83,21 @@ def refresh_order_items(spark: SparkSession, silver_items: DataFrame, batch_raw:
     # rebuild only what lies in the affected partitions: restrict the orders to
     # the affected years first, then keep the exact (year, state) pairs
     years = affected.select("purchase_year").distinct()
-    orders_in = orders.join(years, F.year("purchased_at") == F.col("purchase_year"), "left_semi")
-    # the dedupe is per (order, item) key, so restricting to the affected orders
-    # first gives the same rows and leaves every other order untouched
-    both_in = both.join(orders_in.select("order_id"), "order_id", "left_semi")
-    items_in = dedupe_latest(both_in, ITEM_KEYS, ["_src", *order]).drop("_src", *keep)
+    orders_in = orders.join(years, F.year("purchased_at").eqNullSafe(F.col("purchase_year")), "left_semi")
+    # the dedupe is per (order, item) key, so restricting to the affected years
+    # first gives the same rows and leaves every other order untouched; an item
+    # whose order is unknown, or has no purchase time, lies in the NULL year
+    order_year = orders.select(F.col("order_id").alias("_order"), F.year("purchased_at").alias("_year"))
+    dated = both.join(order_year, F.col("order_id") == F.col("_order"), "left").drop("_order")
+    both_in = dated.join(years, F.col("_year").eqNullSafe(F.col("purchase_year")), "left_semi").drop("_year")
+    items_in = dedupe_latest(both_in, ITEM_KEYS, [*order, "_src"]).drop("_src", *keep)
     rebuilt = K.fact_order_item(orders_in, items_in, dim_customer, dim_seller, dim_product)
     rebuilt = rebuilt.join(affected, [rebuilt[c].eqNullSafe(affected[c]) for c in cols], "left_semi")
 
     # stage the rebuilt rows and the affected set first: the overwrite below
     # must not read the folder it replaces (this also cuts the lineage)
     base = fact_path.rstrip("/")
-    staged = os.path.join(os.path.dirname(base), "_refresh_" + os.path.basename(base))
+    staged = os.path.join(os.path.dirname(base), f"_refresh_{os.path.basename(base)}_{uuid.uuid4().hex[:8]}")
     write_partitioned(rebuilt, os.path.join(staged, "rows"), cols, dynamic=False)
     affected.write.mode("overwrite").parquet(os.path.join(staged, "affected"))
     fresh = spark.read.schema(rebuilt.schema).parquet(os.path.join(staged, "rows")).select(*rebuilt.columns)

@@ -57,14 +57,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        folder = configured
-    else:
-        folder = _FALLBACK.setdefault(id(spark), tempfile.mkdtemp(prefix="tessera-ckpt-"))
-    try:  # lineage cuts here are written tables; the RDD setting is only a convenience
-        spark.sparkContext.setCheckpointDir(folder)
-    except Exception:  # e.g. a Spark Connect session has no SparkContext
-        pass
-    return folder
+        return configured
+    if id(spark) not in _FALLBACK:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        _FALLBACK[id(spark)] = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    return _FALLBACK[id(spark)]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -4,9 +4,10 @@ A file source with a declared schema is appended to a Bronze folder with
 ``trigger(availableNow=True)``: every run processes exactly the files that
 arrived since the last run (tracked in the checkpoint), then stops. Each
 micro-batch stamps its rows with the run's batch id and ingestion time.
-``dedupe_within_watermark`` drops replays of the same business key that
-arrive within the watermark delay (bounded state), which makes re-sent
-batches harmless.
+Bronze is the replay source, so it keeps every row however late it arrives;
+re-sent rows are removed when Silver is built (``replay_safe``: one row per
+key). ``dedupe_within_watermark`` is for downstream streams that may forget
+rows older than the watermark; it is never applied on the way into Bronze.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.dedupe import dedupe_latest
+
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None, **options) -> DataFrame:
@@ -66,11 +69,11 @@ def append_stream(df: DataFrame, bronze_path: str, checkpoint: str, partition_co
 
 
 def ingest_bronze(spark: SparkSession, source: str, schema: T.StructType, bronze_path: str, checkpoint: str,
-                  batch_id: str, fmt: str = "parquet", dedupe: tuple[str, Sequence[str], str] | None = None,
-                  **options) -> None:
-    """source files -> (optional replay-safe dedupe) -> stamped Bronze append."""
-    df = read_stream(spark, source, schema, fmt, **options)
-    if dedupe is not None:
-        event_col, keys, delay = dedupe
-        df = dedupe_within_watermark(df, event_col, keys, delay)
-    append_stream(stamp_stream(df, batch_id), bronze_path, checkpoint)
+                  batch_id: str, fmt: str = "parquet", **options) -> None:
+    """source files -> stamped Bronze append, every row kept."""
+    append_stream(stamp_stream(read_stream(spark, source, schema, fmt, **options), batch_id), bronze_path, checkpoint)
+
+
+def replay_safe(bronze: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key of a Bronze table: the latest ingested (rows with a NULL key stay as one key)."""
+    return dedupe_latest(bronze, list(keys), ("ingestion_ts",))

@@ -6,7 +6,8 @@ a medallion pipeline those rows matter (they reopen already published
 partitions), so this stream keeps the watermark itself, with the same
 semantics: the watermark of a micro-batch is the largest event time seen in
 *earlier* micro-batches minus ``delay``. Rows of the batch below it go to the
-``late`` table (to drive a bounded backfill), the others to ``on_time``.
+``late`` table (to drive a bounded backfill), rows without an event time to
+``undated``, the others to ``on_time``: every row goes to exactly one.
 
 State is one row (the largest event time so far), written per batch id next
 to the outputs, so a retried batch reads the same previous state and writes
@@ -57,7 +58,9 @@ def route_late_events(spark: SparkSession, source: str, schema: T.StructType, ev
             watermark = F.lit(previous).cast(batch.schema[event_col].dataType) - F.expr(f"INTERVAL {delay_seconds} SECONDS")
             late_flag = F.col(event_col) < watermark
         routed = stamped.withColumn("_late", late_flag)
-        for name, cond in (("on_time", ~F.col("_late")), ("late", F.col("_late"))):
+        undated = F.col(event_col).isNull()
+        routed = routed.withColumn("_late", F.coalesce("_late", F.lit(False)))
+        for name, cond in (("on_time", ~undated & ~F.col("_late")), ("late", ~undated & F.col("_late")), ("undated", undated)):
             (routed.where(cond).drop("_late").write.mode("overwrite")
              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
              .parquet(os.path.join(out_root, name)))

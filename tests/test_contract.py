@@ -79,21 +79,27 @@ def test_publish_passes_on_clean_data(spark, tmp_path):
 def test_bronze_stream_is_incremental(spark, tmp_path):
     from pyspark.sql import functions as F
 
-    from tessera.streaming.bronze_stream import ingest_bronze
+    from tessera.streaming.bronze_stream import ingest_bronze, replay_safe
 
     src = tmp_path / "landing"
     bronze, ckpt = str(tmp_path / "bronze"), str(tmp_path / "ckpt")
     ev = spark.read.parquet(os.path.join(SF001, "events.parquet"))
     ev.where("event_id < 100").write.parquet(str(src / "b1"))
     schema = ev.schema
-    ingest_bronze(spark, str(src / "*"), schema, bronze, ckpt, "b1", dedupe=("ts", ["event_id"], "1 hour"))
+    ingest_bronze(spark, str(src / "*"), schema, bronze, ckpt, "b1")
     assert spark.read.parquet(bronze).count() == 100
     # a second landing batch replays 10 events and adds 50 new ones
     ev.where("event_id >= 90 AND event_id < 150").write.parquet(str(src / "b2"))
-    ingest_bronze(spark, str(src / "*"), schema, bronze, ckpt, "b2", dedupe=("ts", ["event_id"], "1 hour"))
+    ingest_bronze(spark, str(src / "*"), schema, bronze, ckpt, "b2")
+    back = spark.read.parquet(bronze)
+    assert back.count() == 160  # Bronze keeps everything, replays too
+    assert replay_safe(back, ["event_id"]).count() == 150
+    # an old file that arrives late is kept whole
+    ev.where("event_id >= 200 AND event_id < 300").withColumn("ts", F.expr("ts - INTERVAL 30 DAYS")).write.parquet(str(src / "b3"))
+    ingest_bronze(spark, str(src / "*"), schema, bronze, ckpt, "b3")
     back = spark.read.parquet(bronze)
-    assert back.count() == 150
-    assert back.select(F.countDistinct("event_id")).first()[0] == 150
+    assert back.where("batch_id = 'b3'").count() == 100
+    back = back.where("batch_id <> 'b3'")
     assert {r.batch_id for r in back.select("batch_id").distinct().collect()} == {"b1", "b2"}
 
 
@@ -337,3 +343,56 @@ def test_queries_work_without_a_configured_checkpoint_dir(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     assert "bronze_stream_append" in out.stdout
+
+
+def test_rows_without_event_time_are_routed_to_undated(spark, tmp_path):
+    from tessera.streaming.late_stream import route_late_events
+
+    landing, out = tmp_path / "landing", tmp_path / "out"
+    rows = spark.sql("SELECT id, CASE WHEN id < 3 THEN TIMESTAMP_NTZ'2024-01-01 00:00:00' END AS ts FROM range(4)")
+    rows.coalesce(1).write.parquet(str(landing / "b1"))
+    rows.withColumnRenamed("id", "x").selectExpr("x + 10 AS id", "ts").coalesce(1).write.parquet(str(landing / "b2"))
+    route_late_events(spark, str(landing / "*"), rows.schema, "ts", 60, str(out), str(tmp_path / "ckpt"), max_files_per_trigger=1)
+    schema = rows.schema.add("batch_id", "integer")
+    parts = {n: spark.read.schema(schema).parquet(str(out / n)).count() for n in ("on_time", "undated")}
+    assert parts == {"on_time": 6, "undated": 2}
+
+
+def test_null_partitions_and_groups_are_kept(spark):
+    from tessera.operators.incremental import restrict_to_partitions
+    from tessera.operators.quantiles import exact_percentile
+
+    t = spark.createDataFrame([(None, 1.0), ("a", 2.0), ("b", 3.0)], "g string, v double")
+    parts = spark.createDataFrame([(None,), ("a",)], "g string")
+    assert restrict_to_partitions(t, parts, ["g"]).count() == 2
+    assert {(r.g, r.percentile) for r in exact_percentile(t, ["g"], "v", 0.95).collect()} == {(None, 1.0), ("a", 2.0), ("b", 3.0)}
+
+
+def test_gate_fails_on_unknown_results(spark):
+    from tessera.operators.quality import QualityGateError, assert_passed
+
+    report = spark.createDataFrame([("a", None, 0)], "test_name string, passed boolean, rows_failed long")
+    with pytest.raises(QualityGateError):
+        assert_passed(report)
+
+
+def test_refresh_keeps_null_years_and_newer_versions(spark, tmp_path):
+    from conftest import raw_df
+    from tessera.operators.fingerprint import fingerprint
+    from tessera.plans.pipeline import build_star
+    from tessera.plans.refresh import refresh_order_items
+    from tessera.sources.io import write_partitioned
+    from test_silver_star import market
+
+    raw, silver, gold = market(spark)
+    path = str(tmp_path / "fact_order_item")
+    write_partitioned(gold["fact_order_item"], path, ["purchase_year", "seller_state"])
+    # an item of an unknown order lies in the NULL year, next to any that were there
+    batch = raw_df(spark, "order_items", [
+        {"order_id": "unknown", "order_item_id": "1", "product_id": "p2", "seller_id": "s2", "item_price": "7.00", "freight_cost": "1"},
+    ], "2024-03-01 00:00:00")
+    upserted, _ = refresh_order_items(spark, silver["order_items"], batch, silver["orders"], gold["dim_customer"],
+                                      gold["dim_seller"], gold["dim_product"], path)
+    full = build_star({**dict(silver), "order_items": upserted})["fact_order_item"]
+    back = spark.read.schema(full.schema).parquet(path)
+    assert back.count() == full.count() == gold["fact_order_item"].count() + 1
