@@ -8,6 +8,7 @@ DataFrame; printing is the caller's business.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,18 +106,17 @@ def profile_table(df: DataFrame, table_name: str = "table") -> DataFrame:
 def profile_files(spark: SparkSession, path: str, fmt: str = "csv", **options) -> DataFrame:
     """Rows, columns and null cells per source file of one folder, each read by its own header or schema.
 
-    The file names (one short row per file) are listed through ``_metadata``.
+    The files are those that Spark's own listing of the folder gives.
     """
     def read(p: str) -> DataFrame:
         return spark.read.format(fmt).options(**options).load(p)
 
-    names = read(path).select("_metadata.file_path", "_metadata.file_name").distinct().orderBy("file_name").collect()
     parts = []
-    for name in names:
-        df = read(name["file_path"])
+    for file in sorted(read(path).inputFiles()):
+        df = read(file)
         nulls = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns), F.lit(0))
         parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), nulls.cast("long").alias("null_cells")).select(
-            F.lit(name["file_name"]).alias("file_name"), "row_count", F.lit(len(df.columns)).alias("column_count"), "null_cells",
+            F.lit(unquote(file.rsplit("/", 1)[-1])).alias("file_name"), "row_count", F.lit(len(df.columns)).alias("column_count"), "null_cells",
             F.lit(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)).alias("file_schema")))
     if not parts:
         return spark.createDataFrame([], "file_name string, row_count long, column_count int, null_cells long, file_schema string")
