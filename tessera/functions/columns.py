@@ -84,11 +84,11 @@ def to_money(df: DataFrame, name: str) -> Column:
 
 
 def to_ts(df: DataFrame, name: str) -> Column:
-    """Timestamp from string (lenient: NULL on bad input) or pass typed values."""
+    """Wall-clock timestamp from string (NULL on bad input, no session zone involved) or typed values as they are."""
     dt = dtype_of(df, name)
     c = F.col(name)
     if isinstance(dt, T.StringType):
-        return F.try_to_timestamp(F.trim(c))
+        return F.trim(c).try_cast("timestamp_ntz")
     if isinstance(dt, T.DateType):
         return c.cast("timestamp_ntz")
     return c

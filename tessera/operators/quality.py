@@ -208,6 +208,29 @@ def dq_report(gold: dict[str, DataFrame], fresh_df: DataFrame, fresh_ts: str, as
     return union_all(numbered).select("check_no", *[f.name for f in RESULT_SCHEMA.fields])
 
 
+def key_collision_rules(gold: dict[str, DataFrame]) -> DataFrame:
+    """``surrogate_key_collisions`` as result rows: surrogate keys (evaluated) shared by several natural keys (failed)."""
+    named = surrogate_key_collisions(gold).withColumn(
+        "test_name", F.concat("table_name", F.lit(" surrogate keys do not collide")))
+    return named.select("test_name", *_finish(F.col("surrogate_keys"), F.col("colliding_keys")), F.lit("values").alias("unit"))
+
+
+def with_tolerance(report: DataFrame, max_pct: float | None) -> DataFrame:
+    """Rules pass up to ``max_pct`` percent of failing rows (None: always, the rates are only reported)."""
+    ok = F.lit(True) if max_pct is None else F.coalesce((F.col("rows_failed") == 0) | (F.col("failure_pct") <= max_pct), F.lit(False))
+    return report.withColumn("passed", ok)
+
+
+def build_checks(gold: dict[str, DataFrame], max_unresolved_pct: float | None = None) -> DataFrame:
+    """Build-time gate besides the suite: nine RI relations, key collisions, unresolved foreign keys.
+
+    ``max_unresolved_pct``: tolerated share of fact rows whose foreign key did
+    not resolve (a left-joined fact keeps such rows, so RI alone cannot see them).
+    """
+    return union_all([ri_check_matrix(gold), key_collision_rules(gold),
+                      with_tolerance(unresolved_fk_rates(gold), max_unresolved_pct)])
+
+
 class QualityGateError(RuntimeError):
     pass
 

@@ -26,7 +26,7 @@ _KIND = {
 
 _NULL_TYPE = {
     "id": T.StringType(), "upper": T.StringType(), "lower": T.StringType(), "text": T.StringType(),
-    "int": T.IntegerType(), "double": T.DoubleType(), "money": C.MONEY, "ts": T.TimestampType(),
+    "int": T.IntegerType(), "double": T.DoubleType(), "money": C.MONEY, "ts": T.TimestampNTZType(),
 }
 
 
@@ -78,6 +78,24 @@ def cast_failures(raw: DataFrame, spec: SilverSpec, table_name: str | None = Non
     return one.select(F.lit(table_name or spec.name).alias("table_name"), rows.alias("r")).select("table_name", "r.*")
 
 
+def current_failed_casts(raw: DataFrame, spec: SilverSpec) -> DataFrame:
+    """One row, ``failed``: rows with a value that does not convert and that no later version of their key replaces.
+
+    Only the keys of rows with such values (rare) are deduplicated again.
+    """
+    typed = [c for c in spec.columns if c.kind in TYPED_KINDS and c.src in raw.columns]
+    bad = F.lit(False)
+    for c in typed:
+        bad = bad | (F.col(c.src).isNotNull() & _KIND[c.kind](raw, c.src).isNull())
+    order = [c for c in spec.latest_by if c in raw.columns]
+    rows = conform(raw.withColumn("_bad", bad), spec, keep=["_bad", *(c for c in order if c not in _outs(spec))])
+    if spec.keys:
+        keys = rows.where("_bad").select(*(F.col(k).alias(f"_k_{k}") for k in spec.keys)).distinct()
+        same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in spec.keys]
+        rows = dedupe_latest(rows.join(keys, same, "left_semi"), spec.keys, order)
+    return rows.agg(F.count_if("_bad").alias("failed"))
+
+
 def build_silver(raw: DataFrame, spec: SilverSpec, latest_by: Sequence[str] | None = None) -> DataFrame:
     """conform -> latest-wins dedupe on the spec key -> drop batch metadata."""
     order = tuple(latest_by) if latest_by is not None else spec.latest_by

@@ -555,3 +555,59 @@ def q_event_payment_sequence(spark, d):
     ev = D.read(spark, d, "events").where(F.col("event_type") == "purchase").select(
         "user_id", "event_id", "ts", F.col("value").alias("payment_value"))
     return sequence_number(ev, ["user_id"], ["ts", "event_id"], "payment_sequential")
+
+
+# ---------------------------------------------------------------- build gate, refresh, late routing
+MAX_UNRESOLVED_PCT = 5.0
+
+
+@query("publish_gate")
+def q_publish_gate(spark, d):
+    """The build checks besides the suite: RI relations, key collisions, unresolved foreign keys."""
+    return Q.build_checks(driver_star(spark, d), MAX_UNRESOLVED_PCT)
+
+
+@query("incremental_refresh")
+def q_incremental_refresh(spark, d):
+    """The fact written without the last deliveries, then refreshed with them: equals the full rebuild."""
+    import os
+
+    from ..operators.silver import silver_order_items
+    from ..session import materialize, scratch_path
+    from ..sources.io import write_partitioned
+    from .refresh import refresh_order_items
+
+    raw = D.raw_tables(spark, d)["order_items"]
+    cutoff = raw.select(F.max("delivered_at") - F.expr(f"INTERVAL {BATCH_DAYS} DAYS")).scalar()
+    newest = F.coalesce(F.col("delivered_at") >= cutoff, F.lit(False))
+    current = materialize(silver_order_items(raw.where(~newest), latest_by=D.ITEM_LATEST_BY), "refresh-items")
+    orders = materialize(D.silver_tables(spark, d)["orders"], "refresh-orders")
+    dims = [driver_star(spark, d)[n] for n in ("dim_customer", "dim_seller", "dim_product")]
+    path = os.path.join(scratch_path(spark, "refresh-fact"), "fact_order_item")
+    fact = K.fact_order_item(orders, current, *dims)
+    write_partitioned(fact, path, list(K.PARTITIONS["fact_order_item"]))
+    refresh_order_items(spark, current, raw.where(newest), orders, *dims, path, latest_by=D.ITEM_LATEST_BY)
+    refreshed = spark.read.schema(fact.schema).parquet(path).select(*fact.columns)
+    return _money(_flags(refreshed, "customer_key", "seller_key", "product_key"), "item_price", "freight_cost")
+
+
+LATE_DELAY_SECONDS = 3600
+
+
+@query("late_event_routing")
+def q_late_event_routing(spark, d):
+    """The events feed routed twice: in the second landing all but the last hour is late. Rows per table."""
+    import os
+
+    from ..session import scratch_path
+    from ..streaming.late_stream import route_late_events
+
+    root = scratch_path(spark, "late-events")
+    events = D.read(spark, d, "events")
+    for _ in range(2):
+        events.write.mode("append").parquet(os.path.join(root, "landing"))
+        route_late_events(spark, os.path.join(root, "landing"), events.schema, "ts", LATE_DELAY_SECONDS,
+                          os.path.join(root, "out"), os.path.join(root, "_checkpoint"))
+    return Q.union_all([
+        spark.read.schema(events.schema).parquet(os.path.join(root, "out", name)).agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "row_count") for name in ("on_time", "late", "undated")])

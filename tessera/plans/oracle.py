@@ -748,3 +748,31 @@ SELECT user_id, event_id, ts, value AS payment_value,
 FROM events WHERE event_type = 'purchase'""")
 
 ORACLE["bronze_stream_append"] = "SELECT *, 'events-initial' AS batch_id FROM events"
+
+
+_RESULT = "test_name, rows_evaluated, rows_failed, failure_pct"
+ORACLE["publish_gate"] = f"""
+SELECT {_RESULT}, passed, unit FROM ({ORACLE["ri_check_matrix"]}) a
+UNION ALL
+SELECT table_name || ' surrogate keys do not collide', surrogate_keys, colliding_keys,
+       CASE WHEN surrogate_keys = 0 THEN 0.0 ELSE CAST(colliding_keys AS DOUBLE) / surrogate_keys * 100.0 END,
+       colliding_keys = 0, 'values' FROM ({ORACLE["surrogate_key_collisions"]}) b
+UNION ALL
+SELECT {_RESULT}, rows_failed = 0 OR failure_pct <= 5.0, unit FROM ({ORACLE["unresolved_fk_rates"]}) c"""
+
+# a refreshed fact equals the fact built at once
+ORACLE["incremental_refresh"] = ORACLE["fact_order_item"]
+
+ORACLE["late_event_routing"] = """
+WITH w AS (SELECT max(ts) - INTERVAL 3600 SECONDS AS watermark FROM events)
+SELECT 'on_time' AS table_name, COUNT(ts) + COUNT(*) FILTER (WHERE ts >= watermark) AS row_count FROM events, w
+UNION ALL SELECT 'late', COUNT(*) FILTER (WHERE ts < watermark) FROM events, w
+UNION ALL SELECT 'undated', 2 * COUNT(*) FILTER (WHERE ts IS NULL) FROM events"""
+
+# two builds of the same inputs: as many rows, equal fingerprints
+_SILVER_COUNTS = with_star(" UNION ALL ".join(
+    f"SELECT 'silver_{t}' AS table_name, COUNT(*) AS row_count FROM silver_{t}"
+    for t in ("customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews")))
+ORACLE["idempotency_check"] = f"""
+SELECT table_name, row_count AS rows_a, row_count AS rows_b, TRUE AS "equal" FROM (
+    SELECT * FROM ({_SILVER_COUNTS}) s UNION ALL SELECT * FROM ({ORACLE["row_count_report"]}) g) t"""

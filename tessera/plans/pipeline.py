@@ -65,9 +65,10 @@ def silver_from_bronze(spark: SparkSession, bronze_root: str, taxonomy: DataFram
     import os
 
     from ..operators import silver as S
+    from ..sources.io import well_formed
 
     def bronze(name: str) -> DataFrame:
-        return spark.read.parquet(os.path.join(bronze_root, name))
+        return well_formed(spark.read.parquet(os.path.join(bronze_root, name)))
 
     extra = {"geolocation": lambda: S.silver_geolocation(bronze("geolocation"))} if geolocation else {}
     return LazyTables(extra | {
@@ -82,24 +83,28 @@ def silver_from_bronze(spark: SparkSession, bronze_root: str, taxonomy: DataFram
 
 
 def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str | None, lake_root: str,
-                 as_of=None, run_id: str | None = None, order_buckets: int | None = None) -> DataFrame:
+                 as_of=None, run_id: str | None = None, order_buckets: int | None = None,
+                 max_unresolved_pct: float | None = 5.0) -> DataFrame:
     """Raw CSV files -> Bronze (append, one batch) -> Silver -> Gold, published behind the DQ gate.
 
     ``sources`` maps data-set names (customers, orders, order_items,
     order_payments, order_reviews, products, sellers, geolocation) to CSV
     files or folders. ``taxonomy_csv=None`` uses the marketplace taxonomy
-    shipped in ``sources.taxonomy_data``. Freshness is checked on the Bronze ``customers``
-    ingestion time. Returns the stored DQ report; raises QualityGateError
-    (nothing published) when a check fails.
+    shipped in ``sources.taxonomy_data``. Freshness is checked on every feed's
+    ingestion time; lines that do not parse stay in Bronze, and such lines in
+    this batch, values that do not convert, or more than ``max_unresolved_pct``
+    percent of unresolved foreign keys stop the publication. Returns the
+    stored DQ report; raises QualityGateError (nothing published) when a
+    check fails.
     """
     import os
 
     from ..operators.taxonomy import load_taxonomy
     from ..sources.io import ingest_batch
-    from .publish import publish_gold
+    from .publish import bronze_checks, publish_gold
 
     bronze_root = os.path.join(lake_root, "bronze")
-    ingest_batch(spark, sources, bronze_root)
+    batch_id, _ = ingest_batch(spark, sources, bronze_root)
     if taxonomy_csv is None:
         from ..sources.taxonomy_data import marketplace_taxonomy
 
@@ -107,5 +112,8 @@ def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str
     else:
         taxonomy = load_taxonomy(spark, taxonomy_csv)
     silver = silver_from_bronze(spark, bronze_root, taxonomy, geolocation="geolocation" in sources)
+    bronze = {name: spark.read.parquet(os.path.join(bronze_root, name)) for name in sources}
+    checks = bronze_checks(bronze, batch_id, as_of if as_of is not None else F.current_timestamp())
     fresh = spark.read.parquet(os.path.join(bronze_root, "customers"))
-    return publish_gold(spark, silver, lake_root, fresh, "ingestion_ts", as_of, run_id, order_buckets)
+    return publish_gold(spark, silver, lake_root, fresh, "ingestion_ts", as_of, run_id, order_buckets,
+                        max_unresolved_pct, checks)

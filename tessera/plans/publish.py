@@ -29,7 +29,7 @@ def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str, bucke
     path = os.path.join(folder, name)
     if bucket is not None:
         cols, n = bucket
-        table = "tessera_" + re.sub(r"[^0-9a-zA-Z]", "_", os.path.basename(folder.rstrip("/")) + "_" + name)
+        table = "tessera_" + re.sub(r"[^0-9a-zA-Z]", "_", "_".join(folder.rstrip("/").split("/")[-2:]) + "_" + name)
         return write_bucketed(df, path, table, cols, n).select(*df.columns)
     if name in PARTITIONS:
         write_partitioned(df, path, PARTITIONS[name])
@@ -97,9 +97,14 @@ def stage_layers(spark: SparkSession, silver, folder: str, order_buckets: int |
 
 def publish_gold(spark: SparkSession, silver, root: str, fresh_df: DataFrame, fresh_ts: str,
                  as_of: Column | None = None, run_id: str | None = None,
-                 order_buckets: int | None = None) -> DataFrame:
+                 order_buckets: int | None = None, max_unresolved_pct: float | None = None,
+                 source_checks: DataFrame | None = None) -> DataFrame:
     """Stage Silver and Gold, check what was written, then publish.
 
+    Two reports are stored with the run: the 16-check suite (returned) and
+    the build checks: nine RI relations, key collisions, unresolved foreign
+    keys (tolerated up to ``max_unresolved_pct``; None only reports them) and
+    ``source_checks`` (result rows about the raw feeds, see ``bronze_checks``).
     Raises QualityGateError (and publishes nothing) when a check fails.
     """
     run_id = run_id or new_batch()[0]
@@ -109,11 +114,36 @@ def publish_gold(spark: SparkSession, silver, root: str, fresh_df: DataFrame, fr
     report_path = os.path.join(folder, "_dq_report")
     write_table(report.coalesce(1), report_path)
     stored = spark.read.parquet(report_path)
-    Q.assert_passed(stored)
+    build = Q.build_checks(written, max_unresolved_pct)
+    build = build if source_checks is None else build.unionByName(source_checks)
+    build_path = os.path.join(folder, "_build_checks")
+    write_table(build.coalesce(1), build_path)
+    Q.assert_passed(stored.select("test_name", "rows_failed", "passed").unionByName(
+        spark.read.parquet(build_path).select("test_name", "rows_failed", "passed")))
     spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("overwrite").text(os.path.join(root, POINTER))
     return stored
 
 
+def bronze_checks(bronze: dict[str, DataFrame], batch_id: str, as_of: Column) -> DataFrame:
+    """Result rows about the raw feeds of a run.
+
+    Per data set: lines of this batch that did not parse (earlier ones are in
+    quarantine, they never reach Silver), rows whose current version holds a
+    value that does not convert, and the age of the newest batch.
+    """
+    from ..operators.silver import current_failed_casts
+    from ..sources.io import well_formed
+    from ..sources.schemas import SILVER_SPECS
+
+    parts = []
+    for name, raw in bronze.items():
+        parts.append(Q.malformed_rows_rule(raw.where(F.col("batch_id") == batch_id), f"{name}: lines of the batch parse"))
+        parts.append(Q.result(current_failed_casts(well_formed(raw), SILVER_SPECS[name]), f"{name}: values convert",
+                              None, "failed", "rows"))
+        parts.append(Q.freshness_rule(raw, "ingestion_ts", as_of, f"{name}: ingestion is fresh"))
+    return Q.union_all(parts)
+
+
 def current_run(spark: SparkSession, root: str) -> str:
     return spark.read.text(os.path.join(root, POINTER)).first()[0]
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import incremental as T
+from ..operators import quality as Q
 from ..operators.dedupe import dedupe_latest
 from ..operators import star as K
 from ..operators.silver import conform
@@ -57,7 +58,8 @@ def refresh_order_items(spark: SparkSession, silver_items: DataFrame, batch_raw:
 
     Returns (upserted Silver items, affected partitions). The caller persists
     the returned Silver table; the fact folder is updated in place, partition
-    by partition.
+    by partition, after the staged rows passed their checks (QualityGateError
+    otherwise, and the published fact is left as it was).
     """
     cols = list(K.PARTITIONS["fact_order_item"])
     spec = SILVER_SPECS["order_items"]
@@ -102,6 +104,11 @@ def refresh_order_items(spark: SparkSession, silver_items: DataFrame, batch_raw:
     affected.write.mode("overwrite").parquet(os.path.join(staged, "affected"))
     fresh = spark.read.schema(rebuilt.schema).parquet(os.path.join(staged, "rows")).select(*rebuilt.columns)
     affected = spark.read.schema(affected.schema).parquet(os.path.join(staged, "affected"))
+    # the gate: what was staged is checked before any published partition is touched
+    Q.assert_passed(Q.union_all([
+        Q.grain_rule(fresh, ITEM_KEYS, "refreshed rows have unique (order_id, order_item_id) grain"),
+        *(Q.ri_rule(fresh, key, dim, key, f"refreshed rows: {key} has no orphans")
+          for key, dim in (("customer_key", dim_customer), ("seller_key", dim_seller), ("product_key", dim_product)))]))
     emptied = affected.join(fresh.select(*cols).distinct(), [affected[c].eqNullSafe(fresh[c]) for c in cols], "left_anti")
     delete_partitions(spark, fact_path, cols, emptied)
     write_partitioned(fresh, fact_path, cols, dynamic=True)

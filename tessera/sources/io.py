@@ -63,6 +63,11 @@ def read_raw(spark: SparkSession, path: str, name: str, schema: T.StructType | N
     return df.select(*cols, CORRUPT)
 
 
+def well_formed(bronze: DataFrame) -> DataFrame:
+    """Bronze rows without the lines that did not parse (those stay in Bronze, as a quarantine)."""
+    return bronze.where(F.col(CORRUPT).isNull()) if CORRUPT in bronze.columns else bronze
+
+
 def header_drift(spark: SparkSession, path: str, name: str, schema: T.StructType | None = None) -> DataFrame:
     """Schema drift of a raw CSV source against its declared columns (from the header)."""
     from ..operators.incremental import schema_drift

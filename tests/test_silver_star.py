@@ -1,5 +1,6 @@
 """Silver typing/dedupe and Gold star fixtures (FIXTURES.md §4)."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import raw_df
@@ -248,10 +249,8 @@ def test_malformed_csv_lines_are_kept_and_counted(spark, tmp_path):
     assert S.silver_customers(b).count() == 3 and "_corrupt_record" not in S.silver_customers(b).columns
 
 
-def test_csv_pipeline_end_to_end(spark, tmp_path):
-    from tessera.plans.pipeline import csv_pipeline
-    from tessera.plans.publish import read_published
-
+def _csv_sources(tmp_path, **changed):
+    """A small clean marketplace as CSV files; ``changed`` replaces the text of data sets."""
     files = {
         "customers": "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
                      "c1,u1,01409,sao paulo,sp\nc2,u2,22000,rio,rj\n",
@@ -269,15 +268,65 @@ def test_csv_pipeline_end_to_end(spark, tmp_path):
                        "01409,-23.5,-46.6,sao paulo,sp\n",
     }
     sources = {}
-    for name, text in files.items():
+    for name, text in (files | changed).items():
         p = tmp_path / "raw" / f"{name}.csv"
         p.parent.mkdir(exist_ok=True)
         p.write_text(text)
         sources[name] = str(p)
     tax = tmp_path / "taxonomy.csv"
     tax.write_text("source_category,normalized_category,category_family\naudio,Audio,Electronics\n")
+    return sources, str(tax)
+
+
+ITEM_HEADER = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,item_price,freight_cost\n"
+
+
+@pytest.mark.parametrize("row, reason", [
+    ("o1,2,p1,s1,2018-01-08 00:00:00\n", "lines of the batch parse"),
+    ("o1,1,p1,s1,2018-01-08 00:00:00,ten,2.25\n", "values convert"),
+    ("o9,1,p9,s9,2018-01-08 00:00:00,10.50,2.25\n", "is resolved"),
+])
+def test_csv_pipeline_refuses_broken_input_until_repaired(spark, tmp_path, row, reason):
+    import os
+
+    from tessera.operators.quality import QualityGateError
+    from tessera.plans.pipeline import csv_pipeline
+    from tessera.plans.publish import POINTER, read_published
+
+    good = "o1,1,p1,s1,2018-01-08 00:00:00,10.50,2.25\n"
+    root = str(tmp_path / "lake")
+    sources, tax = _csv_sources(tmp_path, order_items=ITEM_HEADER + ("" if reason == "values convert" else good) + row)
+    with pytest.raises(QualityGateError, match=reason):
+        csv_pipeline(spark, sources, tax, root, run_id="broken")
+    assert not os.path.exists(os.path.join(root, POINTER))
+    if reason == "is resolved":
+        return  # the unknown order stays in Bronze until its order, product and seller arrive
+    sources, tax = _csv_sources(tmp_path, order_items=ITEM_HEADER + good)
+    csv_pipeline(spark, sources, tax, root, run_id="repaired")
+    items = read_published(spark, root, "fact_order_item").collect()
+    assert [(r.order_id, str(r.item_price)) for r in items] == [("o1", "10.50")]
+
+
+def test_csv_timestamps_have_no_zone(spark):
+    """A wall-clock time inside a daylight-saving gap stays as written, whatever the session zone."""
+    raw = raw_df(spark, "orders", [{"order_id": "o1", "customer_id": "c1", "purchased_at": "2018-03-11 02:30:00"}])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        orders = S.silver_orders(raw)
+        assert orders.schema["purchased_at"].dataType.typeName() == "timestamp_ntz"
+        assert str(orders.first().purchased_at) == "2018-03-11 02:30:00"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_csv_pipeline_end_to_end(spark, tmp_path):
+    from tessera.plans.pipeline import csv_pipeline
+    from tessera.plans.publish import read_published
+
+    sources, tax = _csv_sources(tmp_path)
     root = str(tmp_path / "lake")
-    report = csv_pipeline(spark, sources, str(tax), root, run_id="first")
+    report = csv_pipeline(spark, sources, tax, root, run_id="first")
     assert report.count() == 16 and report.where("NOT passed").count() == 0
     fact = read_published(spark, root, "fact_order_item").first()
     assert str(fact.item_price) == "10.50" and fact.purchase_year == 2018 and fact.seller_state == "SP"
@@ -288,7 +337,7 @@ def test_csv_pipeline_end_to_end(spark, tmp_path):
 
     before = {t: fingerprint(read_published(spark, root, t)).drop("table_name").first()
               for t in ("fact_order_item", "fact_review", "dim_customer")}
-    csv_pipeline(spark, sources, str(tax), root, run_id="second")
+    csv_pipeline(spark, sources, tax, root, run_id="second")
     after = {t: fingerprint(read_published(spark, root, t)).drop("table_name").first() for t in before}
     assert before == after
 
@@ -340,7 +389,8 @@ def test_null_keys_and_orphans_are_reported(spark):
     assert [(r.order_id, r.product_id) for r in rows] == [("o2", "pX")]
 
 
-def test_analyses_run_on_zoned_timestamps_from_csv(spark):
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_analyses_run_on_wall_clock_and_zoned_timestamps(spark, kind):
     from pyspark.sql import functions as F
 
     from tessera.operators import analytics as N
@@ -348,7 +398,12 @@ def test_analyses_run_on_zoned_timestamps_from_csv(spark):
     from tessera.operators import quality as Q
 
     raw, silver, gold = market(spark)
-    assert dict(silver["orders"].dtypes)["purchased_at"] == "timestamp"
+    assert dict(silver["orders"].dtypes)["purchased_at"] == "timestamp_ntz"  # as read from CSV
+    if kind == "timestamp":  # a typed source with zoned timestamps
+        orders = silver["orders"]
+        silver = {**silver, "orders": orders.select(*(F.col(c).cast(kind) if t == "timestamp_ntz" else F.col(c)
+                                                      for c, t in orders.dtypes))}
+        gold = build_star(silver)
     outs = [
         N.late_delivery_rate(gold["fact_order_item"], gold["dim_seller"], gold["dim_product"], min_items=1),
         N.delivery_lag_by_state(gold["fact_order_item"], gold["dim_customer"]),
