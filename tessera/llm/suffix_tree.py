@@ -15,10 +15,14 @@ How it runs: tasks turn their rows into blocks (at most ``block_bytes`` of
 text, or one longer text) of word numbers and per-block vocabularies, staged
 once. Word counts are summed over all blocks and joined back per block, so a
 frequent word costs one row per block and no task holds the vocabulary of the
-corpus. Pairs and triples are counted the same way, summed over all training
-texts. Contexts and next words must make up ``rate`` of all tokens, kept
-continuations ``least`` of them, so the tree has at most 1 / least entries per
-level whatever the corpus size; it is sent to all tasks.
+corpus. Each level is a Spark table and works the same way: blocks send every
+distinct run whose parts were seen ``LEAST`` times with its count in training
+texts, one shuffle by run adds these up, the divergence test is an aggregate
+by context, and its outcome is joined back to the blocks' runs and contexts. The test is the only pruning besides the fixed ``LEAST``; the
+tree grows with the corpus and is never collected or broadcast. ``rate`` and
+``least`` ask for shares of all tokens on top of that and are off by default.
+Runs go by 64-bit hashes: of g different runs about g * g / 2**65 pairs are
+taken for each other.
 
 Defined results: null text counts as empty; an empty text is its end token;
 repeated rows count and are scored row by row; without training rows all
@@ -33,12 +37,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, staged, task_number, words
+from .common import GOLDEN, fold, mix, staged, task_number, words
 
 BLOCK = T.StructType([
     T.StructField("block", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())),
@@ -52,8 +57,13 @@ SCORE = T.StructType([
     T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
     T.StructField("score", T.DoubleType()),
 ])
+GRAM = T.StructType([
+    T.StructField("block", T.LongType()), T.StructField("slot", T.IntegerType()), T.StructField("key", T.LongType()),
+    T.StructField("context", T.LongType()), T.StructField("p", T.DoubleType()), T.StructField("total", T.LongType()),
+    T.StructField("n", T.LongType()), T.StructField("inside", T.BooleanType()),
+])
 END = b""  # no word is empty
-BITS = 20  # numbers of frequent words fit: 1 / rate is far below a million
+LEAST = 2  # a run seen once says nothing of what follows it; the same at every corpus size
 
 
 class _Numbers(dict):
@@ -126,64 +136,9 @@ def _tokens(row: dict) -> tuple[np.ndarray, np.ndarray]:
     return tokens, np.arange(len(tokens)) - np.repeat(starts, sizes)
 
 
-def grams(rows: DataFrame, frequent: dict[bytes, int], parents: np.ndarray | None) -> DataFrame:
-    """(code, n): counts, per block, of runs of frequent words in training texts.
-
-    Without ``parents`` pairs; with them triples whose first two words are one
-    of those (sorted) pair codes.
-    """
-    session = rows.sparkSession
-    shared = session.sparkContext.broadcast((frequent, parents))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, pairs = shared.value
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {k: batch.column(j)[i].as_py() for j, k in enumerate(("held_out", "sizes", "tokens", "words"))}
-                tokens, at = _tokens(row)
-                number = np.array([known.get(w, -1) for w in row["words"]], np.int64)[tokens]
-                train = np.repeat(~np.array(row["held_out"], bool), row["sizes"])
-                good = (number[1:] >= 0) & (number[:-1] >= 0) & (at[1:] >= 1) & train[1:]
-                codes = np.where(good, number[:-1] << BITS | number[1:], -1)
-                if pairs is None:
-                    codes = codes[good]
-                else:
-                    inside = good[1:] & (_find(pairs, np.ones(len(pairs), np.int8), codes[:-1]) > 0)
-                    codes = (codes[:-1] << BITS | number[2:])[inside]
-                found, n = np.unique(codes, return_counts=True)
-                for a in range(0, len(found), 100_000):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(found[a : a + 100_000]), pa.array(n[a : a + 100_000].astype(np.int64))], names=["code", "n"])
-
-    return rows.select("held_out", "sizes", "tokens", "words").mapInArrow(run, "code long, n long")
-
-
-def grow(counted: DataFrame, least: int, total_of, parent: np.ndarray | None, gain: float, backoff) -> tuple[Level, np.ndarray]:
-    """A level of the tree from partial counts, and all (code, n) that occur ``least`` times or more.
-
-    ``total_of(contexts)`` gives the contexts' counts, ``backoff(codes)`` the
-    parent's probability of every continuation. What is collected has at most
-    1 / least rate entries.
-    """
-    summed = counted.groupBy("code").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    rows = summed.toPandas().sort_values("code")
-    seen = rows["code"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-    total, p = total_of(seen[0] >> BITS), backoff(seen[0])
-    gained = seen[1] * np.log(np.maximum(seen[1], 1) / np.maximum(total * p, 1e-300))
-    good = (gained > gain) & (seen[1] > total * p)
-    if parent is not None:  # the tree holds every suffix of a state
-        good &= np.isin(seen[0] >> BITS & ((1 << BITS) - 1), parent)
-    codes, n, total, p, gained = (x[good] for x in (*seen, total, p, gained))
-    contexts, start = np.unique(codes >> BITS, return_index=True)
-    if not len(contexts):
-        return Level(contexts, n, n, codes, n), np.stack(seen)
-    spread = np.diff(np.append(start, len(codes)))
-    taken, whole = np.add.reduceat(n, start), total[start]
-    rest, expected = np.maximum(whole - taken, 0.5), np.maximum(1 - np.add.reduceat(p, start), 1e-12)
-    divergence = np.add.reduceat(gained, start) + rest * np.log(rest / whole / expected)
-    kept = divergence > gain * spread
-    entries = np.repeat(kept, spread)
-    return Level(contexts[kept], whole[kept], taken[kept], codes[entries], n[entries]), np.stack(seen)
+def spread(p: np.ndarray, own: np.ndarray, total: np.ndarray, taken: np.ndarray, mu: float) -> np.ndarray:
+    """A state's probabilities from its parent's: kept continuations, and the rest spread like the parent."""
+    return (own + (mu + total - taken) * p) / (total + mu)
 
 
 def smooth(p: np.ndarray, level: Level, contexts: np.ndarray, codes: np.ndarray, mu: float) -> np.ndarray:
@@ -191,60 +146,163 @@ def smooth(p: np.ndarray, level: Level, contexts: np.ndarray, codes: np.ndarray,
     total = _find(level.contexts, level.totals, contexts)
     taken = _find(level.contexts, level.taken, contexts)
     own = _find(level.entries, level.counts, codes)
-    return np.where(total > 0, (own + (mu + total - taken) * p) / (total + mu), p)
+    return np.where(total > 0, spread(p, own, total, taken, mu), p)
+
+
+@dataclass
+class Setting:
+    """What all blocks need to know: training tokens and words, minimum counts, smoothing, highest order."""
 
+    n: int
+    v: int
+    context: float
+    continuation: float
+    mu: float
+    order: int
 
-def score(docs: DataFrame, folds: int = 5, held: int = 1, block_bytes: int = 12_000_000, rate: float = 2e-5,
-          least: float = 1e-6, gain: float = 6.0, mu: float = 20.0) -> DataFrame:
+
+class Walk:
+    """A block's tokens followed through the levels that are known so far.
+
+    For every token: its probability ``p``, the hash and count of the run of
+    ``level`` + 1 words that ends in it (0 where too rare), and whether the
+    context before it of ``level`` words is a state.
+    """
+
+    def __init__(self, rows: pa.Table, found: pa.Table, setting: Setting):
+        self.row = {k: rows.column(k)[0].as_py() for k in ("block", "doc_ids", "held_out", "sizes", "tokens", "words")}
+        self.setting, self.level = setting, 0
+        by = found.column("level").to_numpy()
+        values = [found.column(k).to_numpy() for k in ("slot", "a", "b")]
+        self.found = lambda level: tuple(x[by == level] for x in values)
+        tokens, self.at = _tokens(self.row)
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.row["words"]], np.uint64)
+        counts = np.zeros(len(hashes), np.int64)
+        slot, count, _ = self.found(0)
+        counts[slot] = count
+        self.word, self.count = hashes[tokens], counts[tokens]
+        self.known = self.count > 0
+        self.p = (self.count + 0.5) / (setting.n + 0.5 * (setting.v + 1))
+        self.base = np.log10(self.p)
+        self.key, self.state = self.word, self.at >= 1
+
+    def _next(self) -> None:
+        """Runs one word longer, and their contexts, both with their numbers in the block."""
+        s, k = self.setting, self.level + 1
+        self.total, self.context = np.roll(self.count, 1), np.roll(self.key, 1)
+        inside = (self.at >= k) & (self.total >= s.context)
+        self.inside = inside & self.state  # the tree holds every suffix of a state
+        self.sent = (inside if k < s.order else self.inside) & (self.count >= s.continuation)
+        self.longer = mix(self.context * np.uint64(GOLDEN) + self.word)
+        self.runs, self.first, self.run_of = np.unique(self.longer[self.sent], return_index=True, return_inverse=True)
+        self.contexts, self.context_of = np.unique(self.context[self.inside], return_inverse=True)
+
+    def step(self) -> None:
+        """To the next level, whose table is there."""
+        self._next()
+        slot, a, b = self.found(self.level + 1)
+        n, own = np.zeros((2, len(self.runs)), np.int64)
+        state, taken = np.zeros((2, len(self.contexts)), np.int64)
+        of_run = slot < len(self.runs)
+        n[slot[of_run]], own[slot[of_run]] = a[of_run], b[of_run]
+        state[slot[~of_run] - len(self.runs)], taken[slot[~of_run] - len(self.runs)] = a[~of_run], b[~of_run]
+        counts, owns, takens = np.zeros((3, len(self.p)), np.int64)
+        states = np.zeros(len(self.p), bool)
+        counts[self.sent], owns[self.sent] = n[self.run_of], own[self.run_of]
+        states[self.inside], takens[self.inside] = state[self.context_of] > 0, taken[self.context_of]
+        self.p = np.where(states, spread(self.p, owns, self.total, takens, self.setting.mu), self.p)
+        self.key, self.count, self.state = self.longer, counts, states
+        self.level += 1
+
+    def grams(self) -> pa.Table:
+        """Rows of ``GRAM`` for the next level; contexts come after the runs, without one of their own."""
+        self._next()
+        train = np.repeat(~np.array(self.row["held_out"], bool), self.row["sizes"])
+        n = np.bincount(self.run_of[train[self.sent]], minlength=len(self.runs))
+        at = np.flatnonzero(self.sent)[self.first]
+        none = np.zeros(len(self.contexts), np.int64)
+        made = len(self.runs) + len(self.contexts)
+        columns = (np.full(made, self.row["block"]), np.arange(made, dtype=np.int32),
+                   np.concatenate([self.runs, self.contexts]).view(np.int64),
+                   pa.array(np.concatenate([self.context[at].view(np.int64), none]), mask=np.arange(made) >= len(self.runs)), np.concatenate([self.p[at], none.astype(float)]),
+                   np.concatenate([self.total[at], none]), np.concatenate([n, none]),
+                   np.concatenate([self.inside[at], none.astype(bool)]))
+        return pa.table([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=GRAM.names)
+
+    def scores(self) -> pa.Table:
+        sizes = np.array(self.row["sizes"], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        columns = (self.row["doc_ids"], self.row["held_out"], sizes, np.add.reduceat(self.known.astype(np.int64), starts),
+                   np.full(len(sizes), self.setting.n), np.add.reduceat(self.base, starts), np.add.reduceat(np.log10(self.p), starts))
+        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        return pa.table([pa.array(x, k) for x, k in zip(columns, kinds)], names=SCORE.names)
+
+
+def walked(rows: DataFrame, found: DataFrame, setting: Setting, levels: int, last, schema: T.StructType) -> DataFrame:
+    """``last(walk)`` of every block after ``levels`` steps."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        walk = Walk(left, right, setting)
+        for _ in range(levels):
+            walk.step()
+        return last(walk)
+
+    return rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
+
+
+def grow(grams: DataFrame, levels: int, setting: Setting, gain: float) -> tuple[DataFrame, bool]:
+    """(block, level, slot, a, b) for the blocks' next step from rows of ``GRAM``, and whether there are states.
+
+    ``a`` and ``b`` are a run's count and its count as a kept continuation (or
+    0); of a context 1 and the sum of its kept continuations.
+    """
+    order = Window.partitionBy("key").orderBy("block")
+    seen = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    expected = F.col("total") * F.col("p")
+    gained = F.col("seen") * F.log(F.try_divide(F.col("seen"), expected))
+    good = F.coalesce(F.col("inside") & (gained > gain) & (F.col("seen") > expected), F.lit(False))
+    last = levels + 1 == setting.order  # nothing needs the counts of runs that are not kept
+    wanted = F.col("context").isNull() | ((F.col("seen") >= setting.continuation) & (F.col("good") if last else F.lit(True)))
+    summed = grams.withColumns({"seen": seen, "first": F.row_number().over(order) == 1}).withColumn("good", good).where(wanted)
+    tested = F.col("good") & F.col("first")
+    summed = staged(summed.select(
+        "block", "slot", F.when(F.col("context").isNull(), F.col("key")).when(F.col("good"), F.col("context")).alias("context"),
+        F.when(F.col("context").isNotNull(), F.col("seen")).alias("seen"), "good", tested.alias("tested"),
+        F.when(tested, F.col("p")).alias("p"), F.when(tested, F.col("total")).alias("total")), "lm-runs")
+    rest = F.greatest(F.col("whole") - F.col("taken"), F.lit(0.5))
+    divergence = F.col("gained") + rest * F.log(rest / F.col("whole") / F.greatest(1 - F.col("expected"), F.lit(1e-12)))
+    contexts = summed.where("tested").groupBy("context").agg(
+        F.max("total").alias("whole"), F.sum("seen").alias("taken"), F.sum("p").alias("expected"), F.sum(gained).alias("gained"),
+        F.count(F.lit(1)).alias("spread")).where(divergence > gain * F.col("spread"))
+    contexts = staged(contexts.select("context", "taken"), "lm-contexts")
+    joined = summed.where("good OR seen IS NULL").join(contexts, "context", "left").where(
+        "taken IS NOT NULL" if last else "taken IS NOT NULL OR good")
+    known = joined.select("block", "slot", F.coalesce("seen", F.lit(1)).alias("a"), F.when(F.col("taken").isNull(), 0).otherwise(
+        F.coalesce("seen", "taken")).alias("b"))
+    if not last:
+        known = known.unionByName(summed.where("seen IS NOT NULL AND NOT good").select(
+            "block", "slot", F.col("seen").alias("a"), F.lit(0).cast("long").alias("b")))
+    return known.withColumn("level", F.lit(levels + 1)), not contexts.isEmpty()
+
+
+def score(docs: DataFrame, folds: int = 5, held: int = 1, block_bytes: int = 12_000_000, rate: float = 0.0,
+          least: float = 0.0, gain: float = 6.0, mu: float = 20.0, order: int = 2) -> DataFrame:
     """Rows of ``SCORE`` for all documents; learns from those outside fold ``held``."""
-    spark = docs.sparkSession
     rows = staged(blocks(docs, block_bytes, folds, held), "lm-blocks")
     one = rows.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
     one = one.select("block", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     counts = staged(one.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "lm-counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n, v = int(total[0]), int(total[1])
-
-    # at most 1 / rate words
-    top = counts.where(F.col("c") >= max(2.0, rate * n)).orderBy("word").collect()
-    frequent = {bytes(r["word"]): i for i, r in enumerate(top)}
-    tokens = np.array([r["c"] for r in top], np.int64)
-    unigram = (tokens + 0.5) / (n + 0.5 * (v + 1))
-    low = (1 << BITS) - 1
-    enough = max(2, int(least * n))
-    first, seen = grow(grams(rows, frequent, None), enough, tokens.__getitem__, None, gain, lambda codes: unigram[codes & low])
-    pairs = np.sort(seen[0][(seen[1] >= max(2.0, rate * n)) & np.isin(seen[0] & low, first.contexts)])
-    second, _ = grow(grams(rows, frequent, pairs), enough, lambda contexts: _find(seen[0], seen[1], contexts), first.contexts, gain,
-                     lambda codes: smooth(unigram[codes & low], first, codes >> BITS & low, codes & (1 << 2 * BITS) - 1, mu))
-    shared = spark.sparkContext.broadcast((frequent, first, second, n, v, mu))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, one_word, two_words, n, v, mu = shared.value
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {k: batch.column(j)[i].as_py() for j, k in enumerate(("doc_ids", "held_out", "sizes", "tokens", "words"))}
-                count = np.zeros(len(row["words"]), np.int64)
-                found = batch.column(5)[i].values
-                if found is not None and len(found):
-                    count[found.field("at").to_numpy()] = found.field("c").to_numpy()
-                tokens, at = _tokens(row)
-                c = count[tokens]
-                p = (c + 0.5) / (n + 0.5 * (v + 1))
-                base = np.log10(p)
-                number = np.array([known.get(w, -1) for w in row["words"]], np.int64)[tokens]
-                before = np.where(at >= 1, np.roll(number, 1), -1)
-                code = np.where((before >= 0) & (number >= 0), before << BITS | number, -1)
-                p = smooth(p, one_word, before, code, mu)
-                pair = np.where(at >= 2, np.roll(code, 1), -1)
-                p = smooth(p, two_words, pair, np.where((pair >= 0) & (number >= 0), pair << BITS | number, -1), mu)
-                sizes = np.array(row["sizes"], np.int64)
-                starts = np.cumsum(sizes) - sizes
-                columns = (row["doc_ids"], row["held_out"], sizes, np.add.reduceat((c > 0).astype(np.int64), starts),
-                           np.full(len(sizes), n), np.add.reduceat(base, starts), np.add.reduceat(np.log10(p), starts))
-                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], names=SCORE.names)
-
-    per_block = (one.join(counts, "word").groupBy("block")
-                 .agg(F.collect_list(F.struct(F.col("at").alias("at"), F.col("c").alias("c"))).alias("found")))
-    joined = rows.select("block", "doc_ids", "held_out", "sizes", "tokens", "words").join(per_block, "block", "left")
-    return joined.drop("block").mapInArrow(run, SCORE)
+    setting = Setting(n, v, max(LEAST, rate * n), max(LEAST, least * n), mu, order)
+
+    rows = rows.drop("counts")
+    found = staged(one.join(counts, "word").select(
+        "block", F.lit(0).alias("level"), F.col("at").alias("slot"), F.col("c").alias("a"), F.lit(0).cast("long").alias("b")), "lm-found")
+    levels = 0
+    while levels < order:
+        known, more = grow(walked(rows, found, setting, levels, Walk.grams, GRAM), levels, setting, gain)
+        if not more:
+            break
+        levels += 1
+        found = found.unionByName(staged(known, "lm-found"))
+    return walked(rows, found, setting, levels, Walk.scores, SCORE)

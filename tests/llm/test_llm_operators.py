@@ -221,6 +221,18 @@ def test_suffix_tree_base_and_distribution(spark):
     assert suffix_tree.score(documents(spark, texts).limit(0)).count() == 0
 
 
+def test_suffix_tree_keeps_rare_contexts_in_a_larger_corpus(spark):
+    rng = random.Random(9)
+    trained = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = next(i for i in range(400) if i not in trained)
+    texts = {i: prose(rng, 800, 20000) for i in range(400)}
+    for i in trained[:3]:
+        texts[i] += " rare word"
+    texts[held] = "rare word"  # seen 3 times in 250,000 tokens
+    got = {r.doc_id: r for r in suffix_tree.score(documents(spark, texts.items())).collect()}
+    assert got[held].score - got[held].base_score > 2
+
+
 def test_smoothing_sums_to_one():
     level = suffix_tree.Level(np.array([3]), np.array([40]), np.array([25]), np.array([3 << 20 | 1, 3 << 20 | 4]), np.array([15, 10]))
     p = np.full(8, 1 / 8)
