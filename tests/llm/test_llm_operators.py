@@ -165,6 +165,28 @@ def test_chosen_path_equals_brute_force(spark, monkeypatch):
     assert got == brute_links(texts)
 
 
+def test_chosen_path_runs_reach_the_recall_for_subset_pairs():
+    rng = np.random.default_rng(10)
+
+    def met(runs, depth, pairs=400):
+        """Share of pairs, one set inside the other at Jaccard 0.8, that stay together ``depth`` times in a run."""
+        found = 0
+        for _ in range(pairs):
+            whole = rng.integers(0, 2**63, 100).astype(np.uint64)
+            for r in range(runs):
+                paths = [chosen_path.seeded(r)]
+                for _ in range(depth):
+                    paths = [x for p in paths for x in np.intersect1d(chosen_path.picked(whole, p, 0.8), chosen_path.picked(whole[:80], p, 0.8))]
+                if paths:
+                    found += 1
+                    break
+        return found / pairs
+
+    every, split = chosen_path.runs_of(0.99)
+    assert met(every, 1) >= 0.985 and met(split, chosen_path.DEPTH) >= 0.985  # 0.99, less what 400 pairs scatter
+    assert met(8, chosen_path.DEPTH) < 0.93  # as many as there were
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101 + i) for i in range(30)] + [(7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
