@@ -7,10 +7,9 @@ subsequences that share their minimum at place c form one compact window
 next smaller values. Only the minima of runs of exactly ``least`` shingles can
 be such places, which a sliding minimum finds without walking the whole tree.
 
-A window's signature is its minimum with the shingle ``least // 2 - 1`` places
-to its left or right, so one line that many documents share does not bring
-them together, but a common passage of ``least`` shingles always does, on one
-side at least. Equal signatures are linked to the earliest document that has
+A window's signature is its min-hash, so two similar sequences share it for
+each hash function with a chance of their Jaccard similarity, wherever a word
+was inserted, deleted or replaced. Equal signatures are linked to the earliest document that has
 them and to the one before: first inside a task's block, then, one window per
 block and signature, across blocks, so a passage in a third of all documents
 costs one row per block in the shuffle's group. Links of a pair of documents are joined as
@@ -37,7 +36,7 @@ from pyspark.sql import types as T
 
 from .common import GOLDEN, SHINGLE, WORD, WordHashes, mix, seeded, shingles, small, staged
 
-HASHES = 4
+HASHES = 8
 BAND = 16
 AGREE = 8 / 9
 
@@ -94,7 +93,6 @@ def compact_windows(tokens: np.ndarray, starts: np.ndarray, sizes: np.ndarray, s
 
 def windows(docs: DataFrame, least: int, block_words: int) -> DataFrame:
     """Rows of ``WINDOWS``: one per signature and block (``ref`` null), and links inside the block."""
-    reach = least // 2 - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, kinds = WordHashes(), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
@@ -106,34 +104,31 @@ def windows(docs: DataFrame, least: int, block_words: int) -> DataFrame:
             for k in range(HASHES):
                 if len(tokens) < least:
                     return
-                c, left, right, owner = compact_windows(tokens, starts, sizes, k, least)
-                for side, fits in ((reach, right - c >= reach), (-reach, c - left >= reach)):
-                    at, l, r, text = c[fits], left[fits], right[fits], owner[fits]
-                    if not len(at):
-                        continue
-                    salt = seeded(2000 + 2 * k + (side > 0))
-                    key = mix(tokens[at] * np.uint64(GOLDEN) ^ mix(tokens[at + side] + salt)).view(np.int64)
-                    own = doc[text]
-                    order = np.lexsort((at, own, key))
-                    new = np.ones(len(order), bool)
-                    new[1:] = key[order[1:]] != key[order[:-1]]
-                    first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-                    before = np.where(new, order, np.roll(order, 1))
-                    linked = ~new & (own[first] != own[order])
-                    # windows of a new key, links to its first document, and to the one before
-                    again = linked & (own[before] != own[first]) & (own[before] != own[order])
-                    o = np.concatenate([order[new], order[linked], order[again]])
-                    f = np.concatenate([order[new], first[linked], before[again]])
-                    is_link = np.arange(len(o)) >= new.sum()
-                    base = starts[text[o]]
-                    # a link needs no partner any more, so its row may go anywhere
-                    values = (np.where(is_link, mix(key[o].view(np.uint64) + at[o].astype(np.uint64)).view(np.int64), key[o]),
-                              np.full(len(o), k), own[o], at[o] - base, l[o] - base, r[o] - base,
-                              pa.array(own[f], pa.int64(), mask=~is_link), pa.array(at[f] - starts[text[f]], pa.int32(), mask=~is_link))
-                    columns = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(values, kinds)]
-                    whole = pa.RecordBatch.from_arrays(columns, names=WINDOWS.names)
-                    for i in range(0, len(o), 100_000):
-                        yield whole.slice(i, 100_000)
+                at, l, r, text = compact_windows(tokens, starts, sizes, k, least)
+                if not len(at):
+                    continue
+                key = mix(tokens[at] * np.uint64(GOLDEN) ^ seeded(2000 + k)).view(np.int64)
+                own = doc[text]
+                order = np.lexsort((at, own, key))
+                new = np.ones(len(order), bool)
+                new[1:] = key[order[1:]] != key[order[:-1]]
+                first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+                before = np.where(new, order, np.roll(order, 1))
+                linked = ~new & (own[first] != own[order])
+                # windows of a new key, links to its first document, and to the one before
+                again = linked & (own[before] != own[first]) & (own[before] != own[order])
+                o = np.concatenate([order[new], order[linked], order[again]])
+                f = np.concatenate([order[new], first[linked], before[again]])
+                is_link = np.arange(len(o)) >= new.sum()
+                base = starts[text[o]]
+                # a link needs no partner any more, so its row may go anywhere
+                values = (np.where(is_link, mix(key[o].view(np.uint64) + at[o].astype(np.uint64)).view(np.int64), key[o]),
+                          np.full(len(o), k), own[o], at[o] - base, l[o] - base, r[o] - base,
+                          pa.array(own[f], pa.int64(), mask=~is_link), pa.array(at[f] - starts[text[f]], pa.int32(), mask=~is_link))
+                columns = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(values, kinds)]
+                whole = pa.RecordBatch.from_arrays(columns, names=WINDOWS.names)
+                for i in range(0, len(o), 100_000):
+                    yield whole.slice(i, 100_000)
 
         for batch in batches:
             for doc, text in zip(*(x.to_pylist() for x in batch.columns)):
@@ -169,6 +164,15 @@ def agreement(own: np.ndarray, other: np.ndarray, shift: int, low: int, high: in
     return out
 
 
+def longest(agree: np.ndarray, gain: np.ndarray) -> tuple[int, int]:
+    """The longest stretch (first, end), ends agreeing, with enough agreement as a whole."""
+    places = np.flatnonzero(agree)
+    before, after = np.minimum.accumulate(gain[places]), gain[places + 1] + 1e-9
+    start = places[np.minimum(np.searchsorted(-before, -after), len(places) - 1)]
+    best = int(np.argmax(places - start))
+    return int(start[best]), int(places[best]) + 1
+
+
 def stretches(agree: np.ndarray, least: int) -> list[tuple[int, int]]:
     """Disjoint stretches (first, last), ends agreeing, of at least ``least`` places with enough agreement."""
     out, todo = [], [(0, len(agree))]
@@ -183,8 +187,11 @@ def stretches(agree: np.ndarray, least: int) -> list[tuple[int, int]]:
         if part[last] - lowest[last] <= 0:
             continue
         first = int(np.flatnonzero(part[: last + 1] == lowest[last])[-1])
-        if last - first >= least:
-            out.append((a + first, a + last - 1))
+        if last - first < least:  # a changed word in the middle costs more than a short half gains
+            first, last = longest(agree[a:b], part)
+            if last - first < least:
+                continue
+        out.append((a + first, a + last - 1))
         todo += [(a, a + first), (a + last, b)]
     return sorted(out)
 

@@ -210,6 +210,22 @@ def test_passages_find_planted_repeats_and_leave_the_rest(spark):
         assert cut[i] == (text if i not in (9, 20, 31) else text.replace(shared + " ", ""))
 
 
+def test_passages_with_an_inserted_deleted_or_replaced_word(spark):
+    rng = random.Random(11)
+    texts, wanted = [], {}
+    for edit, length in itertools.product(("insert", "delete", "replace"), (55, 60, 70)):
+        for _ in range(30):
+            own = prose(rng, length, 10**6).split()
+            at, i = length // 2, 2 * len(wanted)
+            other = own[:at] + {"insert": ["new"] + own[at : at + 1], "delete": [], "replace": ["new"]}[edit] + own[at + 1 :]
+            texts += [(i, f"{prose(rng, 60, 10**6)} {' '.join(other)} {prose(rng, 60, 10**6)}"),
+                      (i + 1, f"{prose(rng, 60, 10**6)} {' '.join(own)} {prose(rng, 60, 10**6)}")]
+            wanted[i + 1] = edit, length
+    met = {r.doc_id for r in substrings.passages(documents(spark, texts)).collect() if r.ref_doc_id == r.doc_id - 1}
+    found = Counter(wanted[i] for i in met)
+    assert all(found[kind] >= 29 for kind in wanted.values()), found
+
+
 def test_compact_windows_cover_every_long_run():
     rng = np.random.default_rng(7)
     tokens, least = rng.integers(0, 2**63, 200).astype(np.uint64), 15
