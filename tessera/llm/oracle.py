@@ -96,3 +96,47 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN n > 1 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
 FROM b
 """
+
+ORACLE["op13_filter_audit"] = r"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), marks AS (
+    SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), cells AS (
+    SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+           CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+           + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+           + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 4 ELSE 0 END
+           + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+           + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS pattern
+    FROM docs LEFT JOIN marks USING (doc_id)
+), counted AS (
+    SELECT part, pattern, count(*) AS n, sum(good) AS g, sum(toxic) AS t FROM cells GROUP BY ALL
+), f AS (
+    SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM f a, f b, f c, f d, f e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+      AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), steps AS (
+    SELECT filter_order, step, f.bit AS here,
+           CAST((SELECT coalesce(sum(p.bit), 0) FROM f p WHERE position(p.x IN filter_order) < step) AS BIGINT) AS earlier
+    FROM (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM orders) JOIN f ON f.x = filter_order[step]
+), made AS (
+    SELECT part, filter_order, step, here,
+           coalesce(sum(n) FILTER (pattern & (earlier | here) = 0), 0) AS kept,
+           coalesce(sum(n) FILTER (pattern & earlier = 0 AND pattern & here <> 0), 0) AS removed,
+           coalesce(sum(n) FILTER (pattern & earlier <> 0 AND pattern & here <> 0), 0) AS redundant,
+           coalesce(sum(n) FILTER (pattern = here), 0) AS unique_fails,
+           coalesce(sum(g) FILTER (pattern & earlier = 0 AND pattern & here <> 0), 0) AS good_lost,
+           coalesce(sum(t) FILTER (pattern & earlier = 0 AND pattern & here <> 0), 0) AS toxic_lost
+    FROM counted, steps GROUP BY ALL
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, here) AS BIGINT) AS shapley
+FROM made
+"""

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (byte_bpe, chat, chosen_path, decontaminate, packing, pu_quality, rules, substrings, suffix_tree, token_counts,
-               warc)
+from . import (byte_bpe, chat, chosen_path, decontaminate, filter_audit, packing, pu_quality, rules, substrings, suffix_tree,
+               token_counts, warc)
 from .common import staged, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,8 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
 def op12_token_counts(spark: SparkSession, d: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op13_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    return filter_audit.audit(table(spark, d, "documents"), table(spark, d, "labels"))
