@@ -140,3 +140,46 @@ SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS ke
        CAST(sum(removed) OVER (PARTITION BY part, here) AS BIGINT) AS shapley
 FROM made
 """
+
+# blocks of 20 ids begin at the multiples of 20, also below zero; the check sum is computed bit by bit
+ORACLE["op11_prefix_trie"] = r"""
+WITH named AS (
+    SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS sym,
+           len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+    FROM conversations WHERE conv_id IS NOT NULL
+), t AS (
+    SELECT conv_id, sym, w, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sym) AS pos FROM named
+), c AS (
+    SELECT conv_id, conv_id - (conv_id % 20 + 20) % 20 AS base,
+           xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
+               flatten([[(ascii(x) >> b) & 1 for b in range(8)] for x in string_split(conv_id::VARCHAR, '')])::BIGINT[]),
+               lambda s, b: xor(s >> 1, 3988292384 * (xor(s, b) & 1)))) % 4 AS h
+    FROM (SELECT DISTINCT conv_id FROM t)
+), rebuilt AS (
+    SELECT conv_id, 1 AS o, pos, sym, w FROM t JOIN c USING (conv_id) WHERE conv_id = base OR pos > h
+    UNION ALL
+    SELECT c.conv_id, 0, pos, sym, w FROM c JOIN t ON t.conv_id = c.base WHERE c.conv_id <> c.base AND pos <= h
+), paths AS (
+    SELECT conv_id, 0 AS depth, '' AS key, 0 AS w FROM c
+    UNION ALL
+    SELECT conv_id, row_number() OVER turns, string_agg(sym, '') OVER turns, w
+    FROM rebuilt WINDOW turns AS (PARTITION BY conv_id ORDER BY o, pos)
+), nodes AS (
+    SELECT key, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(w) AS saved FROM paths GROUP BY key, depth
+), children AS (
+    SELECT left(key, length(key) - 32) AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+), whole AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (key)
+), below AS (
+    SELECT left(key, 32 * i) AS key, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS i FROM whole) GROUP BY 1
+), ended AS (
+    SELECT key, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+    FROM (SELECT conv_id, max_by(key, depth) AS key FROM paths GROUP BY conv_id) GROUP BY key
+)
+SELECT w.conv_id, CAST(w.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(w.n_convs AS BIGINT) AS n_convs,
+       CAST(w.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM whole w JOIN below USING (key) LEFT JOIN ended USING (key)
+LEFT JOIN nodes p ON w.depth > 0 AND p.key = left(w.key, length(w.key) - 32)
+"""

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import (byte_bpe, chat, chosen_path, decontaminate, filter_audit, packing, pu_quality, rules, substrings, suffix_tree,
-               token_counts, warc)
+from . import (byte_bpe, chat, chosen_path, decontaminate, filter_audit, packing, prefix_trie, pu_quality, rules, substrings,
+               suffix_tree, token_counts, warc)
 from .common import staged, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,6 +94,12 @@ def op10_quality_rules(spark: SparkSession, d: str) -> DataFrame:
                          "base_failed", "kept", "failed_rules")
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    """Every node of the trie of all conversations, each rebuilt with the first turns of its block of 20 ids."""
+    return prefix_trie.trie(table(spark, d, "conversations"), shared=prefix_trie.SHARED).drop("key", "parent")
+
+
 @query
 def op12_token_counts(spark: SparkSession, d: str) -> DataFrame:
     counted = token_counts.count_tokens(table(spark, d, "documents"), tokenizer_path("byte_bpe_50k.json"))
