@@ -15,7 +15,7 @@ Main entry points:
 * ``operators.quality`` — rules, the 16-check report, the gate;
 * ``operators.analytics`` (and ``plans.sql_views`` for SQL) — the five analyses;
 * ``operators.profile``, ``operators.validation``, ``operators.marts``;
-* ``operators.incremental``, ``plans.refresh``, ``streaming.*`` — incremental
+* ``operators.incremental``, ``plans.lake``, ``sources.versions``, ``streaming.*`` — incremental
   and streaming processing;
 * ``python -m tessera`` — command line (publish, publish-csv, report, query,
   explain, list).

@@ -32,6 +32,42 @@ def restrict_to_partitions(table: DataFrame, partitions: DataFrame, partition_co
     return table.join(partitions, same, "left_semi")
 
 
+def zone_map(rows: DataFrame, key: str, by: Sequence[str], buckets: int) -> DataFrame:
+    """Smallest and largest key per file (the columns ``by``) and key bucket, and its rows with a NULL key.
+
+    ``rows`` carries the file next to the key (e.g. ``_metadata.file_path``);
+    only these columns are scanned. Rows are combined before the shuffle.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("_bucket")
+    return rows.groupBy(*by, bucket).agg(F.min(key).alias("low"), F.max(key).alias("high"),
+                                         F.count_if(F.col(key).isNull()).alias("nulls"), F.count(F.lit(1)).alias("rows"))
+
+
+def affected_files(zones: DataFrame, keys: DataFrame, key: str, by: Sequence[str], buckets: int) -> DataFrame:
+    """Distinct files (columns ``by``) of a ``zone_map`` that can hold one of the keys; no other file does.
+
+    A zone is met if the smallest key that is not below its low end lies in
+    it. Zones and keys of a bucket are sorted together and one running value
+    tells that key, so nothing is paired: the cost is a sort, however many
+    keys and files share a bucket. NULL is a key.
+    """
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("_bucket")
+    wanted = keys.select(F.col(key).alias("_at"), bucket).distinct()
+    kind = wanted.schema["_at"].dataType
+    points = wanted.where(F.col("_at").isNotNull()).select(
+        "_bucket", "_at", F.col("_at").alias("_key"), *(F.lit(None).cast(zones.schema[c].dataType).alias(c) for c in by),
+        F.lit(None).cast(kind).alias("high"))
+    lows = zones.where(F.col("low").isNotNull()).select(
+        "_bucket", F.col("low").cast(kind).alias("_at"), F.lit(None).cast(kind).alias("_key"), *by, F.col("high").cast(kind))
+    # downwards; a key that equals a low end comes before it
+    down = Window.partitionBy("_bucket").orderBy(F.desc("_at"), F.desc_nulls_last("_key")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    next_key = F.last("_key", ignorenulls=True).over(down)
+    met = points.unionByName(lows).withColumn("_next", next_key).where(F.col("high").isNotNull() & (F.col("_next") <= F.col("high")))
+    unknown = zones.where("nulls > 0").join(wanted.where(F.col("_at").isNull()).select("_bucket"), "_bucket", "left_semi")
+    return met.select(*by).unionByName(unknown.select(*by)).distinct()
+
+
 # ------------------------------------------------------------ late data
 def late_arrivals(df: DataFrame, event_col: str, arrival_col: str, max_delay_days: int) -> DataFrame:
     """Rows that arrived more than ``max_delay_days`` after their event time.

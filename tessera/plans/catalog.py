@@ -567,28 +567,84 @@ def q_publish_gate(spark, d):
     return Q.build_checks(driver_star(spark, d), MAX_UNRESOLVED_PCT)
 
 
+def _refreshed(spark, d):
+    """A lake without the orders of the last days and the latest deliveries, then refreshed with all of them."""
+    from ..session import scratch_path
+    from .lake import build_lake, refresh
+
+    raw = D.raw_tables(spark, d)
+    last = raw["orders"].select(F.max("purchased_at") - F.expr(f"INTERVAL {BATCH_DAYS} DAYS")).scalar()
+    delivered = raw["order_items"].select(F.max("delivered_at") - F.expr(f"INTERVAL {BATCH_DAYS} DAYS")).scalar()
+    late = raw["orders"].where(F.coalesce(F.col("purchased_at") >= last, F.lit(False)))
+    new = {"orders": late}
+    old = {**dict(raw.items()), "orders": raw["orders"].join(late.select("order_id"), "order_id", "left_anti")}
+    for name in ("order_payments", "order_reviews"):
+        new[name] = raw[name].join(late.select("order_id"), "order_id", "left_semi")
+        old[name] = raw[name].join(late.select("order_id"), "order_id", "left_anti")
+    newest = F.coalesce(F.col("delivered_at") >= delivered, F.lit(False))
+    new["order_items"], old["order_items"] = raw["order_items"].where(newest), raw["order_items"].where(~newest)
+    latest_by = {"order_items": D.ITEM_LATEST_BY}
+    lake = build_lake(spark, old, D.taxonomy(spark), scratch_path(spark, "lake"), latest_by, buckets=16)
+    refresh(lake, new, D.taxonomy(spark), latest_by)
+    return lake.snapshot()
+
+
 @query("incremental_refresh")
 def q_incremental_refresh(spark, d):
-    """The fact written without the last deliveries, then refreshed with them: equals the full rebuild."""
-    import os
+    """The order-item fact after late orders, payments, reviews and deliveries were applied: equals the full rebuild."""
+    fact = _refreshed(spark, d).read("fact_order_item")
+    return _money(_flags(fact, "customer_key", "seller_key", "product_key"), "item_price", "freight_cost")
 
-    from ..operators.silver import silver_order_items
-    from ..session import materialize, scratch_path
+
+@query("refreshed_fact_payment")
+def q_refreshed_fact_payment(spark, d):
+    return _money(_flags(_refreshed(spark, d).read("fact_payment"), "customer_key"), "payment_value")
+
+
+@query("refreshed_fact_review")
+def q_refreshed_fact_review(spark, d):
+    return _flags(_refreshed(spark, d).read("fact_review"), "customer_key", "product_key")
+
+
+@query("affected_files")
+def q_affected_files(spark, d):
+    """Partitions of the order-item fact with rows of the latest deliveries' orders: only files that the zone map names are read."""
+    from ..session import scratch_path
     from ..sources.io import write_partitioned
-    from .refresh import refresh_order_items
 
-    raw = D.raw_tables(spark, d)["order_items"]
-    cutoff = raw.select(F.max("delivered_at") - F.expr(f"INTERVAL {BATCH_DAYS} DAYS")).scalar()
-    newest = F.coalesce(F.col("delivered_at") >= cutoff, F.lit(False))
-    current = materialize(silver_order_items(raw.where(~newest), latest_by=D.ITEM_LATEST_BY), "refresh-items")
-    orders = materialize(D.silver_tables(spark, d)["orders"], "refresh-orders")
-    dims = [driver_star(spark, d)[n] for n in ("dim_customer", "dim_seller", "dim_product")]
-    path = os.path.join(scratch_path(spark, "refresh-fact"), "fact_order_item")
-    fact = K.fact_order_item(orders, current, *dims)
-    write_partitioned(fact, path, list(K.PARTITIONS["fact_order_item"]))
-    refresh_order_items(spark, current, raw.where(newest), orders, *dims, path, latest_by=D.ITEM_LATEST_BY)
-    refreshed = spark.read.schema(fact.schema).parquet(path).select(*fact.columns)
-    return _money(_flags(refreshed, "customer_key", "seller_key", "product_key"), "item_price", "freight_cost")
+    cols = list(K.PARTITIONS["fact_order_item"])
+    path = scratch_path(spark, "zoned-fact")
+    fact = driver_star(spark, d)["fact_order_item"]
+    write_partitioned(fact.select("order_id", "order_item_id", *cols), path, cols)
+    schema = fact.select("order_id", "order_item_id", *cols).schema
+    rows = spark.read.schema(schema).parquet(path)
+    named = rows.select("order_id", *cols, F.col("_metadata.file_path").alias("_file"))
+    _, batch = _items_split(spark, d, BATCH_DAYS)
+    keys = batch.select("order_id").distinct()
+    near = T.affected_files(T.zone_map(named, "order_id", ["_file"], 64), keys, "order_id", ["_file"], 64)
+    held = named.join(near, "_file", "left_semi").join(keys, "order_id", "left_semi")
+    return held.groupBy(*cols).agg(F.count(F.lit(1)).alias("rows_held"), F.count_distinct("order_id").alias("orders_held"))
+
+
+@query("backfill_late")
+def q_backfill_late(spark, d):
+    """Late deliveries land in Silver alone; the backfill of their orders' partitions brings all facts up to date."""
+    from ..session import scratch_path
+    from .lake import build_lake, refresh_orders, upsert
+
+    raw = D.raw_tables(spark, d)
+    orders = raw["orders"].select("order_id", F.col("purchased_at").alias("_at"))
+    dated = raw["order_items"].join(orders, "order_id", "left")
+    late = F.coalesce(F.datediff(F.to_date("delivered_at"), F.to_date("_at")) > LATE_AFTER_DAYS, F.lit(False))
+    latest_by = {"order_items": D.ITEM_LATEST_BY}
+    lake = build_lake(spark, {**dict(raw.items()), "order_items": dated.where(~late).drop("_at")}, D.taxonomy(spark),
+                      scratch_path(spark, "lake"), latest_by, buckets=16)
+    change = lake.begin()
+    batch, _ = upsert(change, "order_items", dated.where(late).drop("_at"), D.taxonomy(spark), latest_by, 16)
+    change.publish()
+    refresh_orders(lake, batch)
+    fact = lake.snapshot().read("fact_order_item")
+    return _money(_flags(fact, "customer_key", "seller_key", "product_key"), "item_price", "freight_cost")
 
 
 LATE_DELAY_SECONDS = 3600

@@ -761,7 +761,14 @@ UNION ALL
 SELECT {_RESULT}, rows_failed = 0 OR failure_pct <= 5.0, unit FROM ({ORACLE["unresolved_fk_rates"]}) c"""
 
 # a refreshed fact equals the fact built at once
-ORACLE["incremental_refresh"] = ORACLE["fact_order_item"]
+ORACLE["incremental_refresh"] = ORACLE["backfill_late"] = ORACLE["fact_order_item"]
+ORACLE["refreshed_fact_payment"] = ORACLE["fact_payment"]
+ORACLE["refreshed_fact_review"] = ORACLE["fact_review"]
+ORACLE["affected_files"] = with_star(f"""
+SELECT purchase_year, seller_state, COUNT(*) AS rows_held, COUNT(DISTINCT order_id) AS orders_held
+FROM fact_order_item
+WHERE order_id IN (SELECT order_id FROM ({_CONFORMED_ITEMS}) b WHERE delivered_at >= {_cutoff(30)})
+GROUP BY ALL""")
 
 ORACLE["late_event_routing"] = """
 WITH w AS (SELECT max(ts) - INTERVAL 3600 SECONDS AS watermark FROM events)

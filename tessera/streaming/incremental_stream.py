@@ -1,73 +1,38 @@
-"""Streaming incremental pipeline for order items.
-
-Each micro-batch of new raw order items (a file stream with a declared
-schema) is applied with ``foreachBatch``:
-
-1. the batch is upserted into Silver (latest wins) and the new Silver version
-   is written to its own folder, then a one-line pointer is switched to it
-   (a reader never sees a half-written version, and the job never overwrites
-   the folder it reads);
-2. only the fact partitions the batch touches are rebuilt and replaced
-   (``plans.refresh.refresh_order_items``).
-
-A retried micro-batch (same batch id) rewrites the same version folder from
-the same previous version, so the result is the same: the sink is
-idempotent. The stream runs with ``trigger(availableNow=True)``: every run
-processes the files that arrived since the last run, tracked in the
+"""Streaming incremental pipeline: micro-batches of raw rows applied to a lake.
+
+Each micro-batch of a file stream with a declared schema goes through
+``plans.lake.refresh``: Silver buckets, fact partitions and dimensions that it
+touches are written anew and one manifest publishes them all, so a reader sees
+the lake before or after a micro-batch. The manifest keeps the number of the
+last micro-batch of the stream; a retried one is recognised and skipped, which
+makes the sink idempotent. The stream runs with ``trigger(availableNow=True)``:
+every run processes the files that arrived since the last one, tracked in the
 checkpoint.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.refresh import refresh_order_items
+from ..plans.lake import LatestBy, refresh
+from ..sources.versions import Lake
 from .bronze_stream import read_stream
 
-POINTER = "_current"
-
-
-def current_version(spark: SparkSession, root: str) -> str | None:
-    path = os.path.join(root, POINTER)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return None
-    return spark.read.text(path).first()[0]
-
 
-def read_version(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, current_version(spark, root)))
-
-
-def publish_version(spark: SparkSession, df: DataFrame, root: str, version: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(os.path.join(root, version))
-    spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite").text(os.path.join(root, POINTER))
-    return spark.read.parquet(os.path.join(root, version))
-
-
-def stream_order_items(spark: SparkSession, landing: str, schema: T.StructType, silver_root: str, fact_path: str,
-                       checkpoint: str, orders: DataFrame, dim_customer: DataFrame, dim_seller: DataFrame,
-                       dim_product: DataFrame, fmt: str = "csv", max_files_per_trigger: int | None = None,
-                       **options) -> None:
-    """Run the incremental order-item stream until the landed files are processed."""
+def stream_into_lake(spark: SparkSession, landing: str, schema: T.StructType, lake: Lake, name: str, taxonomy: DataFrame,
+                     checkpoint: str, latest_by: LatestBy | None = None, fmt: str = "csv",
+                     max_files_per_trigger: int | None = None, **options) -> None:
+    """Apply the landed files of data set ``name`` to the lake until all are processed."""
+    stream_id = f"stream:{name}:{checkpoint}"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        done = lake.snapshot().notes.get(stream_id, -1)
+        if batch_id <= done or batch.isEmpty():
             return
         stamped = batch.withColumn("ingestion_ts", F.current_timestamp())
-        previous = current_version(spark, silver_root)
-        silver = read_version(spark, silver_root)
-        version = f"v{batch_id:08d}"
-        if previous == version:  # a retried batch: start again from the version before it
-            silver = spark.read.parquet(os.path.join(silver_root, _before(spark, silver_root, version)))
-        upserted, _ = refresh_order_items(spark, silver, stamped, orders, dim_customer, dim_seller, dim_product,
-                                          fact_path)
-        publish_version(spark, upserted, silver_root, version)
+        refresh(lake, {name: stamped}, taxonomy, latest_by, **{stream_id: batch_id})
 
     stream = read_stream(spark, landing, schema, fmt, max_files_per_trigger, **options)
     query = (
@@ -79,13 +44,3 @@ def stream_order_items(spark: SparkSession, landing: str, schema: T.StructType,
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-
-
-def _before(spark: SparkSession, root: str, version: str) -> str:
-    """The newest version folder older than ``version``."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
-    older = [n for n in names if n.startswith("v") and n < version]
-    return older[-1]

@@ -103,70 +103,6 @@ def test_bronze_stream_is_incremental(spark, tmp_path):
     assert {r.batch_id for r in back.select("batch_id").distinct().collect()} == {"b1", "b2"}
 
 
-def test_incremental_refresh_equals_full_rebuild(spark, tmp_path):
-    from pyspark.sql import functions as F
-
-    from conftest import raw_df
-    from tessera.operators.fingerprint import fingerprint
-    from tessera.operators import silver as S
-    from tessera.plans.pipeline import build_star
-    from tessera.plans.refresh import refresh_order_items
-    from tessera.sources.io import write_partitioned
-    from test_silver_star import market
-
-    raw, silver, gold = market(spark)
-    fact_path = str(tmp_path / "fact_order_item")
-    write_partitioned(gold["fact_order_item"], fact_path, ["purchase_year", "seller_state"])
-    # an unrelated partition (2016, RJ) that the refresh must leave alone
-    other = gold["fact_order_item"].limit(1).withColumn("purchase_year", F.lit(2016)).withColumn("seller_state", F.lit("RJ"))
-    write_partitioned(other, fact_path, ["purchase_year", "seller_state"])
-    before = {r[0] for r in spark.read.parquet(fact_path).where("purchase_year = 2016").select(F.input_file_name()).collect()}
-    # batch: item (o1, 3) moves to seller s2 (NULL state partition); a new item for o4 (2018, SP)
-    batch = raw_df(spark, "order_items", [
-        {"order_id": "o1", "order_item_id": "3", "product_id": "p2", "seller_id": "s2", "item_price": "5.25", "freight_cost": "0.75"},
-        {"order_id": "o4", "order_item_id": "1", "product_id": "p1", "seller_id": "s1", "item_price": "3.00", "freight_cost": "0.10"},
-    ], "2024-02-01 00:00:00")
-    upserted, affected = refresh_order_items(
-        spark, silver["order_items"], batch, silver["orders"], gold["dim_customer"], gold["dim_seller"], gold["dim_product"],
-        fact_path)
-    parts = {(r.purchase_year, r.seller_state) for r in affected.collect()}
-    assert parts == {(2018, "SP"), (2018, None)}
-    refreshed = spark.read.parquet(fact_path).where("purchase_year <> 2016").select(*gold["fact_order_item"].columns)
-    full_items = S.silver_order_items(raw["order_items"].withColumn("ingestion_ts", F.lit(None).cast("timestamp"))
-                                      .unionByName(batch.drop("batch_id")))
-    full = build_star({**silver, "order_items": full_items})["fact_order_item"]
-    assert refreshed.count() == 5
-    assert fingerprint(refreshed).drop("table_name").first() == fingerprint(full).drop("table_name").first()
-    after = {r[0] for r in spark.read.parquet(fact_path).where("purchase_year = 2016").select(F.input_file_name()).collect()}
-    assert before == after and len(after) == 1  # the untouched partition keeps its file
-
-
-def test_incremental_refresh_deletes_emptied_partition(spark, tmp_path):
-    import os
-
-    from pyspark.sql import functions as F
-
-    from conftest import raw_df
-    from tessera.plans.refresh import refresh_order_items
-    from tessera.sources.io import write_partitioned
-    from test_silver_star import market
-
-    raw, silver, gold = market(spark)
-    fact_path = str(tmp_path / "fact_order_item")
-    write_partitioned(gold["fact_order_item"], fact_path, ["purchase_year", "seller_state"])
-    null_part = os.path.join(fact_path, "purchase_year=2018", "seller_state=__HIVE_DEFAULT_PARTITION__")
-    assert os.path.isdir(null_part)
-    # the only item of the (2018, NULL-state) partition moves to seller s1 (state SP)
-    batch = raw_df(spark, "order_items", [
-        {"order_id": "o2", "order_item_id": "1", "product_id": "pX", "seller_id": "s1", "item_price": "7.00", "freight_cost": "1.00"},
-    ], "2024-02-01 00:00:00")
-    _, affected = refresh_order_items(spark, silver["order_items"], batch, silver["orders"], gold["dim_customer"],
-                                      gold["dim_seller"], gold["dim_product"], fact_path)
-    assert not os.path.exists(null_part)
-    back = spark.read.parquet(fact_path)
-    assert back.count() == 4 and back.where(F.col("seller_state").isNull()).count() == 0
-
-
 def test_sql_surface_equals_dataframe_operators(spark):
     from tessera.operators import analytics as N
     from tessera.operators.fingerprint import fingerprint
@@ -201,48 +137,6 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck_sf01, name):
     assert res["ok"], res
 
 
-def test_streaming_incremental_order_items(spark, tmp_path):
-    import os
-
-    from tessera.operators import silver as S
-    from tessera.operators.fingerprint import fingerprint
-    from tessera.plans.pipeline import build_star
-    from tessera.sources.io import write_partitioned
-    from tessera.sources.schemas import RAW_SCHEMAS
-    from tessera.streaming.incremental_stream import publish_version, read_version, stream_order_items
-    from test_silver_star import market
-
-    raw, silver, gold = market(spark)
-    root = tmp_path / "lake"
-    silver_root, fact_path = str(root / "silver_order_items"), str(root / "fact_order_item")
-    publish_version(spark, silver["order_items"], silver_root, "v0000_initial")
-    write_partitioned(gold["fact_order_item"], fact_path, ["purchase_year", "seller_state"])
-    landing = tmp_path / "landing"
-    landing.mkdir()
-    hdr = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,item_price,freight_cost\n"
-    (landing / "b1.csv").write_text(hdr + "o1,3,p2,s2,,5.25,0.75\no4,1,p1,s1,,3.00,0.10\n")
-    (landing / "b2.csv").write_text(hdr + "o4,1,p1,s1,,4.00,0.10\n")   # a later change of o4/1
-    # files are taken in arrival (modification-time) order: make the arrival order explicit
-    os.utime(landing / "b1.csv", (1_700_000_000, 1_700_000_000))
-    os.utime(landing / "b2.csv", (1_700_000_100, 1_700_000_100))
-    args = dict(orders=silver["orders"], dim_customer=gold["dim_customer"], dim_seller=gold["dim_seller"],
-                dim_product=gold["dim_product"], fmt="csv", max_files_per_trigger=1, header=True)
-    stream_order_items(spark, str(landing), RAW_SCHEMAS["order_items"], silver_root, fact_path,
-                       str(tmp_path / "ckpt"), **args)
-    items = read_version(spark, silver_root)
-    got = {(r.order_id, r.order_item_id): (r.seller_id, str(r.item_price)) for r in items.collect()}
-    assert got[("o1", 3)] == ("s2", "5.25") and got[("o4", 1)] == ("s1", "4.00") and len(got) == 5
-    # the incrementally maintained fact equals a full rebuild from the final Silver version
-    full = build_star({**silver, "order_items": items})["fact_order_item"]
-    refreshed = spark.read.parquet(fact_path).select(*full.columns)
-    assert fingerprint(refreshed).drop("table_name").first() == fingerprint(full).drop("table_name").first()
-    # a second run with no new files changes nothing
-    stream_order_items(spark, str(landing), RAW_SCHEMAS["order_items"], silver_root, fact_path,
-                       str(tmp_path / "ckpt"), **args)
-    assert fingerprint(spark.read.parquet(fact_path).select(*full.columns)).drop("table_name").first() == \
-        fingerprint(full).drop("table_name").first()
-
-
 def _folder_bytes(path):
     import os
 
@@ -374,25 +268,3 @@ def test_gate_fails_on_unknown_results(spark):
     report = spark.createDataFrame([("a", None, 0)], "test_name string, passed boolean, rows_failed long")
     with pytest.raises(QualityGateError):
         assert_passed(report)
-
-
-def test_refresh_keeps_null_years_and_newer_versions(spark, tmp_path):
-    from conftest import raw_df
-    from tessera.operators.fingerprint import fingerprint
-    from tessera.plans.pipeline import build_star
-    from tessera.plans.refresh import refresh_order_items
-    from tessera.sources.io import write_partitioned
-    from test_silver_star import market
-
-    raw, silver, gold = market(spark)
-    path = str(tmp_path / "fact_order_item")
-    write_partitioned(gold["fact_order_item"], path, ["purchase_year", "seller_state"])
-    # an item of an unknown order lies in the NULL year, next to any that were there
-    batch = raw_df(spark, "order_items", [
-        {"order_id": "unknown", "order_item_id": "1", "product_id": "p2", "seller_id": "s2", "item_price": "7.00", "freight_cost": "1"},
-    ], "2024-03-01 00:00:00")
-    upserted, _ = refresh_order_items(spark, silver["order_items"], batch, silver["orders"], gold["dim_customer"],
-                                      gold["dim_seller"], gold["dim_product"], path)
-    full = build_star({**dict(silver), "order_items": upserted})["fact_order_item"]
-    back = spark.read.schema(full.schema).parquet(path)
-    assert back.count() == full.count() == gold["fact_order_item"].count() + 1
