@@ -1,12 +1,13 @@
 r"""Token counts: batch encoding by a tokenizer library in an Arrow function that returns lengths only.
 
 Texts go to the Python workers in Arrow batches, one 64-bit count comes back
-for each; ids never leave the library. Inside a worker the texts are dealt
-into encoding calls by bytes, not by rows: a call takes texts until
-``BATCH_BYTES`` are reached, so short texts share a call and memory for the
-library's results is bounded whatever the lengths. A text longer than
-``PART_CHARS`` is split at safe boundaries, its parts go into calls of their
-own and their counts are added.
+for each; ids never leave the library. Inside a worker a text longer than
+``PART_CHARS`` is split at safe boundaries into parts, and parts into words
+(at the safe boundaries before white space); counts are added. Of the words of
+a few hundred kilobytes of text, those not seen before go to the library, once
+each, in calls balanced by bytes, not by rows: a call takes strings until
+``BATCH_BYTES`` are reached, so memory for the library's results is bounded
+whatever the lengths. Counts of short words are remembered.
 
 A boundary is safe where the splitting pattern must end a match whatever
 stands further left or right, so that the parts' matches are the text's
@@ -15,8 +16,9 @@ follows a character that is no white space: no alternative holds white space
 behind another character, and the look-ahead of the white-space run is on its
 right; (2) between a letter and a punctuation mark: no alternative holds a
 non-letter behind a letter. A boundary inside a special string is not taken.
-A stretch without a safe boundary stays whole. Vocabularies with another
-splitting rule or with a normaliser are encoded as whole texts.
+A stretch without a safe boundary stays whole, and so does a part with white
+space beyond ASCII. Vocabularies with another splitting rule or with a
+normaliser are encoded as whole texts.
 
 Defined results: a null text counts as empty and has 0 bytes and 0 tokens;
 repeated rows are counted row by row; an empty table gives no rows; other
@@ -40,9 +42,14 @@ from .common import file_bytes
 
 BATCH_BYTES = 1 << 18
 PART_CHARS = 1 << 16
+KNOWN_WORDS, KNOWN_CHARS = 600_000, 32
 
 _LETTER = "A-Za-zぁ-ゖァ-ヺ一-龥가-힣"
 _MARK = ".,;:!?、。！，？"
+SPACED = re.compile(r"\s")
+_WORD = re.compile("[\\t-\\r ]*[^\\t-\\r ]+|[\\t-\\r ]+")
+# white space beyond ASCII, and characters that some engines count as such
+_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 SAFE = re.compile(rf"(?<=\S)(?=[\t-\r ])|(?<=[{_LETTER}])(?=[{_MARK}])")
 
 
@@ -62,6 +69,11 @@ def parts(text: str, size: int, specials: tuple[str, ...] = ()) -> Iterator[str]
         yield text[start:]
 
 
+def words(text: str) -> list[str]:
+    """``text`` cut before every run of ASCII white space, where each such cut is a safe boundary; else whole."""
+    return [text] if _OTHER_SPACE.search(text) else _WORD.findall(text)
+
+
 def _spans(text: str, at: int, special: str) -> bool:
     """Whether an occurrence of ``special`` reaches over the boundary ``at``."""
     return text.find(special, max(0, at - len(special) + 1), at + len(special) - 1) >= 0
@@ -72,6 +84,7 @@ class Counter:
 
     def __init__(self, many: Callable[[list[str]], list[int]], splits: bool, specials: tuple[str, ...] = ()):
         self.many, self.splits, self.specials = many, splits, specials
+        self.known: dict[str, int] = {}  # counts of short strings, at most KNOWN_WORDS and those of one batch
 
     @classmethod
     def of(cls, kind: str, raw: bytes) -> Counter:
@@ -88,7 +101,7 @@ class Counter:
             byte_level = split.get("type") == "ByteLevel" and split.get("use_regex", True)
             whole = byte_level and not split.get("add_prefix_space") and not made.get("normalizer")
             added = made.get("added_tokens") or []
-            plain = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
+            plain = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or SPACED.search(t["content"]) for t in added)
             return cls(lambda texts: [len(e) for e in library.encode_batch(texts, add_special_tokens=False)],
                        bool(whole and plain), tuple(t["content"] for t in added))
         if kind == "model":
@@ -100,30 +113,45 @@ class Counter:
 
     def counts(self, texts: list[str | None], sizes: list[int], batch_bytes: int, part_chars: int) -> list[int]:
         """Token count of each text; ``sizes`` are their bytes."""
-        totals, call, owners, filled = [0] * len(texts), [], [], 0
-
-        def flush():
-            nonlocal filled
-            for i, n in zip(owners, self.many(call)):
-                totals[i] += n
-            call.clear()
-            owners.clear()
-            filled = 0
-
+        if not self.splits:
+            return self._sums([[t] if t else [] for t in texts], batch_bytes)
+        found = [0] * len(texts)
+        start, held, pieces = 0, 0, []
         for i, (text, size) in enumerate(zip(texts, sizes)):
-            if not text:
-                continue
-            long = self.splits and len(text) > part_chars
-            for part in parts(text, part_chars, self.specials) if long else (text,):
-                weight = size * len(part) // len(text)
-                if call and filled + weight > batch_bytes:
-                    flush()
-                call.append(part)
-                owners.append(i)
+            for part in parts(text, part_chars, self.specials) if text and len(text) > part_chars else [text or ""]:
+                pieces.append((i, words(part)))
+                held += size * len(part) // max(1, len(text or ""))
+                if held > 4 * batch_bytes:
+                    self._add(found, pieces, batch_bytes)
+                    pieces, held = [], 0
+        self._add(found, pieces, batch_bytes)
+        return found
+
+    def _add(self, found: list[int], pieces: list[tuple[int, list[str]]], batch_bytes: int) -> None:
+        for (i, _), n in zip(pieces, self._sums([p for _, p in pieces], batch_bytes)):
+            found[i] += n
+
+    def _sums(self, lists: list[list[str]], batch_bytes: int) -> list[int]:
+        """Sum of the counts of each list; every distinct string that is not remembered is encoded once, in calls by bytes."""
+        known = self.known
+        if len(known) > KNOWN_WORDS:
+            known.clear()
+        new = sorted(set().union(*lists) - known.keys(), key=len)
+        call, filled = [], 0
+        for piece in [*new, None]:
+            weight = batch_bytes if piece is None else len(piece) if piece.isascii() else len(piece.encode())
+            if call and filled + weight > batch_bytes:
+                known.update(zip(call, self.many(call)))
+                call, filled = [], 0
+            if piece is not None:
+                call.append(piece)
                 filled += weight
-        if call:
-            flush()
-        return totals
+        sums = [sum(map(known.__getitem__, pieces)) for pieces in lists]
+        for piece in reversed(new):
+            if len(piece) <= KNOWN_CHARS:
+                break
+            del known[piece]
+        return sums
 
 
 _COUNTERS: dict[int, Counter] = {}

@@ -40,12 +40,20 @@ def test_boundaries_do_not_cut_special_strings():
     assert list(tc.parts("x" * 50, 5)) == ["x" * 50]
 
 
-def test_calls_are_bounded_by_bytes():
+def test_calls_are_bounded_by_bytes_and_words_are_encoded_once():
     calls = []
-    counter = tc.Counter(lambda texts: calls.append(sum(map(len, texts))) or [1] * len(texts), splits=True)
-    texts = ["w " * n for n in (1, 2, 500, 3, 40, 7, 900)]
-    counter.counts(texts, [len(t) for t in texts], batch_bytes=200, part_chars=100)
-    assert max(calls) <= 200 and len(calls) < 30
+    counter = tc.Counter(lambda texts: calls.append(texts) or [len(t) for t in texts], splits=True)
+    texts = [" ".join(f"w{i}" for i in range(n)) for n in (1, 2, 500, 3, 40, 7, 900)] + ["x" * 90 + " y"]
+    assert counter.counts(texts, [len(t) for t in texts], batch_bytes=200, part_chars=100) == [len(t) for t in texts]
+    assert max(sum(map(len, c)) for c in calls) <= 200
+    seen = [t for c in calls for t in c]
+    assert len(seen) == len(set(seen)) == len(counter.known) + 1  # the long one is not remembered
+    assert "x" * 90 not in counter.known and counter.known[" w899"] == 5
+
+
+def test_words_join_to_the_text_and_begin_at_safe_boundaries():
+    assert tc.words("a b\n\n c ") == ["a", " b", "\n\n c", " "]
+    assert tc.words("a\xa0 b c") == ["a\xa0 b c"] and tc.words("") == []
 
 
 def test_count_tokens_on_a_table(spark, library):
