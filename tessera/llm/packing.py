@@ -13,7 +13,8 @@ positions that restart at 0 with every segment.
 
 Defined results: a document's ids are followed by the end id, so empty and
 null documents are one end id; repeated documents are packed once per row;
-a null id is carried as null.
+a null id is carried as null; an empty table gives no rows; other columns are
+not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,9 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .byte_bpe import ByteBPE, mapped
+from .byte_bpe import ByteBPE
 from .common import file_bytes, task_number
 
+OUTPUT_BYTES = 4 << 20
+
 PACKED = T.StructType([
     T.StructField("pack_id", T.LongType()),
     T.StructField("ids", T.BinaryType()),
@@ -110,17 +113,6 @@ def pack_block(docs: list[tuple[int | None, np.ndarray]], length: int, pad: int,
         yield row.tobytes(), places.tobytes(), cu, [pieces[i][0] for i in members], [pieces[i][1] for i in members]
 
 
-def tokenize(df: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add ``ids`` (little-endian unsigned 32-bit integers) of ``text`` by the tokenizer library."""
-    shared = df.sparkSession.sparkContext.broadcast(file_bytes(vocabulary))
-
-    def make():
-        encoding = _encoding(shared.value)
-        return lambda t: np.array(encoding.encode_ordinary(t or ""), "<u4").tobytes()
-
-    return mapped(df, [text], ids, T.BinaryType(), pa.binary(), make)
-
-
 _ENCODINGS: dict[int, tiktoken.Encoding] = {}
 
 
@@ -137,38 +129,68 @@ def pack(df: DataFrame, doc_id: str = "doc_id", ids: str = "ids", length: int =
     """Packed rows of the documents' ids (binary, little-endian unsigned 32-bit integers).
 
     ``dtype`` is the matrix's element type ("<u2" for vocabularies up to 65,536
-    ids, else "<u4"); ``pack_id`` is unique: task number and running number.
+    ids, else "<u4"; an id that does not fit raises ValueError); ``pack_id`` is
+    unique: task number and running number.
     """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs = ((doc, np.frombuffer(packed or b"", "<u4"))
+                for batch in batches for doc, packed in zip(batch.column(0), batch.column(1).to_pylist()))
+        return _packed(docs, length, end, pad, dtype, block_tokens)
+
+    return df.select(doc_id, ids).mapInArrow(run, PACKED)
+
+
+def pack_texts(df: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", length: int = 2048,
+               end: int = 50256, pad: int = 50256, dtype: str = "<u2", block_tokens: int = 2_000_000) -> DataFrame:
+    """``pack`` of the documents' texts, encoded by the tokenizer library in the same worker: ids never leave it unpacked."""
+    shared = df.sparkSession.sparkContext.broadcast(file_bytes(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, block, tokens = task_number() << 32, [], 0
-
-        def flush():
-            nonlocal first
-            rows = []
-            for row in pack_block(block, length, pad, dtype):
-                rows.append((first, *row))
-                first += 1
-                if len(rows) == 256:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PACKED_ARROW)],
-                                                     schema=PACKED_ARROW)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PACKED_ARROW)],
-                                                 schema=PACKED_ARROW)
-
-        for batch in batches:
-            for doc, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own = np.append(np.frombuffer(packed or b"", "<u4"), np.uint32(end)).astype(dtype)
-                if block and tokens + len(own) > block_tokens:
-                    yield from flush()
-                    block, tokens = [], 0
-                block.append((doc, own))
-                tokens += len(own)
-        if block:
+        encode = _encoding(shared.value).encode_ordinary
+        # one text at a time becomes a Python string
+        docs = ((doc, np.array(encode(t.as_py() or ""), "<u4"))
+                for batch in batches for doc, t in zip(batch.column(0), batch.column(1)))
+        return _packed(docs, length, end, pad, dtype, block_tokens)
+
+    return df.select(doc_id, text).mapInArrow(run, PACKED)
+
+
+def _packed(docs: Iterator[tuple[pa.Scalar, np.ndarray]], length: int, end: int, pad: int, dtype: str,
+            block_tokens: int) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of packed rows, block by block, of (doc_id, ids) pairs."""
+    first, block, tokens = task_number() << 32, [], 0
+    largest = np.iinfo(dtype).max
+    at_once = max(1, OUTPUT_BYTES // (length * (4 + np.dtype(dtype).itemsize)))
+
+    def flush():
+        nonlocal first
+        rows = []
+        for row in pack_block(block, length, pad, dtype):
+            rows.append((first, *row))
+            first += 1
+            if len(rows) == at_once:
+                yield _rows(rows)
+                rows = []
+        if rows:
+            yield _rows(rows)
+
+    if max(end, pad) > largest:
+        raise ValueError(f"id {max(end, pad)} does not fit into {dtype}")
+    for doc, ids in docs:
+        if len(ids) and int(ids.max()) > largest:
+            raise ValueError(f"id {int(ids.max())} of document {doc.as_py()} does not fit into {dtype}")
+        own = np.append(ids, np.uint32(end)).astype(dtype)
+        if block and tokens + len(own) > block_tokens:
             yield from flush()
+            block, tokens = [], 0
+        block.append((doc.as_py(), own))
+        tokens += len(own)
+    if block:
+        yield from flush()
 
-    return df.select(doc_id, ids).mapInArrow(run, PACKED)
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), PACKED_ARROW)], schema=PACKED_ARROW)
 
 
 def write_packed(packed: DataFrame, path: str) -> None:
@@ -192,7 +214,7 @@ def segments(packed: DataFrame, dtype: str = "<u2") -> DataFrame:
     ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (large.slice(i, 256) for large in batches for i in range(0, large.num_rows, 256)):
             out = []
             for pack_id, ids, positions, cu, docs, starts in zip(*(c.to_pylist() for c in batch.columns)):
                 row, places = np.frombuffer(ids, dtype).astype("<u4"), np.frombuffer(positions, "<u4")

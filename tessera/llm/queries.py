@@ -54,7 +54,7 @@ def op5_token_packing(spark: SparkSession, d: str) -> DataFrame:
     """Documents as ids, packed and written; then one row per segment, read back."""
     docs = table(spark, d, "documents").select("doc_id", "text")
     path = scratch_path(spark, "packed")
-    packing.write_packed(packing.pack(packing.tokenize(docs, tokenizer_path(VOCABULARY))), path)
+    packing.write_packed(packing.pack_texts(docs, tokenizer_path(VOCABULARY)), path)
     return packing.segments(spark.read.parquet(path))
 
 
