@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions.columns import is_late, pct, ratio2
+from ..session import materialize
 from .quantiles import exact_percentile
 
 RECENT_DAYS = 90
@@ -124,8 +125,8 @@ def order_value_anomalies(foi: DataFrame, dim_product: DataFrame, quantile: floa
     """Order x family values strictly above the family's p95.
 
     ``method="exact"`` (default): the discrete percentile (value at rank
-    ceil(0.95 n)) found by range selection (``quantiles.exact_percentile``):
-    exact at any scale, no task sorts more than one segment.
+    ceil(0.95 n)) found inside the bracket of a sketch
+    (``quantiles.exact_percentile``): exact at any scale.
     ``method="approx"``: ``percentile_approx`` with ``accuracy`` (a mergeable
     sketch; exact only while a family has fewer than about ``accuracy``
     values, and its memory grows with the accuracy).
@@ -133,6 +134,8 @@ def order_value_anomalies(foi: DataFrame, dim_product: DataFrame, quantile: floa
     """
     ocv = order_category_values(foi, dim_product)
     if method == "exact":
+        # written once: the sketch, the count and the comparison below read the values
+        ocv = materialize(ocv, "order-values")
         p95 = exact_percentile(ocv, ["category_family"], "value_cents", quantile, alias="p95_cents")
     else:
         p95 = ocv.groupBy("category_family").agg(

@@ -106,7 +106,7 @@ def scd1_upsert(current: DataFrame, updates: DataFrame, keys: Sequence[str], upd
 
 
 def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str], valid_from: str,
-                 segments: int | None = None) -> DataFrame:
+                 segments: int | None = None, period: str | None = None) -> DataFrame:
     """Type-2 history: one interval per run of identical tracked values.
 
     Versions are ordered by ``valid_from`` then the tracked values (a total
@@ -122,6 +122,9 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     folder and read back. What crosses segment borders (the previous segment's last version,
     the next segment's first start) is taken from a table with one row per
     (segment, key), joined back once.
+
+    With ``period`` ("month" or "day") a segment is a period of
+    ``valid_from``: rows are dealt out by (period, key), nothing is sampled.
     """
     order_cols = [valid_from, *tracked]
     sort = [F.col(c).asc_nulls_first() for c in order_cols]
@@ -138,8 +141,11 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     range_order = [*(F.col(k).asc_nulls_first() for k in keys), *sort]
     base = versions.select(*keys, *tracked, valid_from)
     # no explicit count: AQE may merge adjacent small ranges (segments stay ordered)
-    ranged = (base.repartitionByRange(segments, *range_order) if segments else base.repartitionByRange(*range_order)
-              ).withColumn("_seg", F.spark_partition_id())
+    if period:
+        ranged = base.withColumn("_seg", F.coalesce(_period(F.col(valid_from), period), F.lit(-(2**31))))
+    else:
+        ranged = (base.repartitionByRange(segments, *range_order) if segments else base.repartitionByRange(*range_order)
+                  ).withColumn("_seg", F.spark_partition_id())
     same_as_lag = F.lit(True)
     for c in tracked:
         same_as_lag = same_as_lag & F.col(c).eqNullSafe(F.lag(c).over(w))
@@ -181,6 +187,11 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     )
 
 
+def _period(ts: Column, period: str) -> Column:
+    """Number of a timestamp's month or day, ascending with time."""
+    return {"month": F.year(ts) * 12 + F.month(ts), "day": F.unix_date(F.to_date(ts))}[period]
+
+
 # ------------------------------------------------------------ schema drift
 def schema_drift(spark: SparkSession, expected: T.StructType, actual: T.StructType) -> DataFrame:
     """Added / removed / type-changed columns; additions are compatible, the rest breaking.

@@ -8,7 +8,9 @@ our choice: orders, units, value and lateness.
 
 Every mart is a join of pre-aggregated sides: order-level totals are
 aggregated before they are joined to item rows, so no item row is
-multiplied by payments.
+multiplied by payments. An item whose customer, product or seller is unknown
+counts towards the member without those attributes (its id kept, where it has
+one): the marts' revenue is the items' revenue.
 """
 
 from __future__ import annotations
@@ -78,7 +80,7 @@ def _measures():
 
 def mart_customer_summary(customers: DataFrame, orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """Grain customer_unique_id: orders, units, revenue, first/last purchase, lateness."""
-    f = _item_facts(order_items, orders).join(customers.select("customer_id", "customer_unique_id"), "customer_id", "inner")
+    f = _item_facts(order_items, orders).join(customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
     return f.groupBy("customer_unique_id").agg(
         *_measures(), F.min("purchased_at").alias("first_purchase_at"), F.max("purchased_at").alias("last_purchase_at")
     )
@@ -86,13 +88,13 @@ def mart_customer_summary(customers: DataFrame, orders: DataFrame, order_items:
 
 def mart_product_performance(products: DataFrame, orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """Grain (product_id, product_category_name): sales volume, value and lateness."""
-    f = _item_facts(order_items, orders).join(products.select("product_id", "product_category_name"), "product_id", "inner")
+    f = _item_facts(order_items, orders).join(products.select("product_id", "product_category_name"), "product_id", "left")
     return f.groupBy("product_id", "product_category_name").agg(*_measures())
 
 
 def mart_seller_performance(sellers: DataFrame, orders: DataFrame, order_items: DataFrame) -> DataFrame:
     """Grain (seller_id, seller_city, seller_state): sales volume, value and lateness."""
     f = _item_facts(order_items, orders).join(
-        sellers.select("seller_id", "seller_city", "seller_state"), "seller_id", "inner"
+        sellers.select("seller_id", "seller_city", "seller_state"), "seller_id", "left"
     )
     return f.groupBy("seller_id", "seller_city", "seller_state").agg(*_measures())

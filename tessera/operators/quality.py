@@ -11,8 +11,9 @@ Execution plan per rule kind:
 * grain rules: ``groupBy(grain).count()`` then a global aggregate of the
   group counts (no group is collected);
 * referential integrity: the fact is first reduced to (fk, rows) with
-  partial aggregation, then joined to the distinct dimension keys, so the
-  shuffle carries distinct keys instead of fact rows.
+  partial aggregation, for all its relations at once, then joined to the
+  distinct dimension keys, so the shuffle carries distinct keys instead of
+  fact rows.
 """
 
 from __future__ import annotations
@@ -69,13 +70,16 @@ def row_rules(df: DataFrame, rules: Sequence[RowRule]) -> DataFrame:
     for i, r in enumerate(rules):
         applies = r.applies_when if r.applies_when is not None else F.lit(True)
         aggs += [F.count_if(applies).alias(f"e{i}"), F.count_if(applies & r.fails_when).alias(f"f{i}")]
-    one = df.agg(*aggs)
-    rows = F.explode(F.array(*(
-        F.struct(F.lit(r.name).alias("test_name"), F.col(f"e{i}").alias("e"), F.col(f"f{i}").alias("f"), F.lit(r.unit).alias("unit"))
-        for i, r in enumerate(rules)
-    ))).alias("r")
-    flat = one.select(rows).select("r.*")
-    return flat.select("test_name", *_finish(F.col("e"), F.col("f")), "unit")
+    return _unpivoted(df.agg(*aggs), [(r.name, r.unit) for r in rules])
+
+
+def _unpivoted(one: DataFrame, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """Result rows of (name, unit) rules from one row with columns e0, f0, e1, f1, ..."""
+    rows = F.inline(F.array(*(
+        F.struct(F.lit(name).alias("test_name"), F.col(f"e{i}").alias("e"), F.col(f"f{i}").alias("f"), F.lit(unit).alias("unit"))
+        for i, (name, unit) in enumerate(rules)
+    )))
+    return one.select(rows).select("test_name", *_finish(F.col("e"), F.col("f")), "unit")
 
 
 def grain_rule(df: DataFrame, grain: Sequence[str], name: str) -> DataFrame:
@@ -96,6 +100,28 @@ def ri_rule(fact: DataFrame, fk: str, dim: DataFrame, pk: str, name: str) -> Dat
     return result(one, name, "e", "f", "rows")
 
 
+def ri_rules(fact: DataFrame, relations: Sequence[tuple[str, str, DataFrame, str]]) -> DataFrame:
+    """``ri_rule`` for several relations (name, fk, dim, pk) of one fact in one pass over it.
+
+    The fact is reduced to (relation, key, rows) once, the dimensions' keys are
+    one table, and one aggregate gives all results.
+    """
+    integral = all(d.schema[pk].dataType.typeName() in ("long", "integer", "short", "byte")
+                   and fact.schema[fk].dataType.typeName() in ("long", "integer", "short", "byte") for _, fk, d, pk in relations)
+    kind = "long" if integral else "string"
+    fks = F.array(*(F.struct(F.lit(i).alias("_r"), F.col(fk).cast(kind).alias("_k")) for i, (_, fk, _, _) in enumerate(relations)))
+    keys = fact.select(F.inline(fks)).where("_k IS NOT NULL").groupBy("_r", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    dims = union_all([d.select(F.lit(i).alias("_r"), F.col(pk).cast(kind).alias("_k")) for i, (_, _, d, pk) in enumerate(relations)])
+    known = dims.where("_k IS NOT NULL").distinct().withColumn("_hit", F.lit(True))
+    n, zero = F.col("_n"), F.lit(0)
+    counts = []
+    for i in range(len(relations)):
+        mine = F.col("_r") == i
+        counts += [F.coalesce(F.sum(F.when(mine, n)), zero).alias(f"e{i}"),
+                   F.coalesce(F.sum(F.when(mine & F.col("_hit").isNull(), n)), zero).alias(f"f{i}")]
+    return _unpivoted(keys.join(known, ["_r", "_k"], "left").agg(*counts), [(name, "rows") for name, *_ in relations])
+
+
 def ri_orphan_rows(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:
     """The failing rows of an RI rule (NULL keys are not orphans)."""
     return fact.where(F.col(fk).isNotNull()).join(
@@ -162,50 +188,72 @@ def union_all(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ the suite
-def gold_rules(gold: dict[str, DataFrame]) -> list[DataFrame]:
-    """Checks 1-15 of the Gold suite, in report order."""
-    dc, ds, dp, dd = gold["dim_customer"], gold["dim_seller"], gold["dim_product"], gold["dim_date"]
-    foi, fp, fr = gold["fact_order_item"], gold["fact_payment"], gold["fact_review"]
-    key_null = [
-        row_rules(dc, [RowRule("dim_customer.customer_key is non-null", F.col("customer_key").isNull())]),
-        row_rules(ds, [RowRule("dim_seller.seller_key is non-null", F.col("seller_key").isNull())]),
-        row_rules(dp, [RowRule("dim_product.product_key is non-null", F.col("product_key").isNull())]),
-    ]
-    return key_null + [
-        ri_rule(foi, "customer_key", dc, "customer_key", "fact_order_item.customer_key has no orphans"),
-        ri_rule(foi, "product_key", dp, "product_key", "fact_order_item.product_key has no orphans"),
-        grain_rule(foi, ["order_id", "order_item_id"], "fact_order_item has unique (order_id, order_item_id) grain"),
-        grain_rule(fp, ["order_id", "payment_sequential"], "fact_payment has unique (order_id, payment_sequential) grain"),
-        row_rules(foi, [RowRule(
-            "delivered_at is not before purchased_at",
-            F.col("delivered_at") < F.col("purchased_at"),
-            F.col("delivered_at").isNotNull() & F.col("purchased_at").isNotNull(),
-        )]),
-        row_rules(fp, [RowRule("payment_value is non-negative", F.col("payment_value") < 0, F.col("payment_value").isNotNull())]),
-        row_rules(dp, [RowRule(
-            "all non-null product categories are mapped to taxonomy",
-            F.col("normalized_category").isNull() | F.col("category_family").isNull(),
-            F.col("product_category_name").isNotNull(),
-        )]),
-        grain_rule(fr, ["review_id", "order_id", "product_key"], "fact_review has unique (review_id, order_id, product_key) grain"),
-        row_rules(fr, [RowRule(
-            "fact_review scores are between 1 and 5",
-            F.col("review_score").isNull() | ~F.col("review_score").between(1, 5),
-        )]),
-        ri_rule(fr, "review_date_key", dd, "date_key", "fact_review.review_date_key has no orphans"),
-        ri_rule(fr, "customer_key", dc, "customer_key", "fact_review.customer_key has no orphans"),
-        ri_rule(fr, "product_key", dp, "product_key", "fact_review.product_key has no orphans"),
-    ]
+# fixed values: the labels of the 16 checks, in report order
+CHECK_NAMES = (
+    "dim_customer.customer_key is non-null",
+    "dim_seller.seller_key is non-null",
+    "dim_product.product_key is non-null",
+    "fact_order_item.customer_key has no orphans",
+    "fact_order_item.product_key has no orphans",
+    "fact_order_item has unique (order_id, order_item_id) grain",
+    "fact_payment has unique (order_id, payment_sequential) grain",
+    "delivered_at is not before purchased_at",
+    "payment_value is non-negative",
+    "all non-null product categories are mapped to taxonomy",
+    "fact_review has unique (review_id, order_id, product_key) grain",
+    "fact_review scores are between 1 and 5",
+    "fact_review.review_date_key has no orphans",
+    "fact_review.customer_key has no orphans",
+    "fact_review.product_key has no orphans",
+)
+RELATION_CHECKS = {  # fact -> (label, foreign key, dimension, key)
+    "fact_order_item": ((CHECK_NAMES[3], "customer_key", "dim_customer", "customer_key"),
+                        (CHECK_NAMES[4], "product_key", "dim_product", "product_key")),
+    "fact_review": ((CHECK_NAMES[12], "review_date_key", "dim_date", "date_key"),
+                    (CHECK_NAMES[13], "customer_key", "dim_customer", "customer_key"),
+                    (CHECK_NAMES[14], "product_key", "dim_product", "product_key")),
+}
+GRAIN_CHECKS = (  # (label, fact, grain)
+    (CHECK_NAMES[5], "fact_order_item", ("order_id", "order_item_id")),
+    (CHECK_NAMES[6], "fact_payment", ("order_id", "payment_sequential")),
+    (CHECK_NAMES[10], "fact_review", ("review_id", "order_id", "product_key")),
+)
+
+
+def fresh_name(max_hours: float = FRESHNESS_HOURS) -> str:
+    return f"Bronze ingestion is fresh (<= {max_hours:g} hours)"
+
+
+def row_checks() -> dict[str, list[RowRule]]:
+    """The row rules of the suite by table: each table is scanned once for all of its rules."""
+    return {
+        "dim_customer": [RowRule(CHECK_NAMES[0], F.col("customer_key").isNull())],
+        "dim_seller": [RowRule(CHECK_NAMES[1], F.col("seller_key").isNull())],
+        "dim_product": [
+            RowRule(CHECK_NAMES[2], F.col("product_key").isNull()),
+            RowRule(CHECK_NAMES[9], F.col("normalized_category").isNull() | F.col("category_family").isNull(),
+                    F.col("product_category_name").isNotNull()),
+        ],
+        "fact_order_item": [RowRule(CHECK_NAMES[7], F.col("delivered_at") < F.col("purchased_at"),
+                                    F.col("delivered_at").isNotNull() & F.col("purchased_at").isNotNull())],
+        "fact_payment": [RowRule(CHECK_NAMES[8], F.col("payment_value") < 0, F.col("payment_value").isNotNull())],
+        "fact_review": [RowRule(CHECK_NAMES[11], F.col("review_score").isNull() | ~F.col("review_score").between(1, 5))],
+    }
 
 
 def dq_report(gold: dict[str, DataFrame], fresh_df: DataFrame, fresh_ts: str, as_of: Column,
               max_hours: float = FRESHNESS_HOURS) -> DataFrame:
-    """The 16-row suite: 15 Gold checks plus Bronze freshness, with a check number."""
-    parts = gold_rules(gold) + [
-        freshness_rule(fresh_df, fresh_ts, as_of, f"Bronze ingestion is fresh (<= {max_hours:g} hours)", max_hours)
-    ]
-    numbered = [p.withColumn("check_no", F.lit(i + 1)) for i, p in enumerate(parts)]
-    return union_all(numbered).select("check_no", *[f.name for f in RESULT_SCHEMA.fields])
+    """The 16-row suite: 15 Gold checks plus Bronze freshness, with a check number.
+
+    One aggregate per table for row rules, one per fact for relations, one per grain.
+    """
+    parts = [row_rules(gold[t], rules) for t, rules in row_checks().items()]
+    parts += [ri_rules(gold[f], [(n, fk, gold[d], pk) for n, fk, d, pk in rels]) for f, rels in RELATION_CHECKS.items()]
+    parts += [grain_rule(gold[f], list(grain), name) for name, f, grain in GRAIN_CHECKS]
+    parts.append(freshness_rule(fresh_df, fresh_ts, as_of, fresh_name(max_hours), max_hours))
+    names = F.array(*map(F.lit, [*CHECK_NAMES, fresh_name(max_hours)]))
+    return union_all(parts).select(F.array_position(names, F.col("test_name")).cast("int").alias("check_no"),
+                                   *[f.name for f in RESULT_SCHEMA.fields])
 
 
 def key_collision_rules(gold: dict[str, DataFrame]) -> DataFrame:
@@ -248,14 +296,14 @@ def validate_fact_grain(fact: DataFrame, grain: Sequence[str], fact_name: str) -
     """Raise when the fact has duplicated grain groups (build-time assertion)."""
     r = grain_rule(fact, grain, f"{fact_name} grain").first()
     if r.rows_failed:
-        raise QualityGateError(f"Duplicate grain in {fact_name}: {r.rows_failed} duplicate groups")
+        raise QualityGateError(f"{fact_name}: {r.rows_failed} keys of its grain ({', '.join(grain)}) have several rows")
 
 
 def validate_referential_integrity(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> None:
     """Raise when non-NULL foreign keys have no dimension row (build-time assertion)."""
     r = ri_rule(fact, fk, dim, pk, f"{fk} -> {pk}").first()
     if r.rows_failed:
-        raise QualityGateError(f"Referential integrity failure: {fk} -> {pk}; {r.rows_failed} orphan rows")
+        raise QualityGateError(f"{r.rows_failed} rows hold a {fk} that no {pk} of the dimension matches")
 
 
 RI_RELATIONS = (
@@ -272,10 +320,11 @@ RI_RELATIONS = (
 
 
 def ri_check_matrix(gold: dict[str, DataFrame]) -> DataFrame:
-    """The nine build-time RI relations as result rows."""
-    return union_all([
-        ri_rule(gold[f], fk, gold[d], pk, f"{f}.{fk} -> {d}.{pk}") for f, fk, d, pk in RI_RELATIONS
-    ])
+    """The nine build-time RI relations as result rows, one pass per fact."""
+    by_fact: dict[str, list] = {}
+    for f, fk, d, pk in RI_RELATIONS:
+        by_fact.setdefault(f, []).append((f"{f}.{fk} -> {d}.{pk}", fk, gold[d], pk))
+    return union_all([ri_rules(gold[f], rels) for f, rels in by_fact.items()])
 
 
 FK_COLUMNS = {

@@ -3,20 +3,19 @@
 ``percentile_disc``-style exact aggregates hold every distinct value of a
 group in one buffer, and ``percentile_approx`` with a tight error bound keeps
 a very large sketch per group and task. Here the exact value at rank
-``ceil(q * n)`` (the SQL-standard discrete percentile) is found by selection:
+``ceil(q * n)`` (the SQL-standard discrete percentile) is found by selection
+inside a bracket:
 
-1. aggregate to a histogram (group, value, count): map-side combined, so a hot
-   value is one row;
-2. range-partition it on (group, value) into balanced segments and materialise
-   them once (a written table in the shared checkpoint folder): a large
-   group spans many segments;
-3. sum the counts per (group, segment): a table with about groups + segments rows;
-4. running sums over that small table locate, per group, the segment that
-   holds the target rank and the rank inside it;
-5. running sums over the values of those target segments (one per group).
+1. one mergeable quantile sketch per group (``percentile_approx``, its rank
+   error bounded by n / accuracy) gives a value below and one above the wanted
+   rank, and the group's count;
+2. one exact counting pass: values below the bracket are counted, values
+   inside it aggregated to a histogram (both combined before the shuffle);
+3. running sums over that histogram, some ten-thousandths of a group, find the
+   value at the rank.
 
-No task ever sorts more than one segment of distinct values, whatever the
-group sizes and however often a value occurs.
+Nothing is written and no range is sampled. A bracket that does not hold the
+rank is widened to its whole group, so the result is exact at every size.
 """
 
 from __future__ import annotations
@@ -45,31 +44,44 @@ def range_segments(df: DataFrame, order: Sequence, segments: int | None = None)
 
 
 def exact_percentile(df: DataFrame, group_cols: Sequence[str], value_col: str, q: float,
-                     segments: int | None = None, alias: str = "percentile") -> DataFrame:
-    """Per group (a NULL group too), the value at 1-based rank ceil(q * n) among the non-NULL values."""
+                     accuracy: int = 10_000, alias: str = "percentile") -> DataFrame:
+    """Per group (a NULL group too), the value at 1-based rank ceil(q * n) among the non-NULL values.
+
+    ``df`` is read twice (write it first if it is expensive); ``accuracy``
+    sets the sketch's size and the bracket's width, not the result.
+    """
     frac = Fraction(str(q))
     if not 0 < frac <= 1:
         raise ValueError("q must be in (0, 1]")
     groups = list(group_cols)
-    histogram = df.where(F.col(value_col).isNotNull()).groupBy(*groups, value_col).agg(F.count(F.lit(1)).alias("_n"))
-    order = [F.col(g).asc_nulls_first() for g in groups] + [F.col(value_col).asc()]
-    ranged = range_segments(histogram, order, segments)
-    by_group = Window.partitionBy(*groups)
-    running = by_group.orderBy("_seg").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counts = ranged.groupBy(*groups, "_seg").agg(F.sum("_n").alias("_cnt")).select(
-        "*", F.sum("_cnt").over(running).alias("_cum"), F.sum("_cnt").over(by_group).alias("_total"),
-    )
-    # ceil(q * total) on integers: (num * total + den - 1) div den
+    value = F.col(value_col)
+    known = df.where(value.isNotNull())
+    # the sketch's ranks are off by n / accuracy at most: these two values enclose the wanted one
+    margin = 2.0 / accuracy
+    ends = F.array(F.lit(max(0.0, float(frac) - margin)), F.lit(min(1.0, float(frac) + margin)))
+    # ceil(q * n) on integers: (num * n + den - 1) div den
     x = (F.col("_total") * frac.numerator + (frac.denominator - 1)).cast("decimal(38,0)")
     k = ((x - x % frac.denominator) / frac.denominator).cast("long")
-    before = F.col("_cum") - F.col("_cnt")
-    target = counts.withColumn("_k", k).where((before < F.col("_k")) & (F.col("_cum") >= F.col("_k"))).select(
-        *(F.col(g).alias(f"_t_{g}") for g in groups), F.col("_seg").alias("_t_seg"), (F.col("_k") - before).alias("_local_k")
-    )
-    same = [F.col(g).eqNullSafe(F.col(f"_t_{g}")) for g in groups]
-    candidates = ranged.join(target, [F.col("_seg") == F.col("_t_seg"), *same])  # target segments only
-    in_segment = Window.partitionBy(*groups, "_seg").orderBy(F.col(value_col).asc())
-    upto = F.sum("_n").over(in_segment.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return candidates.withColumn("_upto", upto).where(
-        (F.col("_upto") >= F.col("_local_k")) & (F.col("_upto") - F.col("_n") < F.col("_local_k"))
-    ).select(*groups, F.col(value_col).alias(alias))
+    brackets = known.groupBy(*groups).agg(
+        F.percentile_approx(value_col, ends, accuracy).alias("_ends"), F.count(F.lit(1)).alias("_total"),
+    ).select(*(F.col(g).alias(f"_b_{g}") for g in groups), F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"), k.alias("_k"))
+    same = [F.col(g).eqNullSafe(F.col(f"_b_{g}")) for g in groups]
+    near = known.join(brackets, same).where(value <= F.col("_high"))
+    # values below the bracket are one row of the histogram
+    inside = F.when(value >= F.col("_low"), value)
+    found = _at_rank(near.select(*groups, inside.alias("_v"), "_k"), groups)
+    hit = found.where(F.col("_v").isNotNull())
+    # a bracket that missed (which the sketch's bound excludes) is widened to the whole group
+    done = hit.select(*(F.col(g).alias(f"_d_{g}") for g in groups), F.lit(True).alias("_done"))
+    missed = brackets.join(done, [F.col(f"_b_{g}").eqNullSafe(F.col(f"_d_{g}")) for g in groups], "left_anti")
+    rest = _at_rank(known.join(missed, same).select(*groups, value.alias("_v"), "_k"), groups)
+    return hit.unionByName(rest).select(*groups, F.col("_v").alias(alias))
+
+
+def _at_rank(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Of rows (groups, _v, _k), per group the value at rank ``_k``, NULL values lowest."""
+    histogram = rows.groupBy(*groups, "_v", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    upwards = Window.partitionBy(*groups).orderBy(F.col("_v").asc_nulls_first())
+    upto = F.sum("_n").over(upwards.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return histogram.withColumn("_upto", upto).where(
+        (F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_n") < F.col("_k"))).select(*groups, "_v")

@@ -20,6 +20,12 @@ def _row(df: DataFrame, check: str, subject: str, value) -> DataFrame:
     return df.select(F.lit(check).alias("check_type"), F.lit(subject).alias("subject"), value.cast("double").alias("value"))
 
 
+def _rows(one: DataFrame, check: str, subjects: dict[str, str]) -> DataFrame:
+    """Report rows of several columns (column -> subject) of a one-row aggregate, which is computed once."""
+    return one.select(F.lit(check).alias("check_type"), F.inline(F.array(*(
+        F.struct(F.lit(subject).alias("subject"), F.col(c).cast("double").alias("value")) for c, subject in subjects.items()))))
+
+
 def row_count(df: DataFrame, subject: str) -> DataFrame:
     return _row(df.agg(F.count(F.lit(1)).alias("n")), "row_count", subject, F.col("n"))
 
@@ -31,7 +37,7 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str], subject: str) -> DataFr
 
 def null_keys(df: DataFrame, cols: Sequence[str], table: str) -> DataFrame:
     one = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in cols))
-    return union_all([_row(one, "null_key_rows", f"{table}.{c}", F.col(c)) for c in cols])
+    return _rows(one, "null_key_rows", {c: f"{table}.{c}" for c in cols})
 
 
 def silver_validation(silver, relations) -> DataFrame:
@@ -76,10 +82,10 @@ def mart_validation(marts: dict[str, DataFrame]) -> DataFrame:
         F.count_if(F.col("delivered_on_time").isNull()).alias("undelivered"),
         F.count_if(F.col("delivery_delay_days") > 0).alias("delayed"),
     )
-    parts += [_row(split, "delivery_split", c, F.col(c)) for c in ("on_time", "late", "undelivered", "delayed")]
+    parts.append(_rows(split, "delivery_split", {c: c for c in ("on_time", "late", "undelivered", "delayed")}))
     s = marts["mart_sales"]
     money = s.agg(F.sum("item_price").alias("item_price"), F.sum("freight_cost").alias("freight_cost"))
-    parts += [_row(money, "money_total", c, F.col(c)) for c in ("item_price", "freight_cost")]
+    parts.append(_rows(money, "money_total", {c: c for c in ("item_price", "freight_cost")}))
     # the order-level payment total repeats on every item row: count it once per order
     pay = s.groupBy("order_id").agg(F.max("total_payment_value").alias("t")).agg(F.sum("t").alias("t"))
     parts.append(_row(pay, "money_total", "total_payment_value", F.col("t")))

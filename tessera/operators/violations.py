@@ -81,11 +81,11 @@ def failing_groups(df: DataFrame, table: str, grain: Sequence[str], name: str) -
 def gold_violations(gold: dict[str, DataFrame], fresh_df: DataFrame, fresh_ts: str, as_of: Column,
                     max_hours: float = Q.FRESHNESS_HOURS) -> DataFrame:
     """Failing rows (test_name, table_name, row_key) of the 16 checks of ``quality.dq_report``."""
-    grains = {"dim_customer": ["customer_id"], "dim_seller": ["seller_id"], "dim_product": ["product_id"],
-              "fact_order_item": ["order_id", "order_item_id"], "fact_payment": ["order_id", "payment_sequential"],
-              "fact_review": ["review_id", "order_id", "product_key"]}
-    parts = [failing_rows(gold[t], t, grains[t], rules, [Relation(n, fk, gold[dim], pk) for n, fk, dim, pk in relations])
-             for t, (rules, relations) in Q.gold_row_rules().items()]
+    keys = {"dim_customer": ["customer_id"], "dim_seller": ["seller_id"], "dim_product": ["product_id"],
+            "fact_order_item": ["order_id", "order_item_id"], "fact_payment": ["order_id", "payment_sequential"],
+            "fact_review": ["review_id", "order_id", "product_key"]}
+    parts = [failing_rows(gold[t], t, keys[t], rules, [
+        Relation(n, fk, gold[dim], pk) for n, fk, dim, pk in Q.RELATION_CHECKS.get(t, ())]) for t, rules in Q.row_checks().items()]
     parts += [failing_groups(gold[t], t, grain, name) for name, t, grain in Q.GRAIN_CHECKS]
     stale = Q.freshness_rule(fresh_df, fresh_ts, as_of, Q.fresh_name(max_hours), max_hours).where("NOT passed")
     parts.append(stale.select("test_name", F.lit("bronze").alias("table_name"), F.lit("").alias("row_key")))

@@ -21,8 +21,10 @@ from ..operators import quality as Q
 from ..operators import star as K
 from ..operators import taxonomy as X
 from ..operators import validation as V
-from ..operators.fingerprint import fingerprints, table_diff
+from ..operators.fingerprint import (bucket_diff, fingerprint_tree, fingerprints, portable_fingerprint, table_diff,
+                                     unequal_buckets)
 from ..operators.silver import conform
+from ..operators.violations import gold_violations
 from ..plans.pipeline import driver_star
 from ..sources import driver_tables as D
 from ..sources.schemas import SILVER_SPECS
@@ -188,6 +190,13 @@ def q_dq_failing_rows(spark, d):
     return f.where(rule).select("order_id", "order_item_id", "purchased_at", "delivered_at")
 
 
+@query("rule_violations")
+def q_rule_violations(spark, d):
+    """Every failing row (or group) of the 16 checks: as many per rule as ``dq_report`` counts."""
+    events, ts = D.feed_times(spark, d)["events"]
+    return gold_violations(driver_star(spark, d), events, ts, F.lit(D.FRESHNESS_AS_OF).cast("timestamp_ntz"))
+
+
 @query("fact_grain_check")
 def q_fact_grain_check(spark, d):
     g = driver_star(spark, d)
@@ -379,6 +388,87 @@ def q_scd2_history(spark, d):
     return _money(out, "item_price", "freight_cost")
 
 
+TRACKED = ["product_id", "seller_id", "item_price", "freight_cost"]
+
+
+@query("scd2_merge")
+def q_scd2_merge(spark, d):
+    """History started without the newest versions and without some from the middle, which arrive last: equals the rebuild."""
+    from ..session import scratch_path
+    from ..sources.versions import BUCKET, Lake
+    from .history import merge_versions, start_history
+
+    versions = conform(D.raw_tables(spark, d)["order_items"], SILVER_SPECS["order_items"])
+    newest = versions.select(F.max("delivered_at")).scalar()
+    new = F.coalesce(F.col("delivered_at") >= newest - F.expr(f"INTERVAL {SNAPSHOT_LAG_DAYS} DAYS"), F.lit(False))
+    late = F.coalesce(F.col("delivered_at").between(newest - F.expr("INTERVAL 1500 DAYS"), newest - F.expr("INTERVAL 1200 DAYS")),
+                      F.lit(False))
+    spec = ("items", ["order_id", "order_item_id"], TRACKED, "delivered_at", 16)
+    lake = Lake(spark, scratch_path(spark, "history"))
+    change = lake.begin()
+    start_history(change, versions.where(~new & ~late), *spec)
+    change.publish()
+    for batch in (versions.where(new), versions.where(late & ~new)):
+        change = lake.begin()
+        merge_versions(change, batch, *spec)
+        change.publish()
+    return _money(lake.snapshot().read("items_history").drop(BUCKET), "item_price", "freight_cost")
+
+
+@query("run_metric_deltas")
+def q_run_metric_deltas(spark, d):
+    """Two runs recorded in a history, before and after the latest deliveries: every metric of the second with its change."""
+    from ..operators import metrics as H
+    from ..operators.silver import silver_order_items
+    from ..session import scratch_path
+    from ..sources.versions import Lake
+    from .pipeline import build_star
+
+    silver = D.silver_tables(spark, d)
+    old_raw, _ = _items_split(spark, d, SNAPSHOT_LAG_DAYS)
+    as_of = F.lit(D.FRESHNESS_AS_OF).cast("timestamp_ntz")
+    lake = Lake(spark, scratch_path(spark, "metrics"))
+    for run, items in (("before", silver_order_items(old_raw, latest_by=D.ITEM_LATEST_BY)), ("after", silver["order_items"])):
+        star = build_star({**dict(silver.items()), "order_items": items})
+        fact = star["fact_order_item"]
+        relations = [(f"{f}.{fk} -> {dim}.{pk}", fk, star[dim], pk) for f, fk, dim, pk in Q.RI_RELATIONS if f == "fact_order_item"]
+        late = T.late_arrivals(fact, "purchased_at", "delivered_at", LATE_AFTER_DAYS)
+        change = lake.begin()
+        H.record(change, run, Q.union_all([
+            H.table_metrics(items, "order_items"), H.relation_metrics(Q.ri_rules(fact, relations)),
+            H.count_metric(late, "fact_order_item", "late_rows"), H.freshness_metric(items, "order_items", "delivered_at", as_of)]))
+        change.publish()
+    deltas = H.metric_deltas(lake.snapshot().read(H.HISTORY))
+    return deltas.where("run_id = 'after'").drop("run_no")
+
+
+@query("schema_drift")
+def q_schema_drift(spark, d):
+    """The customers against a version with a renamed, a retyped, a dropped and an added column."""
+    from ..operators.drift import data_drift
+
+    old = D.read(spark, d, "customer")
+    amount = F.when(F.col("c_acctbal") < 0, F.lit("overdrawn")).otherwise(F.col("c_acctbal").cast("string"))
+    new = old.select("c_custkey", F.col("c_name").alias("customer_name"), amount.alias("c_acctbal"), "c_mktsegment",
+                     F.length("c_name").alias("name_length"))
+    return data_drift(old, new)
+
+
+@query("fact_payment_events")
+def q_fact_payment_events(spark, d):
+    """The payment fact over purchase events, which name a customer but no order: several payments each, numbered in time."""
+    from ..functions.columns import to_money
+
+    paid = q_event_payment_sequence(spark, d)
+    payments = paid.select(
+        F.lit(None).cast("long").alias("order_id"), F.col("payment_sequential").cast("int"), F.lit("event").alias("payment_type"),
+        F.lit(None).cast("int").alias("payment_installments"), to_money(paid, "payment_value").alias("payment_value"),
+        F.col("user_id").alias("customer_id"), F.col("ts").alias("purchased_at"))
+    g = driver_star(spark, d)
+    fact = K.fact_payment(payments, D.silver_tables(spark, d)["orders"], g["dim_customer"])
+    return _money(_flags(fact, "customer_key"), "payment_value")
+
+
 @query("affected_partitions")
 def q_affected_partitions(spark, d):
     s = D.silver_tables(spark, d)
@@ -424,10 +514,41 @@ def q_run_metrics(spark, d):
     return Q.union_all([base, *extra])
 
 
-# ---------------------------------------------------------------- fingerprints (rows-only: engine-specific hashes)
+# ---------------------------------------------------------------- fingerprints
+SURROGATES = {"dim_customer": "customer_key", "dim_seller": "seller_key", "dim_product": "product_key"}
+
+
 @query("table_fingerprint")
 def q_table_fingerprint(spark, d):
-    return fingerprints(driver_star(spark, d))
+    """SHA-256 fingerprints of the star, surrogate keys as resolution flags (their values are Spark's hashes)."""
+    parts = []
+    for name, df in driver_star(spark, d).items():
+        keys = [SURROGATES[name]] if name in SURROGATES else Q.FK_COLUMNS.get(name, ())
+        parts.append(portable_fingerprint(_flags(df, *(k for k in keys if not k.endswith("date_key"))), name))
+    return Q.union_all(parts)
+
+
+@query("bucket_diff")
+def q_bucket_diff(spark, d):
+    """``table_diff`` of two versions of the order items: trees of fingerprints name the buckets that are read."""
+    from ..operators.silver import silver_order_items
+    from ..session import scratch_path
+    from ..sources.versions import BUCKET, Lake, bucketed
+
+    keys, name = ["order_id", "order_item_id"], "order_items"
+    old_raw, _ = _items_split(spark, d, SNAPSHOT_LAG_DAYS)
+    lake = Lake(spark, scratch_path(spark, "diff"))
+    for items in (silver_order_items(old_raw, latest_by=D.ITEM_LATEST_BY), D.silver_tables(spark, d)["order_items"]):
+        change = lake.begin()
+        rows = change.write(name, bucketed(items, ["order_id"], 64), [BUCKET])
+        change.write("tree", fingerprint_tree(rows))
+        change.publish()
+    old, new = lake.snapshot(1), lake.snapshot(2)
+
+    def reader(version):
+        return lambda buckets: version.read(name, [f"{BUCKET}={b}" for b in buckets])
+
+    return bucket_diff(reader(old), reader(new), keys, unequal_buckets(old.read("tree"), new.read("tree")))
 
 
 @query("idempotency_check")

@@ -172,19 +172,19 @@ def upsert(change: Change, name: str, raw: DataFrame, taxonomy: DataFrame, lates
     return batch, folders
 
 
-def _touched(change: Change, batches: Mapping[str, DataFrame], buckets: int) -> DataFrame:
-    """Distinct order ids (with their bucket) whose fact rows the batches can change."""
+def _touched(change: Change, done: Mapping[str, tuple[DataFrame, list[str]]], buckets: int) -> tuple[DataFrame, list[str]]:
+    """Distinct order ids (with their bucket) whose fact rows the batches can change, and their buckets' folders."""
+    if len(done) == 1 and not set(done) & set(REFERRERS):  # the batch itself tells, and lies by order already
+        (batch, folders), = done.values()
+        return batch.select("order_id", BUCKET).distinct(), folders
     ids = []
-    for name, batch in batches.items():
+    for name, (batch, _) in done.items():
         if name in REFERRERS:
             key, home = BUCKET_KEYS[name], silver(change, REFERRERS[name])
             ids.append(home.select("order_id", key).join(batch.select(key), key, "left_semi").select("order_id"))
         else:
             ids.append(batch.select("order_id"))
-    out = ids[0]
-    for more in ids[1:]:
-        out = out.unionByName(more)
-    return bucketed(out.distinct(), ["order_id"], buckets)
+    return _staged_orders(change, Q.union_all(ids), buckets)
 
 
 def refresh(lake: Lake, batches: Mapping[str, DataFrame], taxonomy: DataFrame, latest_by: LatestBy | None = None,
@@ -207,10 +207,20 @@ def refresh(lake: Lake, batches: Mapping[str, DataFrame], taxonomy: DataFrame, l
 def refresh_orders(lake: Lake, orders: DataFrame, **notes) -> int:
     """Recompute the fact rows of the given orders (column ``order_id``) and publish, e.g. for a backfill."""
     change = lake.begin()
-    rewrite_facts(change, orders.select("order_id"), tuple(GRAINS), change.base.notes["buckets"])
+    buckets = change.base.notes["buckets"]
+    rewrite_facts(change, *_staged_orders(change, orders.select("order_id"), buckets), tuple(GRAINS), buckets)
     return change.publish(**notes)
 
 
+def _staged_orders(change: Change, orders: DataFrame, buckets: int) -> tuple[DataFrame, list[str]]:
+    """Distinct order ids with their bucket, written aside, and the bucket folders they lie in."""
+    path = scratch_path(change.lake.spark, "touched-orders")
+    ids = bucketed(orders.distinct(), ["order_id"], buckets)
+    ids.write.partitionBy(BUCKET).parquet(path)
+    folders = [n for n in change.lake.files.names(path, folders_only=True) if n.startswith(f"{BUCKET}=")]
+    return change.lake.spark.read.schema(ids.schema).parquet(path), folders
+
+
 def _refresh_gold(change: Change, done: Mapping[str, tuple[DataFrame, list[str]]], buckets: int) -> None:
     def dimension(name):
         table, build = DIMENSIONS[name]
@@ -223,17 +233,11 @@ def _refresh_gold(change: Change, done: Mapping[str, tuple[DataFrame, list[str]]
     if jobs:
         _together(jobs)
     facts = [f for f in GRAINS if any(f in READS[n] for n in done)]
-    rewrite_facts(change, _touched(change, {n: rows for n, (rows, _) in done.items()}, buckets).select("order_id"), facts, buckets)
+    rewrite_facts(change, *_touched(change, done, buckets), facts, buckets)
 
 
-def rewrite_facts(change: Change, orders: DataFrame, facts: Sequence[str], buckets: int) -> None:
-    """Replace the rows of the given orders in the facts by rows recomputed from Silver, and check them."""
-    spark = change.lake.spark
-    path = scratch_path(spark, "touched-orders")
-    ids = bucketed(orders.distinct(), ["order_id"], buckets)
-    ids.write.partitionBy(BUCKET).parquet(path)
-    touched = spark.read.schema(ids.schema).parquet(path)
-    folders = [n for n in change.lake.files.names(path, folders_only=True) if n.startswith(f"{BUCKET}=")]
+def rewrite_facts(change: Change, touched: DataFrame, folders: Sequence[str], facts: Sequence[str], buckets: int) -> None:
+    """Replace the rows of touched orders (in bucket ``folders``) in the facts by rows recomputed from Silver, and check them."""
     if not folders:
         return
     dims = _dimensions(change)
@@ -242,19 +246,26 @@ def rewrite_facts(change: Change, orders: DataFrame, facts: Sequence[str], bucke
         rows = silver(change, name, folders)
         return rows.join(touched, rows["order_id"].eqNullSafe(touched["order_id"]), "left_semi")
 
-    def one(fact: str) -> None:
-        entry = change.entries[fact]
-        live = sorted({r for ids in entry.parts.values() for r in ids})  # as many as the manifest lists
+    def leave(fact: str) -> None:
+        live = sorted({r for ids in change.entries[fact].parts.values() for r in ids})  # as many as the manifest lists
         zones = change.read(f"zones_{fact}").where(run_column(F.col("_file")).isin(live))
         near = affected_files(zones, touched, "order_id", ["_file"], buckets)
         change.remove(fact, touched, ["order_id"], folder_names(near.select(folder_column(F.col("_file")))))
+
+    def enter(fact: str) -> tuple[str, list[str]]:
+        entry = change.entries[fact]
         fresh_rows = _fact(fact, change, dims, of_touched).select(*entry.struct.fieldNames())
         run, made = change.lake.write_run(fact, fresh_rows, entry.by)
         fresh = change.lake.read_runs(fact, entry, [(run, f) for f in made])
         Q.assert_passed(Q.union_all([
             Q.grain_rule(fresh, list(GRAINS[fact]), f"{fact}: refreshed rows have one row a key"),
-            *(Q.ri_rule(fresh, key, dims[KEY_HOMES[key]], key, f"{fact}: refreshed {key} values exist") for key in FACT_KEYS[fact])]))
+            Q.ri_rules(fresh, [(f"{fact}: refreshed {key} values exist", key, dims[KEY_HOMES[key]], key) for key in FACT_KEYS[fact]])]))
+        return run, made
+
+    def list_runs(fact: str, run: str, made: list[str]) -> None:
         change.add_run(fact, run, made)
         _write_zones(change, fact, buckets)
 
-    _together([lambda f=f: one(f) for f in facts])
+    # old rows leave while the new ones are written and checked beside them
+    done = _together([*(lambda f=f: leave(f) for f in facts), *(lambda f=f: enter(f) for f in facts)], 2 * len(facts))
+    _together([lambda f=f, r=r: list_runs(f, *r) for f, r in zip(facts, done[len(facts):])])

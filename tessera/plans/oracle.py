@@ -364,6 +364,43 @@ ORACLE["dq_failing_rows"] = with_star(
     "WHERE delivered_at IS NOT NULL AND purchased_at IS NOT NULL AND delivered_at < purchased_at"
 )
 
+def _failing(name: str, table: str, key: list[str], where: str, src: str | None = None) -> str:
+    text = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), 'NULL')" for k in key)
+    return f"SELECT '{name}' AS test_name, '{table}' AS table_name, {text} AS row_key FROM {src or table} WHERE {where}"
+
+
+def _several(name: str, table: str, key: list[str]) -> str:
+    cols = ", ".join(key)
+    return _failing(name, table, key, "n > 1", f"(SELECT {cols}, COUNT(*) AS n FROM {table} GROUP BY {cols}) g")
+
+
+def _orphan(name: str, table: str, key: list[str], fk: str, dim: str, pk: str) -> str:
+    return _failing(name, table, key, f"{fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {dim} WHERE {pk} IS NOT NULL)")
+
+
+# no review row fails in these tables, so the key of its surrogate need not be written out
+_ITEM, _PAY, _REV = ["order_id", "order_item_id"], ["order_id", "payment_sequential"], ["review_id", "order_id", "product_nk"]
+ORACLE["rule_violations"] = with_star("\nUNION ALL\n".join([
+    _failing("dim_customer.customer_key is non-null", "dim_customer", ["customer_id"], "customer_id IS NULL", "silver_customers"),
+    _failing("dim_seller.seller_key is non-null", "dim_seller", ["seller_id"], "seller_id IS NULL", "silver_sellers"),
+    _failing("dim_product.product_key is non-null", "dim_product", ["product_id"], "product_id IS NULL", "silver_products"),
+    _orphan("fact_order_item.customer_key has no orphans", "fact_order_item", _ITEM, "customer_nk", "silver_customers", "customer_id"),
+    _orphan("fact_order_item.product_key has no orphans", "fact_order_item", _ITEM, "product_nk", "silver_products", "product_id"),
+    _several("fact_order_item has unique (order_id, order_item_id) grain", "fact_order_item", _ITEM),
+    _several("fact_payment has unique (order_id, payment_sequential) grain", "fact_payment", _PAY),
+    _failing("delivered_at is not before purchased_at", "fact_order_item", _ITEM, "delivered_at < purchased_at"),
+    _failing("payment_value is non-negative", "fact_payment", _PAY, "payment_value_c < 0"),
+    _failing("all non-null product categories are mapped to taxonomy", "dim_product", ["product_id"],
+             "product_category_name IS NOT NULL AND (normalized_category IS NULL OR category_family IS NULL)", "silver_products"),
+    _several("fact_review has unique (review_id, order_id, product_key) grain", "fact_review", _REV),
+    _failing("fact_review scores are between 1 and 5", "fact_review", _REV,
+             "review_score IS NULL OR NOT (review_score BETWEEN 1 AND 5)"),
+    _orphan("fact_review.review_date_key has no orphans", "fact_review", _REV, "review_date_key", "dim_date", "date_key"),
+    _orphan("fact_review.customer_key has no orphans", "fact_review", _REV, "customer_nk", "silver_customers", "customer_id"),
+    _orphan("fact_review.product_key has no orphans", "fact_review", _REV, "product_nk", "silver_products", "product_id"),
+    f"SELECT test_name, 'bronze' AS table_name, '' AS row_key FROM ({_DQ[-1]}) x WHERE NOT passed",
+]))
+
 ORACLE["fact_grain_check"] = with_star("\nUNION ALL\n".join([
     _grain(None, "fact_order_item", "fact_order_item", "order_id, order_item_id"),
     _grain(None, "fact_payment", "fact_payment", "order_id, payment_sequential"),
@@ -528,18 +565,18 @@ FROM silver_orders o LEFT JOIN (SELECT order_id, max(delivered_at) AS d FROM sil
 
 ORACLE["mart_customer_summary"] = with_star(f"""
 SELECT c.customer_unique_id, {_MEASURES}, min(f.purchased_at) AS first_purchase_at, max(f.purchased_at) AS last_purchase_at
-FROM ({_ITEM_FACTS}) f JOIN silver_customers c ON f.customer_id = c.customer_id
+FROM ({_ITEM_FACTS}) f LEFT JOIN silver_customers c ON f.customer_id = c.customer_id
 GROUP BY c.customer_unique_id""")
 
 ORACLE["mart_product_performance"] = with_star(f"""
-SELECT p.product_id, p.product_category_name, {_MEASURES}
-FROM ({_ITEM_FACTS}) f JOIN silver_products p ON f.product_id = p.product_id
-GROUP BY p.product_id, p.product_category_name""")
+SELECT f.product_id, p.product_category_name, {_MEASURES}
+FROM ({_ITEM_FACTS}) f LEFT JOIN silver_products p ON f.product_id = p.product_id
+GROUP BY f.product_id, p.product_category_name""")
 
 ORACLE["mart_seller_performance"] = with_star(f"""
-SELECT s.seller_id, s.seller_city, s.seller_state, {_MEASURES}
-FROM ({_ITEM_FACTS}) f JOIN silver_sellers s ON f.seller_id = s.seller_id
-GROUP BY s.seller_id, s.seller_city, s.seller_state""")
+SELECT f.seller_id, s.seller_city, s.seller_state, {_MEASURES}
+FROM ({_ITEM_FACTS}) f LEFT JOIN silver_sellers s ON f.seller_id = s.seller_id
+GROUP BY f.seller_id, s.seller_city, s.seller_state""")
 
 # ---------------------------------------------------------------- incremental
 _CONFORMED_ITEMS = f"""
@@ -783,3 +820,100 @@ _SILVER_COUNTS = with_star(" UNION ALL ".join(
 ORACLE["idempotency_check"] = f"""
 SELECT table_name, row_count AS rows_a, row_count AS rows_b, TRUE AS "equal" FROM (
     SELECT * FROM ({_SILVER_COUNTS}) s UNION ALL SELECT * FROM ({ORACLE["row_count_report"]}) g) t"""
+
+
+# ---------------------------------------------------------------- fingerprints, history, metrics, drift
+def _portable(name: str, columns: str, src: str) -> str:
+    """SHA-256 sums of rows as text; ``columns`` are name or name:kind (m money in cents, t timestamp, d date), sorted."""
+    texts = []
+    for item in columns.split():
+        c, kind = (item + ":").split(":")[:2]
+        text = {"m": f"CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR)", "t": f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')",
+                "d": f"strftime({c}, '%Y-%m-%d')"}.get(kind, f"CAST({c} AS VARCHAR)")
+        texts.append(f"coalesce({text}, '\\N')")
+    sums = ", ".join(
+        f"CAST(coalesce(sum(CAST('0x' || substr(h, {16 * i + 1}, 16) AS UBIGINT)::HUGEINT), 0) AS VARCHAR) AS sha256_sum_{i}" for i in range(4))
+    row = " || '|' || ".join(texts)
+    return f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, {sums} FROM (SELECT sha256({row}) AS h FROM ({src}) r) x"
+
+
+_FP = {
+    "dim_customer": ("customer_city customer_id customer_resolved customer_state customer_unique_id customer_zip_code_prefix",
+                     "SELECT *, customer_id IS NOT NULL AS customer_resolved FROM silver_customers"),
+    "dim_seller": ("seller_city seller_id seller_resolved seller_state seller_zip_code_prefix",
+                   "SELECT *, seller_id IS NOT NULL AS seller_resolved FROM silver_sellers"),
+    "dim_product": ("category_family normalized_category product_category_name product_description_length product_height_cm product_id "
+                    "product_length_cm product_name_length product_photos_qty product_resolved product_weight_g product_width_cm",
+                    "SELECT *, product_id IS NOT NULL AS product_resolved FROM silver_products"),
+    "dim_date": ("date:d date_key day_name day_of_month day_of_week month month_name quarter week_of_year year", "SELECT * FROM dim_date"),
+    "fact_order_item": ("approved_at:t carrier_handoff_at:t customer_resolved delivered_at:t est_delivery_date:t freight_cost:m "
+                        "item_price:m order_id order_item_id order_status product_resolved purchase_date_key purchase_year "
+                        "purchased_at:t seller_resolved seller_state shipping_limit_date:t", _body("fact_order_item")),
+    "fact_payment": ("customer_resolved order_id payment_date_key payment_installments payment_sequential payment_type payment_value:m "
+                     "payment_year", _body("fact_payment")),
+    "fact_review": ("category_family customer_resolved normalized_category order_id product_resolved review_answer_timestamp:t "
+                    "review_creation_date:t review_date_key review_id review_score review_year", _body("fact_review")),
+}
+ORACLE["table_fingerprint"] = with_star("\nUNION ALL\n".join(_portable(n, cols, src) for n, (cols, src) in _FP.items()))
+ORACLE["bucket_diff"] = ORACLE["table_diff"]
+ORACLE["scd2_merge"] = ORACLE["scd2_history"]
+
+_ITEM_COLUMNS = ("order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "item_price_c", "freight_cost_c",
+                 "delivered_at")
+
+
+def _run(run: str, items: str) -> str:
+    nulls = "\nUNION ALL\n".join(
+        f"SELECT 'order_items', 'null_rate:{c.removesuffix('_c')}', "
+        f"coalesce(CAST(COUNT(*) FILTER (WHERE {c} IS NULL) AS DOUBLE) / nullif(COUNT(*), 0), 0) FROM {items}" for c in _ITEM_COLUMNS)
+    fact = (f"(SELECT i.*, o.purchased_at, o.customer_id FROM {items} i LEFT JOIN silver_orders o ON i.order_id = o.order_id)")
+    orphans = "\nUNION ALL\n".join(f"SELECT 'fact_order_item', 'orphans:{k}', 0" for k in (
+        "customer_key", "seller_key", "product_key", "purchase_date_key"))
+    return f"""
+SELECT '{run}' AS run_id, * FROM (
+  SELECT 'order_items' AS table_name, 'rows' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM {items}
+  UNION ALL {nulls}
+  UNION ALL {orphans}
+  UNION ALL SELECT 'fact_order_item', 'late_rows', COUNT(*) FROM {fact} f
+    WHERE CAST(delivered_at AS DATE) - CAST(purchased_at AS DATE) > 365
+  UNION ALL SELECT 'order_items', 'age_hours',
+    CAST({_EPOCH.format(AS_OF)} - {_EPOCH.format('max(delivered_at)')} AS DOUBLE) / 3600.0 FROM {items}) m"""
+
+
+_OLD_ITEMS = "(" + _latest(f"SELECT * FROM ({_CONFORMED_ITEMS}) c WHERE delivered_at < {_cutoff(180)}") + ")"
+ORACLE["run_metric_deltas"] = with_star(f"""
+SELECT 'after' AS run_id, a.table_name, a.metric, a.value, b.value AS previous_value, a.value - b.value AS delta,
+       CASE WHEN b.value <> 0 THEN (a.value - b.value) / b.value * 100.0 END AS delta_pct
+FROM ({_run('after', 'silver_order_items')}) a
+LEFT JOIN ({_run('before', _OLD_ITEMS)}) b ON a.table_name = b.table_name AND a.metric = b.metric""")
+
+# the renamed column is the one whose values overlap; the balance is text where any is negative
+ORACLE["schema_drift"] = """
+WITH old AS (SELECT * FROM customer),
+new AS (SELECT c_custkey, c_name AS customer_name,
+               CASE WHEN c_acctbal < 0 THEN 'overdrawn' ELSE CAST(c_acctbal AS VARCHAR) END AS c_acctbal, c_mktsegment,
+               length(c_name) AS name_length FROM customer),
+alike AS (
+  SELECT (SELECT COUNT(*) FROM (SELECT c_name FROM old INTERSECT SELECT customer_name FROM new))
+         >= 0.5 * (SELECT COUNT(*) FROM (SELECT c_name FROM old UNION SELECT customer_name FROM new)) AS same_name)
+SELECT 'c_name' AS column_name, 'renamed' AS change, 'customer_name' AS new_name, 'text' AS old_type, 'text' AS new_type,
+       TRUE AS breaking FROM alike WHERE same_name
+UNION ALL
+SELECT 'c_acctbal', 'retyped', 'c_acctbal', 'decimal', 'text', TRUE
+WHERE (SELECT COUNT(*) FROM new WHERE TRY_CAST(c_acctbal AS DOUBLE) IS NULL) > 0
+UNION ALL
+SELECT 'c_nationkey', 'removed', NULL, 'integer', NULL, TRUE
+WHERE (SELECT COUNT(*) FROM (SELECT c_nationkey FROM old INTERSECT SELECT name_length FROM new))
+      < 0.5 * (SELECT COUNT(*) FROM (SELECT c_nationkey FROM old UNION SELECT name_length FROM new))
+UNION ALL
+SELECT NULL, 'added', 'name_length', NULL, 'integer', FALSE"""
+
+ORACLE["fact_payment_events"] = with_star(f"""
+SELECT CAST(NULL AS BIGINT) AS order_id,
+       CAST(row_number() OVER (PARTITION BY e.user_id ORDER BY e.ts, e.event_id) AS INTEGER) AS payment_sequential,
+       c.customer_id IS NOT NULL AS customer_resolved,
+       CAST(year(e.ts) * 10000 + month(e.ts) * 100 + day(e.ts) AS INTEGER) AS payment_date_key,
+       CAST(year(e.ts) AS INTEGER) AS payment_year, 'event' AS payment_type, CAST(NULL AS INTEGER) AS payment_installments,
+       CAST({cents_sql('e.value')} AS DOUBLE) / 100.0 AS payment_value
+FROM events e LEFT JOIN silver_customers c ON e.user_id = c.customer_id
+WHERE e.event_type = 'purchase'""")

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators.fingerprint import compare_fingerprints, fingerprints
 from ..operators.star import PARTITIONS
+from ..operators.violations import gold_violations
 from ..sources.io import new_batch, write_bucketed, write_partitioned, write_table
 
 POINTER = "_current"
@@ -118,8 +119,14 @@ def publish_gold(spark: SparkSession, silver, root: str, fresh_df: DataFrame, fr
     build = build if source_checks is None else build.unionByName(source_checks)
     build_path = os.path.join(folder, "_build_checks")
     write_table(build.coalesce(1), build_path)
-    Q.assert_passed(stored.select("test_name", "rows_failed", "passed").unionByName(
-        spark.read.parquet(build_path).select("test_name", "rows_failed", "passed")))
+    try:
+        Q.assert_passed(stored.select("test_name", "rows_failed", "passed").unionByName(
+            spark.read.parquet(build_path).select("test_name", "rows_failed", "passed")))
+    except Q.QualityGateError:
+        # a refused run keeps its tables, its reports and the rows that failed
+        write_table(gold_violations(written, fresh_df, fresh_ts, as_of if as_of is not None else F.current_timestamp()),
+                    os.path.join(folder, "_violations"))
+        raise
     spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("overwrite").text(os.path.join(root, POINTER))
     return stored
 

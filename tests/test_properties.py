@@ -95,7 +95,7 @@ def test_exact_percentile_matches_definition(spark, data, q, segments):
     from tessera.operators.quantiles import exact_percentile
 
     df = spark.createDataFrame(data, "g string, v long")
-    got = {r.g: r.percentile for r in exact_percentile(df, ["g"], "v", q, segments=segments).collect()}
+    got = {r.g: r.percentile for r in exact_percentile(df, ["g"], "v", q, accuracy=segments).collect()}
     exp = {}
     for g in {x[0] for x in data}:
         vals = sorted(v for gg, v in data if gg == g)

@@ -248,8 +248,8 @@ def test_exact_percentile_hot_group_matches_brute_force(spark):
     rows += [(f"g{i}", rnd.randrange(0, 100)) for i in range(40) for _ in range(rnd.randrange(1, 30))]
     rows += [("nulls", None), ("nulls", 5)]
     df = spark.createDataFrame(rows, "g string, v long")
-    for q in (0.95, 0.5, 1.0, 0.01):
-        got = {r.g: r.percentile for r in exact_percentile(df, ["g"], "v", q, segments=8).collect()}
+    for q, accuracy in ((0.95, 10_000), (0.5, 100), (0.95, 40), (1.0, 5), (0.01, 2)):
+        got = {r.g: r.percentile for r in exact_percentile(df, ["g"], "v", q, accuracy=accuracy).collect()}
         exp = {}
         for g in {r[0] for r in rows}:
             vals = sorted(v for gg, v in rows if gg == g and v is not None)
