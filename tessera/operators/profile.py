@@ -7,10 +7,11 @@ DataFrame; printing is the caller's business.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .quality import union_all
@@ -103,21 +104,54 @@ def profile_table(df: DataFrame, table_name: str = "table") -> DataFrame:
     return null_profile(df, table_name).withColumn("column_count", F.lit(len(df.columns)))
 
 
+def _plain(file: Column) -> Column:
+    """A file's path as written, not percent-encoded, with one slash behind the scheme."""
+    decoded = F.url_decode(F.replace(file, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^([a-z0-9]+):/+", "$1:/")
+
+
+def _signatures(spark: SparkSession, files: Sequence[str], fmt: str, options: dict) -> dict[str, list[str]]:
+    """Files by what they say about their columns: the header line of delimited text, else the stored schema."""
+    found: dict[str, list[str]] = {}
+    if fmt == "csv" and str(options.get("header", "")).lower() == "true":
+        lines = spark.read.text(list(files)).select(
+            _plain(F.col("_metadata.file_path")).alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+            F.monotonically_increasing_id().alias("_at"), "value").where("_start = 0")
+        # the first line of each file's first split; one short row a file
+        headers = {r._file: r.line for r in lines.groupBy("_file").agg(F.min_by("value", "_at").alias("line")).collect()}
+        for file in files:
+            found.setdefault(headers.get(file, ""), []).append(file)
+        return found
+    for file in files:  # metadata only, one footer a file
+        found.setdefault(spark.read.format(fmt).options(**options).load(file).schema.json(), []).append(file)
+    return found
+
+
 def profile_files(spark: SparkSession, path: str, fmt: str = "csv", **options) -> DataFrame:
     """Rows, columns and null cells per source file of one folder, each read by its own header or schema.
 
-    The files are those that Spark's own listing of the folder gives.
+    The files are those that Spark's own listing of the folder gives. Files
+    with the same header (or schema) are one scan that counts by
+    ``_metadata.file_path``, so the plan has a branch for every signature, not
+    for every file.
     """
-    def read(p: str) -> DataFrame:
-        return spark.read.format(fmt).options(**options).load(p)
-
+    schema = "file_name string, row_count long, column_count int, null_cells long, file_schema string"
+    listed = spark.read.format(fmt).options(**options).load(path).inputFiles()
+    files = sorted(re.sub("^([a-z0-9]+):/+", r"\1:/", unquote(f)) for f in listed)
     parts = []
-    for file in sorted(read(path).inputFiles()):
-        df = read(file)
-        nulls = sum((F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns), F.lit(0))
-        parts.append(df.agg(F.count(F.lit(1)).alias("row_count"), nulls.cast("long").alias("null_cells")).select(
-            F.lit(unquote(file.rsplit("/", 1)[-1])).alias("file_name"), "row_count", F.lit(len(df.columns)).alias("column_count"), "null_cells",
-            F.lit(", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)).alias("file_schema")))
+    for same in (_signatures(spark, files, fmt, options) if files else {}).values():
+        df = spark.read.format(fmt).options(**options).load(same)
+        columns = df.columns
+        nulls = sum((F.col(f"`{c}`").isNull().cast("long") for c in columns), F.lit(0).cast("long"))
+        counted = df.select(_plain(F.col("_metadata.file_path")).alias("_file"), nulls.alias("_nulls")).groupBy("_file").agg(
+            F.count(F.lit(1)).alias("row_count"), F.sum("_nulls").alias("null_cells"))
+        # a file without rows has no group; the list is one short row a file
+        named = spark.createDataFrame([(f, f.rsplit("/", 1)[-1]) for f in same], "_file string, file_name string")
+        described = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+        zero = F.lit(0).cast("long")
+        parts.append(named.join(counted, "_file", "left").select(
+            "file_name", F.coalesce("row_count", zero).alias("row_count"), F.lit(len(columns)).alias("column_count"),
+            F.coalesce("null_cells", zero).alias("null_cells"), F.lit(described).alias("file_schema")))
     if not parts:
-        return spark.createDataFrame([], "file_name string, row_count long, column_count int, null_cells long, file_schema string")
+        return spark.createDataFrame([], schema)
     return union_all(parts).orderBy("file_name")

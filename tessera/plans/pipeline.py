@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import star as K
+from ..sources.schemas import MULTILINE_TABLES
 from .lazy import LazyTables
 
 GOLD_TABLES = ("dim_customer", "dim_seller", "dim_product", "dim_date", "fact_order_item", "fact_payment", "fact_review")
@@ -32,19 +35,11 @@ def build_star(silver) -> LazyTables:
     return g
 
 
-_STARS: dict = {}
-
-
 def driver_star(spark: SparkSession, sf_dir: str) -> LazyTables:
-    """The Gold star over the benchmark tables, defined once per session and folder."""
-    from ..sources.driver_tables import silver_tables
+    """The Gold star over the benchmark tables, defined once per session and state of the folder's files."""
+    from ..sources.driver_tables import cached, silver_tables
 
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _STARS:
-        if len(_STARS) > 8:
-            _STARS.clear()
-        _STARS[key] = build_star(silver_tables(spark, sf_dir))
-    return _STARS[key]
+    return cached("star", spark, sf_dir, lambda: build_star(silver_tables(spark, sf_dir)))
 
 
 def row_count_report(tables: dict[str, DataFrame]) -> DataFrame:
@@ -84,16 +79,19 @@ def silver_from_bronze(spark: SparkSession, bronze_root: str, taxonomy: DataFram
 
 def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str | None, lake_root: str,
                  as_of=None, run_id: str | None = None, order_buckets: int | None = None,
-                 max_unresolved_pct: float | None = 5.0) -> DataFrame:
+                 max_unresolved_pct: float | None = 5.0, accepted_batches: Sequence[str] = (),
+                 multiline: Collection[str] = MULTILINE_TABLES) -> DataFrame:
     """Raw CSV files -> Bronze (append, one batch) -> Silver -> Gold, published behind the DQ gate.
 
     ``sources`` maps data-set names (customers, orders, order_items,
     order_payments, order_reviews, products, sellers, geolocation) to CSV
     files or folders. ``taxonomy_csv=None`` uses the marketplace taxonomy
     shipped in ``sources.taxonomy_data``. Freshness is checked on every feed's
-    ingestion time; lines that do not parse stay in Bronze, and such lines in
-    this batch, values that do not convert, or more than ``max_unresolved_pct``
-    percent of unresolved foreign keys stop the publication. Returns the
+    ingestion time; lines that do not parse stay in Bronze, and such lines
+    (but for those of ``accepted_batches``), values that do not convert, or more
+    than ``max_unresolved_pct`` percent of unresolved foreign keys stop the
+    publication. ``multiline`` names the data sets whose quoted values may hold
+    line breaks (such a file is read by one task). Returns the
     stored DQ report; raises QualityGateError (nothing published) when a
     check fails.
     """
@@ -104,7 +102,7 @@ def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str
     from .publish import bronze_checks, publish_gold
 
     bronze_root = os.path.join(lake_root, "bronze")
-    batch_id, _ = ingest_batch(spark, sources, bronze_root)
+    ingest_batch(spark, sources, bronze_root, multiline=multiline)
     if taxonomy_csv is None:
         from ..sources.taxonomy_data import marketplace_taxonomy
 
@@ -113,7 +111,7 @@ def csv_pipeline(spark: SparkSession, sources: dict[str, str], taxonomy_csv: str
         taxonomy = load_taxonomy(spark, taxonomy_csv)
     silver = silver_from_bronze(spark, bronze_root, taxonomy, geolocation="geolocation" in sources)
     bronze = {name: spark.read.parquet(os.path.join(bronze_root, name)) for name in sources}
-    checks = bronze_checks(bronze, batch_id, as_of if as_of is not None else F.current_timestamp())
+    checks = bronze_checks(bronze, as_of if as_of is not None else F.current_timestamp(), accepted_batches)
     fresh = spark.read.parquet(os.path.join(bronze_root, "customers"))
     return publish_gold(spark, silver, lake_root, fresh, "ingestion_ts", as_of, run_id, order_buckets,
                         max_unresolved_pct, checks)

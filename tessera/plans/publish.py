@@ -2,9 +2,9 @@
 
 Order: write every table to a run-specific staging folder -> read back what
 was written (this also cuts the lineage: checks do not recompute the build)
--> run the DQ suite on it and store the report -> publish by switching a
-one-line pointer to the run. Readers resolve the pointer, so a failed run is
-never visible and a published version is never half-written.
+-> run the DQ suite on it and store the report -> publish by renaming a new
+one-line pointer file into place. Readers resolve the last pointer, so a failed
+run is never visible and a pointer is never missing or half-written.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from ..operators.fingerprint import compare_fingerprints, fingerprints
 from ..operators.star import PARTITIONS
 from ..operators.violations import gold_violations
 from ..sources.io import new_batch, write_bucketed, write_partitioned, write_table
+from ..sources.versions import Files
 
 POINTER = "_current"
 SCHEMA_SUFFIX = "._schema"
@@ -127,16 +129,27 @@ def publish_gold(spark: SparkSession, silver, root: str, fresh_df: DataFrame, fr
         write_table(gold_violations(written, fresh_df, fresh_ts, as_of if as_of is not None else F.current_timestamp()),
                     os.path.join(folder, "_violations"))
         raise
-    spark.createDataFrame([(run_id,)], "run_id string").coalesce(1).write.mode("overwrite").text(os.path.join(root, POINTER))
+    switch_pointer(spark, root, run_id)
     return stored
 
 
-def bronze_checks(bronze: dict[str, DataFrame], batch_id: str, as_of: Column) -> DataFrame:
+def switch_pointer(spark: SparkSession, root: str, run_id: str) -> None:
+    """Name the published run in a new pointer file, renamed into place whole; the last file counts."""
+    files = Files(spark, root)
+    folder = os.path.join(root, POINTER)
+    numbers = [int(n) for n in files.names(folder) if n.isdigit()]
+    files.claim(os.path.join(folder, ".pointers"))  # the folder exists from here on
+    files.write(os.path.join(folder, f"{max(numbers, default=0) + 1:08d}"), run_id)
+
+
+def bronze_checks(bronze: dict[str, DataFrame], as_of: Column, accepted: Sequence[str] = ()) -> DataFrame:
     """Result rows about the raw feeds of a run.
 
-    Per data set: lines of this batch that did not parse (earlier ones are in
-    quarantine, they never reach Silver), rows whose current version holds a
-    value that does not convert, and the age of the newest batch.
+    Per data set: lines in quarantine (they did not parse and never reach
+    Silver) of any batch that is not among the ``accepted`` ones, rows whose
+    current version holds a value that does not convert, and the age of the
+    newest batch. So every run reports a quarantine until it is emptied or
+    accepted.
     """
     from ..operators.silver import current_failed_casts
     from ..sources.io import well_formed
@@ -144,15 +157,26 @@ def bronze_checks(bronze: dict[str, DataFrame], batch_id: str, as_of: Column) ->
 
     parts = []
     for name, raw in bronze.items():
-        parts.append(Q.malformed_rows_rule(raw.where(F.col("batch_id") == batch_id), f"{name}: lines of the batch parse"))
+        open_lines = raw.where(~F.col("batch_id").isin(list(accepted))) if accepted else raw
+        parts.append(Q.malformed_rows_rule(open_lines, f"{name}: lines parse or are accepted"))
         parts.append(Q.result(current_failed_casts(well_formed(raw), SILVER_SPECS[name]), f"{name}: values convert",
                               None, "failed", "rows"))
         parts.append(Q.freshness_rule(raw, "ingestion_ts", as_of, f"{name}: ingestion is fresh"))
     return Q.union_all(parts)
 
 
+def quarantine(bronze: dict[str, DataFrame]) -> DataFrame:
+    """Lines that did not parse: (table_name, batch_id, line), for whoever repairs or accepts them."""
+    from ..sources.io import CORRUPT
+
+    return Q.union_all([raw.where(F.col(CORRUPT).isNotNull()).select(
+        F.lit(name).alias("table_name"), "batch_id", F.col(CORRUPT).alias("line")) for name, raw in bronze.items()])
+
+
 def current_run(spark: SparkSession, root: str) -> str:
-    return spark.read.text(os.path.join(root, POINTER)).first()[0]
+    files = Files(spark, root)
+    folder = os.path.join(root, POINTER)
+    return files.read(os.path.join(folder, max(n for n in files.names(folder) if n.isdigit())))
 
 
 def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:

@@ -162,8 +162,17 @@ RAW = {
 _CACHE: dict = {}
 
 
-def _cached(kind: str, spark: SparkSession, sf_dir: str, make):
-    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir)
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and modification times of a folder's entries and of the files of its table folders."""
+    from .versions import Files
+
+    files = Files(spark, sf_dir)
+    return tuple(sorted(entry for name in files.names(sf_dir) for entry in files.state(os.path.join(sf_dir, name))))
+
+
+def cached(kind: str, spark: SparkSession, sf_dir: str, make):
+    """``make()``, made again when the session or the files of ``sf_dir`` have changed."""
+    key = (kind, id(spark), spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     if key not in _CACHE:
         if len(_CACHE) > 16:
             _CACHE.clear()
@@ -173,7 +182,7 @@ def _cached(kind: str, spark: SparkSession, sf_dir: str, make):
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     """Raw tables, each defined on first access; one definition per session and folder."""
-    return _cached("raw", spark, sf_dir, lambda: LazyTables(
+    return cached("raw", spark, sf_dir, lambda: LazyTables(
         {name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in RAW.items()}))
 
 
@@ -191,7 +200,7 @@ def build_silver(spark: SparkSession, raw) -> LazyTables:
 
 
 def silver_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
-    return _cached("silver", spark, sf_dir, lambda: build_silver(spark, raw_tables(spark, sf_dir)))
+    return cached("silver", spark, sf_dir, lambda: build_silver(spark, raw_tables(spark, sf_dir)))
 
 
 # Freshness of the driver feeds is judged at a fixed instant so results are

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,12 +68,14 @@ def well_formed(bronze: DataFrame) -> DataFrame:
     return bronze.where(F.col(CORRUPT).isNull()) if CORRUPT in bronze.columns else bronze
 
 
-def header_drift(spark: SparkSession, path: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+def header_drift(spark: SparkSession, path: str, name: str, schema: T.StructType | None = None,
+                 multiline: bool | None = None) -> DataFrame:
     """Schema drift of a raw CSV source against its declared columns (from the header)."""
     from ..operators.incremental import schema_drift
 
     declared = schema or RAW_SCHEMAS[name]
-    actual = T.StructType([T.StructField(c, T.StringType(), True) for c in raw_header(spark, path, name in MULTILINE_TABLES)])
+    ml = name in MULTILINE_TABLES if multiline is None else multiline
+    actual = T.StructType([T.StructField(c, T.StringType(), True) for c in raw_header(spark, path, ml)])
     return schema_drift(spark, declared, actual)
 
 
@@ -96,23 +98,26 @@ def append_bronze(df: DataFrame, path: str) -> None:
 
 
 def ingest_batch(spark: SparkSession, sources: dict[str, str], bronze_root: str,
-                 batch: tuple[str, datetime] | None = None, check_schema: bool = True) -> tuple[str, datetime]:
+                 batch: tuple[str, datetime] | None = None, check_schema: bool = True,
+                 multiline: Collection[str] = MULTILINE_TABLES) -> tuple[str, datetime]:
     """Append one run's raw CSV files to Bronze: same batch id and ingestion time for all data sets.
 
     With ``check_schema`` every source's header is compared with its declared
     columns first; a breaking change (a declared column missing) fails the run
     before anything is appended. Added columns are compatible (not kept).
+    ``multiline`` names the data sets whose quoted values may hold line breaks.
     """
     if check_schema:
         from ..operators.incremental import assert_compatible
 
         for name, path in sources.items():
-            assert_compatible(header_drift(spark, path, name))
+            assert_compatible(header_drift(spark, path, name, multiline=name in multiline))
     batch_id, ts = batch or new_batch()
     from concurrent.futures import ThreadPoolExecutor
 
     def append(name: str, path: str) -> None:
-        append_bronze(stamp_batch(read_raw(spark, path, name), batch_id, ts), os.path.join(bronze_root, name))
+        raw = read_raw(spark, path, name, multiline=name in multiline)
+        append_bronze(stamp_batch(raw, batch_id, ts), os.path.join(bronze_root, name))
 
     # independent data sets: submitted as concurrent Spark jobs
     with ThreadPoolExecutor(max_workers=4) as pool:

@@ -51,7 +51,7 @@ class Entry:
         return T.StructType.fromJson(json.loads(self.schema))
 
 
-class _Files:
+class Files:
     """The few file-system calls a manifest needs, on whatever store the root names."""
 
     def __init__(self, spark: SparkSession, root: str):
@@ -68,6 +68,10 @@ class _Files:
             return []
         return [s.getPath().getName() for s in self.fs.listStatus(p) if s.isDirectory() or not folders_only]
 
+    def state(self, name: str) -> list[tuple[str, int, int]]:
+        """(path, size, modification time) of a file, or of each entry of a folder."""
+        return [(str(s.getPath()), s.getLen(), s.getModificationTime()) for s in self.fs.listStatus(self.path(name))]
+
     def read(self, name: str) -> str:
         stream = self.fs.open(self.path(name))
         try:
@@ -110,7 +114,7 @@ class Lake:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self.files = _Files(spark, root)
+        self.files = Files(spark, root)
 
     def _manifest(self, version: int, ending: str = "json") -> str:
         return f"{self.root}/versions/v{version:08d}.{ending}"

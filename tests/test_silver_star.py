@@ -228,6 +228,16 @@ def test_bronze_batches_and_file_profile(spark, tmp_path):
     assert s["o1"].order_status == "delivered" and len(s) == 3
     files = {r.file_name: r.row_count for r in profile_files(spark, str(d1), header=True).collect()}
     assert files == {"orders_a.csv": 2, "orders_b.csv": 1}
+    # files of two headers, an odd name, a file without rows and one without a header: a branch per header
+    (d1 / "odd a+b %1.csv").write_text("x,y\n1,\n,\n")
+    (d1 / "none.csv").write_text("x,y\n")
+    (d1 / "blank.csv").write_text("")
+    profile = profile_files(spark, str(d1), header=True)
+    got = {r.file_name: (r.row_count, r.column_count, r.null_cells, r.file_schema) for r in profile.collect()}
+    assert got["odd a+b %1.csv"] == (2, 2, 3, "x string, y string") and got["none.csv"] == (0, 2, 0, "x string, y string")
+    assert got["orders_a.csv"][:3] == (2, 8, 8) and got.get("blank.csv", (0, 0))[0] == 0
+    scans = profile._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+    assert scans <= 3
 
 
 def test_malformed_csv_lines_are_kept_and_counted(spark, tmp_path):
@@ -282,7 +292,7 @@ ITEM_HEADER = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,i
 
 
 @pytest.mark.parametrize("row, reason", [
-    ("o1,2,p1,s1,2018-01-08 00:00:00\n", "lines of the batch parse"),
+    ("o1,2,p1,s1,2018-01-08 00:00:00\n", "lines parse"),
     ("o1,1,p1,s1,2018-01-08 00:00:00,ten,2.25\n", "values convert"),
     ("o9,1,p9,s9,2018-01-08 00:00:00,10.50,2.25\n", "is resolved"),
 ])
@@ -291,7 +301,7 @@ def test_csv_pipeline_refuses_broken_input_until_repaired(spark, tmp_path, row,
 
     from tessera.operators.quality import QualityGateError
     from tessera.plans.pipeline import csv_pipeline
-    from tessera.plans.publish import POINTER, read_published
+    from tessera.plans.publish import POINTER, quarantine, read_published
 
     good = "o1,1,p1,s1,2018-01-08 00:00:00,10.50,2.25\n"
     root = str(tmp_path / "lake")
@@ -302,7 +312,15 @@ def test_csv_pipeline_refuses_broken_input_until_repaired(spark, tmp_path, row,
     if reason == "is resolved":
         return  # the unknown order stays in Bronze until its order, product and seller arrive
     sources, tax = _csv_sources(tmp_path, order_items=ITEM_HEADER + good)
-    csv_pipeline(spark, sources, tax, root, run_id="repaired")
+    if reason == "lines parse":  # the broken line stays in quarantine, and every run fails, until its batch is accepted
+        with pytest.raises(QualityGateError, match=reason):
+            csv_pipeline(spark, sources, tax, root, run_id="again")
+        bronze = {"order_items": spark.read.parquet(os.path.join(root, "bronze", "order_items"))}
+        line = quarantine(bronze).first()
+        assert line.line == row.rstrip()
+        csv_pipeline(spark, sources, tax, root, run_id="repaired", accepted_batches=[line.batch_id])
+    else:
+        csv_pipeline(spark, sources, tax, root, run_id="repaired")
     items = read_published(spark, root, "fact_order_item").collect()
     assert [(r.order_id, str(r.item_price)) for r in items] == [("o1", "10.50")]
 
