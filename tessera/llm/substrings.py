@@ -9,18 +9,25 @@ be such places, which a sliding minimum finds without walking the whole tree.
 
 A window's signature is its min-hash, so two similar sequences share it for
 each hash function with a chance of their Jaccard similarity, wherever a word
-was inserted, deleted or replaced. Equal signatures are linked to the earliest document that has
-them and to the one before: first inside a task's block, then, one window per
-block and signature, across blocks, so a passage in a third of all documents
-costs one row per block in the shuffle's group. Links of a pair of documents are joined as
-intervals on nearly the same diagonal; an interval with windows of two or more
-hash functions is verified on the texts: the stretch in which at least 8/9 of
-the shingles agree in order (a Jaccard similarity of 0.8).
+was inserted, deleted or replaced. Documents with the same text are settled
+first: all but the one with the smallest id are passages as a whole.
+
+1. Equal signatures are linked to the earliest document that has them: first
+   inside a task's block, then, one window per block and signature, across
+   blocks, so a passage in a third of all documents costs one row per block.
+   Links of a pair of documents are joined as intervals on nearly the same
+   diagonal and verified on the documents' shingles: the stretch in which at
+   least 8/9 of them agree in order (a Jaccard similarity of 0.8).
+2. The earliest holder of a signature can hold a part of a passage only, while
+   a later one holds the whole. So the surroundings of signatures that
+   nothing came of, in both documents of the link, are looked up once more by
+   their runs of ``least`` shingles: documents that hold a whole passage
+   share one whatever others hold parts of it. These links are verified alike.
 
 Defined results: null, empty and short texts have no passages; repeats inside
 one document or between rows with one id are not reported; rows with a null
-id take no part; ties go to the lowest place; extra columns are left out by
-``passages`` and kept by ``cut``.
+id take no part; ties go to the lowest place; an empty table gives no rows;
+extra columns are left out by ``passages`` and kept by ``cut``.
 """
 
 from __future__ import annotations
@@ -40,11 +47,14 @@ HASHES = 8
 BAND = 16
 AGREE = 8 / 9
 
+REACH = (1 << 16) - 1
+
+# ``place`` is c << 32 | (c - l) << 16 | (r - c), reaches beyond REACH cut to it: rows stay narrow
 WINDOWS = T.StructType([
-    T.StructField("key", T.LongType()), T.StructField("k", T.IntegerType()),
-    T.StructField("doc", T.LongType()), T.StructField("c", T.IntegerType()), T.StructField("l", T.IntegerType()),
-    T.StructField("r", T.IntegerType()), T.StructField("ref", T.LongType()), T.StructField("ref_c", T.IntegerType()),
+    T.StructField("key", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("place", T.LongType()),
+    T.StructField("ref", T.LongType()), T.StructField("ref_c", T.IntegerType()),
 ])
+RUNS = T.StructType([T.StructField("key", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("at", T.IntegerType())])
 PASSAGE = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start_word", T.IntegerType()),
     T.StructField("end_word", T.IntegerType()), T.StructField("ref_doc_id", T.LongType()),
@@ -95,15 +105,15 @@ def windows(docs: DataFrame, least: int, block_words: int) -> DataFrame:
     """Rows of ``WINDOWS``: one per signature and block (``ref`` null), and links inside the block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, kinds = WordHashes(), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int32())
+        hashes = WordHashes()
         ids, parts, filled = [], [], 0
 
         def flush():
             sizes = np.array([len(p) for p in parts], np.int64)
             starts, tokens, doc = np.cumsum(sizes) - sizes, np.concatenate(parts), np.array(ids, np.int64)
+            if len(tokens) < least:
+                return
             for k in range(HASHES):
-                if len(tokens) < least:
-                    return
                 at, l, r, text = compact_windows(tokens, starts, sizes, k, least)
                 if not len(at):
                     continue
@@ -113,20 +123,18 @@ def windows(docs: DataFrame, least: int, block_words: int) -> DataFrame:
                 new = np.ones(len(order), bool)
                 new[1:] = key[order[1:]] != key[order[:-1]]
                 first = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-                before = np.where(new, order, np.roll(order, 1))
+                # windows of a new key, and links to its first document
                 linked = ~new & (own[first] != own[order])
-                # windows of a new key, links to its first document, and to the one before
-                again = linked & (own[before] != own[first]) & (own[before] != own[order])
-                o = np.concatenate([order[new], order[linked], order[again]])
-                f = np.concatenate([order[new], first[linked], before[again]])
+                o, f = np.concatenate([order[new], order[linked]]), np.concatenate([order[new], first[linked]])
                 is_link = np.arange(len(o)) >= new.sum()
-                base = starts[text[o]]
+                c = at[o] - starts[text[o]]
+                place = c << 32 | np.minimum(at[o] - l[o], REACH) << 16 | np.minimum(r[o] - at[o], REACH)
                 # a link needs no partner any more, so its row may go anywhere
-                values = (np.where(is_link, mix(key[o].view(np.uint64) + at[o].astype(np.uint64)).view(np.int64), key[o]),
-                          np.full(len(o), k), own[o], at[o] - base, l[o] - base, r[o] - base,
-                          pa.array(own[f], pa.int64(), mask=~is_link), pa.array(at[f] - starts[text[f]], pa.int32(), mask=~is_link))
-                columns = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(values, kinds)]
-                whole = pa.RecordBatch.from_arrays(columns, names=WINDOWS.names)
+                spread = mix(key[o].view(np.uint64) + at[o].astype(np.uint64)).view(np.int64)
+                whole = pa.RecordBatch.from_arrays([
+                    pa.array(np.where(is_link, spread, key[o])), pa.array(own[o]), pa.array(place),
+                    pa.array(own[f], pa.int64(), mask=~is_link), pa.array(at[f] - starts[text[f]], pa.int32(), mask=~is_link)],
+                    names=WINDOWS.names)
                 for i in range(0, len(o), 100_000):
                     yield whole.slice(i, 100_000)
 
@@ -144,7 +152,20 @@ def windows(docs: DataFrame, least: int, block_words: int) -> DataFrame:
         if parts:
             yield from flush()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL").mapInArrow(run, WINDOWS)
+    return docs.mapInArrow(run, WINDOWS)
+
+
+def links(found: DataFrame) -> DataFrame:
+    """Rows (doc, ref, anchors) of documents that share signatures; anchors are (c, l, r, ref_c)."""
+    c, left, right = (F.shiftright("place", 32), F.shiftright("place", 16).bitwiseAND(F.lit(REACH)),
+                      F.col("place").bitwiseAND(F.lit(REACH)))
+    group = Window.partitionBy("key").orderBy(F.col("ref").isNotNull(), "doc", "place")
+    first = F.first(F.struct("doc", c.alias("c"))).over(group.rowsBetween(Window.unboundedPreceding, 0))
+    met = found.withColumn("first", first).where("ref IS NOT NULL OR first.doc <> doc")
+    anchor = F.struct(c.cast("int").alias("c"), (c - left).cast("int").alias("l"), (c + right).cast("int").alias("r"),
+                      F.coalesce("ref_c", F.col("first.c").cast("int")).alias("ref_c"))
+    return met.select("doc", F.coalesce("ref", "first.doc").alias("ref"), anchor.alias("anchor")).groupBy("doc", "ref").agg(
+        F.collect_set("anchor").alias("anchors"))
 
 
 def agreement(own: np.ndarray, other: np.ndarray, shift: int, low: int, high: int) -> np.ndarray:
@@ -155,12 +176,18 @@ def agreement(own: np.ndarray, other: np.ndarray, shift: int, low: int, high: in
     out = np.zeros(len(mine), bool)
     valid = (straight >= 0) & (straight < len(other))
     out[valid] = other[straight[valid]] == mine[valid]
-    order = np.argsort(other, kind="stable")
-    ranked = other[order]
+    if out.all():
+        return out
+    from_, to = max(0, low - shift - BAND), max(0, high - shift + BAND + 1)
+    near = other[from_:to]
+    if not len(near):
+        return out
+    order = np.argsort(near, kind="stable")
+    ranked = near[order]
     for side in ("left", "right"):  # the first and the last place of the shingle
         at = np.searchsorted(ranked, mine, side) - (side == "right")
-        at = np.clip(at, 0, len(other) - 1)
-        out |= (ranked[at] == mine) & (np.abs(order[at] - straight) <= BAND)
+        at = np.clip(at, 0, len(near) - 1)
+        out |= (ranked[at] == mine) & (np.abs(order[at] + from_ - straight) <= BAND)
     return out
 
 
@@ -197,71 +224,154 @@ def stretches(agree: np.ndarray, least: int) -> list[tuple[int, int]]:
 
 
 def verify(own: np.ndarray, other: np.ndarray, anchors: list[tuple], least: int) -> list[tuple]:
-    """(start, end, ref start, agreeing) in shingle places; anchors are (k, c, l, r, ref_c) of one pair."""
+    """(start, end, ref start, agreeing) in shingle places; anchors are (c, l, r, ref_c) of one pair."""
     out = []
-    anchors = sorted(anchors, key=lambda a: (a[1] - a[4], a[1]))
+    anchors = sorted(anchors, key=lambda a: (a[0] - a[3], a[0]))
     i = 0
     while i < len(anchors):
         j = i
-        while j + 1 < len(anchors) and (anchors[j + 1][1] - anchors[j + 1][4]) - (anchors[j][1] - anchors[j][4]) <= BAND:
+        while j + 1 < len(anchors) and (anchors[j + 1][0] - anchors[j + 1][3]) - (anchors[j][0] - anchors[j][3]) <= BAND:
             j += 1
         group = anchors[i : j + 1]
         i = j + 1
-        # interval join on this diagonal: stretches covered by windows of two hash functions or more
-        spans = sorted((a[2], a[3], a[0]) for a in group)
+        # interval join on this diagonal: windows that overlap are one stretch to look at
         merged: list[list] = []
-        for low, high, k in spans:
+        for low, high in sorted((a[1], a[2]) for a in group):
             if merged and low <= merged[-1][1]:
                 merged[-1][1] = max(merged[-1][1], high)
-                merged[-1][2].add(k)
             else:
-                merged.append([low, high, {k}])
-        shift = group[len(group) // 2][1] - group[len(group) // 2][4]
-        for low, high, ks in merged:
-            if len(ks) < 2:
-                continue
+                merged.append([low, high])
+        shift = group[len(group) // 2][0] - group[len(group) // 2][3]
+        for low, high in merged:
             low, high = max(0, low - least), min(len(own) - 1, high + least)
             agree = agreement(own, other, shift, low, high)
+            if agree.sum() < AGREE * least:
+                continue
             for a, b in stretches(agree, least):
                 out.append((low + a, low + b, max(0, low + a - shift), int(agree[a : b + 1].sum())))
     return out
 
 
-def passages(docs: DataFrame, min_words: int = 50, block_words: int = 1_500_000) -> DataFrame:
-    """Rows of ``PASSAGE``: passages of at least ``min_words`` words that an earlier document (by id) has too."""
-    least = min_words - SHINGLE + 1
-    found = windows(docs, least, block_words)
-    group = Window.partitionBy("key").orderBy(F.col("ref").isNotNull(), "doc", "c")
-    first = F.first(F.struct("doc", "c")).over(group.rowsBetween(Window.unboundedPreceding, 0))
-    before = F.lag(F.struct("doc", "c")).over(group)
-    met = found.withColumns({"first": first, "before": before}).where("ref IS NOT NULL OR first.doc <> doc")
-    linked = met.select(
-        "doc", "k", "c", "l", "r", F.explode(F.when(F.col("ref").isNull(), F.array("first", "before")).otherwise(
-            F.array(F.struct(F.col("ref").alias("doc"), F.col("ref_c").alias("c"))))).alias("to"))
-    linked = linked.select("doc", "k", "c", "l", "r", F.col("to.doc").alias("ref"), F.col("to.c").alias("ref_c"))
-    pairs = (linked.where("ref <> doc").groupBy("doc", "ref")
-             .agg(F.collect_set(F.struct("k", "c", "l", "r", "ref_c")).alias("anchors"), F.countDistinct("k").alias("hashes"))
-             .where("hashes > 1").drop("hashes"))
-    pairs = staged(pairs, "passage-pairs")
-    needed = staged(pairs.select(F.col("doc").alias("doc_id")).union(pairs.select("ref")).distinct(), "passage-docs")
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(small(needed), "doc_id", "left_semi")
+def settle_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows (doc_id, n_words, first) of texts that a smaller id has too, the other documents' doc_id and text)."""
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    digest = [F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g")]
+    named = known.select("doc_id", *digest, F.regexp_count("text", F.lit(WORD)).alias("n_words"))
+    firsts = named.groupBy("h", "g", "n_words").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    firsts = staged(firsts.where("n > 1").drop("n"), "text-firsts")
+    copies = staged(named.join(small(firsts), ["h", "g", "n_words"]).where("doc_id <> first").select(
+        "doc_id", "n_words", "first").distinct(), "text-copies")
+    # an id can also stand at another text: only the copy's rows go
+    gone = copies.select("doc_id", F.col("n_words").alias("gone_words"))
+    rest = known.withColumn("n_words", F.regexp_count("text", F.lit(WORD))).join(
+        small(gone), (known["doc_id"] == gone["doc_id"]) & (F.col("n_words") == F.col("gone_words")), "left_anti")
+    return copies, rest.select("doc_id", "text")
+
+
+def _shingled(docs: DataFrame) -> DataFrame:
+    """Rows (doc_id, tokens): 32 bits of each shingle, once a document."""
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tokens", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
         for batch in batches:
+            made = [(shingles(hashes.array(t)) >> np.uint64(32)).astype("<u4").tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def _verified(pairs: DataFrame, tokens: DataFrame, least: int) -> DataFrame:
+    """Rows of ``PASSAGE`` of the pairs (doc, ref, anchors) that hold on the shingles."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
+        for batch in (large.slice(i, 512) for large in batches for i in range(0, large.num_rows, 512)):
             out = []
-            for row in batch.to_pylist():
-                own, other = shingles(hashes.array(row["text"])), shingles(hashes.array(row["ref_text"]))
-                anchors = [(a["k"], a["c"], a["l"], a["r"], a["ref_c"]) for a in row["anchors"]]
-                for a, b, ref, agreeing in verify(own, other, anchors, least):
-                    out.append((row["doc"], a, b + SHINGLE, row["ref"], ref, agreeing))
+            for doc, ref, anchors, own, other in zip(*(c.to_pylist() for c in batch.columns)):
+                own, other = np.frombuffer(own, "<u4"), np.frombuffer(other, "<u4")
+                spans = [(a["c"], a["l"], a["r"], a["ref_c"]) for a in anchors]
+                for a, b, at, agreeing in verify(own, other, spans, least):
+                    out.append((doc, a, b + SHINGLE, ref, at, agreeing))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=PASSAGE.names)
 
-    both = (pairs.join(texts.select(F.col("doc_id").alias("ref"), F.col("text").alias("ref_text")), "ref")
-            .join(texts.select(F.col("doc_id").alias("doc"), "text"), "doc"))
-    return both.select("doc", "ref", "anchors", "text", "ref_text").mapInArrow(run, PASSAGE).distinct()
+    own = tokens.select(F.col("doc_id").alias("doc"), F.col("tokens").alias("own"))
+    other = tokens.select(F.col("doc_id").alias("ref"), F.col("tokens").alias("other"))
+    both = pairs.join(own, "doc").join(other, "ref")
+    return both.select("doc", "ref", "anchors", "own", "other").mapInArrow(run, PASSAGE)
+
+
+def run_hashes(tokens: np.ndarray, least: int) -> np.ndarray:
+    """A 64-bit hash of each run of ``least`` shingles: differences of a running polynomial sum."""
+    base = np.uint64(GOLDEN)
+    inverse = np.uint64(pow(GOLDEN, -1, 1 << 64))
+    powers = np.cumprod(np.r_[np.uint64(1), np.full(len(tokens), base, np.uint64)])
+    back = np.cumprod(np.r_[np.uint64(1), np.full(len(tokens), inverse, np.uint64)])
+    sums = np.r_[np.uint64(0), np.cumsum(mix(tokens.astype(np.uint64)) * powers[:-1])]
+    return mix((sums[least:] - sums[:-least]) * back[: len(sums) - least])
+
+
+def open_runs(at: list[int], settled: list[tuple[int, int]], length: int, least: int) -> np.ndarray:
+    """Starts of runs that hold one of the places ``at`` and do not lie inside a settled stretch (first, end)."""
+    last = length - least
+    wanted = np.zeros(max(0, last + 1) + 1, np.int64)
+    for c in at:
+        low, high = max(0, c - least + 1), min(last, c)
+        if low <= high:
+            wanted[low] += 1
+            wanted[high + 1] -= 1
+    chosen = np.cumsum(wanted[:-1]) > 0
+    for first, end in settled:
+        chosen[max(0, first) : max(0, end - least + 1)] = False
+    return np.flatnonzero(chosen)
+
+
+def second_links(pairs: DataFrame, found: DataFrame, tokens: DataFrame, least: int) -> DataFrame:
+    """Rows (doc, ref, anchors): where nothing came of shared signatures, documents that share a whole run."""
+    settled = found.select(F.col("doc_id").alias("doc"), F.col("ref_doc_id").alias("ref")).distinct()
+    failed = pairs.join(settled, ["doc", "ref"], "left_anti")
+    places = pairs.select("doc", F.explode("anchors.c").alias("c")).union(
+        failed.select("ref", F.explode("anchors.ref_c")))
+    places = places.groupBy("doc").agg(F.collect_set("c").alias("at"))
+    spans = found.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_set(F.struct(
+        F.col("start_word").alias("a"), (F.col("end_word") - SHINGLE + 1).alias("b"))).alias("spans"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (large.slice(i, 512) for large in batches for i in range(0, large.num_rows, 512)):
+            for doc, at, spans, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                own = np.frombuffer(packed, "<u4")
+                starts = open_runs(at, [(s["a"], s["b"]) for s in spans or ()], len(own), least)
+                if len(starts):
+                    keys = run_hashes(own, least)[starts].view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), doc)),
+                                                      pa.array(starts.astype(np.int32))], names=RUNS.names)
+
+    given = places.join(spans, "doc", "left").join(tokens.withColumnRenamed("doc_id", "doc"), "doc")
+    runs = given.select("doc", "at", "spans", "tokens").mapInArrow(run, RUNS)
+    group = Window.partitionBy("key").orderBy("doc", "at")
+    first = F.first(F.struct("doc", "at")).over(group.rowsBetween(Window.unboundedPreceding, 0))
+    met = runs.withColumn("first", first).where("first.doc <> doc")
+    # runs one after the other are one link
+    shift = F.col("at") - F.col("first.at")
+    joined = met.groupBy("doc", F.col("first.doc").alias("ref"), shift.alias("shift")).agg(F.min("at").alias("low"), F.max("at").alias("high"))
+    anchor = F.struct(F.col("low").alias("c"), F.col("low").alias("l"), (F.col("high") + least - 1).cast("int").alias("r"),
+                      (F.col("low") - F.col("shift")).cast("int").alias("ref_c"))
+    return joined.groupBy("doc", "ref").agg(F.collect_list(anchor).alias("anchors"))
+
+
+def passages(docs: DataFrame, min_words: int = 50, block_words: int = 1_500_000) -> DataFrame:
+    """Rows of ``PASSAGE``: passages of at least ``min_words`` words that an earlier document (by id) has too."""
+    least = min_words - SHINGLE + 1
+    copies, rest = settle_copies(docs)
+    pairs = staged(links(windows(rest, least, block_words)), "passage-pairs")
+    needed = staged(pairs.select(F.col("doc").alias("doc_id")).union(pairs.select("ref")).distinct(), "passage-docs")
+    tokens = staged(_shingled(rest.join(small(needed), "doc_id", "left_semi").select("doc_id", "text")), "passage-tokens")
+    found = staged(_verified(pairs, tokens, least), "passage-found")
+    more = _verified(second_links(pairs, found, tokens, least), tokens, least)
+    whole = copies.where(F.col("n_words") >= min_words).select(
+        "doc_id", F.lit(0).alias("start_word"), F.col("n_words").alias("end_word"), F.col("first").alias("ref_doc_id"),
+        F.lit(0).alias("ref_start_word"), (F.col("n_words") - SHINGLE + 1).cast("int").alias("n_agreeing"))
+    return found.unionByName(more).unionByName(whole).distinct()
 
 
 _WORDS = re.compile(WORD)

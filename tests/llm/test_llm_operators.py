@@ -226,6 +226,51 @@ def test_passages_with_an_inserted_deleted_or_replaced_word(spark):
     assert all(found[kind] >= 29 for kind in wanted.values()), found
 
 
+def test_whole_passages_are_found_among_parts_of_them(spark):
+    """A passage in one early and one late document, with documents that hold 47 of its words before and between."""
+    rng = random.Random(13)
+    texts, wanted, n = {}, [], 0
+
+    def add(inside):
+        nonlocal n
+        texts[n] = f"{prose(rng, 40, 10**6)} {' '.join(inside)} {prose(rng, 40, 10**6)}"
+        n += 1
+
+    for before, between in ((0, 80), (30, 30), (59, 0), (60, 20)):
+        for _ in range(3):
+            own = prose(rng, 60, 10**6).split()
+            for many in (before, between):
+                for _ in range(many):
+                    size = rng.choice((47, 48, 49))
+                    start = rng.randrange(60 - size + 1)
+                    add(own[start : start + size])
+                add(own)
+            wanted.append((n - 1, n - 2 - between))
+    got = {(r.doc_id, r.ref_doc_id): (r.start_word, r.end_word) for r in substrings.passages(documents(spark, texts.items())).collect()}
+    assert got == dict.fromkeys(wanted, (40, 100))
+
+
+def test_copies_are_passages_as_a_whole_and_repeated_ids_are_not(spark):
+    rng = random.Random(14)
+    long, short = prose(rng, 80, 10**6), prose(rng, 49, 10**6)
+    texts = [(4, long), (2, long), (2, long), (9, long), (7, short), (8, short), (2, prose(rng, 80, 10**6)), (None, long), (11, f"a {long} b")]
+    got = {tuple(r)[:4] for r in substrings.passages(documents(spark, texts)).collect()}
+    assert got == {(4, 0, 80, 2), (9, 0, 80, 2), (11, 1, 81, 2)}
+    assert substrings.passages(documents(spark, texts).limit(0)).count() == 0
+
+
+def test_run_hashes_and_open_runs():
+    rng = np.random.default_rng(3)
+    tokens = rng.integers(0, 9, 60).astype("<u4")
+    tokens[40:50] = tokens[10:20]
+    hashes = substrings.run_hashes(tokens, 6)
+    for i in range(55):
+        for j in range(55):
+            assert (hashes[i] == hashes[j]) == (tokens[i : i + 6] == tokens[j : j + 6]).all()
+    assert substrings.open_runs([4, 30], [(26, 34)], 33, 6).tolist() == [0, 1, 2, 3, 4, 25]
+    assert substrings.open_runs([2], [], 5, 6).tolist() == []
+
+
 def test_compact_windows_cover_every_long_run():
     rng = np.random.default_rng(7)
     tokens, least = rng.integers(0, 2**63, 200).astype(np.uint64), 15
