@@ -1,33 +1,37 @@
 """Language-model scoring by a probabilistic suffix tree over words.
 
 A context is a run of words; its next-symbol distribution is kept as a node
-of the tree only if it differs from that of the context without its first
-word. A continuation is kept if it gains more than ``gain`` nats of
+(a state) of the tree only if it differs from that of the context without its
+first word. A continuation is kept if it gains more than ``gain`` nats of
 log-likelihood over the parent's distribution, a context if the weighted
 Kullback-Leibler divergence over its kept continuations and the rest together
-exceeds ``gain`` nats for each. Every token is scored in the state of its
-longest suffix in the tree. A state spreads what its kept continuations leave,
-and ``mu`` counts more, like its parent; the root is the unigram distribution
-with half a count for every word and for unknown words. All distributions sum
-to one.
+exceeds ``gain`` nats for each. The tree grows a word deeper as long as the
+test keeps a context (``order`` can set an end). Every token is scored in the
+state of its longest suffix in the tree. A state spreads what its kept
+continuations leave, and ``mu`` counts more, like its parent; the root is the
+unigram distribution with half a count for every word and for unknown words.
+All distributions sum to one.
 
 How it runs: tasks turn their rows into blocks (at most ``block_bytes`` of
 text, or one longer text) of word numbers and per-block vocabularies, staged
 once. Word counts are summed over all blocks and joined back per block, so a
 frequent word costs one row per block and no task holds the vocabulary of the
-corpus. Each level is a Spark table and works the same way: blocks send every
-distinct run whose parts were seen ``LEAST`` times with its count in training
-texts, one shuffle by run adds these up, the divergence test is an aggregate
-by context, and its outcome is joined back to the blocks' runs and contexts. The test is the only pruning besides the fixed ``LEAST``; the
-tree grows with the corpus and is never collected or broadcast. ``rate`` and
-``least`` ask for shares of all tokens on top of that and are off by default.
+corpus. A level takes two exchanges. First blocks send every run that can
+matter (its words and its context seen ``LEAST`` times, and a suffix in the
+tree) as a key and its count in training texts; the sums go back for runs
+seen ``LEAST`` times, most are not. With these a block tells which
+continuations gain and sends them, once each, with its contexts; the
+divergence test is an aggregate by context, its outcome goes back to the
+blocks that have the context. The test is the only pruning besides the fixed
+``LEAST``; the tree grows with the corpus and is never collected or broadcast.
 Runs go by 64-bit hashes: of g different runs about g * g / 2**65 pairs are
 taken for each other.
 
 Defined results: null text counts as empty; an empty text is its end token;
 repeated rows count and are scored row by row; without training rows all
 counts are 0 and every probability is 1 (half a count for one unknown word);
-a null id counts as empty text in the fold; other columns are left out.
+a null id counts as empty text in the fold; an empty table gives no rows;
+other columns are left out.
 """
 
 from __future__ import annotations
@@ -57,11 +61,17 @@ SCORE = T.StructType([
     T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
     T.StructField("score", T.DoubleType()),
 ])
-GRAM = T.StructType([
-    T.StructField("block", T.LongType()), T.StructField("slot", T.IntegerType()), T.StructField("key", T.LongType()),
-    T.StructField("context", T.LongType()), T.StructField("p", T.DoubleType()), T.StructField("total", T.LongType()),
-    T.StructField("n", T.LongType()), T.StructField("inside", T.BooleanType()),
+COUNT = T.StructType([
+    T.StructField("key", T.LongType()), T.StructField("block", T.LongType()), T.StructField("slot", T.IntegerType()),
+    T.StructField("n", T.IntegerType()),
 ])
+# continuations that gain (key, context, p, total, seen), and the contexts of a block (context, block, slot)
+TEST = T.StructType([
+    T.StructField("context", T.LongType()), T.StructField("key", T.LongType()), T.StructField("p", T.DoubleType()),
+    T.StructField("total", T.LongType()), T.StructField("seen", T.LongType()), T.StructField("block", T.LongType()),
+    T.StructField("slot", T.IntegerType()),
+])
+RUN, CONTEXT = 0, 1
 END = b""  # no word is empty
 LEAST = 2  # a run seen once says nothing of what follows it; the same at every corpus size
 
@@ -109,25 +119,6 @@ def blocks(docs: DataFrame, block_bytes: int, folds: int, held: int) -> DataFram
     return docs.select(F.col("doc_id").cast("long"), F.col("text"), held_out.alias("held_out")).mapInArrow(run, BLOCK)
 
 
-@dataclass
-class Level:
-    """Contexts of one length (sorted codes) with their counts and the kept continuations' sum; these with counts."""
-
-    contexts: np.ndarray
-    totals: np.ndarray
-    taken: np.ndarray
-    entries: np.ndarray
-    counts: np.ndarray
-
-
-def _find(sorted_codes: np.ndarray, values: np.ndarray, codes: np.ndarray) -> np.ndarray:
-    """Values at ``codes``; 0 where they are not among the sorted codes or negative."""
-    if not len(sorted_codes):
-        return np.zeros(len(codes), values.dtype)
-    at = np.minimum(np.searchsorted(sorted_codes, codes), len(sorted_codes) - 1)
-    return np.where(sorted_codes[at] == codes, values[at], 0)
-
-
 def _tokens(row: dict) -> tuple[np.ndarray, np.ndarray]:
     """(word numbers, index of each token inside its text) of a block."""
     tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), np.int32)
@@ -141,94 +132,111 @@ def spread(p: np.ndarray, own: np.ndarray, total: np.ndarray, taken: np.ndarray,
     return (own + (mu + total - taken) * p) / (total + mu)
 
 
-def smooth(p: np.ndarray, level: Level, contexts: np.ndarray, codes: np.ndarray, mu: float) -> np.ndarray:
-    """Probabilities one level deeper: unchanged where the context is no state."""
-    total = _find(level.contexts, level.totals, contexts)
-    taken = _find(level.contexts, level.taken, contexts)
-    own = _find(level.entries, level.counts, codes)
-    return np.where(total > 0, spread(p, own, total, taken, mu), p)
-
-
 @dataclass
 class Setting:
-    """What all blocks need to know: training tokens and words, minimum counts, smoothing, highest order."""
+    """What all blocks need to know: training tokens and words, the test's threshold, smoothing."""
 
     n: int
     v: int
-    context: float
-    continuation: float
+    gain: float
     mu: float
-    order: int
 
 
 class Walk:
     """A block's tokens followed through the levels that are known so far.
 
     For every token: its probability ``p``, the hash and count of the run of
-    ``level`` + 1 words that ends in it (0 where too rare), and whether the
-    context before it of ``level`` words is a state.
+    ``level`` + 1 words that ends in it (0 where too rare or not needed), and
+    whether the context before it of ``level`` words is a state. ``found`` has
+    rows (level, kind, slot, a): counts of the block's words and runs, and for
+    its contexts that are states the sum of their kept continuations.
     """
 
     def __init__(self, rows: pa.Table, found: pa.Table, setting: Setting):
         self.row = {k: rows.column(k)[0].as_py() for k in ("block", "doc_ids", "held_out", "sizes", "tokens", "words")}
         self.setting, self.level = setting, 0
-        by = found.column("level").to_numpy()
-        values = [found.column(k).to_numpy() for k in ("slot", "a", "b")]
-        self.found = lambda level: tuple(x[by == level] for x in values)
+        by, kind = found.column("level").to_numpy(), found.column("kind").to_numpy()
+        slot, value = found.column("slot").to_numpy(), found.column("a").to_numpy()
+        self.found = lambda level, what: (slot[(by == level) & (kind == what)], value[(by == level) & (kind == what)])
         tokens, self.at = _tokens(self.row)
+        sizes = np.repeat(np.array(self.row["sizes"], np.int64), self.row["sizes"])
+        self.last = self.at == sizes - 1
+        self.train = np.repeat(~np.array(self.row["held_out"], bool), self.row["sizes"])
         hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.row["words"]], np.uint64)
-        counts = np.zeros(len(hashes), np.int64)
-        slot, count, _ = self.found(0)
-        counts[slot] = count
+        counts = self._filled(len(hashes), 0, RUN)
         self.word, self.count = hashes[tokens], counts[tokens]
         self.known = self.count > 0
         self.p = (self.count + 0.5) / (setting.n + 0.5 * (setting.v + 1))
         self.base = np.log10(self.p)
-        self.key, self.state = self.word, self.at >= 1
+        self.key, self.state = self.word, np.ones(len(tokens), bool)
+
+    def _filled(self, size: int, level: int, kind: int) -> np.ndarray:
+        out = np.zeros(size, np.int64)
+        slot, value = self.found(level, kind)
+        out[slot] = value
+        return out
 
     def _next(self) -> None:
         """Runs one word longer, and their contexts, both with their numbers in the block."""
-        s, k = self.setting, self.level + 1
+        k = self.level + 1
         self.total, self.context = np.roll(self.count, 1), np.roll(self.key, 1)
-        inside = (self.at >= k) & (self.total >= s.context)
-        self.inside = inside & self.state  # the tree holds every suffix of a state
-        self.sent = (inside if k < s.order else self.inside) & (self.count >= s.continuation)
+        exists = (self.at >= k) & (self.total >= LEAST)
+        self.tested = exists & self.state  # the tree holds every suffix of a state
+        # a run is counted if its context is tested, or if it can be a context itself one level deeper
+        deeper = np.roll(self.state, -1) & ~self.last
+        self.sent = exists & (self.count >= LEAST) & (self.tested | deeper)
         self.longer = mix(self.context * np.uint64(GOLDEN) + self.word)
-        self.runs, self.first, self.run_of = np.unique(self.longer[self.sent], return_index=True, return_inverse=True)
-        self.contexts, self.context_of = np.unique(self.context[self.inside], return_inverse=True)
+        self.runs, self.run_of = np.unique(self.longer[self.sent], return_inverse=True)
+        self.contexts, self.context_of = np.unique(self.context[self.tested], return_inverse=True)
+
+    def runs_seen(self) -> pa.Table:
+        """Rows of ``COUNT`` of the next level's runs, each with its count in the block's training texts."""
+        self._next()
+        n = np.bincount(self.run_of[self.train[self.sent]], minlength=len(self.runs))
+        return pa.table([pa.array(self.runs.view(np.int64)), pa.array(np.full(len(n), self.row["block"])),
+                         pa.array(np.arange(len(n), dtype=np.int32)), pa.array(n.astype(np.int32))], names=COUNT.names)
+
+    def _counted(self) -> np.ndarray:
+        """Counts of the tokens' next runs, and which of them gain over the parent's distribution."""
+        counts = np.zeros(len(self.p), np.int64)
+        counts[self.sent] = self._filled(len(self.runs), self.level + 1, RUN)[self.run_of]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            expected = self.total * self.p
+            gains = counts * np.log(counts / expected) > self.setting.gain
+        self.good = self.tested & (counts > expected) & gains
+        return counts
+
+    def tests(self) -> pa.Table:
+        """Rows of ``TEST`` of the next level, whose counts are there."""
+        self._next()
+        counts = self._counted()
+        at = np.flatnonzero(self.good)
+        at = at[np.unique(self.longer[at], return_index=True)[1]]
+        none = np.arange(len(at) + len(self.contexts)) >= len(at)
+
+        def column(run, context=None):
+            whole = np.concatenate([run, np.zeros(len(self.contexts), run.dtype) if context is None else context])
+            return pa.array(whole, mask=none if context is None else None)
+
+        block = np.full(len(none), self.row["block"])
+        slot = np.concatenate([np.zeros(len(at), np.int32), np.arange(len(self.contexts), dtype=np.int32)])
+        return pa.table([
+            column(self.context[at].view(np.int64), self.contexts.view(np.int64)), column(self.longer[at].view(np.int64)),
+            column(self.p[at]), column(self.total[at]), column(counts[at]), pa.array(block, mask=~none),
+            pa.array(slot, mask=~none)], names=TEST.names)
 
     def step(self) -> None:
-        """To the next level, whose table is there."""
+        """To the next level, which is known."""
         self._next()
-        slot, a, b = self.found(self.level + 1)
-        n, own = np.zeros((2, len(self.runs)), np.int64)
-        state, taken = np.zeros((2, len(self.contexts)), np.int64)
-        of_run = slot < len(self.runs)
-        n[slot[of_run]], own[slot[of_run]] = a[of_run], b[of_run]
-        state[slot[~of_run] - len(self.runs)], taken[slot[~of_run] - len(self.runs)] = a[~of_run], b[~of_run]
-        counts, owns, takens = np.zeros((3, len(self.p)), np.int64)
-        states = np.zeros(len(self.p), bool)
-        counts[self.sent], owns[self.sent] = n[self.run_of], own[self.run_of]
-        states[self.inside], takens[self.inside] = state[self.context_of] > 0, taken[self.context_of]
-        self.p = np.where(states, spread(self.p, owns, self.total, takens, self.setting.mu), self.p)
+        counts = self._counted()
+        taken = np.zeros(len(self.p), np.int64)
+        taken[self.tested] = self._filled(len(self.contexts), self.level + 1, CONTEXT)[self.context_of]
+        states = taken > 0
+        own = np.where(self.good, counts, 0)
+        self.p = np.where(states, spread(self.p, own, self.total, taken, self.setting.mu), self.p)
         self.key, self.count, self.state = self.longer, counts, states
         self.level += 1
 
-    def grams(self) -> pa.Table:
-        """Rows of ``GRAM`` for the next level; contexts come after the runs, without one of their own."""
-        self._next()
-        train = np.repeat(~np.array(self.row["held_out"], bool), self.row["sizes"])
-        n = np.bincount(self.run_of[train[self.sent]], minlength=len(self.runs))
-        at = np.flatnonzero(self.sent)[self.first]
-        none = np.zeros(len(self.contexts), np.int64)
-        made = len(self.runs) + len(self.contexts)
-        columns = (np.full(made, self.row["block"]), np.arange(made, dtype=np.int32),
-                   np.concatenate([self.runs, self.contexts]).view(np.int64),
-                   pa.array(np.concatenate([self.context[at].view(np.int64), none]), mask=np.arange(made) >= len(self.runs)), np.concatenate([self.p[at], none.astype(float)]),
-                   np.concatenate([self.total[at], none]), np.concatenate([n, none]),
-                   np.concatenate([self.inside[at], none.astype(bool)]))
-        return pa.table([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=GRAM.names)
-
     def scores(self) -> pa.Table:
         sizes = np.array(self.row["sizes"], np.int64)
         starts = np.cumsum(sizes) - sizes
@@ -249,60 +257,52 @@ def walked(rows: DataFrame, found: DataFrame, setting: Setting, levels: int, las
     return rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
 
 
-def grow(grams: DataFrame, levels: int, setting: Setting, gain: float) -> tuple[DataFrame, bool]:
-    """(block, level, slot, a, b) for the blocks' next step from rows of ``GRAM``, and whether there are states.
+def _found(rows: DataFrame, level: int, kind: int, value: str) -> DataFrame:
+    return rows.select("block", F.lit(level).alias("level"), F.lit(kind).alias("kind"), "slot", F.col(value).cast("long").alias("a"))
 
-    ``a`` and ``b`` are a run's count and its count as a kept continuation (or
-    0); of a context 1 and the sum of its kept continuations.
-    """
-    order = Window.partitionBy("key").orderBy("block")
-    seen = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    expected = F.col("total") * F.col("p")
-    gained = F.col("seen") * F.log(F.try_divide(F.col("seen"), expected))
-    good = F.coalesce(F.col("inside") & (gained > gain) & (F.col("seen") > expected), F.lit(False))
-    last = levels + 1 == setting.order  # nothing needs the counts of runs that are not kept
-    wanted = F.col("context").isNull() | ((F.col("seen") >= setting.continuation) & (F.col("good") if last else F.lit(True)))
-    summed = grams.withColumns({"seen": seen, "first": F.row_number().over(order) == 1}).withColumn("good", good).where(wanted)
-    tested = F.col("good") & F.col("first")
-    summed = staged(summed.select(
-        "block", "slot", F.when(F.col("context").isNull(), F.col("key")).when(F.col("good"), F.col("context")).alias("context"),
-        F.when(F.col("context").isNotNull(), F.col("seen")).alias("seen"), "good", tested.alias("tested"),
-        F.when(tested, F.col("p")).alias("p"), F.when(tested, F.col("total")).alias("total")), "lm-runs")
+
+def grow(rows: DataFrame, found: DataFrame, levels: int, setting: Setting) -> tuple[DataFrame, bool]:
+    """What blocks need for one level more, and whether it has states."""
+    # sums over a run's blocks: narrow rows, most of which end here
+    seen = F.sum("n").over(Window.partitionBy("key"))
+    counted = walked(rows, found, setting, levels, Walk.runs_seen, COUNT).withColumn("seen", seen).where(F.col("seen") >= LEAST)
+    counts = staged(_found(counted, levels + 1, RUN, "seen"), "lm-found")
+    tests = staged(walked(rows, found.unionByName(counts), setting, levels, Walk.tests, TEST), "lm-tests")
+    p, total, seen = F.col("p"), F.col("total"), F.col("seen")
+    # a run's figures are the same in every block that has it
+    runs = tests.where("key IS NOT NULL").groupBy("context", "key").agg(*(F.max(c).alias(c) for c in ("p", "total", "seen")))
+    gained = F.sum(seen * F.log(seen / (total * p)))
     rest = F.greatest(F.col("whole") - F.col("taken"), F.lit(0.5))
     divergence = F.col("gained") + rest * F.log(rest / F.col("whole") / F.greatest(1 - F.col("expected"), F.lit(1e-12)))
-    contexts = summed.where("tested").groupBy("context").agg(
-        F.max("total").alias("whole"), F.sum("seen").alias("taken"), F.sum("p").alias("expected"), F.sum(gained).alias("gained"),
-        F.count(F.lit(1)).alias("spread")).where(divergence > gain * F.col("spread"))
+    contexts = runs.groupBy("context").agg(
+        F.max("total").alias("whole"), F.sum("seen").alias("taken"), F.sum("p").alias("expected"), gained.alias("gained"),
+        F.count(F.lit(1)).alias("spread")).where(divergence > setting.gain * F.col("spread"))
     contexts = staged(contexts.select("context", "taken"), "lm-contexts")
-    joined = summed.where("good OR seen IS NULL").join(contexts, "context", "left").where(
-        "taken IS NOT NULL" if last else "taken IS NOT NULL OR good")
-    known = joined.select("block", "slot", F.coalesce("seen", F.lit(1)).alias("a"), F.when(F.col("taken").isNull(), 0).otherwise(
-        F.coalesce("seen", "taken")).alias("b"))
-    if not last:
-        known = known.unionByName(summed.where("seen IS NOT NULL AND NOT good").select(
-            "block", "slot", F.col("seen").alias("a"), F.lit(0).cast("long").alias("b")))
-    return known.withColumn("level", F.lit(levels + 1)), not contexts.isEmpty()
-
-
-def score(docs: DataFrame, folds: int = 5, held: int = 1, block_bytes: int = 12_000_000, rate: float = 0.0,
-          least: float = 0.0, gain: float = 6.0, mu: float = 20.0, order: int = 2) -> DataFrame:
-    """Rows of ``SCORE`` for all documents; learns from those outside fold ``held``."""
+    states = tests.where("key IS NULL").join(contexts, "context")
+    return counts.unionByName(staged(_found(states, levels + 1, CONTEXT, "taken"), "lm-found")), not contexts.isEmpty()
+
+
+def score(docs: DataFrame, folds: int = 5, held: int = 1, block_bytes: int = 12_000_000, gain: float = 6.0, mu: float = 20.0,
+          order: int | None = None) -> DataFrame:
+    """Rows of ``SCORE`` for all documents; learns from those outside fold ``held``.
+
+    ``order`` ends the growth at contexts of so many words (default: the
+    divergence test alone does).
+    """
     rows = staged(blocks(docs, block_bytes, folds, held), "lm-blocks")
     one = rows.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
     one = one.select("block", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     counts = staged(one.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "lm-counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    n, v = int(total[0]), int(total[1])
-    setting = Setting(n, v, max(LEAST, rate * n), max(LEAST, least * n), mu, order)
+    setting = Setting(int(total[0]), int(total[1]), gain, mu)
 
     rows = rows.drop("counts")
-    found = staged(one.join(counts, "word").select(
-        "block", F.lit(0).alias("level"), F.col("at").alias("slot"), F.col("c").alias("a"), F.lit(0).cast("long").alias("b")), "lm-found")
+    found = staged(_found(one.join(counts, "word").withColumnRenamed("at", "slot"), 0, RUN, "c"), "lm-found")
     levels = 0
-    while levels < order:
-        known, more = grow(walked(rows, found, setting, levels, Walk.grams, GRAM), levels, setting, gain)
+    while order is None or levels < order:
+        known, more = grow(rows, found, levels, setting)
         if not more:
             break
         levels += 1
-        found = found.unionByName(staged(known, "lm-found"))
+        found = found.unionByName(known)
     return walked(rows, found, setting, levels, Walk.scores, SCORE)

@@ -286,7 +286,7 @@ def test_compact_windows_cover_every_long_run():
 def test_suffix_tree_base_and_distribution(spark):
     rng = random.Random(8)
     texts = [(i, ("Alpha beta gamma " * 5 if i % 2 else "") + prose(rng, 60, 30)) for i in range(120)] + [(900 + i, t) for i, t in enumerate(EDGE)]
-    got = {r.doc_id: r for r in suffix_tree.score(documents(spark, texts, extra=True), rate=1e-3, least=1e-4).collect()}
+    got = {r.doc_id: r for r in suffix_tree.score(documents(spark, texts, extra=True)).collect()}
     end, count = b"", Counter()
     for i, t in texts:
         if zlib.crc32(str(i).encode()) % 5 != 1:
@@ -316,10 +316,70 @@ def test_suffix_tree_keeps_rare_contexts_in_a_larger_corpus(spark):
     assert got[held].score - got[held].base_score > 2
 
 
-def test_smoothing_sums_to_one():
-    level = suffix_tree.Level(np.array([3]), np.array([40]), np.array([25]), np.array([3 << 20 | 1, 3 << 20 | 4]), np.array([15, 10]))
-    p = np.full(8, 1 / 8)
-    assert suffix_tree.smooth(p, level, np.full(8, 3), np.int64(3) << 20 | np.arange(8), 20.0).sum() == pytest.approx(1)
+def brute_tree(texts, gain, mu, order=None):
+    """(probability function, contexts) of a suffix tree kept in dictionaries."""
+    train = [[*words(t), b""] for i, t in texts if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = Counter(tuple(t[a:b]) for t in train for a in range(len(t)) for b in range(a + 1, min(len(t), a + 9) + 1))
+    n, v = sum(map(len, train)), len({w for t in train for w in t})
+    states = {}
+
+    def probability(context, word):
+        p = (counts[(word,)] + 0.5) / (n + 0.5 * (v + 1))
+        for k in range(1, len(context) + 1):
+            own = context[len(context) - k :]
+            if own not in states:
+                break
+            kept = states[own]
+            p = (kept.get(word, 0) + (mu + counts[own] - sum(kept.values())) * p) / (counts[own] + mu)
+        return p
+
+    for k in range(1, 9):
+        level = {}
+        for context in {r[:-1] for r in counts if len(r) == k + 1}:
+            if counts[context] < 2 or k > 1 and context[1:] not in states:
+                continue
+            kept = {}
+            for run in (r for r in counts if len(r) == k + 1 and r[:-1] == context):
+                p, total, seen = probability(context, run[-1]), counts[context], counts[run]
+                if seen >= 2 and counts[run[1:]] >= 2 and seen > total * p and seen * math.log(seen / (total * p)) > gain:
+                    kept[run[-1]] = seen
+            if kept:
+                total, taken = counts[context], sum(kept.values())
+                expected = sum(probability(context, w) for w in kept)
+                rest = max(total - taken, 0.5)
+                gained = sum(c * math.log(c / (total * probability(context, w))) for w, c in kept.items())
+                if gained + rest * math.log(rest / total / max(1 - expected, 1e-12)) > gain * len(kept):
+                    level[context] = kept
+        if not level or order is not None and k > order:
+            break
+        states |= level
+    return probability, states, {w for t in train for w in t}
+
+
+@pytest.mark.parametrize("order", [None, 1])
+def test_suffix_tree_scores_equal_a_tree_in_dictionaries(spark, order):
+    rng = random.Random(12)
+    line = "the cat sat on the mat and the dog sat on the cat near a red door".split()
+    texts = [(i, " ".join(line[a:] + line[:a]) + " " + prose(rng, 12, 9)) for i in range(40) for a in [rng.randrange(12)]]
+    texts += [(100 + i, prose(rng, 30, 9)) for i in range(20)] + [(200 + i, t) for i, t in enumerate(EDGE[:5])] + [(3, "the cat")]
+    probability, states, vocabulary = brute_tree(texts, 6.0, 20.0, order)
+    assert (max(map(len, states)) >= 3) if order is None else (max(map(len, states)) == 1)
+    got = Counter()
+    for r in suffix_tree.score(documents(spark, texts).repartition(3), block_bytes=500, order=order).collect():
+        got[r.doc_id, round(r.score, 6)] += 1
+    wanted = Counter()
+    for i, t in texts:
+        own = (*words(t), b"")
+        wanted[i, round(sum(math.log10(probability(own[:j], own[j])) for j in range(len(own))), 6)] += 1
+    assert got == wanted
+    for context in list(states)[:20]:  # all words and one that no training text has
+        assert sum(probability(context, w) for w in [*vocabulary, b"?"]) == pytest.approx(1)
+
+
+def test_suffix_tree_without_training_rows(spark):
+    held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1][:4]
+    for r in suffix_tree.score(documents(spark, [(i, "a b a b") for i in held])).collect():
+        assert (r.n_known, r.train_tokens, r.base_score, r.score, r.held_out) == (0, 0, 0.0, 0.0, True)
 
 
 def test_pu_classifier_separates_held_out_rows(spark):
