@@ -15,14 +15,19 @@ first: all but the one with the smallest id are passages as a whole.
 1. Equal signatures are linked to the earliest document that has them: first
    inside a task's block, then, one window per block and signature, across
    blocks, so a passage in a third of all documents costs one row per block.
-   Links of a pair of documents are joined as intervals on nearly the same
-   diagonal and verified on the documents' shingles: the stretch in which at
-   least 8/9 of them agree in order (a Jaccard similarity of 0.8).
+   Links of a pair of documents by two hash functions or more are joined as
+   intervals on nearly the same diagonal and verified on the documents'
+   shingles: the stretch in which at least 8/9 of them agree in order (a
+   Jaccard similarity of 0.8).
 2. The earliest holder of a signature can hold a part of a passage only, while
-   a later one holds the whole. So the surroundings of signatures that
-   nothing came of, in both documents of the link, are looked up once more by
-   their runs of ``least`` shingles: documents that hold a whole passage
-   share one whatever others hold parts of it. These links are verified alike.
+   a later one holds the whole. In a run of ``least`` shingles that another
+   document has, the min-hash of every function is linked. So runs with links
+   of all functions of which nothing came, in both documents of a link, are
+   looked up once more as a whole: documents that hold a passage word for word
+   meet there, whatever others hold parts of it. These links are verified alike.
+
+A passage with changed words is lost only where earlier holders of parts of it
+leave no two functions to one earlier holder of the whole.
 
 Defined results: null, empty and short texts have no passages; repeats inside
 one document or between rows with one id are not reported; rows with a null
@@ -49,7 +54,7 @@ AGREE = 8 / 9
 
 REACH = (1 << 16) - 1
 
-# ``place`` is c << 32 | (c - l) << 16 | (r - c), reaches beyond REACH cut to it: rows stay narrow
+# ``place`` is k << 60 | c << 32 | (c - l) << 16 | (r - c) of hash function k, reaches beyond REACH cut to it: rows stay narrow
 WINDOWS = T.StructType([
     T.StructField("key", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("place", T.LongType()),
     T.StructField("ref", T.LongType()), T.StructField("ref_c", T.IntegerType()),
@@ -128,7 +133,7 @@ def windows(docs: DataFrame, least: int, block_words: int) -> DataFrame:
                 o, f = np.concatenate([order[new], order[linked]]), np.concatenate([order[new], first[linked]])
                 is_link = np.arange(len(o)) >= new.sum()
                 c = at[o] - starts[text[o]]
-                place = c << 32 | np.minimum(at[o] - l[o], REACH) << 16 | np.minimum(r[o] - at[o], REACH)
+                place = k << 60 | c << 32 | np.minimum(at[o] - l[o], REACH) << 16 | np.minimum(r[o] - at[o], REACH)
                 # a link needs no partner any more, so its row may go anywhere
                 spread = mix(key[o].view(np.uint64) + at[o].astype(np.uint64)).view(np.int64)
                 whole = pa.RecordBatch.from_arrays([
@@ -156,16 +161,16 @@ def windows(docs: DataFrame, least: int, block_words: int) -> DataFrame:
 
 
 def links(found: DataFrame) -> DataFrame:
-    """Rows (doc, ref, anchors) of documents that share signatures; anchors are (c, l, r, ref_c)."""
-    c, left, right = (F.shiftright("place", 32), F.shiftright("place", 16).bitwiseAND(F.lit(REACH)),
+    """Rows (doc, ref, anchors, hashes) of documents that share signatures of so many functions; anchors are (k, c, l, r, ref_c)."""
+    c, left, right = (F.shiftright("place", 32).bitwiseAND(F.lit((1 << 28) - 1)), F.shiftright("place", 16).bitwiseAND(F.lit(REACH)),
                       F.col("place").bitwiseAND(F.lit(REACH)))
     group = Window.partitionBy("key").orderBy(F.col("ref").isNotNull(), "doc", "place")
     first = F.first(F.struct("doc", c.alias("c"))).over(group.rowsBetween(Window.unboundedPreceding, 0))
     met = found.withColumn("first", first).where("ref IS NOT NULL OR first.doc <> doc")
-    anchor = F.struct(c.cast("int").alias("c"), (c - left).cast("int").alias("l"), (c + right).cast("int").alias("r"),
+    anchor = F.struct(F.shiftright("place", 60).cast("int").alias("k"), c.cast("int").alias("c"), (c - left).cast("int").alias("l"), (c + right).cast("int").alias("r"),
                       F.coalesce("ref_c", F.col("first.c").cast("int")).alias("ref_c"))
     return met.select("doc", F.coalesce("ref", "first.doc").alias("ref"), anchor.alias("anchor")).groupBy("doc", "ref").agg(
-        F.collect_set("anchor").alias("anchors"))
+        F.collect_set("anchor").alias("anchors")).withColumn("hashes", F.size(F.array_distinct("anchors.k")))
 
 
 def agreement(own: np.ndarray, other: np.ndarray, shift: int, low: int, high: int) -> np.ndarray:
@@ -254,17 +259,19 @@ def verify(own: np.ndarray, other: np.ndarray, anchors: list[tuple], least: int)
 
 def settle_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows (doc_id, n_words, first) of texts that a smaller id has too, the other documents' doc_id and text)."""
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    digest = [F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), "text").alias("g")]
-    named = known.select("doc_id", *digest, F.regexp_count("text", F.lit(WORD)).alias("n_words"))
-    firsts = named.groupBy("h", "g", "n_words").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    firsts = staged(firsts.where("n > 1").drop("n"), "text-firsts")
-    copies = staged(named.join(small(firsts), ["h", "g", "n_words"]).where("doc_id <> first").select(
-        "doc_id", "n_words", "first").distinct(), "text-copies")
+    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h")).where(
+        "doc_id IS NOT NULL AND text IS NOT NULL")
+    named = known.select("doc_id", "h", F.xxhash64(F.lit(1), "text").alias("g"))
+    firsts = named.groupBy("h", "g").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    firsts = staged(firsts, "text-firsts")
+    # words are counted in one text of each group
+    ids = firsts.select(F.col("first").alias("doc_id"), "h")
+    sizes = known.join(small(ids), ["doc_id", "h"], "left_semi").select(
+        F.col("doc_id").alias("first"), "h", F.regexp_count("text", F.lit(WORD)).alias("n_words")).distinct()
+    copies = staged(named.join(small(firsts), ["h", "g"]).where("doc_id <> first").join(sizes, ["first", "h"]).select(
+        "doc_id", "h", "n_words", "first").distinct(), "text-copies")
     # an id can also stand at another text: only the copy's rows go
-    gone = copies.select("doc_id", F.col("n_words").alias("gone_words"))
-    rest = known.withColumn("n_words", F.regexp_count("text", F.lit(WORD))).join(
-        small(gone), (known["doc_id"] == gone["doc_id"]) & (F.col("n_words") == F.col("gone_words")), "left_anti")
+    rest = known.join(small(copies.select("doc_id", "h").distinct()), ["doc_id", "h"], "left_anti")
     return copies, rest.select("doc_id", "text")
 
 
@@ -311,28 +318,42 @@ def run_hashes(tokens: np.ndarray, least: int) -> np.ndarray:
     return mix((sums[least:] - sums[:-least]) * back[: len(sums) - least])
 
 
-def open_runs(at: list[int], settled: list[tuple[int, int]], length: int, least: int) -> np.ndarray:
-    """Starts of runs that hold one of the places ``at`` and do not lie inside a settled stretch (first, end)."""
+def open_runs(anchors: list[tuple[int, int]], settled: list[tuple[int, int]], length: int, least: int, functions: int = HASHES) -> np.ndarray:
+    """Starts of runs that hold a place of every hash function and do not lie inside a settled stretch (first, end).
+
+    ``anchors`` are (function, place) pairs.
+    """
     last = length - least
-    wanted = np.zeros(max(0, last + 1) + 1, np.int64)
-    for c in at:
-        low, high = max(0, c - least + 1), min(last, c)
-        if low <= high:
-            wanted[low] += 1
-            wanted[high + 1] -= 1
-    chosen = np.cumsum(wanted[:-1]) > 0
+    held = np.zeros(max(0, last + 1), np.int64)
+    for k in range(functions):
+        wanted = np.zeros(len(held) + 1, np.int64)
+        for c in (c for f, c in anchors if f == k):
+            low, high = max(0, c - least + 1), min(last, c)
+            if low <= high:
+                wanted[low] += 1
+                wanted[high + 1] -= 1
+        held += np.cumsum(wanted[:-1]) > 0
+    chosen = held == functions
     for first, end in settled:
         chosen[max(0, first) : max(0, end - least + 1)] = False
     return np.flatnonzero(chosen)
 
 
-def second_links(pairs: DataFrame, found: DataFrame, tokens: DataFrame, least: int) -> DataFrame:
-    """Rows (doc, ref, anchors): where nothing came of shared signatures, documents that share a whole run."""
+def _tokens_of(docs: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+    """``_shingled`` of the documents that pairs (doc, ref) name, written once."""
+    needed = staged(pairs.select(F.col("doc").alias("doc_id")).union(pairs.select("ref")).distinct(), f"{name}-ids")
+    return staged(_shingled(docs.join(small(needed), "doc_id", "left_semi").select("doc_id", "text")), name)
+
+
+def second_passages(docs: DataFrame, pairs: DataFrame, found: DataFrame, least: int) -> DataFrame:
+    """Rows of ``PASSAGE`` where nothing came of shared signatures: documents that share a whole run."""
     settled = found.select(F.col("doc_id").alias("doc"), F.col("ref_doc_id").alias("ref")).distinct()
     failed = pairs.join(settled, ["doc", "ref"], "left_anti")
-    places = pairs.select("doc", F.explode("anchors.c").alias("c")).union(
-        failed.select("ref", F.explode("anchors.ref_c")))
-    places = places.groupBy("doc").agg(F.collect_set("c").alias("at"))
+    places = pairs.select("doc", F.explode("anchors").alias("a")).select("doc", "a.k", "a.c").union(
+        failed.select("ref", F.explode("anchors").alias("a")).select("ref", "a.k", "a.ref_c"))
+    # a run needs a place of every function: most documents do not have them at all
+    places = places.groupBy("doc").agg(F.collect_set(F.struct("k", "c")).alias("at")).where(
+        F.size(F.array_distinct("at.k")) == HASHES)
     spans = found.groupBy(F.col("doc_id").alias("doc")).agg(F.collect_set(F.struct(
         F.col("start_word").alias("a"), (F.col("end_word") - SHINGLE + 1).alias("b"))).alias("spans"))
 
@@ -340,13 +361,15 @@ def second_links(pairs: DataFrame, found: DataFrame, tokens: DataFrame, least: i
         for batch in (large.slice(i, 512) for large in batches for i in range(0, large.num_rows, 512)):
             for doc, at, spans, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 own = np.frombuffer(packed, "<u4")
-                starts = open_runs(at, [(s["a"], s["b"]) for s in spans or ()], len(own), least)
+                starts = open_runs([(a["k"], a["c"]) for a in at], [(s["a"], s["b"]) for s in spans or ()], len(own), least)
                 if len(starts):
                     keys = run_hashes(own, least)[starts].view(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), doc)),
                                                       pa.array(starts.astype(np.int32))], names=RUNS.names)
 
-    given = places.join(spans, "doc", "left").join(tokens.withColumnRenamed("doc_id", "doc"), "doc")
+    places = staged(places.join(spans, "doc", "left"), "passage-places")
+    tokens = _shingled(docs.join(small(places.select(F.col("doc").alias("doc_id"))), "doc_id", "left_semi").select("doc_id", "text"))
+    given = places.join(tokens.withColumnRenamed("doc_id", "doc"), "doc")
     runs = given.select("doc", "at", "spans", "tokens").mapInArrow(run, RUNS)
     group = Window.partitionBy("key").orderBy("doc", "at")
     first = F.first(F.struct("doc", "at")).over(group.rowsBetween(Window.unboundedPreceding, 0))
@@ -356,7 +379,8 @@ def second_links(pairs: DataFrame, found: DataFrame, tokens: DataFrame, least: i
     joined = met.groupBy("doc", F.col("first.doc").alias("ref"), shift.alias("shift")).agg(F.min("at").alias("low"), F.max("at").alias("high"))
     anchor = F.struct(F.col("low").alias("c"), F.col("low").alias("l"), (F.col("high") + least - 1).cast("int").alias("r"),
                       (F.col("low") - F.col("shift")).cast("int").alias("ref_c"))
-    return joined.groupBy("doc", "ref").agg(F.collect_list(anchor).alias("anchors"))
+    again = staged(joined.groupBy("doc", "ref").agg(F.collect_list(anchor).alias("anchors")), "passage-second")
+    return _verified(again, _tokens_of(docs, again, "passage-second-tokens"), least)
 
 
 def passages(docs: DataFrame, min_words: int = 50, block_words: int = 1_500_000) -> DataFrame:
@@ -364,10 +388,10 @@ def passages(docs: DataFrame, min_words: int = 50, block_words: int = 1_500_000)
     least = min_words - SHINGLE + 1
     copies, rest = settle_copies(docs)
     pairs = staged(links(windows(rest, least, block_words)), "passage-pairs")
-    needed = staged(pairs.select(F.col("doc").alias("doc_id")).union(pairs.select("ref")).distinct(), "passage-docs")
-    tokens = staged(_shingled(rest.join(small(needed), "doc_id", "left_semi").select("doc_id", "text")), "passage-tokens")
-    found = staged(_verified(pairs, tokens, least), "passage-found")
-    more = _verified(second_links(pairs, found, tokens, least), tokens, least)
+    likely = pairs.where("hashes > 1").drop("hashes")
+    tokens = _tokens_of(rest, likely, "passage-tokens")
+    found = staged(_verified(likely, tokens, least), "passage-found")
+    more = second_passages(rest, pairs.drop("hashes"), found, least)
     whole = copies.where(F.col("n_words") >= min_words).select(
         "doc_id", F.lit(0).alias("start_word"), F.col("n_words").alias("end_word"), F.col("first").alias("ref_doc_id"),
         F.lit(0).alias("ref_start_word"), (F.col("n_words") - SHINGLE + 1).cast("int").alias("n_agreeing"))

@@ -267,8 +267,9 @@ def test_run_hashes_and_open_runs():
     for i in range(55):
         for j in range(55):
             assert (hashes[i] == hashes[j]) == (tokens[i : i + 6] == tokens[j : j + 6]).all()
-    assert substrings.open_runs([4, 30], [(26, 34)], 33, 6).tolist() == [0, 1, 2, 3, 4, 25]
-    assert substrings.open_runs([2], [], 5, 6).tolist() == []
+    assert substrings.open_runs([(0, 4), (0, 30)], [(26, 34)], 33, 6, functions=1).tolist() == [0, 1, 2, 3, 4, 25]
+    assert substrings.open_runs([(0, 4), (1, 8), (1, 30)], [], 33, 6, functions=2).tolist() == [3, 4]
+    assert substrings.open_runs([(0, 2)], [], 5, 6, functions=1).tolist() == []
 
 
 def test_compact_windows_cover_every_long_run():
