@@ -16,8 +16,9 @@ is scored.
 Defined results: null and empty texts have all measures 0 and get a score like
 any other; without positives or without unlabelled rows every score is 0.5;
 repeated rows are scored row by row, several labels of one id count as good if
-one of them is; a null id is never labelled; other columns pass through, but
-columns named as an output are replaced.
+one of them is; a null id is never labelled; an empty table gives no rows;
+other columns pass through if ``keep`` names them, but columns named as an
+output (held_out, score, predicted) are replaced.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ MEASURES = (
     "log_words", "word_length", "symbols", "marks", "commas", "capitals", "digits", "wide", "distinct", "top_word",
     "echo", "stops", "short_words", "log_line", "dup_lines", "entropy",
 )
+MEASURED = "__measures"
+OUTPUTS = ("held_out", "score", "predicted")
 _STOPS = frozenset(STOP_WORDS)
 
 
@@ -79,14 +82,14 @@ def measure(text: str | None) -> np.ndarray:
 
 
 def measured(df: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` and ``measures`` (32-bit floats, binary) of every row."""
-    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField("measures", T.BinaryType())])
+    """Columns ``keep`` and ``MEASURED`` (32-bit floats, binary) of every row."""
+    schema = T.StructType([df.schema[c] for c in keep] + [T.StructField(MEASURED, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
             new = pa.array([measure(t).tobytes() for t in texts], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], new], names=[*keep, "measures"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], new], names=[*keep, MEASURED])
 
     return df.select(*keep, F.col(text).alias("__text")).mapInArrow(run, schema)
 
@@ -163,8 +166,17 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, bins: int = 12) -> Model:
 
 # ------------------------------------------------------------------ on tables
 def _sample(df: DataFrame, limit: int) -> np.ndarray:
-    rows = df.select(F.xxhash64("doc_id").alias("h"), "measures").orderBy("h", "measures").limit(limit).collect()
-    return np.array([np.frombuffer(r["measures"], np.float32) for r in rows], np.float32).reshape(-1, len(MEASURES))
+    """Measures of the (at most) ``limit`` rows with the lowest hashes of their ids.
+
+    Hashes are spread evenly, so a bound that half as many rows again stay
+    under is known from the count; only rows under it are sorted.
+    """
+    n = df.count()
+    rows = df.select(F.xxhash64("doc_id").alias("h"), MEASURED)
+    if n > 2 * limit:
+        rows = rows.where(F.col("h") <= int(-(2**63) + (1.5 * limit / n) * 2**64))
+    rows = rows.orderBy("h", MEASURED).limit(limit).collect()
+    return np.array([np.frombuffer(r[MEASURED], np.float32) for r in rows], np.float32).reshape(-1, len(MEASURES))
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None, limit: int = 20_000,
@@ -175,12 +187,12 @@ def classify(docs: DataFrame, labels: DataFrame, keep: list[str] | None = None,
     part in the fit. At most ``limit`` positives and ``limit`` unlabelled rows
     of (16 floats each) meet on the driver.
     """
-    keep = keep or ["doc_id"]
+    keep = [c for c in keep or ["doc_id"] if c not in OUTPUTS]
     rows = staged(measured(docs, list(dict.fromkeys(["doc_id", *keep]))), "pu-measures")
-    train = rows.where(fold(F.col("doc_id"), folds) != 0)
+    train = rows.where(fold(F.col("doc_id"), folds) != 0).select("doc_id", MEASURED)
     good = labels.where("quality = 1").select("doc_id").distinct()
     model = fit(_sample(train.join(good, "doc_id", "left_semi"), limit), _sample(train, limit))
-    schema = T.StructType([rows.schema[c] for c in rows.columns if c != "measures"] + [T.StructField("score", T.DoubleType())])
+    schema = T.StructType([rows.schema[c] for c in rows.columns if c != MEASURED] + [T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -42,7 +42,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,7 +54,8 @@ AGREE = 8 / 9
 
 REACH = (1 << 16) - 1
 
-# ``place`` is k << 60 | c << 32 | (c - l) << 16 | (r - c) of hash function k, reaches beyond REACH cut to it: rows stay narrow
+# ``place`` is k << 60 | c << 32 | (c - l) << 16 | (r - c) of hash function k. Reaches beyond 2 * least (a passage that
+# goes on has further windows there) and beyond REACH are cut: rows stay narrow, and so do the stretches to look at
 WINDOWS = T.StructType([
     T.StructField("key", T.LongType()), T.StructField("doc", T.LongType()), T.StructField("place", T.LongType()),
     T.StructField("ref", T.LongType()), T.StructField("ref_c", T.IntegerType()),
@@ -110,7 +111,7 @@ def windows(docs: DataFrame, least: int, block_words: int) -> DataFrame:
     """Rows of ``WINDOWS``: one per signature and block (``ref`` null), and links inside the block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(200_000)
         ids, parts, filled = [], [], 0
 
         def flush():
@@ -133,7 +134,8 @@ def windows(docs: DataFrame, least: int, block_words: int) -> DataFrame:
                 o, f = np.concatenate([order[new], order[linked]]), np.concatenate([order[new], first[linked]])
                 is_link = np.arange(len(o)) >= new.sum()
                 c = at[o] - starts[text[o]]
-                place = k << 60 | c << 32 | np.minimum(at[o] - l[o], REACH) << 16 | np.minimum(r[o] - at[o], REACH)
+                most = min(REACH, 2 * least)
+                place = k << 60 | c << 32 | np.minimum(at[o] - l[o], most) << 16 | np.minimum(r[o] - at[o], most)
                 # a link needs no partner any more, so its row may go anywhere
                 spread = mix(key[o].view(np.uint64) + at[o].astype(np.uint64)).view(np.int64)
                 whole = pa.RecordBatch.from_arrays([
@@ -280,7 +282,7 @@ def _shingled(docs: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tokens", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes = WordHashes(200_000)
         for batch in batches:
             made = [(shingles(hashes.array(t)) >> np.uint64(32)).astype("<u4").tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=schema.names)
@@ -288,24 +290,41 @@ def _shingled(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _sliced(tokens: Column, low: Column, high: Column) -> Column:
+    """Places low..high of packed shingles."""
+    return F.substring(tokens, (low * 4 + 1).cast("int"), ((high - low + 1) * 4).cast("int"))
+
+
 def _verified(pairs: DataFrame, tokens: DataFrame, least: int) -> DataFrame:
-    """Rows of ``PASSAGE`` of the pairs (doc, ref, anchors) that hold on the shingles."""
+    """Rows of ``PASSAGE`` of the pairs (doc, ref, anchors) that hold on the shingles.
+
+    Only the stretches around the anchors travel: of long documents with a
+    link or two a fraction.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32())
-        for batch in (large.slice(i, 512) for large in batches for i in range(0, large.num_rows, 512)):
+        for batch in (large.slice(i, 256) for large in batches for i in range(0, large.num_rows, 256)):
             out = []
-            for doc, ref, anchors, own, other in zip(*(c.to_pylist() for c in batch.columns)):
+            for doc, ref, anchors, low, own, ref_low, other in zip(*(c.to_pylist() for c in batch.columns)):
                 own, other = np.frombuffer(own, "<u4"), np.frombuffer(other, "<u4")
-                spans = [(a["c"], a["l"], a["r"], a["ref_c"]) for a in anchors]
+                spans = [(a["c"] - low, a["l"] - low, a["r"] - low, a["ref_c"] - ref_low) for a in anchors]
                 for a, b, at, agreeing in verify(own, other, spans, least):
-                    out.append((doc, a, b + SHINGLE, ref, at, agreeing))
+                    out.append((doc, low + a, low + b + SHINGLE, ref, ref_low + at, agreeing))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=PASSAGE.names)
 
-    own = tokens.select(F.col("doc_id").alias("doc"), F.col("tokens").alias("own"))
-    other = tokens.select(F.col("doc_id").alias("ref"), F.col("tokens").alias("other"))
-    both = pairs.join(own, "doc").join(other, "ref")
-    return both.select("doc", "ref", "anchors", "own", "other").mapInArrow(run, PASSAGE)
+    margin, zero = least + 2 * BAND, F.lit(0)
+    ends = {
+        "low": F.array_min("anchors.l"), "high": F.array_max("anchors.r"),
+        "ref_low": F.array_min(F.transform("anchors", lambda a: a["ref_c"] - a["c"] + a["l"])),
+        "ref_high": F.array_max(F.transform("anchors", lambda a: a["ref_c"] - a["c"] + a["r"])),
+    }
+    ends = {k: F.greatest(v - margin, zero) if k.endswith("low") else v + margin for k, v in ends.items()}
+    own = tokens.select(F.col("doc_id").alias("doc"), "tokens")
+    other = tokens.select(F.col("doc_id").alias("ref"), "tokens")
+    both = pairs.withColumns(ends).join(own, "doc").withColumn("own", _sliced(F.col("tokens"), F.col("low"), F.col("high"))).drop("tokens")
+    both = both.join(other, "ref").withColumn("other", _sliced(F.col("tokens"), F.col("ref_low"), F.col("ref_high")))
+    return both.select("doc", "ref", "anchors", "low", "own", "ref_low", "other").mapInArrow(run, PASSAGE)
 
 
 def run_hashes(tokens: np.ndarray, least: int) -> np.ndarray:
@@ -383,7 +402,7 @@ def second_passages(docs: DataFrame, pairs: DataFrame, found: DataFrame, least:
     return _verified(again, _tokens_of(docs, again, "passage-second-tokens"), least)
 
 
-def passages(docs: DataFrame, min_words: int = 50, block_words: int = 1_500_000) -> DataFrame:
+def passages(docs: DataFrame, min_words: int = 50, block_words: int = 1_000_000) -> DataFrame:
     """Rows of ``PASSAGE``: passages of at least ``min_words`` words that an earlier document (by id) has too."""
     least = min_words - SHINGLE + 1
     copies, rest = settle_copies(docs)

@@ -393,6 +393,12 @@ def test_pu_classifier_separates_held_out_rows(spark):
     assert len(out) == len(texts) and out.score.between(0, 1).all()
     held = out[out.held_out & (out.index < 400)]
     assert ((held.index < 300) == (held.predicted == 1)).mean() > 0.9
+    named = documents(spark, texts).selectExpr("*", "1 AS score", "'m' AS measures", "2 AS held_out", "'x' AS predicted")
+    kept = pu_quality.classify(named, labels, keep=named.columns)
+    assert kept.columns == ["doc_id", "text", "lang", "measures", "held_out", "score", "predicted"]
+    assert {r.doc_id: r.score for r in kept.collect()} == out.score.to_dict()
+    assert pu_quality.classify(named.limit(0), labels).count() == 0
+    assert len(pu_quality._sample(pu_quality.measured(spark.range(5000).selectExpr("id AS doc_id", "'a b' AS text"), ["doc_id"]), 100)) == 100
     none = pu_quality.classify(documents(spark, texts), labels.limit(0)).toPandas()
     assert (none.score == 0.5).all()
     assert pu_quality.estimate_prior(np.linspace(0, 1, 4000), np.r_[np.linspace(0, 1, 3000), np.zeros(1000) - 1]) == pytest.approx(0.75, abs=0.05)
