@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 
 from .common import GOLDEN, SHINGLE, WORD, WordHashes, mix, seeded, shingles, small, staged
 
-HASHES = 8
+HASHES = 7
 BAND = 16
 AGREE = 8 / 9
 
@@ -111,7 +111,7 @@ def windows(docs: DataFrame, least: int, block_words: int) -> DataFrame:
     """Rows of ``WINDOWS``: one per signature and block (``ref`` null), and links inside the block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes(200_000)
+        hashes = WordHashes()
         ids, parts, filled = [], [], 0
 
         def flush():
@@ -282,7 +282,7 @@ def _shingled(docs: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tokens", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes(200_000)
+        hashes = WordHashes()
         for batch in batches:
             made = [(shingles(hashes.array(t)) >> np.uint64(32)).astype("<u4").tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.binary())], names=schema.names)
@@ -382,7 +382,9 @@ def second_passages(docs: DataFrame, pairs: DataFrame, found: DataFrame, least:
                 own = np.frombuffer(packed, "<u4")
                 starts = open_runs([(a["k"], a["c"]) for a in at], [(s["a"], s["b"]) for s in spans or ()], len(own), least)
                 if len(starts):
-                    keys = run_hashes(own, least)[starts].view(np.int64)
+                    # a run that a document repeats counts at its first place
+                    keys, places = np.unique(run_hashes(own, least)[starts].view(np.int64), return_index=True)
+                    starts = starts[places]
                     yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), doc)),
                                                       pa.array(starts.astype(np.int32))], names=RUNS.names)
 
