@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from public_tokenizers import PATTERN, path
 
 from tessera.llm import (byte_bpe, chat, chosen_path, decontaminate, packing, pu_quality, rules, substrings, suffix_tree,
@@ -432,6 +433,61 @@ def test_packing_is_lossless_and_best_fit(spark):
     assert packing.segments(packed).where("NOT resets").count() == 0 and packing.pack(df.limit(0)).count() == 0
 
 
+def test_texts_are_packed_as_the_library_encodes_them(spark):
+    rng = random.Random(15)
+    library = tiktoken.Encoding("t", pat_str=PATTERN, mergeable_ranks=byte_bpe.ByteBPE.from_file_bytes(open(VOCABULARY, "rb").read()).ranks,
+                                special_tokens={})
+    texts = [(i, prose(rng, rng.randrange(1, 400))) for i in range(60)] + [(100 + i, t) for i, t in enumerate(EDGE)] + [(None, "a"), (3, "again")]
+    packed = packing.pack_texts(documents(spark, texts, extra=True).withColumn("ids", F.lit(1)).repartition(2), VOCABULARY, length=256).collect()
+    parts = {}
+    for r in packed:
+        ids = np.frombuffer(r.ids, "<u2")
+        for a, b, doc, start in zip(r.cu_seqlens, r.cu_seqlens[1:], r.doc_ids, r.doc_starts):
+            parts.setdefault((doc, start), []).append(ids[a:b].tolist())
+    wanted = {}
+    for i, t in texts:
+        own = [*library.encode_ordinary(t or ""), 50256]
+        for start in range(0, len(own), 256):
+            wanted.setdefault((i, start), []).append(own[start : start + 256])
+    assert {k: sorted(v) for k, v in parts.items()} == {k: sorted(v) for k, v in wanted.items()}
+    filled = sum(len(v) for vs in parts.values() for v in vs) / (256 * len(packed))
+    assert filled > 0.97 and packing.pack_texts(documents(spark, texts).limit(0), VOCABULARY).count() == 0
+
+
+def test_packing_refuses_ids_that_do_not_fit(spark):
+    df = spark.createDataFrame([(1, bytearray(np.array([5, 70_000], "<u4").tobytes()))], "doc_id long, ids binary")
+    with pytest.raises(Exception, match="70000 of document 1 does not fit"):
+        packing.pack(df).collect()
+    row = packing.pack(df, dtype="<u4").first()
+    assert np.frombuffer(row.ids, "<u4")[:3].tolist() == [5, 70_000, 50256]
+
+
+def test_warc_records_are_valid_and_have_ids_of_their_own(spark, tmp_path):
+    import zstandard
+
+    rows = [(1, "http://x/1", "<p>a</p>"), (1, "http://x/1", "<p>a</p>"), (2, "http://x/2", "<p>a</p>"), (3, None, "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'z' AS digest", "1 AS first", "2 AS n")
+    folder = str(tmp_path / "warc")
+    warc.write_bundles(pages.coalesce(1), folder, date="2024-01-01T00:00:00Z").write.parquet(str(tmp_path / "manifest"))
+    manifest = spark.read.parquet(str(tmp_path / "manifest"))
+    named = manifest.collect()
+    assert len({r.record_id for r in named}) == 4
+    whole = b"".join(zstandard.ZstdDecompressor().stream_reader(open(f"{folder}/{n}", "rb"), read_across_frames=True).read()
+                     for n in {r.bundle for r in named})
+    records = whole.split(b"WARC/1.1\r\n")[1:]
+    assert records[0].startswith(b"WARC-Type: warcinfo") and len(records) == 5
+    for record in records:
+        head, _, rest = record.partition(b"\r\n\r\n")
+        field = dict(line.split(": ", 1) for line in head.decode().split("\r\n"))
+        assert {"WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Type"} <= field.keys()
+        assert rest[int(field["Content-Length"]) :] == b"\r\n\r\n"
+        if field["WARC-Type"] != "warcinfo":
+            assert rest.startswith(b"HTTP/1.1 200 OK\r\n") and field["WARC-Record-ID"][1:-1] in {r.record_id for r in named}
+    back = sorted((r.page_id, r.record_type, r.refers_to) for r in warc.read_records(manifest, folder).collect())
+    assert back == [(1, "response", None), (1, "response", None), (2, "revisit", 1), (3, "response", None)]
+    assert warc.write_bundles(pages.limit(0), str(tmp_path / "none")).count() == 0
+
+
 def test_warc_round_trip(spark, tmp_path):
     html = ["<p>a</p>", "<p>a</p>", "", None, "é" * 4000, "\r\n\r\nWARC/1.1", "<p>a</p>"]
     rows = [(10 - i, f"http://x/{i}\r\n", h) for i, h in enumerate(html)] + [(None, None, "<p>a</p>")]
