@@ -166,6 +166,31 @@ def test_chosen_path_equals_brute_force(spark, monkeypatch):
     assert got == brute_links(texts)
 
 
+def test_chosen_path_deals_dense_groups_in_tiles_and_splits_others(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "BUCKET", 24)
+    rng = np.random.default_rng(5)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    base, texts = word(140), []
+    for i in range(120):  # near copies, each with words of its own in places of its own
+        text = list(base)
+        for at in rng.integers(0, 140, rng.integers(0, 5)):
+            text[at] = word(1)[0]
+        texts.append((i, " ".join(text)))
+    passage = word(30)
+    texts += [(i, " ".join(word(40) + passage)) for i in range(200, 500)]  # a frequent passage in texts that differ otherwise
+    docs = documents(spark, texts)
+    reps = chosen_path.describe(docs, 12, 0.8).withColumnRenamed("doc_id", "rep").dropDuplicates(["sig"]).cache()
+    dealt = chosen_path.buckets(docs, reps, 0.8, range(12, 15)).join(reps.select("sig", "rep"), "sig").collect()
+    parts = {r.path for r in dealt if r.part}
+    assert parts & set().union(*(r.paths for r in reps.where("rep < 200").collect())), "the dense group is dealt in parts at once"
+    first = set().union(*(r.paths for r in reps.where("rep >= 200").collect()))
+    assert not parts & first, "the frequent passage is split first"
+    assert max(Counter((r.tile, r.path) for r in dealt).values()) <= 2 * 24, "tiles are bounded"
+    links = brute_links(texts)
+    assert sum(n for _, n in links.values()) > 2000
+    assert {r.doc_id: (r.class_id, r.n_links) for r in chosen_path.join(docs, recall=0.9999).collect()} == links
+
+
 def test_chosen_path_runs_reach_the_recall_for_subset_pairs():
     rng = np.random.default_rng(10)
 
