@@ -152,6 +152,7 @@ def brute_links(texts, threshold=0.8):
 
 def test_chosen_path_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(chosen_path, "BUCKET", 12)  # so that buckets are split, and at last tiled
+    monkeypatch.setattr(chosen_path, "LARGE", 2)
     rng = random.Random(5)
     line = prose(rng, 12)
     base = [prose(rng, 90, 3000) for _ in range(12)]
@@ -168,6 +169,7 @@ def test_chosen_path_equals_brute_force(spark, monkeypatch):
 
 def test_chosen_path_deals_dense_groups_in_tiles_and_splits_others(spark, monkeypatch):
     monkeypatch.setattr(chosen_path, "BUCKET", 24)
+    monkeypatch.setattr(chosen_path, "LARGE", 1)
     rng = np.random.default_rng(5)
     word = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
     base, texts = word(140), []
