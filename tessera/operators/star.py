@@ -10,6 +10,8 @@ joined, and AQE splits skewed join partitions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,23 +83,43 @@ def dim_date(orders: DataFrame, reviews: DataFrame) -> DataFrame:
     )
 
 
-def _order_context(orders: DataFrame, lines: DataFrame, wanted=ORDER_CONTEXT) -> tuple[DataFrame, list]:
-    """Order columns for a line-level table; a column the lines carry themselves wins."""
+def _order_context(orders: DataFrame, lines: DataFrame, wanted: Sequence[str], more: Sequence[str] = ()) -> tuple[DataFrame, list]:
+    """Order columns for a line-level table (and columns ``more`` as they are); a column the lines carry themselves wins."""
     cols = [c for c in wanted if c in orders.columns]
-    ctx = orders.select("order_id", *(F.col(c).alias(f"_o_{c}") for c in cols))
+    ctx = orders.select("order_id", *more, *(F.col(c).alias(f"_o_{c}") for c in cols))
     resolved = [
         (F.coalesce(F.col(c), F.col(f"_o_{c}")) if c in lines.columns else F.col(f"_o_{c}")).alias(c) for c in cols
     ]
     return ctx, resolved
 
 
+def _customer_of_orders(orders: DataFrame, dim_cust: DataFrame) -> DataFrame:
+    """(order_id, customer_key): resolved where an order is one narrow row, not once for each of its lines."""
+    return orders.select("order_id", "customer_id").join(
+        dim_cust.select("customer_key", "customer_id"), "customer_id", "left").select("order_id", "customer_key")
+
+
+def _with_customer(lines: DataFrame, orders: DataFrame, dim_cust: DataFrame, wanted: Sequence[str]) -> DataFrame:
+    """Lines with their order's columns ``wanted`` and ``customer_key``.
+
+    Lines that name a customer themselves are resolved one by one, as their
+    value wins over the order's.
+    """
+    keep = [c for c in lines.columns if c not in wanted]
+    if "customer_id" in lines.columns or "customer_id" not in orders.columns:
+        ctx, resolved = _order_context(orders, lines, wanted)
+        return lines.join(ctx, "order_id", "left").select(*keep, *resolved).join(
+            dim_cust.select("customer_key", "customer_id"), "customer_id", "left")
+    known = orders.select(*(c for c in ("order_id", *wanted) if c in orders.columns)).join(
+        dim_cust.select("customer_key", "customer_id"), "customer_id", "left")
+    ctx, resolved = _order_context(known, lines, [c for c in wanted if c != "customer_id"], ("customer_key",))
+    return lines.join(ctx, "order_id", "left").select(*keep, "customer_key", *resolved)
+
+
 def fact_order_item(orders, order_items, dim_cust, dim_sell, dim_prod) -> DataFrame:
     """Grain (order_id, order_item_id); partitioned by (purchase_year, seller_state)."""
-    ctx, resolved = _order_context(orders, order_items)
-    keep = [c for c in order_items.columns if c not in ORDER_CONTEXT]
-    lines = order_items.join(ctx, "order_id", "left").select(*keep, *resolved)
     out = (
-        lines.join(dim_cust.select("customer_key", "customer_id"), "customer_id", "left")
+        _with_customer(order_items, orders, dim_cust, ORDER_CONTEXT)
         .join(dim_sell.select("seller_key", "seller_id", "seller_state"), "seller_id", "left")
         .join(dim_prod.select("product_key", "product_id"), "product_id", "left")
         .withColumn("purchase_date_key", date_key(F.col("purchased_at")))
@@ -108,11 +130,8 @@ def fact_order_item(orders, order_items, dim_cust, dim_sell, dim_prod) -> DataFr
 
 def fact_payment(payments, orders, dim_cust) -> DataFrame:
     """Grain (order_id, payment_sequential); the date is the order's purchase date."""
-    ctx, resolved = _order_context(orders, payments, ("customer_id", "purchased_at"))
-    keep = [c for c in payments.columns if c not in ("customer_id", "purchased_at")]
     out = (
-        payments.join(ctx, "order_id", "left").select(*keep, *resolved)
-        .join(dim_cust.select("customer_key", "customer_id"), "customer_id", "left")
+        _with_customer(payments, orders, dim_cust, ("customer_id", "purchased_at"))
         .withColumn("payment_date_key", date_key(F.col("purchased_at")))
         .withColumn("payment_year", F.year("purchased_at"))
     )
@@ -140,11 +159,9 @@ def fact_review(reviews, orders, order_items, dim_cust, dim_prod) -> DataFrame:
     The two order_id joins run back to back so both reuse one hash partitioning
     of the reviews on order_id.
     """
-    ctx = orders.select("order_id", F.col("customer_id").alias("_o_customer_id"))
     out = (
-        reviews.join(ctx, "order_id", "left")
+        reviews.join(_customer_of_orders(orders, dim_cust), "order_id", "left")
         .join(order_products(order_items, dim_prod), "order_id", "left")
-        .join(dim_cust.select("customer_key", F.col("customer_id").alias("_o_customer_id")), "_o_customer_id", "left")
         .withColumn("review_date_key", date_key(F.col("review_creation_date")))
         .withColumn("review_year", F.year("review_creation_date"))
     )

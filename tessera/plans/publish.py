@@ -23,6 +23,7 @@ from ..operators.star import PARTITIONS
 from ..operators.violations import gold_violations
 from ..sources.io import new_batch, write_bucketed, write_partitioned, write_table
 from ..sources.versions import Files
+from .lazy import LazyTables
 
 POINTER = "_current"
 SCHEMA_SUFFIX = "._schema"
@@ -85,6 +86,13 @@ def stage_layers(spark: SparkSession, silver, folder: str, order_buckets: int |
     a bucket keeps all rows of a key together and AQE cannot split a bucketed
     scan, whereas unbucketed sort-merge joins get AQE's skew splitting.
     """
+    _, star = stage_dimensions(spark, silver, folder, order_buckets)
+    facts = stage_tables(spark, {n: star[n] for n in FACTS}, os.path.join(folder, "gold"))
+    return {**{n: star[n] for n in DIMENSIONS}, **facts}
+
+
+def stage_dimensions(spark: SparkSession, silver, folder: str, order_buckets: int | None = None) -> tuple[dict[str, DataFrame], LazyTables]:
+    """Silver and dimensions written and read back: (Silver, the star on them, its facts defined but not written)."""
     from .pipeline import build_star
 
     buckets = {n: (["order_id"], order_buckets) for n in ORDER_LEVEL} if order_buckets else None
@@ -94,8 +102,7 @@ def stage_layers(spark: SparkSession, silver, folder: str, order_buckets: int |
     star_on_dims = build_star(written_silver)  # facts join the written dimensions
     for n, df in dims.items():
         star_on_dims.provide(n, df)
-    facts = stage_tables(spark, {n: star_on_dims[n] for n in FACTS}, os.path.join(folder, "gold"))
-    return {**dims, **facts}
+    return written_silver, star_on_dims
 
 
 def publish_gold(spark: SparkSession, silver, root: str, fresh_df: DataFrame, fresh_ts: str,

@@ -40,3 +40,10 @@ def test_operators_do_not_collect_rows():
             body = src[m.end():].split("\ndef ", 1)[0]
             if re.search(r"\.(collect|toPandas|take)\(", body):
                 assert m.group(1) in allowed, (path.name, m.group(1))
+
+
+@pytest.mark.parametrize("name", ["idempotency_check"])
+def test_checks_of_the_star_read_staged_tables(spark, name):
+    """Silver is deduplicated once and written; each check would derive it again otherwise."""
+    plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" not in plan and "lineitem.parquet" not in plan
