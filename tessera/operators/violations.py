@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from . import quality as Q
 
 NULL_KEY = "NULL"
@@ -50,8 +51,9 @@ def rule_bits(df: DataFrame, rules: Sequence[Q.RowRule], relations: Sequence[Rel
     out = df.withColumn("_bits", bits)
     for i, rel in enumerate(relations, len(rules)):
         known = rel.dim.select(F.col(rel.pk).alias(rel.fk)).where(F.col(rel.fk).isNotNull())
-        # distinct keys without a dimension row: a fraction of the keys, joined back to the rows
-        lost = df.select(rel.fk).where(F.col(rel.fk).isNotNull()).distinct().join(known, rel.fk, "left_anti")
+        # distinct keys without a dimension row: a fraction of the keys, joined back to the rows; written, so that
+        # their real size is known and the rows need no shuffle where few keys (or none) are lost
+        lost = materialize(df.select(rel.fk).where(F.col(rel.fk).isNotNull()).distinct().join(known, rel.fk, "left_anti"), "lost-keys")
         out = out.join(lost.withColumn("_lost", F.lit(1 << i).cast("long")), rel.fk, "left").withColumn(
             "_bits", F.col("_bits") + F.coalesce("_lost", F.lit(0).cast("long"))).drop("_lost")
     return out

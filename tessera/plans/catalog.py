@@ -192,9 +192,17 @@ def q_dq_failing_rows(spark, d):
 
 @query("rule_violations")
 def q_rule_violations(spark, d):
-    """Every failing row (or group) of the 16 checks: as many per rule as ``dq_report`` counts."""
+    """Every failing row (or group) of the 16 checks: as many per rule as ``dq_report`` counts.
+
+    They are read from staged tables, as after a refused publish: the star is
+    computed once, not again for each rule.
+    """
+    from ..plans.publish import stage_layers
+    from ..session import scratch_path
+
+    written = stage_layers(spark, D.silver_tables(spark, d), scratch_path(spark, "violations-run"))
     events, ts = D.feed_times(spark, d)["events"]
-    return gold_violations(driver_star(spark, d), events, ts, F.lit(D.FRESHNESS_AS_OF).cast("timestamp_ntz"))
+    return gold_violations(written, events, ts, _as_of())
 
 
 @query("fact_grain_check")
