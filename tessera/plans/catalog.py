@@ -529,8 +529,13 @@ SURROGATES = {"dim_customer": "customer_key", "dim_seller": "seller_key", "dim_p
 @query("table_fingerprint")
 def q_table_fingerprint(spark, d):
     """SHA-256 fingerprints of the star, surrogate keys as resolution flags (their values are Spark's hashes)."""
+    from ..plans.publish import stage_dimensions
+    from ..session import scratch_path
+
+    # Silver and dimensions are computed once, however many facts read them
+    _, star = stage_dimensions(spark, D.silver_tables(spark, d), scratch_path(spark, "fingerprint-run"))
     parts = []
-    for name, df in driver_star(spark, d).items():
+    for name, df in star.items():
         keys = [SURROGATES[name]] if name in SURROGATES else Q.FK_COLUMNS.get(name, ())
         parts.append(portable_fingerprint(_flags(df, *(k for k in keys if not k.endswith("date_key"))), name))
     return Q.union_all(parts)

@@ -42,7 +42,7 @@ def test_operators_do_not_collect_rows():
                 assert m.group(1) in allowed, (path.name, m.group(1))
 
 
-@pytest.mark.parametrize("name", ["idempotency_check", "rule_violations"])
+@pytest.mark.parametrize("name", ["idempotency_check", "rule_violations", "table_fingerprint"])
 def test_checks_of_the_star_read_staged_tables(spark, name):
     """Silver is deduplicated once and written; each check would derive it again otherwise."""
     plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
