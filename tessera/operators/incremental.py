@@ -105,8 +105,13 @@ def scd1_upsert(current: DataFrame, updates: DataFrame, keys: Sequence[str], upd
     return dedupe_latest(both, keys, (updated_col,))
 
 
+# versions of a key from which on it is dealt out over segments
+HOT_VERSIONS = 100_000
+
+
 def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str], valid_from: str,
-                 segments: int | None = None, period: str | None = None) -> DataFrame:
+                 segments: int | None = None, period: str | None = None, hot_versions: int = HOT_VERSIONS,
+                 place: Sequence[str] = ()) -> DataFrame:
     """Type-2 history: one interval per run of identical tracked values.
 
     Versions are ordered by ``valid_from`` then the tracked values (a total
@@ -114,6 +119,44 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     interval instead of opening one. ``valid_to`` is the next interval's
     start (NULL for the current one).
 
+    Keys with up to ``hot_versions`` versions take one window by key, so their
+    rows are shuffled once. ``place`` names columns that follow from the key
+    (e.g. its bucket) to deal these rows out by, so that they lie as they will
+    be written. Keys with more versions (few: counted first, from their keys
+    alone) go by segments; with ``segments`` every key does.
+    """
+    if segments:
+        return _segmented_history(versions, keys, tracked, valid_from, segments, period)
+    many = versions.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_versions).select(
+        *(F.col(k).alias(f"_hot_{k}") for k in keys))
+    hot = materialize(many, "scd2-hot-keys")
+    if hot.isEmpty():
+        return _keyed_history(versions, keys, tracked, valid_from, place)
+    same = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    light = _keyed_history(versions.join(hot, same, "left_anti"), keys, tracked, valid_from, place)
+    return light.unionByName(_segmented_history(versions.join(hot, same, "left_semi"), keys, tracked, valid_from, None, period))
+
+
+def _keyed_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str], valid_from: str,
+                   place: Sequence[str]) -> DataFrame:
+    """``scd2_history`` by one window over each key."""
+    w = Window.partitionBy(*place, *keys).orderBy(*(F.col(c).asc_nulls_first() for c in (valid_from, *tracked)))
+    rows = versions.select(*dict.fromkeys([*place, *keys, *tracked, valid_from]))
+    rows = rows.repartition(*place) if place else rows
+    same_as_lag = F.row_number().over(w) > 1
+    for c in tracked:
+        same_as_lag = same_as_lag & F.col(c).eqNullSafe(F.lag(c).over(w))
+    starts = rows.withColumn("_same", same_as_lag).where(~F.col("_same"))
+    successor = F.lead(F.struct(F.col(valid_from).alias("vf"))).over(w)  # a struct: a NULL valid_from is a start too
+    return starts.withColumn("_next", successor).select(
+        *keys, *tracked, F.col(valid_from).alias("valid_from"), F.col("_next.vf").alias("valid_to"),
+        F.col("_next").isNull().alias("is_current"))
+
+
+def _segmented_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str], valid_from: str,
+                       segments: int | None, period: str | None) -> DataFrame:
+    """``scd2_history`` of keys with very many versions.
+
     Skew-safe plan: rows are range-partitioned on (key, order) into
     ``segments`` balanced ranges, so one key with a large share of all
     versions spans several segments instead of one task. One windowed pass
@@ -165,8 +208,9 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     # one row per (segment, key): first and last version of the segment
     first_rows = local.where(F.col("_rn") == 1).select(
         *seg_keys, F.struct(*tracked).alias("_first_vals"), F.col(valid_from).alias("_first_vf"), "_next_local")
-    last_rows = local.where(F.col("_rn") == F.col("_n")).select(*seg_keys, F.struct(*tracked).alias("_last_vals"))
-    seg = first_rows.join(last_rows, seg_keys)
+    last_rows = local.where(F.col("_rn") == F.col("_n")).select(
+        *(F.col(c).alias(f"_l_{c}") for c in seg_keys), F.struct(*tracked).alias("_last_vals"))
+    seg = first_rows.join(last_rows, [F.col(c).eqNullSafe(F.col(f"_l_{c}")) for c in seg_keys])  # NULL is a key
     prev_last = F.lag("_last_vals").over(by_key)
     first_same = F.lit(True)
     for c in tracked:
@@ -176,10 +220,11 @@ def scd2_history(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str
     seg_first_start = F.when(F.col("_first_is_start"), F.struct(F.col("_first_vf").alias("vf"))).otherwise(F.col("_next_local"))
     seg = seg.select(*seg_keys, "_first_is_start", seg_first_start.alias("_seg_start"))
     later_segments = Window.partitionBy(*keys).orderBy(F.col("_seg").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.select(*seg_keys, "_first_is_start",
+    seg = seg.select(*(F.col(c).alias(f"_s_{c}") for c in seg_keys), "_first_is_start",
                      F.last("_seg_start", ignorenulls=True).over(later_segments).alias("_next_seg_start"))
 
-    starts = local.join(seg, seg_keys).where(F.col("_local_start") | ((F.col("_rn") == 1) & F.col("_first_is_start")))
+    starts = local.join(seg, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in seg_keys]).where(
+        F.col("_local_start") | ((F.col("_rn") == 1) & F.col("_first_is_start")))
     successor = F.coalesce(F.col("_next_local"), F.col("_next_seg_start"))
     return starts.select(
         *keys, *tracked, F.col(valid_from).alias("valid_from"), successor["vf"].alias("valid_to"),

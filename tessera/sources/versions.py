@@ -153,12 +153,15 @@ class Lake:
     def data(self, name: str) -> str:
         return f"{self.root}/data/{name}"
 
-    def write_run(self, name: str, df: DataFrame, by: Sequence[str]) -> tuple[str, list[str]]:
-        """Write rows as a new run of a table: (run id, its partition folders)."""
+    def write_run(self, name: str, df: DataFrame, by: Sequence[str], placed: bool = False) -> tuple[str, list[str]]:
+        """Write rows as a new run of a table: (run id, its partition folders).
+
+        ``placed``: the rows of a partition folder lie in few tasks already, so they are not dealt out again.
+        """
         run = uuid.uuid4().hex[:16]
         path = f"{self.data(name)}/{RUN}={run}"
         if by:
-            df.hint("rebalance", *by).write.partitionBy(*by).option("maxRecordsPerFile", 5_000_000).parquet(path)
+            (df if placed else df.hint("rebalance", *by)).write.partitionBy(*by).option("maxRecordsPerFile", 5_000_000).parquet(path)
         else:
             df.write.parquet(path)
         folders = [""]
@@ -176,6 +179,16 @@ class Lake:
         rows = self.spark.read.schema(schema).option("basePath", self.data(name)).parquet(*paths)
         return rows.select(*entry.struct.fieldNames(), *extra)
 
+    def run_bytes(self, name: str, run: str, folders: Iterable[str]) -> int:
+        """Bytes of a run's files in partition folders."""
+        return sum(size for f in folders for _, size, _ in self.files.state(f"{self.data(name)}/{RUN}={run}/{f}".rstrip("/")))
+
+    def broadcast_limit(self) -> int:
+        """Bytes up to which the session broadcasts a table to a join (0: never)."""
+        limit = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold").lower().rstrip("b")
+        unit = {"k": 10, "m": 20, "g": 30}.get(limit[-1])
+        return max(0, int(limit[:-1]) << unit if unit else int(limit))
+
     def vacuum(self, keep: int = 2) -> int:
         """Delete runs that none of the latest ``keep`` versions lists, and older manifests; returns the runs deleted."""
         versions = self.versions()
@@ -205,9 +218,9 @@ class Change:
         """The table as the change has it so far."""
         return Snapshot(self.lake, self.base.version, self.entries, {}).read(name, folders)
 
-    def write(self, name: str, df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    def write(self, name: str, df: DataFrame, by: Sequence[str] = (), placed: bool = False) -> DataFrame:
         """Replace (or create) a whole table."""
-        run, folders = self.lake.write_run(name, df, by)
+        run, folders = self.lake.write_run(name, df, by, placed)
         self.entries[name] = Entry(df.schema.json(), tuple(by), {f: (run,) for f in folders})
         return self.read(name)
 
@@ -223,10 +236,10 @@ class Change:
         entry = self.entries[name]
         self.entries[name] = replace(entry, parts=entry.parts | {f: (*entry.parts.get(f, ()), run) for f in folders})
 
-    def rewrite(self, name: str, folders: Iterable[str], rows: DataFrame) -> None:
+    def rewrite(self, name: str, folders: Iterable[str], rows: DataFrame, placed: bool = False) -> None:
         """Replace partition folders by ``rows`` (rows of other partitions are added to theirs)."""
         entry = self.entries[name]
-        run, made = self.lake.write_run(name, rows.select(*entry.struct.fieldNames()), entry.by)
+        run, made = self.lake.write_run(name, rows.select(*entry.struct.fieldNames()), entry.by, placed)
         gone = set(folders)
         parts = {f: ids for f, ids in entry.parts.items() if f not in gone}
         self.entries[name] = replace(entry, parts=parts | {f: (*parts.get(f, ()), run) for f in made})

@@ -171,3 +171,53 @@ def test_portable_fingerprint_has_one_text_for_a_row(spark):
     one = FP.portable_fingerprint(df).drop("table_name").first()
     assert one == FP.portable_fingerprint(df.select("t", "i", "n", "m", "f", "d")).drop("table_name").first()
     assert FP.portable_fingerprint(df.limit(0)).first().row_count == 0
+
+
+def test_light_keys_of_a_history_are_shuffled_once(spark):
+    import random
+
+    from tessera.operators.incremental import scd2_history
+
+    rng = random.Random(5)
+    data = [(rng.choice([1, 1, 1, 2, 3, None]), rng.choice(["a", "b", None]), rng.choice([None, *range(30)])) for _ in range(200)]
+    df = spark.createDataFrame(data, "k int, v string, at int")
+    args = (["k"], ["v"], "at")
+
+    def rows(x):
+        return sorted(map(str, x.collect()))
+
+    whole = rows(scd2_history(df, *args, segments=1))
+    light = scd2_history(df, *args)
+    assert rows(light) == whole
+    assert light._jdf.queryExecution().executedPlan().toString().count("Exchange") <= 2
+    assert rows(scd2_history(df, *args, hot_versions=50)) == whole  # key 1 by segments, the others by key
+
+
+@pytest.mark.parametrize("limit", ["-1", "10m"])
+def test_a_large_batch_of_versions_rebuilds_its_buckets(spark, tmp_path, limit):
+    """Both ways of a merge (keys picked out, buckets rebuilt) give the rebuild, a late version and a NULL key included."""
+    from tessera.operators.incremental import scd2_history
+    from tessera.plans.history import merge_versions, start_history
+    from tessera.sources.versions import BUCKET, Lake
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        first, late = [(1, "a", 1), (1, "a", 9), (2, "x", 5), (None, "n", 3)], [(1, "b", 4), (3, "z", 1), (None, "m", 2)]
+        schema, args = "k int, v string, at int", (["k"], ["v"], "at")
+
+        def make(data):
+            return spark.createDataFrame(data, schema).selectExpr("k", "v", "timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, at) at")
+
+        lake = Lake(spark, str(tmp_path / "lake"))
+        change = lake.begin()
+        start_history(change, make(first), "t", *args, 4)
+        change.publish()
+        change = lake.begin()
+        merge_versions(change, make(late), "t", *args, 4)
+        change.publish()
+        got = sorted(map(str, lake.snapshot().read("t_history").drop(BUCKET).collect()))
+        assert got == sorted(map(str, scd2_history(make(first + late), *args, segments=1).collect()))
+        assert lake.broadcast_limit() == (0 if limit == "-1" else 10 << 20)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
