@@ -428,16 +428,19 @@ def q_run_metric_deltas(spark, d):
     """Two runs recorded in a history, before and after the latest deliveries: every metric of the second with its change."""
     from ..operators import metrics as H
     from ..operators.silver import silver_order_items
-    from ..session import scratch_path
+    from ..session import materialize, scratch_path
     from ..sources.versions import Lake
     from .pipeline import build_star
 
-    silver = D.silver_tables(spark, d)
+    # what both runs and all their metrics read is computed once, the items once a run
+    made = D.silver_tables(spark, d)
+    read = {n: materialize(made[n], f"metrics-{n}") for n in ("orders", "customers", "sellers", "products")}
     old_raw, _ = _items_split(spark, d, SNAPSHOT_LAG_DAYS)
     as_of = F.lit(D.FRESHNESS_AS_OF).cast("timestamp_ntz")
     lake = Lake(spark, scratch_path(spark, "metrics"))
-    for run, items in (("before", silver_order_items(old_raw, latest_by=D.ITEM_LATEST_BY)), ("after", silver["order_items"])):
-        star = build_star({**dict(silver.items()), "order_items": items})
+    before = materialize(silver_order_items(old_raw, latest_by=D.ITEM_LATEST_BY), "metrics-before")
+    for run, items in (("before", before), ("after", materialize(made["order_items"], "metrics-after"))):
+        star = build_star({**read, "order_items": items, "order_reviews": made["order_reviews"]})
         fact = star["fact_order_item"]
         relations = [(f"{f}.{fk} -> {dim}.{pk}", fk, star[dim], pk) for f, fk, dim, pk in Q.RI_RELATIONS if f == "fact_order_item"]
         late = T.late_arrivals(fact, "purchased_at", "delivered_at", LATE_AFTER_DAYS)

@@ -47,3 +47,17 @@ def test_checks_of_the_star_read_staged_tables(spark, name):
     """Silver is deduplicated once and written; each check would derive it again otherwise."""
     plan = E.queries()[name](spark, SF001)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" not in plan and "lineitem.parquet" not in plan
+
+
+def test_metrics_of_a_run_read_staged_items(spark, monkeypatch):
+    from tessera.operators import metrics as H
+
+    plans, record = [], H.record
+
+    def noted(change, run, metrics):
+        plans.append(metrics._jdf.queryExecution().executedPlan().toString())
+        record(change, run, metrics)
+
+    monkeypatch.setattr(H, "record", noted)
+    E.queries()["run_metric_deltas"](spark, SF001)
+    assert len(plans) == 2 and not any("l_linenumber" in p for p in plans)
