@@ -96,10 +96,16 @@ def current_failed_casts(raw: DataFrame, spec: SilverSpec) -> DataFrame:
     return rows.agg(F.count_if("_bad").alias("failed"))
 
 
-def build_silver(raw: DataFrame, spec: SilverSpec, latest_by: Sequence[str] | None = None) -> DataFrame:
-    """conform -> latest-wins dedupe on the spec key -> drop batch metadata."""
+def build_silver(raw: DataFrame, spec: SilverSpec, latest_by: Sequence[str] | None = None,
+                 place: tuple[int, str] | None = None) -> DataFrame:
+    """conform -> latest-wins dedupe on the spec key -> drop batch metadata.
+
+    ``place``: deal the rows out into so many partitions by this part of the key
+    before the dedupe, which then shuffles nothing; the result lies by it.
+    """
     order = tuple(latest_by) if latest_by is not None else spec.latest_by
     typed = conform(raw, spec, keep=[c for c in order if c not in {x.out for x in spec.columns}])
+    typed = typed.repartition(*place) if place else typed
     if spec.keys:
         out = dedupe_latest(typed, spec.keys, order)
     else:
@@ -115,25 +121,25 @@ def silver_customers(raw: DataFrame, latest_by=None) -> DataFrame:
     return build_silver(raw, SILVER_SPECS["customers"], latest_by)
 
 
-def silver_orders(raw: DataFrame, latest_by=None) -> DataFrame:
-    return build_silver(raw, SILVER_SPECS["orders"], latest_by)
+def silver_orders(raw: DataFrame, latest_by=None, place=None) -> DataFrame:
+    return build_silver(raw, SILVER_SPECS["orders"], latest_by, place)
 
 
 def silver_sellers(raw: DataFrame, latest_by=None) -> DataFrame:
     return build_silver(raw, SILVER_SPECS["sellers"], latest_by)
 
 
-def silver_order_items(raw: DataFrame, latest_by=None) -> DataFrame:
-    return build_silver(raw, SILVER_SPECS["order_items"], latest_by)
+def silver_order_items(raw: DataFrame, latest_by=None, place=None) -> DataFrame:
+    return build_silver(raw, SILVER_SPECS["order_items"], latest_by, place)
 
 
-def silver_order_payments(raw: DataFrame, latest_by=None) -> DataFrame:
-    return build_silver(raw, SILVER_SPECS["order_payments"], latest_by)
+def silver_order_payments(raw: DataFrame, latest_by=None, place=None) -> DataFrame:
+    return build_silver(raw, SILVER_SPECS["order_payments"], latest_by, place)
 
 
-def silver_order_reviews(raw: DataFrame, latest_by=None) -> DataFrame:
+def silver_order_reviews(raw: DataFrame, latest_by=None, place=None) -> DataFrame:
     """Reviews deduped on (review_id, order_id): a review id may cover two orders."""
-    return build_silver(raw, SILVER_SPECS["order_reviews"], latest_by)
+    return build_silver(raw, SILVER_SPECS["order_reviews"], latest_by, place)
 
 
 def silver_geolocation(raw: DataFrame) -> DataFrame:

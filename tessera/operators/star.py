@@ -93,8 +93,15 @@ def _order_context(orders: DataFrame, lines: DataFrame, wanted: Sequence[str], m
     return ctx, resolved
 
 
+def with_customer_key(orders: DataFrame, dim_cust: DataFrame) -> DataFrame:
+    """Orders with their ``customer_key``; written once, all facts take it from there."""
+    return orders.join(dim_cust.select("customer_key", "customer_id"), "customer_id", "left").select(*orders.columns, "customer_key")
+
+
 def _customer_of_orders(orders: DataFrame, dim_cust: DataFrame) -> DataFrame:
     """(order_id, customer_key): resolved where an order is one narrow row, not once for each of its lines."""
+    if "customer_key" in orders.columns:
+        return orders.select("order_id", "customer_key")
     return orders.select("order_id", "customer_id").join(
         dim_cust.select("customer_key", "customer_id"), "customer_id", "left").select("order_id", "customer_key")
 
@@ -110,8 +117,9 @@ def _with_customer(lines: DataFrame, orders: DataFrame, dim_cust: DataFrame, wan
         ctx, resolved = _order_context(orders, lines, wanted)
         return lines.join(ctx, "order_id", "left").select(*keep, *resolved).join(
             dim_cust.select("customer_key", "customer_id"), "customer_id", "left")
-    known = orders.select(*(c for c in ("order_id", *wanted) if c in orders.columns)).join(
-        dim_cust.select("customer_key", "customer_id"), "customer_id", "left")
+    cols = [c for c in ("order_id", *wanted) if c in orders.columns]
+    known = (orders.select(*cols, "customer_key") if "customer_key" in orders.columns
+             else with_customer_key(orders.select(*cols), dim_cust))
     ctx, resolved = _order_context(known, lines, [c for c in wanted if c != "customer_id"], ("customer_key",))
     return lines.join(ctx, "order_id", "left").select(*keep, "customer_key", *resolved)
 
@@ -138,31 +146,41 @@ def fact_payment(payments, orders, dim_cust) -> DataFrame:
     return out.select(*FACT_PAYMENT_COLUMNS)
 
 
-def order_products(order_items: DataFrame, dim_prod: DataFrame) -> DataFrame:
-    """Distinct (order_id, product_key) with the product's category columns.
+def order_products(order_items: DataFrame, dim_prod: DataFrame, dealt: bool = False) -> DataFrame:
+    """Distinct (order_id, product_key) with the product's category columns (``dealt``: a set of them per order).
 
     Resolving product ids to keys before the distinct makes the review fan-out
     unique on (review_id, order_id, product_key) by construction, so the fact
-    needs no second dedupe shuffle. Partial aggregation runs map-side.
+    needs no second dedupe shuffle. Lines are dealt out by order_id alone, as
+    the join to the reviews needs them, so the distinct adds no shuffle of its own.
+
+    ``dealt``: the items are bucketed by order_id and no order has very many. An
+    order's products are then one set, gathered where the items lie.
     """
-    return (
+    lines = (
         order_items.select("order_id", "product_id")
         .join(dim_prod.select("product_id", "product_key", "normalized_category", "category_family"), "product_id", "left")
         .select("order_id", "product_key", "normalized_category", "category_family")
-        .distinct()
     )
+    if not dealt:
+        return lines.repartition("order_id").distinct()
+    product = F.struct("product_key", "normalized_category", "category_family")
+    return lines.groupBy("order_id").agg(F.collect_set(product).alias("_products"))
 
 
-def fact_review(reviews, orders, order_items, dim_cust, dim_prod) -> DataFrame:
+def fact_review(reviews, orders, order_items, dim_cust, dim_prod, dealt: bool = False) -> DataFrame:
     """One row per review x distinct product of its order (orders without items: one row, NULL product).
 
     The two order_id joins run back to back so both reuse one hash partitioning
     of the reviews on order_id.
     """
+    out = reviews.join(_customer_of_orders(orders, dim_cust), "order_id", "left").join(
+        order_products(order_items, dim_prod, dealt), "order_id", "left")
+    if dealt:
+        out = out.select("*", F.explode_outer("_products").alias("_product")).select(
+            *(c for c in out.columns if c != "_products"), "_product.*")
     out = (
-        reviews.join(_customer_of_orders(orders, dim_cust), "order_id", "left")
-        .join(order_products(order_items, dim_prod), "order_id", "left")
-        .withColumn("review_date_key", date_key(F.col("review_creation_date")))
+        out.withColumn("review_date_key", date_key(F.col("review_creation_date")))
         .withColumn("review_year", F.year("review_creation_date"))
     )
     return out.select(*FACT_REVIEW_COLUMNS)

@@ -171,14 +171,23 @@ def _as_of():
     return F.lit(D.FRESHNESS_AS_OF).cast("timestamp_ntz")
 
 
-@query("dq_report")
-def q_dq_report(spark, d):
-    """The 16 checks on what was written: Silver, dimensions and facts are staged
-    (each computed once) in the shared scratch folder, as before a publish."""
+def _staged(spark, d, run: str):
+    """Silver, dimensions and facts staged (each computed once) in the shared scratch folder, as before a publish.
+
+    What is about orders lies in buckets by order_id, so the facts shuffle for their partitions only.
+    """
     from ..plans.publish import stage_layers
     from ..session import scratch_path
 
-    written = stage_layers(spark, D.silver_tables(spark, d), scratch_path(spark, "dq-run"))
+    buckets = D.order_buckets(spark, d)
+    silver = D.build_silver(spark, D.raw_tables(spark, d), buckets)
+    return stage_layers(spark, silver, scratch_path(spark, run), buckets, placed=True)
+
+
+@query("dq_report")
+def q_dq_report(spark, d):
+    """The 16 checks on what was written."""
+    written = _staged(spark, d, "dq-run")
     events, ts = D.feed_times(spark, d)["events"]
     return Q.dq_report(written, events, ts, _as_of())
 
@@ -197,10 +206,7 @@ def q_rule_violations(spark, d):
     They are read from staged tables, as after a refused publish: the star is
     computed once, not again for each rule.
     """
-    from ..plans.publish import stage_layers
-    from ..session import scratch_path
-
-    written = stage_layers(spark, D.silver_tables(spark, d), scratch_path(spark, "violations-run"))
+    written = _staged(spark, d, "violations-run")
     events, ts = D.feed_times(spark, d)["events"]
     return gold_violations(written, events, ts, _as_of())
 

@@ -14,8 +14,11 @@ from .lazy import LazyTables
 GOLD_TABLES = ("dim_customer", "dim_seller", "dim_product", "dim_date", "fact_order_item", "fact_payment", "fact_review")
 
 
-def build_star(silver) -> LazyTables:
-    """Gold tables from Silver tables, each defined on first access (nothing runs until an action)."""
+def build_star(silver, dealt: bool = False) -> LazyTables:
+    """Gold tables from Silver tables, each defined on first access (nothing runs until an action).
+
+    ``dealt``: the Silver tables about orders are bucketed by order_id.
+    """
     g: LazyTables
 
     def b(fn):
@@ -30,7 +33,7 @@ def build_star(silver) -> LazyTables:
             silver["orders"], silver["order_items"], g["dim_customer"], g["dim_seller"], g["dim_product"])),
         "fact_payment": b(lambda: K.fact_payment(silver["order_payments"], silver["orders"], g["dim_customer"])),
         "fact_review": b(lambda: K.fact_review(
-            silver["order_reviews"], silver["orders"], silver["order_items"], g["dim_customer"], g["dim_product"])),
+            silver["order_reviews"], silver["orders"], silver["order_items"], g["dim_customer"], g["dim_product"], dealt)),
     })
     return g
 

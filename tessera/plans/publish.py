@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
+from ..operators import star as K
 from ..operators.fingerprint import compare_fingerprints, fingerprints
 from ..operators.star import PARTITIONS
 from ..operators.violations import gold_violations
@@ -32,9 +33,9 @@ SCHEMA_SUFFIX = "._schema"
 def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str, bucket=None) -> DataFrame:
     path = os.path.join(folder, name)
     if bucket is not None:
-        cols, n = bucket
+        cols, n, *placed = bucket
         table = "tessera_" + re.sub(r"[^0-9a-zA-Z]", "_", "_".join(folder.rstrip("/").split("/")[-2:]) + "_" + name)
-        return write_bucketed(df, path, table, cols, n).select(*df.columns)
+        return write_bucketed(df, path, table, cols, n, *placed).select(*df.columns)
     if name in PARTITIONS:
         write_partitioned(df, path, PARTITIONS[name])
         # keep the declared schema next to the table so readers need no inference
@@ -70,7 +71,8 @@ FACTS = ("fact_order_item", "fact_payment", "fact_review")
 ORDER_LEVEL = ("orders", "order_items", "order_payments", "order_reviews")
 
 
-def stage_layers(spark: SparkSession, silver, folder: str, order_buckets: int | None = None) -> dict[str, DataFrame]:
+def stage_layers(spark: SparkSession, silver, folder: str, order_buckets: int | None = None,
+                 placed: bool = False) -> dict[str, DataFrame]:
     """Materialise the medallion once per layer: Silver, then dimensions, then facts.
 
     Each layer is written and read back before the next is defined, so every
@@ -85,21 +87,32 @@ def stage_layers(spark: SparkSession, silver, folder: str, order_buckets: int |
     where a single order can hold a large share of the (deduplicated) items:
     a bucket keeps all rows of a key together and AQE cannot split a bucketed
     scan, whereas unbucketed sort-merge joins get AQE's skew splitting.
+    ``placed``: these tables' rows were dealt out that way before their dedupe.
     """
-    _, star = stage_dimensions(spark, silver, folder, order_buckets)
+    _, star = stage_dimensions(spark, silver, folder, order_buckets, placed)
     facts = stage_tables(spark, {n: star[n] for n in FACTS}, os.path.join(folder, "gold"))
     return {**{n: star[n] for n in DIMENSIONS}, **facts}
 
 
-def stage_dimensions(spark: SparkSession, silver, folder: str, order_buckets: int | None = None) -> tuple[dict[str, DataFrame], LazyTables]:
-    """Silver and dimensions written and read back: (Silver, the star on them, its facts defined but not written)."""
+def stage_dimensions(spark: SparkSession, silver, folder: str, order_buckets: int | None = None,
+                     placed: bool = False) -> tuple[dict[str, DataFrame], LazyTables]:
+    """Silver and dimensions written and read back: (Silver, the star on them, its facts defined but not written).
+
+    With ``order_buckets`` the orders are also kept with their customer's key,
+    in the same buckets: one join to the customers serves all facts.
+    """
     from .pipeline import build_star
 
-    buckets = {n: (["order_id"], order_buckets) for n in ORDER_LEVEL} if order_buckets else None
+    buckets = {n: (["order_id"], order_buckets, placed) for n in ORDER_LEVEL} if order_buckets else None
     written_silver = stage_tables(spark, dict(silver.items()), os.path.join(folder, "silver"), buckets=buckets)
     star = build_star(written_silver)
     dims = stage_tables(spark, {n: star[n] for n in DIMENSIONS}, os.path.join(folder, "gold"))
-    star_on_dims = build_star(written_silver)  # facts join the written dimensions
+    fact_sources = written_silver
+    if order_buckets:
+        keyed = {"orders_keyed": K.with_customer_key(written_silver["orders"], dims["dim_customer"])}
+        fact_sources = {**written_silver, "orders": stage_tables(
+            spark, keyed, os.path.join(folder, "gold"), buckets={"orders_keyed": (["order_id"], order_buckets)})["orders_keyed"]}
+    star_on_dims = build_star(fact_sources, dealt=bool(order_buckets))  # facts join the written dimensions
     for n, df in dims.items():
         star_on_dims.provide(n, df)
     return written_silver, star_on_dims

@@ -186,19 +186,43 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
         {name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in RAW.items()}))
 
 
-def build_silver(spark: SparkSession, raw) -> LazyTables:
-    """Silver tables of the driver mapping from (any version of) the raw tables."""
+def build_silver(spark: SparkSession, raw, order_buckets: int | None = None) -> LazyTables:
+    """Silver tables of the driver mapping from (any version of) the raw tables.
+
+    ``order_buckets``: the tables about orders are dealt out by order_id into so many partitions.
+    """
+    place = (order_buckets, "order_id") if order_buckets else None
     return LazyTables({
         "customers": lambda: S.silver_customers(raw["customers"]),
         "sellers": lambda: S.silver_sellers(raw["sellers"]),
         "products": lambda: S.silver_products(raw["products"], taxonomy(spark)),
-        "orders": lambda: S.silver_orders(raw["orders"]),
-        "order_items": lambda: S.silver_order_items(raw["order_items"], latest_by=ITEM_LATEST_BY),
-        "order_payments": lambda: S.silver_order_payments(raw["order_payments"]),
-        "order_reviews": lambda: S.silver_order_reviews(raw["order_reviews"]),
+        "orders": lambda: S.silver_orders(raw["orders"], place=place),
+        "order_items": lambda: S.silver_order_items(raw["order_items"], latest_by=ITEM_LATEST_BY, place=place),
+        "order_payments": lambda: S.silver_order_payments(raw["order_payments"], place=place),
+        "order_reviews": lambda: S.silver_order_reviews(raw["order_reviews"], place=place),
     })
 
 
+# lines of an order from which on it must not be one task's; source bytes of a bucket
+HOT_LINES = 100_000
+BUCKET_BYTES = 16 << 20
+
+
+def order_buckets(spark: SparkSession, sf_dir: str, hot_lines: int = HOT_LINES) -> int | None:
+    """Buckets to keep the tables about orders in, by the size of their source; None if an order is hot.
+
+    A bucket holds all rows of its orders, so it suits orders of few raw lines
+    (counted here, from their keys alone).
+    """
+    from .versions import Files
+
+    lines = raw_tables(spark, sf_dir)["order_items"].groupBy("order_id").count()
+    if not lines.where(F.col("count") > hot_lines).isEmpty():
+        return None
+    state = Files(spark, sf_dir).state(os.path.join(sf_dir, "lineitem.parquet"))
+    return max(8, -(-sum(size for _, size, _ in state) // BUCKET_BYTES))
+
+
 def silver_tables(spark: SparkSession, sf_dir: str) -> LazyTables:
     return cached("silver", spark, sf_dir, lambda: build_silver(spark, raw_tables(spark, sf_dir)))
 
