@@ -37,6 +37,7 @@ PARTITIONS = {
     "fact_payment": ("payment_year",),
     "fact_review": ("review_year",),
 }
+BY_YEAR = ("fact_payment", "fact_review")  # so few folders that every task may write into all of them
 
 
 def add_surrogate_key(df: DataFrame, natural_key: str, key: str) -> DataFrame:

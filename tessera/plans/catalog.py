@@ -729,7 +729,8 @@ def _refreshed(spark, d):
     newest = F.coalesce(F.col("delivered_at") >= delivered, F.lit(False))
     new["order_items"], old["order_items"] = raw["order_items"].where(newest), raw["order_items"].where(~newest)
     latest_by = {"order_items": D.ITEM_LATEST_BY}
-    lake = build_lake(spark, old, D.taxonomy(spark), scratch_path(spark, "lake"), latest_by, buckets=16)
+    lake = build_lake(spark, old, D.taxonomy(spark), scratch_path(spark, "lake"), latest_by, buckets=16,
+                      order_buckets=D.order_buckets(spark, d))
     refresh(lake, new, D.taxonomy(spark), latest_by)
     return lake.snapshot()
 
@@ -783,7 +784,7 @@ def q_backfill_late(spark, d):
     late = F.coalesce(F.datediff(F.to_date("delivered_at"), F.to_date("_at")) > LATE_AFTER_DAYS, F.lit(False))
     latest_by = {"order_items": D.ITEM_LATEST_BY}
     lake = build_lake(spark, {**dict(raw.items()), "order_items": dated.where(~late).drop("_at")}, D.taxonomy(spark),
-                      scratch_path(spark, "lake"), latest_by, buckets=16)
+                      scratch_path(spark, "lake"), latest_by, buckets=16, order_buckets=D.order_buckets(spark, d))
     change = lake.begin()
     batch, _ = upsert(change, "order_items", dated.where(late).drop("_at"), D.taxonomy(spark), latest_by, 16)
     change.publish()

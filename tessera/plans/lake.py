@@ -33,6 +33,7 @@ from ..operators.incremental import affected_files, zone_map
 from ..operators.silver import conform
 from ..operators.taxonomy import enrich_taxonomy
 from ..session import scratch_path
+from ..sources.io import CODEC, write_bucketed
 from ..sources.schemas import SILVER_SPECS
 from ..sources.versions import BUCKET, Change, Lake, bucketed, folder_column, folder_names, run_column
 
@@ -68,11 +69,17 @@ def _order_columns(raw: DataFrame, name: str, latest_by: LatestBy) -> list[str]:
     return [c for c in latest_by.get(name, SILVER_SPECS[name].latest_by) if c in raw.columns]
 
 
-def silver_versions(raw: DataFrame, name: str, latest_by: LatestBy) -> DataFrame:
-    """Conformed rows, the latest of each key, with the columns that tell which is the latest."""
+def silver_versions(raw: DataFrame, name: str, latest_by: LatestBy, dealt: tuple[int, str] | None = None) -> DataFrame:
+    """Conformed rows, the latest of each key, with the columns that tell which is the latest (``dealt`` out before that)."""
     spec, order = SILVER_SPECS[name], _order_columns(raw, name, latest_by)
     outs = {c.out for c in spec.columns}
-    return dedupe_latest(conform(raw, spec, keep=[c for c in order if c not in outs]), spec.keys, order)
+    rows = conform(raw, spec, keep=[c for c in order if c not in outs])
+    return dedupe_latest(rows.repartition(*dealt) if dealt else rows, spec.keys, order)
+
+
+def _dealt_by(name: str, order_buckets: int | None) -> tuple[int, str] | None:
+    """How a table about orders is dealt out where the lake has ``order_buckets``."""
+    return (order_buckets, "order_id") if order_buckets and BUCKET_KEYS[name] == "order_id" else None
 
 
 def _enriched(rows: DataFrame, name: str, taxonomy: DataFrame) -> DataFrame:
@@ -85,7 +92,8 @@ def _enriched(rows: DataFrame, name: str, taxonomy: DataFrame) -> DataFrame:
 
 def silver(change: Change, name: str, folders: Sequence[str] | None = None) -> DataFrame:
     """A Silver table of the lake (or some of its buckets) as the star's builders take it."""
-    rows = change.read(f"silver_{name}", folders)
+    rows = change.lake.dealt(change.entries[f"silver_{name}"]) if folders is None else None
+    rows = change.read(f"silver_{name}", folders) if rows is None else rows
     outs = [c.out for c in SILVER_SPECS[name].columns if c.out in rows.columns]
     more = ["normalized_category", "category_family"] if name == "products" else []
     return rows.select(*outs, *more)
@@ -95,12 +103,33 @@ def _dimensions(change: Change) -> dict[str, DataFrame]:
     return {name: change.read(name).drop(BUCKET) for name, _ in DIMENSIONS.values()}
 
 
-def _fact(name: str, change: Change, dims: dict[str, DataFrame], read: Callable[[str], DataFrame]) -> DataFrame:
+def _all_orders(change: Change, dims: dict[str, DataFrame], order_buckets: int | None) -> tuple[Callable[[str], DataFrame], bool]:
+    """What ``_fact`` reads for all orders, and whether it lies by order.
+
+    If it does, the orders are kept aside with their customer's key, once for all facts.
+    """
+    names = ("orders", "order_items", "order_payments", "order_reviews")
+    if not order_buckets or not all(change.lake.dealt(change.entries[f"silver_{n}"]) for n in names):
+        return lambda n: silver(change, n), False
+    spark = change.lake.spark
+    path = scratch_path(spark, "orders-keyed")
+    orders = write_bucketed(K.with_customer_key(silver(change, "orders"), dims["dim_customer"]), path,
+                            "tessera_" + path.rsplit("/", 1)[-1].replace("-", "_"), ["order_id"], order_buckets)
+    return lambda n: orders if n == "orders" else silver(change, n), True
+
+
+def _fact(name: str, change: Change, dims: dict[str, DataFrame], read: Callable[[str], DataFrame], dealt: bool = False) -> DataFrame:
     if name == "fact_order_item":
         return K.fact_order_item(read("orders"), read("order_items"), dims["dim_customer"], dims["dim_seller"], dims["dim_product"])
     if name == "fact_payment":
         return K.fact_payment(read("order_payments"), read("orders"), dims["dim_customer"])
-    return K.fact_review(read("order_reviews"), read("orders"), read("order_items"), dims["dim_customer"], dims["dim_product"])
+    return K.fact_review(read("order_reviews"), read("orders"), read("order_items"), dims["dim_customer"], dims["dim_product"],
+                         dealt)
+
+
+def _write_whole(fact: str, change: Change, dims: dict[str, DataFrame], read: Callable[[str], DataFrame], dealt: bool) -> None:
+    """Write all rows of a fact. What lies by order goes into the few folders of the years without another shuffle."""
+    change.write(fact, _fact(fact, change, dims, read, dealt), K.PARTITIONS[fact], placed=dealt and fact in K.BY_YEAR)
 
 
 def _write_zones(change: Change, fact: str, buckets: int) -> None:
@@ -121,54 +150,72 @@ def _write_zones(change: Change, fact: str, buckets: int) -> None:
 
 
 def build_lake(spark: SparkSession, raw: Mapping[str, DataFrame], taxonomy: DataFrame, root: str,
-               latest_by: LatestBy | None = None, buckets: int = 64) -> Lake:
-    """Version 1 of a lake: Silver by key bucket, dimensions, facts by their partitions, zone maps."""
+               latest_by: LatestBy | None = None, buckets: int = 64, order_buckets: int | None = None) -> Lake:
+    """Version 1 of a lake: Silver by key bucket, dimensions, facts by their partitions, zone maps.
+
+    ``order_buckets``: the tables about orders are dealt out by order_id into so
+    many parts before their dedupe and written as they lie, which is their only
+    shuffle; this session's facts join them without one. A part holds all rows
+    of its orders: leave it unset where one order holds a large share of them.
+    """
     lake, latest_by = Lake(spark, root), latest_by or {}
     change = lake.begin()
     names = [n for n in BUCKET_KEYS if n in raw]
 
     def write_silver(name):
-        rows = _enriched(silver_versions(raw[name], name, latest_by), name, taxonomy)
-        change.write(f"silver_{name}", bucketed(rows, [BUCKET_KEYS[name]], buckets), [BUCKET])
+        dealt = _dealt_by(name, order_buckets)
+        rows = _enriched(silver_versions(raw[name], name, latest_by, dealt), name, taxonomy)
+        change.write(f"silver_{name}", bucketed(rows, [BUCKET_KEYS[name]], buckets), [BUCKET], dealt=dealt)
 
     _together([lambda n=n: write_silver(n) for n in names])
     _together([*(lambda n=n: change.write(DIMENSIONS[n][0], bucketed(DIMENSIONS[n][1](silver(change, n)), [BUCKET_KEYS[n]], buckets),
                                           [BUCKET]) for n in DIMENSIONS),
                lambda: change.write("dim_date", K.dim_date(silver(change, "orders"), silver(change, "order_reviews")))])
     dims = _dimensions(change)
+    read, dealt = _all_orders(change, dims, order_buckets)
 
     def write_fact(fact):
-        change.write(fact, _fact(fact, change, dims, lambda n: silver(change, n)), K.PARTITIONS[fact])
+        _write_whole(fact, change, dims, read, dealt)
         _write_zones(change, fact, buckets)
 
     _together([lambda f=f: write_fact(f) for f in GRAINS])
-    change.publish(buckets=buckets)
+    change.publish(buckets=buckets, order_buckets=order_buckets)
     return lake
 
 
 def upsert(change: Change, name: str, raw: DataFrame, taxonomy: DataFrame, latest_by: LatestBy, buckets: int) -> tuple[DataFrame, list[str]]:
-    """Apply raw rows to a Silver table; returns (the batch as written aside, the buckets it touches)."""
+    """Apply raw rows to a Silver table; returns (the batch as written aside, the buckets it touches).
+
+    A batch that can be broadcast leaves the rows that it does not replace
+    where they lie. A larger one, for a table that is dealt out by order, is
+    put together with all of the touched buckets: one shuffle of both.
+    """
     spec, order, table = SILVER_SPECS[name], _order_columns(raw, name, latest_by), f"silver_{name}"
     spark = change.lake.spark
     path = scratch_path(spark, f"batch-{name}")
     rows = bucketed(silver_versions(raw, name, latest_by), [BUCKET_KEYS[name]], buckets)
-    rows.write.partitionBy(BUCKET).parquet(path)
+    rows.write.partitionBy(BUCKET).option("compression", CODEC).parquet(path)
     batch = spark.read.schema(rows.schema).parquet(path)
     folders = [n for n in change.lake.files.names(path, folders_only=True) if n.startswith(f"{BUCKET}=")]
     if not folders:
         return batch, []
     current = change.read(table, folders)
+    small = change.lake.input_bytes(batch) <= change.lake.broadcast_limit()
+    dealt = _dealt_by(name, None if small else change.base.notes.get("order_buckets"))
+    arriving = F.broadcast(batch) if small else batch
     same = [current[k].eqNullSafe(batch[k]) for k in spec.keys]
     missing = [F.lit(None).cast(current.schema[c].dataType).alias(c) for c in current.columns if c not in batch.columns]
     lacking = [F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in batch.columns if c not in current.columns]
     arrived = batch.select("*", *missing, F.lit(1).alias("_src"))
-    replaced = current.join(batch, same, "left_semi").select("*", *lacking, F.lit(0).alias("_src"))
+    replaced = current if dealt else current.join(arriving, same, "left_semi")
+    replaced = replaced.select("*", *lacking, F.lit(0).alias("_src"))
     # rows without an order of their own are replaced by what arrives
     decide = order if all(c in current.columns for c in order) and order else [*order, "_src"]
-    latest = dedupe_latest(replaced.unionByName(arrived), spec.keys, decide).drop("_src")
-    winners = _enriched(latest, name, taxonomy)
-    rest = current.join(batch, same, "left_anti")
-    change.rewrite(table, folders, rest.unionByName(winners.select(*current.columns)))
+    both = replaced.unionByName(arrived)
+    latest = dedupe_latest(both.repartition(*dealt) if dealt else both, spec.keys, decide).drop("_src")
+    winners = _enriched(latest, name, taxonomy).select(*current.columns)
+    rows = winners if dealt else current.join(arriving, same, "left_anti").unionByName(winners)
+    change.rewrite(table, folders, rows, placed=small, dealt=dealt)
     return batch, folders
 
 
@@ -216,7 +263,7 @@ def _staged_orders(change: Change, orders: DataFrame, buckets: int) -> tuple[Dat
     """Distinct order ids with their bucket, written aside, and the bucket folders they lie in."""
     path = scratch_path(change.lake.spark, "touched-orders")
     ids = bucketed(orders.distinct(), ["order_id"], buckets)
-    ids.write.partitionBy(BUCKET).parquet(path)
+    ids.write.partitionBy(BUCKET).option("compression", CODEC).parquet(path)
     folders = [n for n in change.lake.files.names(path, folders_only=True) if n.startswith(f"{BUCKET}=")]
     return change.lake.spark.read.schema(ids.schema).parquet(path), folders
 
@@ -225,7 +272,7 @@ def _refresh_gold(change: Change, done: Mapping[str, tuple[DataFrame, list[str]]
     def dimension(name):
         table, build = DIMENSIONS[name]
         folders = done[name][1]
-        change.rewrite(table, folders, bucketed(build(silver(change, name, folders)), [BUCKET_KEYS[name]], buckets))
+        change.rewrite(table, folders, bucketed(build(silver(change, name, folders)), [BUCKET_KEYS[name]], buckets), placed=True)
 
     jobs = [lambda n=n: dimension(n) for n in DIMENSIONS if n in done]
     if {"orders", "order_reviews"} & set(done):
@@ -237,29 +284,50 @@ def _refresh_gold(change: Change, done: Mapping[str, tuple[DataFrame, list[str]]
 
 
 def rewrite_facts(change: Change, touched: DataFrame, folders: Sequence[str], facts: Sequence[str], buckets: int) -> None:
-    """Replace the rows of touched orders (in bucket ``folders``) in the facts by rows recomputed from Silver, and check them."""
+    """Replace the rows of touched orders (in bucket ``folders``) in the facts by rows recomputed from Silver, and check them.
+
+    Where the orders are too many to be broadcast, and the folders that can hold
+    them are most of a fact, taking their rows out would shuffle most of it, and
+    twice; such a fact is written anew.
+    """
     if not folders:
         return
     dims = _dimensions(change)
+    small = change.lake.input_bytes(touched) <= change.lake.broadcast_limit()
 
     def of_touched(name: str) -> DataFrame:
         rows = silver(change, name, folders)
         return rows.join(touched, rows["order_id"].eqNullSafe(touched["order_id"]), "left_semi")
 
-    def leave(fact: str) -> None:
+    def holders(fact: str) -> list[str]:
         live = sorted({r for ids in change.entries[fact].parts.values() for r in ids})  # as many as the manifest lists
         zones = change.read(f"zones_{fact}").where(run_column(F.col("_file")).isin(live))
         near = affected_files(zones, touched, "order_id", ["_file"], buckets)
-        change.remove(fact, touched, ["order_id"], folder_names(near.select(folder_column(F.col("_file")))))
+        return folder_names(near.select(folder_column(F.col("_file"))))
+
+    among = dict(zip(facts, _together([lambda f=f: holders(f) for f in facts])))
+    whole = [] if small else [f for f in facts if 2 * change.bytes(f, among[f]) > change.bytes(f)]
+    facts = [f for f in facts if f not in whole]
+    read, dealt = _all_orders(change, dims, change.base.notes.get("order_buckets")) if whole else (None, False)
+
+    def check(fact: str, fresh: DataFrame) -> None:
+        Q.assert_passed(Q.union_all([
+            Q.grain_rule(fresh, list(GRAINS[fact]), f"{fact}: refreshed rows have one row a key"),
+            Q.ri_rules(fresh, [(f"{fact}: refreshed {key} values exist", key, dims[KEY_HOMES[key]], key) for key in FACT_KEYS[fact]])]))
+
+    def anew(fact: str) -> None:
+        _write_whole(fact, change, dims, read, dealt)
+        check(fact, change.read(fact))
+        _write_zones(change, fact, buckets)
+
+    def leave(fact: str) -> None:
+        change.remove(fact, touched, ["order_id"], among[fact])
 
     def enter(fact: str) -> tuple[str, list[str]]:
         entry = change.entries[fact]
         fresh_rows = _fact(fact, change, dims, of_touched).select(*entry.struct.fieldNames())
         run, made = change.lake.write_run(fact, fresh_rows, entry.by)
-        fresh = change.lake.read_runs(fact, entry, [(run, f) for f in made])
-        Q.assert_passed(Q.union_all([
-            Q.grain_rule(fresh, list(GRAINS[fact]), f"{fact}: refreshed rows have one row a key"),
-            Q.ri_rules(fresh, [(f"{fact}: refreshed {key} values exist", key, dims[KEY_HOMES[key]], key) for key in FACT_KEYS[fact]])]))
+        check(fact, change.lake.read_runs(fact, entry, [(run, f) for f in made]))
         return run, made
 
     def list_runs(fact: str, run: str, made: list[str]) -> None:
@@ -267,5 +335,6 @@ def rewrite_facts(change: Change, touched: DataFrame, folders: Sequence[str], fa
         _write_zones(change, fact, buckets)
 
     # old rows leave while the new ones are written and checked beside them
-    done = _together([*(lambda f=f: leave(f) for f in facts), *(lambda f=f: enter(f) for f in facts)], 2 * len(facts))
+    done = _together([*(lambda f=f: leave(f) for f in facts), *(lambda f=f: enter(f) for f in facts),
+                      *(lambda f=f: anew(f) for f in whole)], 2 * len(GRAINS))
     _together([lambda f=f, r=r: list_runs(f, *r) for f, r in zip(facts, done[len(facts):])])

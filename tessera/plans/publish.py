@@ -30,14 +30,14 @@ POINTER = "_current"
 SCHEMA_SUFFIX = "._schema"
 
 
-def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str, bucket=None) -> DataFrame:
+def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str, bucket=None, placed: Sequence[str] = ()) -> DataFrame:
     path = os.path.join(folder, name)
     if bucket is not None:
-        cols, n, *placed = bucket
+        cols, n, *lies = bucket
         table = "tessera_" + re.sub(r"[^0-9a-zA-Z]", "_", "_".join(folder.rstrip("/").split("/")[-2:]) + "_" + name)
-        return write_bucketed(df, path, table, cols, n, *placed).select(*df.columns)
+        return write_bucketed(df, path, table, cols, n, *lies).select(*df.columns)
     if name in PARTITIONS:
-        write_partitioned(df, path, PARTITIONS[name])
+        write_partitioned(df, path, PARTITIONS[name], placed=name in placed)
         # keep the declared schema next to the table so readers need no inference
         spark.createDataFrame([(df.schema.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(
             path + SCHEMA_SUFFIX)
@@ -50,16 +50,17 @@ def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str, bucke
 
 
 def stage_tables(spark: SparkSession, tables: dict[str, DataFrame], folder: str,
-                 parallel: int = 4, buckets: dict | None = None) -> dict[str, DataFrame]:
+                 parallel: int = 4, buckets: dict | None = None, placed: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Write independent tables (facts partitioned) and return them read back.
 
     The writes are submitted as concurrent Spark jobs from driver threads, so
     small tables do not leave executors idle while a large one finishes.
+    Partitioned tables among ``placed`` are written where their rows lie.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        futures = {name: pool.submit(_stage_one, spark, name, df, folder, (buckets or {}).get(name))
+        futures = {name: pool.submit(_stage_one, spark, name, df, folder, (buckets or {}).get(name), placed)
                    for name, df in tables.items()}
         return {name: f.result() for name, f in futures.items()}
 
@@ -90,7 +91,8 @@ def stage_layers(spark: SparkSession, silver, folder: str, order_buckets: int |
     ``placed``: these tables' rows were dealt out that way before their dedupe.
     """
     _, star = stage_dimensions(spark, silver, folder, order_buckets, placed)
-    facts = stage_tables(spark, {n: star[n] for n in FACTS}, os.path.join(folder, "gold"))
+    facts = stage_tables(spark, {n: star[n] for n in FACTS}, os.path.join(folder, "gold"),
+                         placed=K.BY_YEAR if order_buckets else ())
     return {**{n: star[n] for n in DIMENSIONS}, **facts}
 
 

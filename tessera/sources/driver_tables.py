@@ -205,7 +205,7 @@ def build_silver(spark: SparkSession, raw, order_buckets: int | None = None) ->
 
 # lines of an order from which on it must not be one task's; source bytes of a bucket
 HOT_LINES = 100_000
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 32 << 20
 
 
 def order_buckets(spark: SparkSession, sf_dir: str, hot_lines: int = HOT_LINES) -> int | None:

@@ -136,7 +136,7 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
-                      max_records_per_file: int = 5_000_000, dynamic: bool = True) -> None:
+                      max_records_per_file: int = 5_000_000, dynamic: bool = True, placed: bool = False) -> None:
     """Hive-partitioned Parquet write.
 
     ``rebalance`` (AQE) clusters rows by the partition columns so each
@@ -144,10 +144,11 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     skewed partition value across several tasks instead of one.
     ``partitionOverwriteMode=dynamic`` replaces only the partitions present
     in ``df``; static mode (``dynamic=False``) replaces the whole table.
+    ``placed``: the rows stay where they lie (few partition values, or few tasks).
     """
     mode = "dynamic" if dynamic else "static"
     (
-        df.hint("rebalance", *partition_cols)
+        (df if placed else df.hint("rebalance", *partition_cols))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", mode)
         .option("maxRecordsPerFile", max_records_per_file)

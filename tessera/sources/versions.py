@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .io import CODEC
+
 RUN = "_run"
 BUCKET = "_bucket"
 
@@ -115,6 +117,7 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self.files = Files(spark, root)
+        self._dealt: dict[str, str] = {}  # run -> this session's catalog table on it
 
     def _manifest(self, version: int, ending: str = "json") -> str:
         return f"{self.root}/versions/v{version:08d}.{ending}"
@@ -153,17 +156,26 @@ class Lake:
     def data(self, name: str) -> str:
         return f"{self.root}/data/{name}"
 
-    def write_run(self, name: str, df: DataFrame, by: Sequence[str], placed: bool = False) -> tuple[str, list[str]]:
+    def write_run(self, name: str, df: DataFrame, by: Sequence[str], placed: bool = False,
+                  dealt: tuple[int, str] | None = None) -> tuple[str, list[str]]:
         """Write rows as a new run of a table: (run id, its partition folders).
 
         ``placed``: the rows of a partition folder lie in few tasks already, so they are not dealt out again.
+        ``dealt``: the rows were dealt out by ``repartition(*dealt)``; their files are written so that this session
+        (see ``dealt``) joins the run by that column without a shuffle.
         """
         run = uuid.uuid4().hex[:16]
         path = f"{self.data(name)}/{RUN}={run}"
+        rows = df if placed or dealt or not by else df.hint("rebalance", *by)
+        out = rows.write.option("compression", CODEC)
         if by:
-            (df if placed else df.hint("rebalance", *by)).write.partitionBy(*by).option("maxRecordsPerFile", 5_000_000).parquet(path)
+            out = out.partitionBy(*by).option("maxRecordsPerFile", 5_000_000)
+        if dealt:
+            table = f"tessera_{name}_{run}"
+            out.format("parquet").option("path", path).bucketBy(*dealt).saveAsTable(table)
+            self._dealt[run] = table
         else:
-            df.write.parquet(path)
+            out.parquet(path)
         folders = [""]
         for _ in by:
             folders = [f"{f}/{n}".lstrip("/") for f in folders for n in self.files.names(f"{path}/{f}", folders_only=True)
@@ -179,6 +191,16 @@ class Lake:
         rows = self.spark.read.schema(schema).option("basePath", self.data(name)).parquet(*paths)
         return rows.select(*entry.struct.fieldNames(), *extra)
 
+    def dealt(self, entry: Entry) -> DataFrame | None:
+        """The table's rows as dealt out, if they are one run that this session wrote so."""
+        runs = {ids for ids in entry.parts.values()}
+        table = self._dealt.get(next(iter(runs))[0]) if len(runs) == 1 and len(next(iter(runs))) == 1 else None
+        return self.spark.table(table).select(*entry.struct.fieldNames()) if table else None
+
+    def input_bytes(self, df: DataFrame) -> int:
+        """Bytes of the files that a table is read from."""
+        return sum(size for name in df.inputFiles() for _, size, _ in self.files.state(name))
+
     def run_bytes(self, name: str, run: str, folders: Iterable[str]) -> int:
         """Bytes of a run's files in partition folders."""
         return sum(size for f in folders for _, size, _ in self.files.state(f"{self.data(name)}/{RUN}={run}/{f}".rstrip("/")))
@@ -218,9 +240,15 @@ class Change:
         """The table as the change has it so far."""
         return Snapshot(self.lake, self.base.version, self.entries, {}).read(name, folders)
 
-    def write(self, name: str, df: DataFrame, by: Sequence[str] = (), placed: bool = False) -> DataFrame:
+    def bytes(self, name: str, folders: Iterable[str] | None = None) -> int:
+        """Bytes of a table as the change has it so far, or of some of its partition folders."""
+        parts = self.entries[name].parts
+        return sum(self.lake.run_bytes(name, run, [f]) for f in (parts if folders is None else folders) for run in parts.get(f, ()))
+
+    def write(self, name: str, df: DataFrame, by: Sequence[str] = (), placed: bool = False,
+              dealt: tuple[int, str] | None = None) -> DataFrame:
         """Replace (or create) a whole table."""
-        run, folders = self.lake.write_run(name, df, by, placed)
+        run, folders = self.lake.write_run(name, df, by, placed, dealt)
         self.entries[name] = Entry(df.schema.json(), tuple(by), {f: (run,) for f in folders})
         return self.read(name)
 
@@ -236,10 +264,11 @@ class Change:
         entry = self.entries[name]
         self.entries[name] = replace(entry, parts=entry.parts | {f: (*entry.parts.get(f, ()), run) for f in folders})
 
-    def rewrite(self, name: str, folders: Iterable[str], rows: DataFrame, placed: bool = False) -> None:
+    def rewrite(self, name: str, folders: Iterable[str], rows: DataFrame, placed: bool = False,
+                dealt: tuple[int, str] | None = None) -> None:
         """Replace partition folders by ``rows`` (rows of other partitions are added to theirs)."""
         entry = self.entries[name]
-        run, made = self.lake.write_run(name, rows.select(*entry.struct.fieldNames()), entry.by, placed)
+        run, made = self.lake.write_run(name, rows.select(*entry.struct.fieldNames()), entry.by, placed, dealt)
         gone = set(folders)
         parts = {f: ids for f, ids in entry.parts.items() if f not in gone}
         self.entries[name] = replace(entry, parts=parts | {f: (*parts.get(f, ()), run) for f in made})
@@ -248,11 +277,17 @@ class Change:
         """Rewrite the folders that hold rows with the keys of ``match`` (NULL is a key) without these rows.
 
         ``among`` names the folders that can hold them (default: all). Returns those that do.
+
+        Where ``match`` is small enough to be broadcast, the other rows are
+        written back by the tasks that read them, without a shuffle.
         """
+        small = self.lake.input_bytes(match) <= self.lake.broadcast_limit()
+        match = F.broadcast(match) if small else match
         found = self.holding(name, match, keys, among)
         if found:
             rows = self.read(name, found)
-            self.rewrite(name, found, rows.join(match, [rows[k].eqNullSafe(match[k]) for k in keys], "left_anti"))
+            rest = rows.join(match, [rows[k].eqNullSafe(match[k]) for k in keys], "left_anti")
+            self.rewrite(name, found, rest, placed=small)
         return found
 
     def holding(self, name: str, match: DataFrame, keys: Sequence[str], among: Iterable[str] | None = None) -> list[str]:

@@ -6,9 +6,11 @@ import pytest
 
 from conftest import SF001
 from tessera.operators.fingerprint import fingerprint
+from tessera.plans import lake as L
 from tessera.plans.pipeline import driver_star
 from tessera.plans.publish import FACTS, stage_dimensions
 from tessera.sources import driver_tables as D
+from tessera.sources.versions import Lake
 
 
 @pytest.fixture()
@@ -45,3 +47,69 @@ def test_an_order_with_very_many_lines_is_not_bucketed(spark):
 def test_silver_dealt_by_order_is_shuffled_once(spark):
     for name in ("order_items", "order_payments", "order_reviews", "orders"):
         assert len(shuffled_by(D.build_silver(spark, D.raw_tables(spark, SF001), 8)[name])) == 1
+
+
+def _small_lake(spark, tmp_path, order_buckets=None):
+    from tessera.operators.taxonomy import taxonomy_from_rows
+    from test_lake import stamped
+    from test_silver_star import TAX, market
+
+    raw, taxonomy = stamped(market(spark)[0]), taxonomy_from_rows(spark, TAX)
+    return L.build_lake(spark, raw, taxonomy, str(tmp_path / "lake"), buckets=4, order_buckets=order_buckets), raw, taxonomy
+
+
+NEW_ITEMS = [{"order_id": "o1", "order_item_id": "1", "product_id": "p2", "seller_id": "s2", "item_price": "9.00"},
+             {"order_id": "o2", "order_item_id": "7", "product_id": "p1", "seller_id": "s1", "item_price": "3.00"}]
+
+
+def _plans_written(monkeypatch):
+    """(table, whether its rows are dealt out anew for the write) of each run written from here on."""
+    seen, write_run = [], Lake.write_run
+
+    def spy(self, name, df, by, placed=False, dealt=None):
+        seen.append((name, bool(by) and not placed and not dealt))
+        return write_run(self, name, df, by, placed, dealt)
+
+    monkeypatch.setattr(Lake, "write_run", spy)
+    return seen
+
+
+def test_a_small_batch_deals_out_no_kept_rows(spark, tmp_path, monkeypatch):
+    from test_lake import apply, assert_equal
+
+    lake, raw, taxonomy = _small_lake(spark, tmp_path, 3)
+    seen = _plans_written(monkeypatch)
+    apply(spark, lake, raw, taxonomy, "2024-02-01 00:00:00", order_items=NEW_ITEMS)
+    # only the fresh rows of the facts are dealt out, by their partitions: one run each
+    assert sorted(n for n, anew in seen if anew) == ["fact_order_item", "fact_review"]
+    assert {"silver_order_items", "fact_order_item"} <= {n for n, anew in seen if not anew}
+    assert_equal(spark, lake, raw, taxonomy)
+
+
+def test_silver_and_facts_of_a_dealt_lake_are_shuffled_once(spark, tmp_path, no_broadcast):
+    from test_lake import assert_equal
+
+    lake, raw, taxonomy = _small_lake(spark, tmp_path, 3)
+    assert_equal(spark, lake, raw, taxonomy)
+    now = lake.begin()
+    dims = L._dimensions(now)
+    read, dealt = L._all_orders(now, dims, 3)
+    assert dealt and not shuffled_by(L._fact("fact_payment", now, dims, read, dealt))
+    assert not [c for c in shuffled_by(L._fact("fact_order_item", now, dims, read, dealt)) if "order_id" in c]
+
+
+def test_facts_are_written_anew_where_a_large_backfill_touches_most_of_them(spark, tmp_path, no_broadcast, monkeypatch):
+    from conftest import raw_df
+    from test_lake import assert_equal
+
+    for order_buckets in (3, None):  # dealt out by order, and not
+        lake, raw, taxonomy = _small_lake(spark, tmp_path / str(order_buckets), order_buckets)
+        change = lake.begin()
+        late = raw_df(spark, "order_items", NEW_ITEMS, "2024-02-01 00:00:00").drop("batch_id")
+        L.upsert(change, "order_items", late, taxonomy, {}, 4)
+        change.publish()
+        seen = _plans_written(monkeypatch)
+        L.refresh_orders(lake, raw["orders"].select("order_id"))
+        assert [n for n, _ in seen].count("fact_order_item") == 1  # nothing was taken out first
+        raw["order_items"] = raw["order_items"].select(*late.columns).unionByName(late)
+        assert_equal(spark, lake, raw, taxonomy)
