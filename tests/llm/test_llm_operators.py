@@ -215,6 +215,45 @@ def test_chosen_path_runs_reach_the_recall_for_subset_pairs():
     assert met(8, chosen_path.DEPTH) < 0.93  # as many as there were
 
 
+def test_chosen_path_gathers_no_sets_by_a_frequent_passage(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "BUCKET", 24)
+    monkeypatch.setattr(chosen_path, "LARGE", 1)
+    written = Counter()
+
+    def counted(df, name, write=chosen_path.staged):
+        out = write(df, name)
+        written[name] += out.count()
+        return out
+
+    monkeypatch.setattr(chosen_path, "staged", counted)
+    rng = np.random.default_rng(6)
+    word = lambda n: [f"w{i}" for i in rng.integers(0, 10**9, n)]
+    passage, texts = word(40), []
+    for i in range(400):
+        own = word(70) if i % 2 == 0 else own[:66] + word(4)
+        texts.append((i, " ".join(own + passage)))
+    links = brute_links(texts)
+    assert sum(n for _, n in links.values()) == 400
+    assert {r.doc_id: (r.class_id, r.n_links) for r in chosen_path.join(documents(spark, texts), recall=0.9999).collect()} == links
+    assert written["join-split"] == 0, "nothing is left to split"
+
+
+def test_chosen_path_pairs_meet_as_often_whatever_is_frequent():
+    rng = np.random.default_rng(11)
+    roots = [chosen_path.seeded(r) for r in range(4000)]
+    # shingles that both have, only the first, only the second (similarity 0.8), and how many of each are frequent
+    for both, one, other, hot in ((80, 20, 0, (50, 0, 0)), (80, 20, 0, (60, 20, 0)), (80, 0, 20, (60, 0, 20)), (80, 10, 10, (68, 10, 0)),
+                                  (80, 10, 10, (62, 0, 10)), (80, 20, 0, (80, 20, 0)), (80, 20, 0, (72, 0, 0)), (80, 10, 10, (65, 5, 5))):
+        parts = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (both, one, other)]
+        frequent = np.sort(np.concatenate([p[:n] for p, n in zip(parts, hot)]))
+        x, y = np.concatenate([parts[0], parts[1]]), np.concatenate([parts[0], parts[2]])
+        limits = [chosen_path.limits(s, 0.8, frequent) for s in (x, y)]
+        common = [len(np.intersect1d(*(chosen_path.picked(s, r, 0.8, n) for s, n in zip((x, y), limits)))) for r in roots]
+        assert np.mean(common) >= 0.94, (both, one, other, hot)  # 1, less what 4,000 runs scatter
+        if hot[0] == 50:
+            assert not any(len(np.intersect1d(chosen_path.picked(x, r, 0.8, limits[0]), chosen_path.picked(frequent, r, 0.01))) for r in roots[:50])
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101 + i) for i in range(30)] + [(7, 7)]
     got = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
