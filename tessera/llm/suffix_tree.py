@@ -13,16 +13,19 @@ unigram distribution with half a count for every word and for unknown words.
 All distributions sum to one.
 
 How it runs: tasks turn their rows into blocks (at most ``block_bytes`` of
-text, or one longer text) of word numbers and per-block vocabularies, staged
-once. Word counts are summed over all blocks and joined back per block, so a
+text, or one longer text) of word numbers and per-block vocabularies, written
+once as a table bucketed by block, so that they are not shuffled again. Word counts are summed over all blocks and joined back per block, so a
 frequent word costs one row per block and no task holds the vocabulary of the
 corpus. A level takes two exchanges. First blocks send every run that can
 matter (its words and its context seen ``LEAST`` times, and a suffix in the
-tree) as a key and its count in training texts; the sums go back for runs
-seen ``LEAST`` times, most are not. With these a block tells which
-continuations gain and sends them, once each, with its contexts; the
-divergence test is an aggregate by context, its outcome goes back to the
-blocks that have the context. The test is the only pruning besides the fixed
+tree) as a key and its count in training texts: sorted, packed by ranges of
+keys, of which a task sums one at a time (``RANGE`` tokens of the corpus each
+on average). The sums go back packed in the same order (0 for runs seen fewer
+than ``LEAST`` times, most are), with a mark in the first block that has a run.
+With these a block tells which continuations gain, sums up the marked ones for
+each of its contexts and sends one row per context; the divergence test is an
+aggregate by context, its outcome goes back to the blocks that have the
+context. The test is the only pruning besides the fixed
 ``LEAST``; the tree grows with the corpus and is never collected or broadcast.
 Runs go by 64-bit hashes: of g different runs about g * g / 2**65 pairs are
 taken for each other.
@@ -36,6 +39,7 @@ other columns are left out.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,17 +47,19 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+from ..sources.io import write_bucketed
 from .common import GOLDEN, fold, mix, staged, task_number, words
 
 BLOCK = T.StructType([
     T.StructField("block", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())),
     T.StructField("held_out", T.ArrayType(T.BooleanType())), T.StructField("sizes", T.ArrayType(T.IntegerType())),
     T.StructField("tokens", T.BinaryType()), T.StructField("words", T.ArrayType(T.BinaryType())),
-    T.StructField("counts", T.ArrayType(T.IntegerType())),
+    T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("hashes", T.BinaryType()),
 ])
 SCORE = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
@@ -61,18 +67,25 @@ SCORE = T.StructType([
     T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
     T.StructField("score", T.DoubleType()),
 ])
+# a block's runs in one range of keys
 COUNT = T.StructType([
-    T.StructField("key", T.LongType()), T.StructField("block", T.LongType()), T.StructField("slot", T.IntegerType()),
-    T.StructField("n", T.IntegerType()),
+    T.StructField("part", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("keys", T.BinaryType()),
+    T.StructField("n", T.BinaryType()),
 ])
-# continuations that gain (key, context, p, total, seen), and the contexts of a block (context, block, slot)
+# what goes back to a block, packed: figures of its runs in one range, or of its words or contexts with their numbers (``slots``)
+FOUND = T.StructType([
+    T.StructField("block", T.LongType()), T.StructField("level", T.IntegerType()), T.StructField("kind", T.IntegerType()),
+    T.StructField("part", T.IntegerType()), T.StructField("slots", T.BinaryType()), T.StructField("packed", T.BinaryType()),
+])
+# a block's contexts, each with the sums over the marked continuations that gain
 TEST = T.StructType([
-    T.StructField("context", T.LongType()), T.StructField("key", T.LongType()), T.StructField("p", T.DoubleType()),
-    T.StructField("total", T.LongType()), T.StructField("seen", T.LongType()), T.StructField("block", T.LongType()),
-    T.StructField("slot", T.IntegerType()),
+    T.StructField("context", T.LongType()), T.StructField("block", T.LongType()), T.StructField("slot", T.IntegerType()),
+    T.StructField("whole", T.LongType()), T.StructField("taken", T.LongType()), T.StructField("expected", T.DoubleType()),
+    T.StructField("gained", T.DoubleType()), T.StructField("spread", T.LongType()),
 ])
 RUN, CONTEXT = 0, 1
 END = b""  # no word is empty
+RANGE = 1_000_000
 LEAST = 2  # a run seen once says nothing of what follows it; the same at every corpus size
 
 
@@ -88,7 +101,7 @@ def blocks(docs: DataFrame, block_bytes: int, folds: int, held: int) -> DataFram
     """Rows of ``BLOCK``; ``counts`` are the words' counts in the block's training texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(),
-                 pa.list_(pa.binary()), pa.list_(pa.int32()))
+                 pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary())
         number = task_number() << 32
         vocabulary, texts, ids, out, filled = _Numbers({END: 0}), [], [], [], 0
 
@@ -97,7 +110,8 @@ def blocks(docs: DataFrame, block_bytes: int, folds: int, held: int) -> DataFram
             train = np.repeat(~np.array(out), [len(t) for t in texts])
             counts = np.bincount(tokens[train], minlength=len(vocabulary))
             values = (number, ids, out, [len(t) for t in texts],
-                      zstandard.ZstdCompressor(level=1).compress(tokens.tobytes()), list(vocabulary), counts.astype(np.int32))
+                      zstandard.ZstdCompressor(level=1).compress(tokens.tobytes()), list(vocabulary), counts.astype(np.int32),
+                      np.array([xxhash.xxh3_64_intdigest(w) for w in vocabulary], np.uint64).tobytes())
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=BLOCK.names)
 
         for batch in batches:
@@ -124,7 +138,17 @@ def _tokens(row: dict) -> tuple[np.ndarray, np.ndarray]:
     tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), np.int32)
     sizes = np.array(row["sizes"], np.int64)
     starts = np.cumsum(sizes) - sizes
-    return tokens, np.arange(len(tokens)) - np.repeat(starts, sizes)
+    return tokens, (np.arange(len(tokens)) - np.repeat(starts, sizes)).astype(np.int32)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """64-bit values, compressed byte by byte of their places."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(places.T).view(np.uint64).ravel()
 
 
 def spread(p: np.ndarray, own: np.ndarray, total: np.ndarray, taken: np.ndarray, mu: float) -> np.ndarray:
@@ -140,6 +164,7 @@ class Setting:
     v: int
     gain: float
     mu: float
+    parts: int
 
 
 class Walk:
@@ -148,32 +173,36 @@ class Walk:
     For every token: its probability ``p``, the hash and count of the run of
     ``level`` + 1 words that ends in it (0 where too rare or not needed), and
     whether the context before it of ``level`` words is a state. ``found`` has
-    rows (level, kind, slot, a): counts of the block's words and runs, and for
+    rows of ``FOUND``: counts of the block's words and runs, and for
     its contexts that are states the sum of their kept continuations.
     """
 
     def __init__(self, rows: pa.Table, found: pa.Table, setting: Setting):
-        self.row = {k: rows.column(k)[0].as_py() for k in ("block", "doc_ids", "held_out", "sizes", "tokens", "words")}
+        self.row = {k: rows.column(k)[0].as_py() for k in ("block", "doc_ids", "held_out", "sizes", "tokens")}
         self.setting, self.level = setting, 0
-        by, kind = found.column("level").to_numpy(), found.column("kind").to_numpy()
-        slot, value = found.column("slot").to_numpy(), found.column("a").to_numpy()
-        self.found = lambda level, what: (slot[(by == level) & (kind == what)], value[(by == level) & (kind == what)])
+        self.rows = sorted(found.select(["level", "kind", "part", "slots", "packed"]).to_pylist(), key=lambda r: r["part"])
         tokens, self.at = _tokens(self.row)
         sizes = np.repeat(np.array(self.row["sizes"], np.int64), self.row["sizes"])
         self.last = self.at == sizes - 1
         self.train = np.repeat(~np.array(self.row["held_out"], bool), self.row["sizes"])
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in self.row["words"]], np.uint64)
+        hashes = np.frombuffer(rows.column("hashes")[0].as_py(), np.uint64)
         counts = self._filled(len(hashes), 0, RUN)
         self.word, self.count = hashes[tokens], counts[tokens]
-        self.known = self.count > 0
         self.p = (self.count + 0.5) / (setting.n + 0.5 * (setting.v + 1))
-        self.base = np.log10(self.p)
+        self.known, self.base = self._by_text(self.count > 0), self._by_text(np.log10(self.p))
         self.key, self.state = self.word, np.ones(len(tokens), bool)
 
+    def _by_text(self, values: np.ndarray) -> np.ndarray:
+        sizes = np.array(self.row["sizes"], np.int64)
+        return np.add.reduceat(values, np.cumsum(sizes) - sizes, dtype=np.float64 if values.dtype == np.float64 else np.int64)
+
+    def _found(self, level: int, kind: int) -> Iterator[dict]:
+        return (r for r in self.rows if (r["level"], r["kind"]) == (level, kind))
+
     def _filled(self, size: int, level: int, kind: int) -> np.ndarray:
         out = np.zeros(size, np.int64)
-        slot, value = self.found(level, kind)
-        out[slot] = value
+        for row in self._found(level, kind):
+            out[np.cumsum(unpacked(row["slots"]), dtype=np.uint64).astype(np.int64)] = unpacked(row["packed"])
         return out
 
     def _next(self) -> None:
@@ -192,14 +221,20 @@ class Walk:
     def runs_seen(self) -> pa.Table:
         """Rows of ``COUNT`` of the next level's runs, each with its count in the block's training texts."""
         self._next()
-        n = np.bincount(self.run_of[self.train[self.sent]], minlength=len(self.runs))
-        return pa.table([pa.array(self.runs.view(np.int64)), pa.array(np.full(len(n), self.row["block"])),
-                         pa.array(np.arange(len(n), dtype=np.int32)), pa.array(n.astype(np.int32))], names=COUNT.names)
+        n = np.bincount(self.run_of[self.train[self.sent]], minlength=len(self.runs)).astype(np.uint64)
+        part = ((self.runs >> np.uint64(32)) * np.uint64(self.setting.parts) >> np.uint64(32)).astype(np.int64)
+        there, at = np.unique(part, return_index=True)
+        cuts = list(zip(at, [*at[1:], len(part)]))
+        # keys ascend: their differences are smaller
+        keys = [packed(np.diff(self.runs[a:b], prepend=np.uint64(0))) for a, b in cuts]
+        return pa.table([pa.array(there.astype(np.int32)), pa.array(np.full(len(there), self.row["block"])),
+                         pa.array(keys, pa.binary()), pa.array([packed(n[a:b]) for a, b in cuts], pa.binary())], names=COUNT.names)
 
     def _counted(self) -> np.ndarray:
-        """Counts of the tokens' next runs, and which of them gain over the parent's distribution."""
-        counts = np.zeros(len(self.p), np.int64)
-        counts[self.sent] = self._filled(len(self.runs), self.level + 1, RUN)[self.run_of]
+        """Counts of the tokens' next runs, and which of them gain over the parent's distribution (``marked``: are this block's to send)."""
+        counts, self.marked = np.zeros(len(self.p), np.int64), np.zeros(len(self.p), bool)
+        figures = np.concatenate([np.zeros(0, np.uint64), *(unpacked(r["packed"]) for r in self._found(self.level + 1, RUN))])[self.run_of]
+        counts[self.sent], self.marked[self.sent] = figures >> np.uint64(1), figures & np.uint64(1)
         with np.errstate(divide="ignore", invalid="ignore"):
             expected = self.total * self.p
             gains = counts * np.log(counts / expected) > self.setting.gain
@@ -210,20 +245,16 @@ class Walk:
         """Rows of ``TEST`` of the next level, whose counts are there."""
         self._next()
         counts = self._counted()
-        at = np.flatnonzero(self.good)
-        at = at[np.unique(self.longer[at], return_index=True)[1]]
-        none = np.arange(len(at) + len(self.contexts)) >= len(at)
-
-        def column(run, context=None):
-            whole = np.concatenate([run, np.zeros(len(self.contexts), run.dtype) if context is None else context])
-            return pa.array(whole, mask=none if context is None else None)
-
-        block = np.full(len(none), self.row["block"])
-        slot = np.concatenate([np.zeros(len(at), np.int32), np.arange(len(self.contexts), dtype=np.int32)])
-        return pa.table([
-            column(self.context[at].view(np.int64), self.contexts.view(np.int64)), column(self.longer[at].view(np.int64)),
-            column(self.p[at]), column(self.total[at]), column(counts[at]), pa.array(block, mask=~none),
-            pa.array(slot, mask=~none)], names=TEST.names)
+        at = np.flatnonzero(self.good & self.marked)
+        at = at[np.unique(self.longer[at], return_index=True)[1]]  # a run of the block once
+        place, n = np.searchsorted(self.contexts, self.context[at]), len(self.contexts)
+        seen, p, total = counts[at], self.p[at], self.total[at]
+        whole = np.zeros(n, np.int64)
+        whole[self.context_of] = self.total[self.tested]
+        sums = [np.bincount(place, x, n) for x in (seen, p, seen * np.log(seen / (total * p)), None)]
+        columns = (self.contexts.view(np.int64), np.full(n, self.row["block"]), np.arange(n), whole, sums[0], sums[1], sums[2], sums[3])
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
+        return pa.table([pa.array(x.astype(k.to_pandas_dtype()), k) for x, k in zip(columns, kinds)], names=TEST.names)
 
     def step(self) -> None:
         """To the next level, which is known."""
@@ -239,9 +270,8 @@ class Walk:
 
     def scores(self) -> pa.Table:
         sizes = np.array(self.row["sizes"], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        columns = (self.row["doc_ids"], self.row["held_out"], sizes, np.add.reduceat(self.known.astype(np.int64), starts),
-                   np.full(len(sizes), self.setting.n), np.add.reduceat(self.base, starts), np.add.reduceat(np.log10(self.p), starts))
+        columns = (self.row["doc_ids"], self.row["held_out"], sizes, self.known, np.full(len(sizes), self.setting.n), self.base,
+                   self._by_text(np.log10(self.p)))
         kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         return pa.table([pa.array(x, k) for x, k in zip(columns, kinds)], names=SCORE.names)
 
@@ -258,27 +288,49 @@ def walked(rows: DataFrame, found: DataFrame, setting: Setting, levels: int, las
 
 
 def _found(rows: DataFrame, level: int, kind: int, value: str) -> DataFrame:
-    return rows.select("block", F.lit(level).alias("level"), F.lit(kind).alias("kind"), "slot", F.col(value).cast("long").alias("a"))
+    """Rows of ``FOUND``, one per block, from rows (block, slot, ``value``)."""
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("slot")
+        slots = np.diff(rows.column("slot").to_numpy().astype(np.uint64), prepend=np.uint64(0))
+        row = (rows.column("block")[0].as_py(), level, kind, 0, packed(slots), packed(rows.column("a").to_numpy()))
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+        return pa.table([pa.array([v], k) for v, k in zip(row, kinds)], names=FOUND.names)
+
+    return rows.select("block", "slot", F.col(value).cast("long").alias("a")).groupBy("block").applyInArrow(run, FOUND)
+
+
+def summed(counted: DataFrame, level: int) -> DataFrame:
+    """Rows of ``FOUND``: for each run of a block twice its count in all training texts, and 1 more in the first block that has it."""
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("block")
+        keys = [np.cumsum(unpacked(k), dtype=np.uint64) for k in rows.column("keys").to_pylist()]
+        _, first, of = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        n = np.concatenate([unpacked(x) for x in rows.column("n").to_pylist()])
+        seen = np.zeros(len(first), np.uint64)
+        np.add.at(seen, of, n)
+        seen[seen < LEAST] = 0
+        figures = (seen * np.uint64(2))[of]
+        figures[first] += seen > 0
+        ends = np.cumsum([len(k) for k in keys])
+        out = [packed(x) for x in np.split(figures, ends[:-1])]
+        same = [np.full(len(out), x, np.int32) for x in (level, RUN)]
+        return pa.table([rows.column("block"), *map(pa.array, same), rows.column("part"), pa.nulls(len(out), pa.binary()),
+                         pa.array(out, pa.binary())], names=FOUND.names)
+
+    return counted.groupBy("part").applyInArrow(run, FOUND)
 
 
 def grow(rows: DataFrame, found: DataFrame, levels: int, setting: Setting) -> tuple[DataFrame, bool]:
     """What blocks need for one level more, and whether it has states."""
-    # sums over a run's blocks: narrow rows, most of which end here
-    seen = F.sum("n").over(Window.partitionBy("key"))
-    counted = walked(rows, found, setting, levels, Walk.runs_seen, COUNT).withColumn("seen", seen).where(F.col("seen") >= LEAST)
-    counts = staged(_found(counted, levels + 1, RUN, "seen"), "lm-found")
+    counts = staged(summed(walked(rows, found, setting, levels, Walk.runs_seen, COUNT), levels + 1), "lm-found")
     tests = staged(walked(rows, found.unionByName(counts), setting, levels, Walk.tests, TEST), "lm-tests")
-    p, total, seen = F.col("p"), F.col("total"), F.col("seen")
-    # a run's figures are the same in every block that has it
-    runs = tests.where("key IS NOT NULL").groupBy("context", "key").agg(*(F.max(c).alias(c) for c in ("p", "total", "seen")))
-    gained = F.sum(seen * F.log(seen / (total * p)))
     rest = F.greatest(F.col("whole") - F.col("taken"), F.lit(0.5))
     divergence = F.col("gained") + rest * F.log(rest / F.col("whole") / F.greatest(1 - F.col("expected"), F.lit(1e-12)))
-    contexts = runs.groupBy("context").agg(
-        F.max("total").alias("whole"), F.sum("seen").alias("taken"), F.sum("p").alias("expected"), gained.alias("gained"),
-        F.count(F.lit(1)).alias("spread")).where(divergence > setting.gain * F.col("spread"))
+    contexts = tests.groupBy("context").agg(
+        F.max("whole").alias("whole"), *(F.sum(c).alias(c) for c in ("taken", "expected", "gained", "spread"))
+    ).where((F.col("spread") > 0) & (divergence > setting.gain * F.col("spread")))
     contexts = staged(contexts.select("context", "taken"), "lm-contexts")
-    states = tests.where("key IS NULL").join(contexts, "context")
+    states = tests.select("context", "block", "slot").join(contexts, "context")
     return counts.unionByName(staged(_found(states, levels + 1, CONTEXT, "taken"), "lm-found")), not contexts.isEmpty()
 
 
@@ -289,14 +341,19 @@ def score(docs: DataFrame, folds: int = 5, held: int = 1, block_bytes: int = 12_
     ``order`` ends the growth at contexts of so many words (default: the
     divergence test alone does).
     """
-    rows = staged(blocks(docs, block_bytes, folds, held), "lm-blocks")
+    # dealt out by block once: only what was found goes to them
+    spark, size = docs.sparkSession, docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = min(size // block_bytes + spark.sparkContext.defaultParallelism, 100_000)
+    path = scratch_path(spark, "lm-blocks")
+    rows = write_bucketed(blocks(docs, block_bytes, folds, held), path, os.path.basename(path).replace("-", "_"), ["block"], buckets)
     one = rows.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
     one = one.select("block", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
     counts = staged(one.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "lm-counts")
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    setting = Setting(int(total[0]), int(total[1]), gain, mu)
+    tokens = rows.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
+    setting = Setting(int(total[0]), int(total[1]), gain, mu, parts=tokens // RANGE + 1)
 
-    rows = rows.drop("counts")
+    rows = rows.drop("words", "counts")
     found = staged(_found(one.join(counts, "word").withColumnRenamed("at", "slot"), 0, RUN, "c"), "lm-found")
     levels = 0
     while order is None or levels < order:

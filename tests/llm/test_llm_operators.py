@@ -444,6 +444,26 @@ def test_suffix_tree_scores_equal_a_tree_in_dictionaries(spark, order):
         assert sum(probability(context, w) for w in [*vocabulary, b"?"]) == pytest.approx(1)
 
 
+def test_suffix_tree_sends_runs_and_contexts_packed(spark, monkeypatch):
+    written = Counter()
+
+    def counted(df, name, write=suffix_tree.staged):
+        out = write(df, name)
+        written[name] += out.count()
+        return out
+
+    monkeypatch.setattr(suffix_tree, "staged", counted)
+    monkeypatch.setattr(suffix_tree, "RANGE", 1500)  # several ranges of keys
+    rng = random.Random(12)
+    texts = [(i, prose(rng, 60, 40)) for i in range(60)]
+    got = {r.doc_id: r.score for r in suffix_tree.score(documents(spark, texts).repartition(2), block_bytes=4000).collect()}
+    n_blocks = -(-sum(len(t) for _, t in texts) // 4000) + 2
+    assert written["lm-found"] <= 5 * 5 * n_blocks, "rows per block, level and range, not per word, run or context"
+    monkeypatch.setattr(suffix_tree, "RANGE", 10**6)
+    other = {r.doc_id: r.score for r in suffix_tree.score(documents(spark, texts).repartition(5), block_bytes=900).collect()}
+    assert got.keys() == other.keys() and all(abs(got[i] - other[i]) < 1e-9 for i in got), "the same however it is dealt"
+
+
 def test_suffix_tree_without_training_rows(spark):
     held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1][:4]
     for r in suffix_tree.score(documents(spark, [(i, "a b a b") for i in held])).collect():
