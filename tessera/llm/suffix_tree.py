@@ -13,22 +13,25 @@ unigram distribution with half a count for every word and for unknown words.
 All distributions sum to one.
 
 How it runs: tasks turn their rows into blocks (at most ``block_bytes`` of
-text, or one longer text) of word numbers and per-block vocabularies, written
-once as a table bucketed by block, so that they are not shuffled again. Word counts are summed over all blocks and joined back per block, so a
-frequent word costs one row per block and no task holds the vocabulary of the
-corpus. A level takes two exchanges. First blocks send every run that can
-matter (its words and its context seen ``LEAST`` times, and a suffix in the
-tree) as a key and its count in training texts: sorted, packed by ranges of
-keys, of which a task sums one at a time (``RANGE`` tokens of the corpus each
-on average). The sums go back packed in the same order (0 for runs seen fewer
-than ``LEAST`` times, most are), with a mark in the first block that has a run.
-With these a block tells which continuations gain, sums up the marked ones for
-each of its contexts and sends one row per context; the divergence test is an
-aggregate by context, its outcome goes back to the blocks that have the
-context. The test is the only pruning besides the fixed
+text, or one longer text) of word numbers, numbered in the order of the words'
+64-bit hashes, written once where they lie as a table bucketed by block. A
+level takes two walks over the blocks. In the first a block sends two kinds of
+keys, sorted and packed by ranges of keys, of which a task sums one at a time
+(``RANGE`` tokens of the corpus each on average): its contexts, each with the
+sums over the continuations that gain and that it is the first block to have,
+and the runs one word longer that can matter then (not known to be rarer than
+``LEAST``, a context tested that they end with or follow), each with its count
+in training texts. Back go, packed in the same order, the kept continuations of
+contexts that pass the divergence test (0 for the others) and the runs' counts
+(0 below ``LEAST``) with a mark in the first block. Words and pairs of words
+need no figures to be found and go first, together. In the second walk a block
+puts these figures at its tokens and writes them, a table bucketed alike for
+each level. So no run of an earlier level is sorted or sent again, and
+probabilities are derived anew only for tokens that are still in a state: those
+become fewer with every level. The test is the only pruning besides the fixed
 ``LEAST``; the tree grows with the corpus and is never collected or broadcast.
-Runs go by 64-bit hashes: of g different runs about g * g / 2**65 pairs are
-taken for each other.
+Words and runs go by 64-bit hashes: of g different ones about g * g / 2**65
+pairs are taken for each other.
 
 Defined results: null text counts as empty; an empty text is its end token;
 repeated rows count and are scored row by row; without training rows all
@@ -42,24 +45,27 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..session import scratch_path
 from ..sources.io import write_bucketed
-from .common import GOLDEN, fold, mix, staged, task_number, words
+from .common import GOLDEN, fold, mix, staged, task_number
 
 BLOCK = T.StructType([
     T.StructField("block", T.LongType()), T.StructField("doc_ids", T.ArrayType(T.LongType())),
     T.StructField("held_out", T.ArrayType(T.BooleanType())), T.StructField("sizes", T.ArrayType(T.IntegerType())),
-    T.StructField("tokens", T.BinaryType()), T.StructField("words", T.ArrayType(T.BinaryType())),
-    T.StructField("counts", T.ArrayType(T.IntegerType())), T.StructField("hashes", T.BinaryType()),
+    T.StructField("n_train", T.LongType()), T.StructField("tokens", T.BinaryType()), T.StructField("hashes", T.BinaryType()),
 ])
 SCORE = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("held_out", T.BooleanType()),
@@ -67,21 +73,25 @@ SCORE = T.StructType([
     T.StructField("train_tokens", T.LongType()), T.StructField("base_score", T.DoubleType()),
     T.StructField("score", T.DoubleType()),
 ])
-# a block's runs in one range of keys
-COUNT = T.StructType([
-    T.StructField("part", T.IntegerType()), T.StructField("block", T.LongType()), T.StructField("keys", T.BinaryType()),
-    T.StructField("n", T.BinaryType()),
+# a block's runs or contexts in one range of keys: the runs' counts; or the contexts' totals, sums of kept continuations
+# and numbers of these, with two sums more (``gains``) where there are any
+SENT = T.StructType([
+    T.StructField("block", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("level", T.IntegerType()),
+    T.StructField("kind", T.IntegerType()), T.StructField("keys", T.BinaryType()), T.StructField("counts", T.BinaryType()),
+    T.StructField("gains", T.BinaryType()),
 ])
-# what goes back to a block, packed: figures of its runs in one range, or of its words or contexts with their numbers (``slots``)
+# what goes back to a block for them, in the same order; ``n`` are the words, runs or states that no smaller block has
 FOUND = T.StructType([
-    T.StructField("block", T.LongType()), T.StructField("level", T.IntegerType()), T.StructField("kind", T.IntegerType()),
-    T.StructField("part", T.IntegerType()), T.StructField("slots", T.BinaryType()), T.StructField("packed", T.BinaryType()),
+    T.StructField("block", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("level", T.IntegerType()),
+    T.StructField("kind", T.IntegerType()), T.StructField("figures", T.BinaryType()), T.StructField("n", T.LongType()),
 ])
-# a block's contexts, each with the sums over the marked continuations that gain
-TEST = T.StructType([
-    T.StructField("context", T.LongType()), T.StructField("block", T.LongType()), T.StructField("slot", T.IntegerType()),
-    T.StructField("whole", T.LongType()), T.StructField("taken", T.LongType()), T.StructField("expected", T.DoubleType()),
-    T.StructField("gained", T.DoubleType()), T.StructField("spread", T.LongType()),
+# what a block knows of a level: counts of the runs that end in its tokens (1: not counted) and which of them it is the first
+# to have, and of the level before the kept continuations of the contexts before its tokens (level 1: counts of its words,
+# level 2: of its words as contexts); its texts' figures so far
+LEVEL = T.StructType([
+    T.StructField("block", T.LongType()), T.StructField("counts", T.BinaryType()), T.StructField("marks", T.BinaryType()),
+    T.StructField("taken", T.BinaryType()), T.StructField("known", T.ArrayType(T.LongType())),
+    T.StructField("base", T.ArrayType(T.DoubleType())), T.StructField("score", T.ArrayType(T.DoubleType())),
 ])
 RUN, CONTEXT = 0, 1
 END = b""  # no word is empty
@@ -89,66 +99,90 @@ RANGE = 1_000_000
 LEAST = 2  # a run seen once says nothing of what follows it; the same at every corpus size
 
 
-class _Numbers(dict):
-    """word -> number in order of appearance; 0 is the end of a text."""
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = len(self)
-        return value
+
+def numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(different words, word numbers of all texts, how many words each text has); A-Z count as lower case."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    inside = ~_SPACE[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    first = ends[:-1][ends[:-1] < ends[1:]]
+    begins[first] = inside[first]
+    begins = np.flatnonzero(begins)
+    # the words one after the other, without white space
+    places = np.cumsum(inside, dtype=np.int64)
+    places = np.r_[places[begins] - 1, places[-1:]] if len(begins) else np.zeros(1, np.int64)
+    found = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(places), pa.py_buffer(_LOWER[data[inside]])])
+    found = found.dictionary_encode()
+    return found.dictionary.to_pylist(), found.indices.to_numpy(), np.diff(np.searchsorted(begins, ends))
 
 
 def blocks(docs: DataFrame, block_bytes: int, folds: int, held: int) -> DataFrame:
-    """Rows of ``BLOCK``; ``counts`` are the words' counts in the block's training texts."""
+    """Rows of ``BLOCK``; words are numbered in the order of their hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(),
-                 pa.list_(pa.binary()), pa.list_(pa.int32()), pa.binary())
-        number = task_number() << 32
-        vocabulary, texts, ids, out, filled = _Numbers({END: 0}), [], [], [], 0
+        number, rows, filled = task_number() << 32, [], 0
 
         def row():
-            tokens = np.concatenate(texts)
-            train = np.repeat(~np.array(out), [len(t) for t in texts])
-            counts = np.bincount(tokens[train], minlength=len(vocabulary))
-            values = (number, ids, out, [len(t) for t in texts],
-                      zstandard.ZstdCompressor(level=1).compress(tokens.tobytes()), list(vocabulary), counts.astype(np.int32),
-                      np.array([xxhash.xxh3_64_intdigest(w) for w in vocabulary], np.uint64).tobytes())
-            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=BLOCK.names)
+            ids, texts, held_out = (pa.concat_arrays([r.column(c) for r in rows]) for c in range(3))
+            vocabulary, found, sizes = numbered(texts)
+            sizes += 1
+            tokens = np.full(sizes.sum(), len(vocabulary))
+            tokens[np.delete(np.arange(len(tokens)), np.cumsum(sizes) - 1)] = found
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, (*vocabulary, END)), np.uint64, len(vocabulary) + 1)
+            # words of one hash are one word
+            hashes, rank = np.unique(hashes, return_inverse=True)
+            n_train = int(sizes[~np.array(held_out)].sum())
+            values = (number, ids.to_pylist(), held_out.to_pylist(), sizes.tolist(), n_train, packed(rank.astype(np.int32)[tokens]),
+                      packed(np.diff(hashes, prepend=np.uint64(0))))
+            return _batch([values], BLOCK)
 
         for batch in batches:
-            for doc, text, held_out in zip(*(c.to_pylist() for c in batch.columns)):
-                size = len(text or "")
-                if texts and filled + size > block_bytes:
+            begin = 0
+            for i, size in enumerate(pc.binary_length(batch.column(1)).fill_null(0).to_pylist()):
+                if (rows or i > begin) and filled + size > block_bytes:
+                    rows += [batch.slice(begin, i - begin)]
                     yield row()
-                    number += 1
-                    vocabulary, texts, ids, out, filled = _Numbers({END: 0}), [], [], [], 0
-                found = words(text)
-                texts.append(np.fromiter(map(vocabulary.__getitem__, (*found, END)), np.int32, len(found) + 1))
-                ids.append(doc)
-                out.append(held_out)
+                    number, rows, filled, begin = number + 1, [], 0, i
                 filled += size
-        if texts:
+            rows += [batch.slice(begin)]
+        if any(r.num_rows for r in rows):
             yield row()
 
     held_out = fold(F.col("doc_id"), folds) == held
     return docs.select(F.col("doc_id").cast("long"), F.col("text"), held_out.alias("held_out")).mapInArrow(run, BLOCK)
 
 
-def _tokens(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(word numbers, index of each token inside its text) of a block."""
-    tokens = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["tokens"]), np.int32)
-    sizes = np.array(row["sizes"], np.int64)
-    starts = np.cumsum(sizes) - sizes
-    return tokens, (np.arange(len(tokens)) - np.repeat(starts, sizes)).astype(np.int32)
+def packed(values: np.ndarray) -> bytes:
+    """Values, compressed byte by byte of their places."""
+    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes())
 
 
-def packed(values: np.ndarray) -> bytes:
-    """64-bit values, compressed byte by byte of their places."""
-    return zstandard.ZstdCompressor(level=1).compress(values.view(np.uint8).reshape(-1, 8).T.tobytes())
+def unpacked(data: bytes, kind: type = np.int64) -> np.ndarray:
+    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(places.T).view(kind).ravel()
+
+
+def packed_counts(values: np.ndarray) -> bytes:
+    """Numbers from 0 up, most of them small, compressed: a byte each, 255 for those that follow in full."""
+    low, high = np.minimum(values, 255).astype(np.uint8), values[values >= 255].astype(np.int64)
+    places = high.view(np.uint8).reshape(len(high), 8).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(len(low).to_bytes(8, "little") + low.tobytes() + places)
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(places.T).view(np.uint64).ravel()
+def unpacked_counts(data: bytes) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    n = int.from_bytes(raw[:8], "little")
+    low, high = np.frombuffer(raw, np.uint8, n, 8), np.frombuffer(raw, np.uint8, offset=8 + n).reshape(8, -1)
+    high = np.ascontiguousarray(high.T).view(np.int64).ravel()
+    out = low.astype(np.int32 if high.max(initial=0) < 1 << 30 else np.int64)
+    out[low == 255] = high
+    return out
 
 
 def spread(p: np.ndarray, own: np.ndarray, total: np.ndarray, taken: np.ndarray, mu: float) -> np.ndarray:
@@ -156,6 +190,18 @@ def spread(p: np.ndarray, own: np.ndarray, total: np.ndarray, taken: np.ndarray,
     return (own + (mu + total - taken) * p) / (total + mu)
 
 
+def stepped(p: np.ndarray, seen: np.ndarray, total: np.ndarray, taken: np.ndarray, setting: Setting) -> np.ndarray:
+    """Probabilities one level deeper, in states."""
+    return spread(p, np.where(gaining(seen, total * p, setting.gain), seen, 0), total, taken, setting.mu)
+
+
+def gaining(counts: np.ndarray, expected: np.ndarray, gain: float) -> np.ndarray:
+    """Whether continuations gain over the parent's distribution."""
+    out = counts > expected
+    out[out] = counts[out] * np.log(counts[out] / expected[out]) > gain
+    return out
+
+
 @dataclass
 class Setting:
     """What all blocks need to know: training tokens and words, the test's threshold, smoothing."""
@@ -167,199 +213,249 @@ class Setting:
     parts: int
 
 
-class Walk:
-    """A block's tokens followed through the levels that are known so far.
-
-    For every token: its probability ``p``, the hash and count of the run of
-    ``level`` + 1 words that ends in it (0 where too rare or not needed), and
-    whether the context before it of ``level`` words is a state. ``found`` has
-    rows of ``FOUND``: counts of the block's words and runs, and for
-    its contexts that are states the sum of their kept continuations.
-    """
-
-    def __init__(self, rows: pa.Table, found: pa.Table, setting: Setting):
-        self.row = {k: rows.column(k)[0].as_py() for k in ("block", "doc_ids", "held_out", "sizes", "tokens")}
-        self.setting, self.level = setting, 0
-        self.rows = sorted(found.select(["level", "kind", "part", "slots", "packed"]).to_pylist(), key=lambda r: r["part"])
-        tokens, self.at = _tokens(self.row)
-        sizes = np.repeat(np.array(self.row["sizes"], np.int64), self.row["sizes"])
-        self.last = self.at == sizes - 1
-        self.train = np.repeat(~np.array(self.row["held_out"], bool), self.row["sizes"])
-        hashes = np.frombuffer(rows.column("hashes")[0].as_py(), np.uint64)
-        counts = self._filled(len(hashes), 0, RUN)
-        self.word, self.count = hashes[tokens], counts[tokens]
-        self.p = (self.count + 0.5) / (setting.n + 0.5 * (setting.v + 1))
-        self.known, self.base = self._by_text(self.count > 0), self._by_text(np.log10(self.p))
-        self.key, self.state = self.word, np.ones(len(tokens), bool)
-
-    def _by_text(self, values: np.ndarray) -> np.ndarray:
-        sizes = np.array(self.row["sizes"], np.int64)
-        return np.add.reduceat(values, np.cumsum(sizes) - sizes, dtype=np.float64 if values.dtype == np.float64 else np.int64)
-
-    def _found(self, level: int, kind: int) -> Iterator[dict]:
-        return (r for r in self.rows if (r["level"], r["kind"]) == (level, kind))
-
-    def _filled(self, size: int, level: int, kind: int) -> np.ndarray:
-        out = np.zeros(size, np.int64)
-        for row in self._found(level, kind):
-            out[np.cumsum(unpacked(row["slots"]), dtype=np.uint64).astype(np.int64)] = unpacked(row["packed"])
-        return out
-
-    def _next(self) -> None:
-        """Runs one word longer, and their contexts, both with their numbers in the block."""
-        k = self.level + 1
-        self.total, self.context = np.roll(self.count, 1), np.roll(self.key, 1)
-        exists = (self.at >= k) & (self.total >= LEAST)
-        self.tested = exists & self.state  # the tree holds every suffix of a state
-        # a run is counted if its context is tested, or if it can be a context itself one level deeper
-        deeper = np.roll(self.state, -1) & ~self.last
-        self.sent = exists & (self.count >= LEAST) & (self.tested | deeper)
-        self.longer = mix(self.context * np.uint64(GOLDEN) + self.word)
-        self.runs, self.run_of = np.unique(self.longer[self.sent], return_inverse=True)
-        self.contexts, self.context_of = np.unique(self.context[self.tested], return_inverse=True)
-
-    def runs_seen(self) -> pa.Table:
-        """Rows of ``COUNT`` of the next level's runs, each with its count in the block's training texts."""
-        self._next()
-        n = np.bincount(self.run_of[self.train[self.sent]], minlength=len(self.runs)).astype(np.uint64)
-        part = ((self.runs >> np.uint64(32)) * np.uint64(self.setting.parts) >> np.uint64(32)).astype(np.int64)
+class Block:
+    """A block's tokens (word numbers), index of each inside its text, hashes of its words; what it knows of levels."""
+
+    def __init__(self, row: dict, parts: int):
+        self.row, self.parts, self.sizes = row, parts, np.array(row["sizes"], np.int64)
+        self.tokens, self.hashes = unpacked(row["tokens"], np.int32), np.cumsum(unpacked(row["hashes"], np.uint64), dtype=np.uint64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.at = np.arange(len(self.tokens), dtype=np.int32) - np.repeat(self.starts, self.sizes).astype(np.int32)
+
+    def keys(self, places: np.ndarray, width: int) -> np.ndarray:
+        """Hashes of the runs of ``width`` words that end in tokens ``places``."""
+        key = self.hashes[self.tokens[places - (width - 1)]]
+        for back in range(width - 2, -1, -1):
+            key = mix(key * np.uint64(GOLDEN) + self.hashes[self.tokens[places - back]])
+        return key
+
+    def counts(self, level: int) -> np.ndarray:
+        """Counts of the runs of ``level`` + 1 words that end in the tokens."""
+        return unpacked_counts(self.row[f"counts_{level}"]) if level else unpacked_counts(self.row["taken_1"])[self.tokens]
+
+    def taken(self, level: int, places: np.ndarray) -> np.ndarray:
+        """Kept continuations of the contexts of ``level`` words before tokens ``places``; 0 if they are no states."""
+        return unpacked_counts(self.row[f"taken_{level + 1}"])[self.tokens[places - 1] if level == 1 else places]
+
+    def tested(self, level: int, counts: np.ndarray) -> np.ndarray:
+        """Tokens whose contexts of ``level`` words are tested, by the counts of the level before."""
+        places = level + np.flatnonzero((self.at[level:] >= level) & (counts[level - 1 : -1] >= LEAST))
+        return places[self.taken(level - 1, places) > 0] if level > 1 else places
+
+    def runs(self, level: int, tested: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens whose runs of ``level`` + 1 words are sent, mask of the tokens whose runs can be as frequent as ``LEAST``).
+
+        ``tested`` and ``counts`` are of the level before. A run is counted if its context may be
+        tested, or if it can be a context itself one level deeper.
+        """
+        often = (counts > 0) & (self.at >= level)
+        often[1:] &= counts[:-1] > 0
+        near = np.zeros(len(counts) + 1, bool)
+        near[tested] = True
+        near = near[:-1] | near[1:] & np.r_[self.at[1:] > 0, False]
+        return np.flatnonzero(near & often), often
+
+    def contexts(self, level: int, tested: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sorted keys of the contexts of ``level`` words before tokens ``tested``, number of each token's)."""
+        if level > 1:
+            return np.unique(self.keys(tested - 1, level), return_inverse=True)
+        there = np.zeros(len(self.hashes), bool)
+        there[self.tokens[tested - 1]] = True
+        return self.hashes[there], (np.cumsum(there) - 1)[self.tokens[tested - 1]]
+
+    def probabilities(self, level: int, places: np.ndarray, setting: Setting) -> tuple[np.ndarray, np.ndarray]:
+        """(probabilities of tokens ``places`` in states of up to ``level`` words, counts of the contexts one word longer)."""
+        own = unpacked_counts(self.row["taken_1"])
+        p = (own[self.tokens[places]] + 0.5) / (setting.n + 0.5 * (setting.v + 1))
+        total = own[self.tokens[places - 1]]
+        for j in range(1, level + 1):
+            counts = self.counts(j)
+            p = stepped(p, counts[places], total, self.taken(j, places), setting)
+            total = counts[places - 1]
+        return p, total
+
+    def by_text(self, values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values, self.starts, dtype=np.float64 if values.dtype == np.float64 else np.int64)
+
+    def counted(self, level: int, places: np.ndarray) -> list[tuple]:
+        """Rows of ``SENT`` of the runs of ``level`` + 1 words that end in ``places``, with their counts in training texts."""
+        keys, of = np.unique(self.keys(places, level + 1), return_inverse=True)
+        train = np.repeat(~np.array(self.row["held_out"], bool), self.sizes)
+        return self.sent(keys, np.bincount(of[train[places]], minlength=len(keys))[None], level, RUN)
+
+    def sent(self, keys: np.ndarray, counts: np.ndarray, level: int, kind: int, gains: np.ndarray | None = None) -> list[tuple]:
+        part = ((keys >> np.uint64(32)) * np.uint64(self.parts) >> np.uint64(32)).astype(np.int64)
         there, at = np.unique(part, return_index=True)
-        cuts = list(zip(at, [*at[1:], len(part)]))
         # keys ascend: their differences are smaller
-        keys = [packed(np.diff(self.runs[a:b], prepend=np.uint64(0))) for a, b in cuts]
-        return pa.table([pa.array(there.astype(np.int32)), pa.array(np.full(len(there), self.row["block"])),
-                         pa.array(keys, pa.binary()), pa.array([packed(n[a:b]) for a, b in cuts], pa.binary())], names=COUNT.names)
-
-    def _counted(self) -> np.ndarray:
-        """Counts of the tokens' next runs, and which of them gain over the parent's distribution (``marked``: are this block's to send)."""
-        counts, self.marked = np.zeros(len(self.p), np.int64), np.zeros(len(self.p), bool)
-        figures = np.concatenate([np.zeros(0, np.uint64), *(unpacked(r["packed"]) for r in self._found(self.level + 1, RUN))])[self.run_of]
-        counts[self.sent], self.marked[self.sent] = figures >> np.uint64(1), figures & np.uint64(1)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            expected = self.total * self.p
-            gains = counts * np.log(counts / expected) > self.setting.gain
-        self.good = self.tested & (counts > expected) & gains
-        return counts
-
-    def tests(self) -> pa.Table:
-        """Rows of ``TEST`` of the next level, whose counts are there."""
-        self._next()
-        counts = self._counted()
-        at = np.flatnonzero(self.good & self.marked)
-        at = at[np.unique(self.longer[at], return_index=True)[1]]  # a run of the block once
-        place, n = np.searchsorted(self.contexts, self.context[at]), len(self.contexts)
-        seen, p, total = counts[at], self.p[at], self.total[at]
-        whole = np.zeros(n, np.int64)
-        whole[self.context_of] = self.total[self.tested]
-        sums = [np.bincount(place, x, n) for x in (seen, p, seen * np.log(seen / (total * p)), None)]
-        columns = (self.contexts.view(np.int64), np.full(n, self.row["block"]), np.arange(n), whole, sums[0], sums[1], sums[2], sums[3])
-        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64())
-        return pa.table([pa.array(x.astype(k.to_pandas_dtype()), k) for x, k in zip(columns, kinds)], names=TEST.names)
-
-    def step(self) -> None:
-        """To the next level, which is known."""
-        self._next()
-        counts = self._counted()
-        taken = np.zeros(len(self.p), np.int64)
-        taken[self.tested] = self._filled(len(self.contexts), self.level + 1, CONTEXT)[self.context_of]
-        states = taken > 0
-        own = np.where(self.good, counts, 0)
-        self.p = np.where(states, spread(self.p, own, self.total, taken, self.setting.mu), self.p)
-        self.key, self.count, self.state = self.longer, counts, states
-        self.level += 1
-
-    def scores(self) -> pa.Table:
-        sizes = np.array(self.row["sizes"], np.int64)
-        columns = (self.row["doc_ids"], self.row["held_out"], sizes, self.known, np.full(len(sizes), self.setting.n), self.base,
-                   self._by_text(np.log10(self.p)))
-        kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-        return pa.table([pa.array(x, k) for x, k in zip(columns, kinds)], names=SCORE.names)
-
-
-def walked(rows: DataFrame, found: DataFrame, setting: Setting, levels: int, last, schema: T.StructType) -> DataFrame:
-    """``last(walk)`` of every block after ``levels`` steps."""
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        walk = Walk(left, right, setting)
-        for _ in range(levels):
-            walk.step()
-        return last(walk)
+        return [(self.row["block"], int(p), level, kind, packed(np.diff(keys[a:b], prepend=np.uint64(0))), packed_counts(counts[:, a:b].ravel()),
+                 None if gains is None else packed(gains[:, a:b][:, counts[2, a:b] > 0].ravel()))
+                for p, a, b in zip(there, at, [*at[1:], len(part)])]
+
+
+def first_sent(block: Block) -> list[tuple]:
+    """Rows of ``SENT`` of all words and pairs of words."""
+    train = np.repeat(~np.array(block.row["held_out"], bool), block.sizes)
+    n = np.bincount(block.tokens[train], minlength=len(block.hashes))
+    return block.sent(block.hashes, n[None], 0, RUN) + block.counted(1, np.flatnonzero(block.at > 0))
+
+
+def next_sent(block: Block, setting: Setting, level: int) -> list[tuple]:
+    """Rows of ``SENT`` of the contexts of ``level`` words, and of the runs that are one word longer than this level's."""
+    tested = block.tested(level, block.counts(level - 1))
+    p, total = block.probabilities(level - 1, tested, setting)
+    contexts, of = block.contexts(level, tested)
+    counts = block.counts(level)
+    marked = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(block.row[f"marks_{level}"]), np.uint8), count=len(counts))
+    at = np.flatnonzero(marked[tested])
+    at = at[gaining(counts[tested[at]], total[at] * p[at], setting.gain)]
+    seen, place = counts[tested[at]], of[at]
+    figures, gains = np.zeros((3, len(contexts)), np.int64), np.zeros((2, len(contexts)))
+    figures[0, of] = total
+    figures[1:] = [np.bincount(place, x, len(contexts)) for x in (seen, None)]
+    gains[:] = [np.bincount(place, x, len(contexts)) for x in (p[at], seen * np.log(seen / (total[at] * p[at])))]
+    return block.sent(contexts, figures, level, CONTEXT, gains) + block.counted(level + 1, block.runs(level + 1, tested, counts)[0])
+
+
+def known(block: Block, found: dict, setting: Setting, level: int) -> tuple:
+    """The block's row of ``LEVEL``: what was found, at its tokens. ``found`` gives figures by (level, kind)."""
+    row, figures = block.row, found.get((level, RUN), np.zeros(0, np.int64))
+    if level == 1:
+        taken = found[0, RUN] >> 1
+        base = np.log10((taken + 0.5) / (setting.n + 0.5 * (setting.v + 1)))
+        base = block.by_text(base[block.tokens])
+        of_text = (block.by_text(taken[block.tokens] > 0), base, base)
+        places = np.flatnonzero(block.at > 0)
+        counts = np.zeros(len(block.tokens), np.int64)
+    else:
+        before = block.counts(level - 1)
+        tested = block.tested(level - 1, block.counts(level - 2))
+        contexts, of = block.contexts(level - 1, tested)
+        own = found.get((level - 1, CONTEXT), np.zeros(0, np.int64))
+        kept = own[of]
+        taken = np.zeros(len(block.hashes if level == 2 else block.tokens), np.int64)
+        taken[block.tokens[tested - 1] if level == 2 else tested] = kept
+        places, often = block.runs(level, tested, before)
+        counts = often.astype(np.int64)
+        # what states change
+        tested, kept = tested[kept > 0], kept[kept > 0]
+        old, total = block.probabilities(level - 2, tested, setting)
+        gained = np.log10(stepped(old, before[tested], total, kept, setting)) - np.log10(old)
+        text = np.searchsorted(block.starts, tested, "right") - 1
+        of_text = (row["known"], row["base"], np.array(row["score"]) + np.bincount(text, gained, len(block.sizes)))
+    runs, of = np.unique(block.keys(places, level + 1), return_inverse=True)
+    counts[places] = (figures >> 1)[of]
+    one = np.zeros(len(runs), np.int64)
+    one[of] = places  # any token of a run
+    marks = np.zeros(len(counts), bool)
+    marks[one[(figures & 1) > 0]] = True
+    marks = zstandard.ZstdCompressor(level=1).compress(np.packbits(marks).tobytes())
+    return row["block"], packed_counts(counts), marks, packed_counts(taken), *of_text
+
+
+def _batch(rows: list[tuple], schema: T.StructType, kind=pa.RecordBatch):
+    schema = to_arrow_schema(schema)
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return kind.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def sending(rows: DataFrame, parts: int, rows_of) -> DataFrame:
+    """Rows of ``SENT`` that ``rows_of`` makes of each block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield _batch(rows_of(Block(batch.slice(i, 1).to_pylist()[0], parts)), SENT)
 
-    return rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, schema)
+    return rows.mapInArrow(run, SENT)
 
 
-def _found(rows: DataFrame, level: int, kind: int, value: str) -> DataFrame:
-    """Rows of ``FOUND``, one per block, from rows (block, slot, ``value``)."""
+def placed(rows: DataFrame, found: DataFrame, setting: Setting, level: int) -> DataFrame:
+    """Rows of ``LEVEL``; ``rows`` are blocks with the levels so far."""
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        figures = {}
+        for r in right.sort_by("part").to_pylist():
+            figures.setdefault((r["level"], r["kind"]), []).append(unpacked_counts(r["figures"]))
+        figures = {at: np.concatenate(x) for at, x in figures.items()}
+        return _batch([known(Block(left.to_pylist()[0], setting.parts), figures, setting, level)], LEVEL, pa.Table)
+
+    return rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, LEVEL)
+
+
+def summed(sent: DataFrame, gain: float) -> DataFrame:
+    """Rows of ``FOUND``: for each run of a block twice its count in all training texts, and 1 more in the first block
+    that has it; for each context the sum of its kept continuations if it is a state."""
+    def figures(rows: list[dict]) -> Iterator[tuple]:
+        level, kind = rows[0]["level"], rows[0]["kind"]
+        keys = [np.cumsum(unpacked(r["keys"], np.uint64), dtype=np.uint64) for r in rows]
+        ends = np.cumsum([len(k) for k in keys])[:-1]
+        keys, of = np.unique(np.concatenate(keys), return_inverse=True)
+        first = np.empty(len(keys), np.int64)
+        first[of[::-1]] = np.arange(len(of))[::-1]
+        counts = np.concatenate([unpacked_counts(r["counts"]).reshape(1 if kind == RUN else 3, -1) for r in rows], axis=1)
+        if kind == RUN:
+            seen = np.zeros(len(keys), np.int64)
+            np.add.at(seen, of, counts[0])
+            new = seen >= (LEAST if level else 1)
+            out = np.where(new, seen * 2, 0)[of]
+            out[first] += new
+        else:
+            gains = np.zeros((2, len(of)))
+            gains[:, counts[2] > 0] = np.concatenate([unpacked(r["gains"], np.float64).reshape(2, -1) for r in rows], axis=1)
+            whole = counts[0][first]
+            taken, n, expected, gained = (np.bincount(of, x, len(keys)) for x in (*counts[1:], *gains))
+            rest = np.maximum(whole - taken, 0.5)
+            divergence = gained + rest * np.log(rest / whole / np.maximum(1 - expected, 1e-12))
+            new = (n > 0) & (divergence > gain * n)
+            out = np.where(new, taken, 0).astype(np.int64)[of]
+        at_first = np.zeros(len(out), bool)
+        at_first[first[new]] = True
+        for r, own, n in zip(rows, np.split(out, ends), np.split(at_first, ends)):
+            yield r["block"], r["part"], level, kind, packed_counts(own), int(n.sum())
+
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("slot")
-        slots = np.diff(rows.column("slot").to_numpy().astype(np.uint64), prepend=np.uint64(0))
-        row = (rows.column("block")[0].as_py(), level, kind, 0, packed(slots), packed(rows.column("a").to_numpy()))
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-        return pa.table([pa.array([v], k) for v, k in zip(row, kinds)], names=FOUND.names)
+        rows, out = sorted(rows.to_pylist(), key=lambda r: (r["level"], r["kind"], r["block"])), []
+        for _, same in groupby(rows, key=lambda r: (r["level"], r["kind"])):
+            out += figures(list(same))
+        return _batch(out, FOUND, pa.Table)
 
-    return rows.select("block", "slot", F.col(value).cast("long").alias("a")).groupBy("block").applyInArrow(run, FOUND)
+    return sent.groupBy("part").applyInArrow(run, FOUND)
 
 
-def summed(counted: DataFrame, level: int) -> DataFrame:
-    """Rows of ``FOUND``: for each run of a block twice its count in all training texts, and 1 more in the first block that has it."""
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("block")
-        keys = [np.cumsum(unpacked(k), dtype=np.uint64) for k in rows.column("keys").to_pylist()]
-        _, first, of = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        n = np.concatenate([unpacked(x) for x in rows.column("n").to_pylist()])
-        seen = np.zeros(len(first), np.uint64)
-        np.add.at(seen, of, n)
-        seen[seen < LEAST] = 0
-        figures = (seen * np.uint64(2))[of]
-        figures[first] += seen > 0
-        ends = np.cumsum([len(k) for k in keys])
-        out = [packed(x) for x in np.split(figures, ends[:-1])]
-        same = [np.full(len(out), x, np.int32) for x in (level, RUN)]
-        return pa.table([rows.column("block"), *map(pa.array, same), rows.column("part"), pa.nulls(len(out), pa.binary()),
-                         pa.array(out, pa.binary())], names=FOUND.names)
-
-    return counted.groupBy("part").applyInArrow(run, FOUND)
-
-
-def grow(rows: DataFrame, found: DataFrame, levels: int, setting: Setting) -> tuple[DataFrame, bool]:
-    """What blocks need for one level more, and whether it has states."""
-    counts = staged(summed(walked(rows, found, setting, levels, Walk.runs_seen, COUNT), levels + 1), "lm-found")
-    tests = staged(walked(rows, found.unionByName(counts), setting, levels, Walk.tests, TEST), "lm-tests")
-    rest = F.greatest(F.col("whole") - F.col("taken"), F.lit(0.5))
-    divergence = F.col("gained") + rest * F.log(rest / F.col("whole") / F.greatest(1 - F.col("expected"), F.lit(1e-12)))
-    contexts = tests.groupBy("context").agg(
-        F.max("whole").alias("whole"), *(F.sum(c).alias(c) for c in ("taken", "expected", "gained", "spread"))
-    ).where((F.col("spread") > 0) & (divergence > setting.gain * F.col("spread")))
-    contexts = staged(contexts.select("context", "taken"), "lm-contexts")
-    states = tests.select("context", "block", "slot").join(contexts, "context")
-    return counts.unionByName(staged(_found(states, levels + 1, CONTEXT, "taken"), "lm-found")), not contexts.isEmpty()
-
-
-def score(docs: DataFrame, folds: int = 5, held: int = 1, block_bytes: int = 12_000_000, gain: float = 6.0, mu: float = 20.0,
+def score(docs: DataFrame, folds: int = 5, held: int = 1, block_bytes: int = 4_000_000, gain: float = 6.0, mu: float = 20.0,
           order: int | None = None) -> DataFrame:
     """Rows of ``SCORE`` for all documents; learns from those outside fold ``held``.
 
     ``order`` ends the growth at contexts of so many words (default: the
     divergence test alone does).
     """
-    # dealt out by block once: only what was found goes to them
     spark, size = docs.sparkSession, docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = min(size // block_bytes + spark.sparkContext.defaultParallelism, 100_000)
-    path = scratch_path(spark, "lm-blocks")
-    rows = write_bucketed(blocks(docs, block_bytes, folds, held), path, os.path.basename(path).replace("-", "_"), ["block"], buckets)
-    one = rows.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "w"))
-    one = one.select("block", "at", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    counts = staged(one.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "lm-counts")
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    tokens = rows.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
-    setting = Setting(int(total[0]), int(total[1]), gain, mu, parts=tokens // RANGE + 1)
-
-    rows = rows.drop("words", "counts")
-    found = staged(_found(one.join(counts, "word").withColumnRenamed("at", "slot"), 0, RUN, "c"), "lm-found")
-    levels = 0
-    while order is None or levels < order:
-        known, more = grow(rows, found, levels, setting)
-        if not more:
+    # two blocks each on average: fewer files
+    buckets = min(size // (2 * block_bytes) + spark.sparkContext.defaultParallelism, 100_000)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        # written where it lies: a task has whole blocks
+        path = scratch_path(spark, name)
+        return write_bucketed(df, path, os.path.basename(path).replace("-", "_"), ["block"], buckets, placed=True)
+
+    rows = kept(blocks(docs, block_bytes, folds, held), "lm-blocks")
+    n, tokens = rows.agg(F.coalesce(F.sum("n_train"), F.lit(0)),
+                         F.coalesce(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, b: a + b)), F.lit(0))).first()
+    parts, so_far = tokens // RANGE + 1, rows.drop("doc_ids", "n_train")
+    found = staged(summed(sending(so_far, parts, first_sent), gain), "lm-found")
+    v = found.where(f"level = 0 AND kind = {RUN}").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    setting, level = Setting(n, v, gain, mu, parts), 0
+    while True:
+        level += 1
+        now = kept(placed(so_far, found, setting, level), "lm-level")
+        if order is not None and level > order:
+            break
+        so_far = so_far.drop("known", "base", "score").join(
+            now.withColumnsRenamed({c: f"{c}_{level}" for c in ("counts", "marks", "taken")}), "block")
+        found = staged(summed(sending(so_far, parts, partial(next_sent, setting=setting, level=level)), gain), "lm-found")
+        if found.where(f"kind = {CONTEXT} AND n > 0").isEmpty():
             break
-        levels += 1
-        found = found.unionByName(known)
-    return walked(rows, found, setting, levels, Walk.scores, SCORE)
+        so_far = so_far.drop(f"marks_{level}")
+    texts = F.arrays_zip("doc_ids", "held_out", "sizes", "known", "base", "score")
+    out = rows.join(now, "block").select(F.explode(texts).alias("t"))
+    return out.select(F.col("t.doc_ids").alias("doc_id"), F.col("t.held_out"), F.col("t.sizes").cast("long").alias("n_tokens"),
+                      F.col("t.known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
+                      F.col("t.base").alias("base_score"), F.col("t.score"))
