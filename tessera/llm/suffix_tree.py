@@ -26,9 +26,9 @@ contexts that pass the divergence test (0 for the others) and the runs' counts
 (0 below ``LEAST``) with a mark in the first block. Words and pairs of words
 need no figures to be found and go first, together. In the second walk a block
 puts these figures at its tokens and writes them, a table bucketed alike for
-each level. So no run of an earlier level is sorted or sent again, and
-probabilities are derived anew only for tokens that are still in a state: those
-become fewer with every level. The test is the only pruning besides the fixed
+each level. So no run of an earlier level is sorted or sent again. From level
+``SPARSE`` on only tokens that are still in a state, and their probabilities,
+are written: those become fewer with every level. The test is the only pruning besides the fixed
 ``LEAST``; the tree grows with the corpus and is never collected or broadcast.
 Words and runs go by 64-bit hashes: of g different ones about g * g / 2**65
 pairs are taken for each other.
@@ -86,16 +86,19 @@ FOUND = T.StructType([
     T.StructField("kind", T.IntegerType()), T.StructField("figures", T.BinaryType()), T.StructField("n", T.LongType()),
 ])
 # what a block knows of a level: counts of the runs that end in its tokens (1: not counted) and which of them it is the first
-# to have, and of the level before the kept continuations of the contexts before its tokens (level 1: counts of its words,
-# level 2: of its words as contexts); its texts' figures so far
+# to have; level 1: counts of its words (``taken``); level 2: kept continuations of its words as contexts (``taken``);
+# from level 3 on counts stand at ``places`` only, and probabilities and counts of contexts at the tested tokens; its texts'
+# figures so far; ``n`` are the states of the level before that no smaller block has
 LEVEL = T.StructType([
     T.StructField("block", T.LongType()), T.StructField("counts", T.BinaryType()), T.StructField("marks", T.BinaryType()),
-    T.StructField("taken", T.BinaryType()), T.StructField("known", T.ArrayType(T.LongType())),
-    T.StructField("base", T.ArrayType(T.DoubleType())), T.StructField("score", T.ArrayType(T.DoubleType())),
+    T.StructField("taken", T.BinaryType()), T.StructField("places", T.BinaryType()), T.StructField("tested", T.BinaryType()),
+    T.StructField("p", T.BinaryType()), T.StructField("totals", T.BinaryType()), T.StructField("known", T.ArrayType(T.LongType())),
+    T.StructField("base", T.ArrayType(T.DoubleType())), T.StructField("score", T.ArrayType(T.DoubleType())), T.StructField("n", T.LongType()),
 ])
 RUN, CONTEXT = 0, 1
 END = b""  # no word is empty
 RANGE = 1_000_000
+SPARSE = 3  # from this level on few tokens are left
 LEAST = 2  # a run seen once says nothing of what follows it; the same at every corpus size
 
 
@@ -214,13 +217,12 @@ class Setting:
 
 
 class Block:
-    """A block's tokens (word numbers), index of each inside its text, hashes of its words; what it knows of levels."""
+    """A block's tokens (word numbers), hashes of its words, and what it knows of levels (``row``)."""
 
     def __init__(self, row: dict, parts: int):
         self.row, self.parts, self.sizes = row, parts, np.array(row["sizes"], np.int64)
         self.tokens, self.hashes = unpacked(row["tokens"], np.int32), np.cumsum(unpacked(row["hashes"], np.uint64), dtype=np.uint64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.at = np.arange(len(self.tokens), dtype=np.int32) - np.repeat(self.starts, self.sizes).astype(np.int32)
 
     def keys(self, places: np.ndarray, width: int) -> np.ndarray:
         """Hashes of the runs of ``width`` words that end in tokens ``places``."""
@@ -229,31 +231,59 @@ class Block:
             key = mix(key * np.uint64(GOLDEN) + self.hashes[self.tokens[places - back]])
         return key
 
-    def counts(self, level: int) -> np.ndarray:
-        """Counts of the runs of ``level`` + 1 words that end in the tokens."""
-        return unpacked_counts(self.row[f"counts_{level}"]) if level else unpacked_counts(self.row["taken_1"])[self.tokens]
-
-    def taken(self, level: int, places: np.ndarray) -> np.ndarray:
-        """Kept continuations of the contexts of ``level`` words before tokens ``places``; 0 if they are no states."""
-        return unpacked_counts(self.row[f"taken_{level + 1}"])[self.tokens[places - 1] if level == 1 else places]
-
-    def tested(self, level: int, counts: np.ndarray) -> np.ndarray:
-        """Tokens whose contexts of ``level`` words are tested, by the counts of the level before."""
-        places = level + np.flatnonzero((self.at[level:] >= level) & (counts[level - 1 : -1] >= LEAST))
-        return places[self.taken(level - 1, places) > 0] if level > 1 else places
-
-    def runs(self, level: int, tested: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens whose runs of ``level`` + 1 words are sent, mask of the tokens whose runs can be as frequent as ``LEAST``).
-
-        ``tested`` and ``counts`` are of the level before. A run is counted if its context may be
-        tested, or if it can be a context itself one level deeper.
+    def spread(self, places: np.ndarray, values) -> np.ndarray:
+        """Values at tokens, 0 elsewhere."""
+        out = np.zeros(len(self.tokens), getattr(values, "dtype", bool))
+        out[places] = values
+        return out
+
+    def followers(self) -> np.ndarray:
+        """Tokens with a word before them in their text."""
+        out = np.ones(len(self.tokens), bool)
+        out[self.starts] = False
+        return np.flatnonzero(out)
+
+    def counts(self, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens, counts of the runs of ``level`` + 1 words that end in all tokens): those without a count are rarer than ``LEAST``."""
+        counts = unpacked_counts(self.row[f"counts_{level}"])
+        if level < SPARSE:
+            return np.flatnonzero(counts), counts
+        places = np.cumsum(unpacked_counts(self.row[f"places_{level}"]), dtype=np.int64)
+        return places, self.spread(places, counts)
+
+    def marks(self, level: int, places: np.ndarray) -> np.ndarray:
+        """Whether this block is the first to have the run that ends in a token, once a run."""
+        bits = np.frombuffer(zstandard.ZstdDecompressor().decompress(self.row[f"marks_{level}"]), np.uint8)
+        if level < SPARSE:
+            return np.unpackbits(bits, count=len(self.tokens)).astype(bool)
+        return self.spread(places, np.unpackbits(bits, count=len(places)).astype(bool))
+
+    def tested(self, level: int, setting: Setting) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(tokens whose contexts of ``level`` words are tested, their probabilities in shorter ones, counts of the contexts)."""
+        if level >= SPARSE:
+            row = [self.row[f"{c}_{level}"] for c in ("tested", "p", "totals")]
+            return np.cumsum(unpacked_counts(row[0]), dtype=np.int64), unpacked(row[1], np.float64), unpacked_counts(row[2])
+        own, places = unpacked_counts(self.row["taken_1"]), self.followers()
+        total = own[self.tokens[places - 1]]
+        places, total = places[total >= LEAST], total[total >= LEAST]
+        p = (own[self.tokens[places]] + 0.5) / (setting.n + 0.5 * (setting.v + 1))
+        if level == 1:
+            return places, p, total
+        taken, counts = unpacked_counts(self.row["taken_2"])[self.tokens[places - 1]], self.counts(1)[1]
+        deeper = (taken > 0) & (counts[places - 1] >= LEAST)
+        places, p, total, taken = places[deeper], p[deeper], total[deeper], taken[deeper]
+        return places, stepped(p, counts[places], total, taken, setting), counts[places - 1]
+
+    def runs(self, tested: np.ndarray, counted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(tokens whose runs a word longer are sent, tokens whose runs can be as frequent as ``LEAST``).
+
+        ``tested`` and ``counted`` are the tokens of the level before. A run is counted if its context
+        may be tested, or if it can be a context itself one level deeper.
         """
-        often = (counts > 0) & (self.at >= level)
-        often[1:] &= counts[:-1] > 0
-        near = np.zeros(len(counts) + 1, bool)
-        near[tested] = True
-        near = near[:-1] | near[1:] & np.r_[self.at[1:] > 0, False]
-        return np.flatnonzero(near & often), often
+        often = counted[1:][np.diff(counted) == 1]  # a first token of a text has no count
+        near = self.spread(tested, True)
+        near[tested - 1] = True
+        return often[near[often]], often
 
     def contexts(self, level: int, tested: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(sorted keys of the contexts of ``level`` words before tokens ``tested``, number of each token's)."""
@@ -263,25 +293,16 @@ class Block:
         there[self.tokens[tested - 1]] = True
         return self.hashes[there], (np.cumsum(there) - 1)[self.tokens[tested - 1]]
 
-    def probabilities(self, level: int, places: np.ndarray, setting: Setting) -> tuple[np.ndarray, np.ndarray]:
-        """(probabilities of tokens ``places`` in states of up to ``level`` words, counts of the contexts one word longer)."""
-        own = unpacked_counts(self.row["taken_1"])
-        p = (own[self.tokens[places]] + 0.5) / (setting.n + 0.5 * (setting.v + 1))
-        total = own[self.tokens[places - 1]]
-        for j in range(1, level + 1):
-            counts = self.counts(j)
-            p = stepped(p, counts[places], total, self.taken(j, places), setting)
-            total = counts[places - 1]
-        return p, total
-
     def by_text(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, self.starts, dtype=np.float64 if values.dtype == np.float64 else np.int64)
 
+    def in_training(self) -> np.ndarray:
+        return np.repeat(~np.array(self.row["held_out"], bool), self.sizes)
+
     def counted(self, level: int, places: np.ndarray) -> list[tuple]:
         """Rows of ``SENT`` of the runs of ``level`` + 1 words that end in ``places``, with their counts in training texts."""
         keys, of = np.unique(self.keys(places, level + 1), return_inverse=True)
-        train = np.repeat(~np.array(self.row["held_out"], bool), self.sizes)
-        return self.sent(keys, np.bincount(of[train[places]], minlength=len(keys))[None], level, RUN)
+        return self.sent(keys, np.bincount(of[self.in_training()[places]], minlength=len(keys))[None], level, RUN)
 
     def sent(self, keys: np.ndarray, counts: np.ndarray, level: int, kind: int, gains: np.ndarray | None = None) -> list[tuple]:
         part = ((keys >> np.uint64(32)) * np.uint64(self.parts) >> np.uint64(32)).astype(np.int64)
@@ -294,62 +315,65 @@ class Block:
 
 def first_sent(block: Block) -> list[tuple]:
     """Rows of ``SENT`` of all words and pairs of words."""
-    train = np.repeat(~np.array(block.row["held_out"], bool), block.sizes)
-    n = np.bincount(block.tokens[train], minlength=len(block.hashes))
-    return block.sent(block.hashes, n[None], 0, RUN) + block.counted(1, np.flatnonzero(block.at > 0))
+    n = np.bincount(block.tokens[block.in_training()], minlength=len(block.hashes))
+    return block.sent(block.hashes, n[None], 0, RUN) + block.counted(1, block.followers())
 
 
 def next_sent(block: Block, setting: Setting, level: int) -> list[tuple]:
     """Rows of ``SENT`` of the contexts of ``level`` words, and of the runs that are one word longer than this level's."""
-    tested = block.tested(level, block.counts(level - 1))
-    p, total = block.probabilities(level - 1, tested, setting)
+    tested, p, total = block.tested(level, setting)
     contexts, of = block.contexts(level, tested)
-    counts = block.counts(level)
-    marked = np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(block.row[f"marks_{level}"]), np.uint8), count=len(counts))
-    at = np.flatnonzero(marked[tested])
+    counted, counts = block.counts(level)
+    at = np.flatnonzero(block.marks(level, counted)[tested])
     at = at[gaining(counts[tested[at]], total[at] * p[at], setting.gain)]
     seen, place = counts[tested[at]], of[at]
     figures, gains = np.zeros((3, len(contexts)), np.int64), np.zeros((2, len(contexts)))
     figures[0, of] = total
     figures[1:] = [np.bincount(place, x, len(contexts)) for x in (seen, None)]
     gains[:] = [np.bincount(place, x, len(contexts)) for x in (p[at], seen * np.log(seen / (total[at] * p[at])))]
-    return block.sent(contexts, figures, level, CONTEXT, gains) + block.counted(level + 1, block.runs(level + 1, tested, counts)[0])
+    return block.sent(contexts, figures, level, CONTEXT, gains) + block.counted(level + 1, block.runs(tested, counted)[0])
 
 
 def known(block: Block, found: dict, setting: Setting, level: int) -> tuple:
-    """The block's row of ``LEVEL``: what was found, at its tokens. ``found`` gives figures by (level, kind)."""
-    row, figures = block.row, found.get((level, RUN), np.zeros(0, np.int64))
+    """The block's row of ``LEVEL`` up to ``score``: what was found, at its tokens. ``found`` gives figures by (level, kind)."""
+    row, figures = block.row, found.get((level, RUN), np.zeros(0, np.int32))
+    taken, left = None, (None, None, None)
     if level == 1:
         taken = found[0, RUN] >> 1
         base = np.log10((taken + 0.5) / (setting.n + 0.5 * (setting.v + 1)))
         base = block.by_text(base[block.tokens])
         of_text = (block.by_text(taken[block.tokens] > 0), base, base)
-        places = np.flatnonzero(block.at > 0)
-        counts = np.zeros(len(block.tokens), np.int64)
+        places = often = block.followers()
     else:
-        before = block.counts(level - 1)
-        tested = block.tested(level - 1, block.counts(level - 2))
-        contexts, of = block.contexts(level - 1, tested)
-        own = found.get((level - 1, CONTEXT), np.zeros(0, np.int64))
-        kept = own[of]
-        taken = np.zeros(len(block.hashes if level == 2 else block.tokens), np.int64)
-        taken[block.tokens[tested - 1] if level == 2 else tested] = kept
-        places, often = block.runs(level, tested, before)
-        counts = often.astype(np.int64)
+        tested, old, total = block.tested(level - 1, setting)
+        counted, counts = block.counts(level - 1)
+        places, often = block.runs(tested, counted)
+        of = block.contexts(level - 1, tested)[1]
+        kept = found.get((level - 1, CONTEXT), np.zeros(0, np.int32))[of]
+        if level == 2:
+            taken = np.zeros(len(block.hashes), np.int64)
+            taken[block.tokens[tested - 1]] = kept
         # what states change
-        tested, kept = tested[kept > 0], kept[kept > 0]
-        old, total = block.probabilities(level - 2, tested, setting)
-        gained = np.log10(stepped(old, before[tested], total, kept, setting)) - np.log10(old)
+        tested, old, total, kept = (x[kept > 0] for x in (tested, old, total, kept))
+        p = stepped(old, counts[tested], total, kept, setting)
         text = np.searchsorted(block.starts, tested, "right") - 1
-        of_text = (row["known"], row["base"], np.array(row["score"]) + np.bincount(text, gained, len(block.sizes)))
+        of_text = (row["known"], row["base"], np.array(row["score"]) + np.bincount(text, np.log10(p) - np.log10(old), len(block.sizes)))
+        if level >= SPARSE:
+            total = counts[tested - 1]
+            deeper = total >= LEAST
+            left = (packed_counts(np.diff(tested[deeper], prepend=0)), packed(p[deeper]), packed_counts(total[deeper]))
     runs, of = np.unique(block.keys(places, level + 1), return_inverse=True)
+    counts = block.spread(often, np.ones(len(often), np.int32 if figures.dtype == np.int32 else np.int64))
     counts[places] = (figures >> 1)[of]
     one = np.zeros(len(runs), np.int64)
     one[of] = places  # any token of a run
-    marks = np.zeros(len(counts), bool)
-    marks[one[(figures & 1) > 0]] = True
+    marks = block.spread(one[(figures & 1) > 0], True)
+    where = None
+    if level >= SPARSE:
+        often = often[counts[often] > 0]
+        counts, marks, where = counts[often], marks[often], packed_counts(np.diff(often, prepend=0))
     marks = zstandard.ZstdCompressor(level=1).compress(np.packbits(marks).tobytes())
-    return row["block"], packed_counts(counts), marks, packed_counts(taken), *of_text
+    return row["block"], packed_counts(counts), marks, None if taken is None else packed_counts(taken), where, *left, *of_text
 
 
 def _batch(rows: list[tuple], schema: T.StructType, kind=pa.RecordBatch):
@@ -360,22 +384,21 @@ def _batch(rows: list[tuple], schema: T.StructType, kind=pa.RecordBatch):
 
 def sending(rows: DataFrame, parts: int, rows_of) -> DataFrame:
     """Rows of ``SENT`` that ``rows_of`` makes of each block."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield _batch(rows_of(Block(batch.slice(i, 1).to_pylist()[0], parts)), SENT)
+    def run(row: pa.Table) -> pa.Table:
+        return _batch(rows_of(Block(row.to_pylist()[0], parts)), SENT, pa.Table)
 
-    return rows.mapInArrow(run, SENT)
+    return rows.groupBy("block").applyInArrow(run, SENT)
 
 
 def placed(rows: DataFrame, found: DataFrame, setting: Setting, level: int) -> DataFrame:
     """Rows of ``LEVEL``; ``rows`` are blocks with the levels so far."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        figures = {}
-        for r in right.sort_by("part").to_pylist():
+        figures, right = {}, right.sort_by("part").to_pylist()
+        for r in right:
             figures.setdefault((r["level"], r["kind"]), []).append(unpacked_counts(r["figures"]))
         figures = {at: np.concatenate(x) for at, x in figures.items()}
-        return _batch([known(Block(left.to_pylist()[0], setting.parts), figures, setting, level)], LEVEL, pa.Table)
+        states = sum(r["n"] for r in right if r["kind"] == CONTEXT)
+        return _batch([(*known(Block(left.to_pylist()[0], setting.parts), figures, setting, level), states)], LEVEL, pa.Table)
 
     return rows.groupBy("block").cogroup(found.groupBy("block")).applyInArrow(run, LEVEL)
 
@@ -428,8 +451,8 @@ def score(docs: DataFrame, folds: int = 5, held: int = 1, block_bytes: int = 4_0
     divergence test alone does).
     """
     spark, size = docs.sparkSession, docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # two blocks each on average: fewer files
-    buckets = min(size // (2 * block_bytes) + spark.sparkContext.defaultParallelism, 100_000)
+    # a few blocks each: fewer files; a task still holds one at a time
+    buckets = min(size // (8 * block_bytes) + spark.sparkContext.defaultParallelism, 100_000)
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         # written where it lies: a task has whole blocks
@@ -442,18 +465,19 @@ def score(docs: DataFrame, folds: int = 5, held: int = 1, block_bytes: int = 4_0
     parts, so_far = tokens // RANGE + 1, rows.drop("doc_ids", "n_train")
     found = staged(summed(sending(so_far, parts, first_sent), gain), "lm-found")
     v = found.where(f"level = 0 AND kind = {RUN}").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    setting, level = Setting(n, v, gain, mu, parts), 0
-    while True:
-        level += 1
-        now = kept(placed(so_far, found, setting, level), "lm-level")
-        if order is not None and level > order:
-            break
-        so_far = so_far.drop("known", "base", "score").join(
-            now.withColumnsRenamed({c: f"{c}_{level}" for c in ("counts", "marks", "taken")}), "block")
-        found = staged(summed(sending(so_far, parts, partial(next_sent, setting=setting, level=level)), gain), "lm-found")
-        if found.where(f"kind = {CONTEXT} AND n > 0").isEmpty():
+    setting, level = Setting(n, v, gain, mu, parts), 1
+    now = kept(placed(so_far, found, setting, level), "lm-level")
+    while order is None or level <= order:
+        # a level from SPARSE on says all that the next one needs
+        own = ("counts", "marks", "places", "tested", "p", "totals") if level >= SPARSE else ("counts", "marks", "taken")
+        before = so_far if level < SPARSE else rows.drop("doc_ids", "n_train")
+        so_far = before.drop("known", "base", "score").join(
+            now.select("block", "known", "base", "score", *(F.col(c).alias(f"{c}_{level}") for c in own)), "block")
+        sent = sending(so_far.drop("known", "base", "score"), parts, partial(next_sent, setting=setting, level=level))
+        so_far, level = so_far.drop(f"marks_{level}"), level + 1
+        now = kept(placed(so_far, summed(sent, gain), setting, level), "lm-level")
+        if now.where("n > 0").isEmpty():
             break
-        so_far = so_far.drop(f"marks_{level}")
     texts = F.arrays_zip("doc_ids", "held_out", "sizes", "known", "base", "score")
     out = rows.join(now, "block").select(F.explode(texts).alias("t"))
     return out.select(F.col("t.doc_ids").alias("doc_id"), F.col("t.held_out"), F.col("t.sizes").cast("long").alias("n_tokens"),
