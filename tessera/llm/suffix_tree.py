@@ -30,8 +30,8 @@ each level. So no run of an earlier level is sorted or sent again. From level
 ``SPARSE`` on only tokens that are still in a state, and their probabilities,
 are written: those become fewer with every level. The test is the only pruning besides the fixed
 ``LEAST``; the tree grows with the corpus and is never collected or broadcast.
-Words and runs go by 64-bit hashes: of g different ones about g * g / 2**65
-pairs are taken for each other.
+Words go by hashes of 64 bits, runs of 63: of g different runs about
+g * g / 2**64 pairs are taken for each other.
 
 Defined results: null text counts as empty; an empty text is its end token;
 repeated rows count and are scored row by row; without training rows all
@@ -46,7 +46,7 @@ import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import groupby
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +102,7 @@ SPARSE = 3  # from this level on few tokens are left
 LEAST = 2  # a run seen once says nothing of what follows it; the same at every corpus size
 
 
+_EVEN = np.uint64((1 << 64) - 2)
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 
@@ -119,8 +120,8 @@ def numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     begins[first] = inside[first]
     begins = np.flatnonzero(begins)
     # the words one after the other, without white space
-    places = np.cumsum(inside, dtype=np.int64)
-    places = np.r_[places[begins] - 1, places[-1:]] if len(begins) else np.zeros(1, np.int64)
+    places = np.cumsum(inside, dtype=np.int32 if len(inside) < 1 << 31 else np.int64)
+    places = (np.r_[places[begins] - 1, places[-1:]] if len(begins) else np.zeros(1)).astype(np.int64)
     found = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(places), pa.py_buffer(_LOWER[data[inside]])])
     found = found.dictionary_encode()
     return found.dictionary.to_pylist(), found.indices.to_numpy(), np.diff(np.searchsorted(begins, ends))
@@ -135,8 +136,10 @@ def blocks(docs: DataFrame, block_bytes: int, folds: int, held: int) -> DataFram
             ids, texts, held_out = (pa.concat_arrays([r.column(c) for r in rows]) for c in range(3))
             vocabulary, found, sizes = numbered(texts)
             sizes += 1
-            tokens = np.full(sizes.sum(), len(vocabulary))
-            tokens[np.delete(np.arange(len(tokens)), np.cumsum(sizes) - 1)] = found
+            tokens = np.full(sizes.sum(), len(vocabulary), np.int32)
+            is_word = np.ones(len(tokens), bool)
+            is_word[np.cumsum(sizes) - 1] = False
+            tokens[is_word] = found
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, (*vocabulary, END)), np.uint64, len(vocabulary) + 1)
             # words of one hash are one word
             hashes, rank = np.unique(hashes, return_inverse=True)
@@ -225,11 +228,11 @@ class Block:
         self.starts = np.cumsum(self.sizes) - self.sizes
 
     def keys(self, places: np.ndarray, width: int) -> np.ndarray:
-        """Hashes of the runs of ``width`` words that end in tokens ``places``."""
+        """Hashes (without the lowest bit) of the runs of ``width`` words that end in tokens ``places``."""
         key = self.hashes[self.tokens[places - (width - 1)]]
         for back in range(width - 2, -1, -1):
             key = mix(key * np.uint64(GOLDEN) + self.hashes[self.tokens[places - back]])
-        return key
+        return key & _EVEN
 
     def spread(self, places: np.ndarray, values) -> np.ndarray:
         """Values at tokens, 0 elsewhere."""
@@ -301,16 +304,18 @@ class Block:
 
     def counted(self, level: int, places: np.ndarray) -> list[tuple]:
         """Rows of ``SENT`` of the runs of ``level`` + 1 words that end in ``places``, with their counts in training texts."""
-        keys, of = np.unique(self.keys(places, level + 1), return_inverse=True)
-        return self.sent(keys, np.bincount(of[self.in_training()[places]], minlength=len(keys))[None], level, RUN)
+        keys = np.sort(self.keys(places, level + 1) | self.in_training()[places])  # the free bit tells training texts
+        train, keys = (keys & np.uint64(1)).astype(np.int64), keys & _EVEN
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        return self.sent(keys[first], np.add.reduceat(train, first)[None] if len(first) else train[None], level, RUN)
 
     def sent(self, keys: np.ndarray, counts: np.ndarray, level: int, kind: int, gains: np.ndarray | None = None) -> list[tuple]:
-        part = ((keys >> np.uint64(32)) * np.uint64(self.parts) >> np.uint64(32)).astype(np.int64)
-        there, at = np.unique(part, return_index=True)
+        ends = np.array([(-(-(p << 32) // self.parts)) << 32 for p in range(self.parts)], np.uint64)
+        cuts = [*np.searchsorted(keys, ends).tolist(), len(keys)]
         # keys ascend: their differences are smaller
-        return [(self.row["block"], int(p), level, kind, packed(np.diff(keys[a:b], prepend=np.uint64(0))), packed_counts(counts[:, a:b].ravel()),
+        return [(self.row["block"], p, level, kind, packed(np.diff(keys[a:b], prepend=np.uint64(0))), packed_counts(counts[:, a:b].ravel()),
                  None if gains is None else packed(gains[:, a:b][:, counts[2, a:b] > 0].ravel()))
-                for p, a, b in zip(there, at, [*at[1:], len(part)])]
+                for p, (a, b) in enumerate(pairwise(cuts)) if a < b]
 
 
 def first_sent(block: Block) -> list[tuple]:
@@ -415,8 +420,7 @@ def summed(sent: DataFrame, gain: float) -> DataFrame:
         first[of[::-1]] = np.arange(len(of))[::-1]
         counts = np.concatenate([unpacked_counts(r["counts"]).reshape(1 if kind == RUN else 3, -1) for r in rows], axis=1)
         if kind == RUN:
-            seen = np.zeros(len(keys), np.int64)
-            np.add.at(seen, of, counts[0])
+            seen = np.bincount(of, counts[0], len(keys)).astype(np.int64)
             new = seen >= (LEAST if level else 1)
             out = np.where(new, seen * 2, 0)[of]
             out[first] += new

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -464,6 +465,35 @@ def test_suffix_tree_sends_runs_and_contexts_packed(spark, monkeypatch):
     assert got.keys() == other.keys() and all(abs(got[i] - other[i]) < 1e-9 for i in got), "the same however it is dealt"
 
 
+def test_suffix_tree_counts_contexts_whose_first_words_are_no_states(spark):
+    # only "z" tells what follows, and what stands before it, up to four words back
+    rng = random.Random(5)
+
+    def text():
+        own = []
+        while len(own) < 120:
+            own += [*(rng.choice("abc") for _ in range(rng.randrange(3, 6))), "z"]
+            back = rng.choice([1, 2, 3, 4, 4, 4])
+            own.append(f"s{zlib.crc32(' '.join(own[-back:]).encode()) % 40}")
+        return " ".join(own)
+
+    texts = [(i, text()) for i in range(50)]
+    probability, states, _ = brute_tree(texts, 6.0, 20.0)
+    assert max(map(len, states)) >= 4 and ("a",) not in states
+    got = {r.doc_id: r.score for r in suffix_tree.score(documents(spark, texts).repartition(2), block_bytes=9000).collect()}
+    for i, t in texts:
+        own = (*words(t), b"")
+        assert got[i] == pytest.approx(sum(math.log10(probability(own[:j], own[j])) for j in range(len(own))), abs=1e-6)
+
+
+def test_suffix_tree_numbers_words_as_they_are_split():
+    rng = random.Random(6)
+    for _ in range(200):
+        texts = [None if rng.random() < 0.1 else "".join(rng.choice(" aB\n\t\x0b\x1cé Z\x00") for _ in range(rng.randrange(12))) for _ in range(rng.randrange(1, 8))]
+        vocabulary, found, sizes = suffix_tree.numbered(pa.array(["x y", *texts, "q"], pa.string()).slice(1, len(texts)))
+        assert [vocabulary[i] for i in found] == [w for t in texts for w in words(t)] and sizes.tolist() == [len(words(t)) for t in texts]
+
+
 def test_suffix_tree_without_training_rows(spark):
     held = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5 == 1][:4]
     for r in suffix_tree.score(documents(spark, [(i, "a b a b") for i in held])).collect():
