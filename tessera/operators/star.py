@@ -94,8 +94,14 @@ def _order_context(orders: DataFrame, lines: DataFrame, wanted: Sequence[str], m
     return ctx, resolved
 
 
+def keyed_orders(orders: DataFrame, dim_cust: DataFrame, parts: int) -> DataFrame:
+    """Orders that lie by order_id in so many ``parts``, with their ``customer_key``: ids alone travel to the customers and back."""
+    keys = with_customer_key(orders.select("order_id", "customer_id"), dim_cust).select("order_id", "customer_key")
+    return orders.join(keys.repartition(parts, "order_id"), "order_id", "left")
+
+
 def with_customer_key(orders: DataFrame, dim_cust: DataFrame) -> DataFrame:
-    """Orders with their ``customer_key``; written once, all facts take it from there."""
+    """Orders with their ``customer_key``."""
     return orders.join(dim_cust.select("customer_key", "customer_id"), "customer_id", "left").select(*orders.columns, "customer_key")
 
 
@@ -125,12 +131,21 @@ def _with_customer(lines: DataFrame, orders: DataFrame, dim_cust: DataFrame, wan
     return lines.join(ctx, "order_id", "left").select(*keep, "customer_key", *resolved)
 
 
-def fact_order_item(orders, order_items, dim_cust, dim_sell, dim_prod) -> DataFrame:
-    """Grain (order_id, order_item_id); partitioned by (purchase_year, seller_state)."""
+def fact_order_item(orders, order_items, dim_cust, dim_sell, dim_prod, products: DataFrame | None = None) -> DataFrame:
+    """Grain (order_id, order_item_id); partitioned by (purchase_year, seller_state).
+
+    ``products``: from ``products_of_orders``; whole lines then stay where their order lies.
+    """
+    lines = _with_customer(order_items, orders, dim_cust, ORDER_CONTEXT)
+    if products is None:
+        lines = lines.join(dim_prod.select("product_key", "product_id"), "product_id", "left")
+    else:
+        placed = lines.where(F.col("order_id").isNotNull()).join(products, "order_id", "left").select(
+            *lines.columns, F.col("_products")[F.col("product_id")]["product_key"].alias("product_key"))
+        loose = lines.where(F.col("order_id").isNull()).join(dim_prod.select("product_key", "product_id"), "product_id", "left")
+        lines = placed.unionByName(loose)
     out = (
-        _with_customer(order_items, orders, dim_cust, ORDER_CONTEXT)
-        .join(dim_sell.select("seller_key", "seller_id", "seller_state"), "seller_id", "left")
-        .join(dim_prod.select("product_key", "product_id"), "product_id", "left")
+        lines.join(dim_sell.select("seller_key", "seller_id", "seller_state"), "seller_id", "left")
         .withColumn("purchase_date_key", date_key(F.col("purchased_at")))
         .withColumn("purchase_year", F.year("purchased_at"))
     )
@@ -147,37 +162,58 @@ def fact_payment(payments, orders, dim_cust) -> DataFrame:
     return out.select(*FACT_PAYMENT_COLUMNS)
 
 
-def order_products(order_items: DataFrame, dim_prod: DataFrame, dealt: bool = False) -> DataFrame:
+def _resolved_products(ids: DataFrame, dim_prod: DataFrame) -> DataFrame:
+    return ids.join(dim_prod.select("product_id", "product_key", "normalized_category", "category_family"), "product_id", "left")
+
+
+def products_of_orders(order_items: DataFrame, dim_prod: DataFrame, parts: int) -> DataFrame:
+    """An order's products: (order_id, ``_products``: id -> key and categories, ``_unnamed``: whether a line names none).
+
+    For items that lie by order_id in so many ``parts``, none of them with very
+    many lines; so does the result. Only ids travel to the products and back,
+    once for all facts. Items without an order are left out.
+    """
+    ids = order_items.where(F.col("order_id").isNotNull()).select("order_id", "product_id").distinct()
+    entry = F.struct("product_id", F.struct("product_key", "normalized_category", "category_family"))
+    return _resolved_products(ids, dim_prod).repartition(parts, "order_id").groupBy("order_id").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("product_id").isNotNull(), entry))).alias("_products"),
+        F.max(F.col("product_id").isNull()).alias("_unnamed"))
+
+
+def order_products(order_items: DataFrame, dim_prod: DataFrame, dealt: bool = False, products: DataFrame | None = None) -> DataFrame:
     """Distinct (order_id, product_key) with the product's category columns (``dealt``: a set of them per order).
 
     Resolving product ids to keys before the distinct makes the review fan-out
     unique on (review_id, order_id, product_key) by construction, so the fact
     needs no second dedupe shuffle. Lines are dealt out by order_id alone, as
     the join to the reviews needs them, so the distinct adds no shuffle of its own.
+    ``products`` (from ``products_of_orders``) lie so already.
 
     ``dealt``: the items are bucketed by order_id and no order has very many. An
     order's products are then one set, gathered where the items lie.
     """
-    lines = (
-        order_items.select("order_id", "product_id")
-        .join(dim_prod.select("product_id", "product_key", "normalized_category", "category_family"), "product_id", "left")
-        .select("order_id", "product_key", "normalized_category", "category_family")
-    )
+    if products is not None:
+        all_of = F.map_values("_products")
+        with_none = F.concat(all_of, F.array(F.lit(None)))
+        return products.select("order_id", F.explode(F.when(F.col("_unnamed"), with_none).otherwise(all_of)).alias("_product")).select(
+            "order_id", "_product.*").distinct()
+    lines = _resolved_products(order_items.select("order_id", "product_id"), dim_prod).select(
+        "order_id", "product_key", "normalized_category", "category_family")
     if not dealt:
         return lines.repartition("order_id").distinct()
     product = F.struct("product_key", "normalized_category", "category_family")
     return lines.groupBy("order_id").agg(F.collect_set(product).alias("_products"))
 
 
-def fact_review(reviews, orders, order_items, dim_cust, dim_prod, dealt: bool = False) -> DataFrame:
+def fact_review(reviews, orders, order_items, dim_cust, dim_prod, dealt: bool = False, products: DataFrame | None = None) -> DataFrame:
     """One row per review x distinct product of its order (orders without items: one row, NULL product).
 
     The two order_id joins run back to back so both reuse one hash partitioning
     of the reviews on order_id.
     """
     out = reviews.join(_customer_of_orders(orders, dim_cust), "order_id", "left").join(
-        order_products(order_items, dim_prod, dealt), "order_id", "left")
-    if dealt:
+        order_products(order_items, dim_prod, dealt, products), "order_id", "left")
+    if dealt and products is None:
         out = out.select("*", F.explode_outer("_products").alias("_product")).select(
             *(c for c in out.columns if c != "_products"), "_product.*")
     out = (

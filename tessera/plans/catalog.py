@@ -714,24 +714,26 @@ def q_publish_gate(spark, d):
 
 def _refreshed(spark, d):
     """A lake without the orders of the last days and the latest deliveries, then refreshed with all of them."""
-    from ..session import scratch_path
+    from ..session import materialize, scratch_path
     from .lake import build_lake, refresh
 
     raw = D.raw_tables(spark, d)
     last = raw["orders"].select(F.max("purchased_at") - F.expr(f"INTERVAL {BATCH_DAYS} DAYS")).scalar()
     delivered = raw["order_items"].select(F.max("delivered_at") - F.expr(f"INTERVAL {BATCH_DAYS} DAYS")).scalar()
     late = raw["orders"].where(F.coalesce(F.col("purchased_at") >= last, F.lit(False)))
+    ids = materialize(late.select("order_id"), "late-orders")  # few: their size, known once written, tells how to join them
     new = {"orders": late}
-    old = {**dict(raw.items()), "orders": raw["orders"].join(late.select("order_id"), "order_id", "left_anti")}
+    old = {**dict(raw.items()), "orders": raw["orders"].join(ids, "order_id", "left_anti")}
     for name in ("order_payments", "order_reviews"):
-        new[name] = raw[name].join(late.select("order_id"), "order_id", "left_semi")
-        old[name] = raw[name].join(late.select("order_id"), "order_id", "left_anti")
+        new[name] = raw[name].join(ids, "order_id", "left_semi")
+        old[name] = raw[name].join(ids, "order_id", "left_anti")
     newest = F.coalesce(F.col("delivered_at") >= delivered, F.lit(False))
     new["order_items"], old["order_items"] = raw["order_items"].where(newest), raw["order_items"].where(~newest)
     latest_by = {"order_items": D.ITEM_LATEST_BY}
     lake = build_lake(spark, old, D.taxonomy(spark), scratch_path(spark, "lake"), latest_by, buckets=16,
                       order_buckets=D.order_buckets(spark, d))
     refresh(lake, new, D.taxonomy(spark), latest_by)
+    lake.vacuum(keep=1)
     return lake.snapshot()
 
 

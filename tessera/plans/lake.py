@@ -32,7 +32,7 @@ from ..operators.dedupe import dedupe_latest
 from ..operators.incremental import affected_files, zone_map
 from ..operators.silver import conform
 from ..operators.taxonomy import enrich_taxonomy
-from ..session import scratch_path
+from ..session import released_shuffles, scratch_path
 from ..sources.io import CODEC, write_bucketed
 from ..sources.schemas import SILVER_SPECS
 from ..sources.versions import BUCKET, Change, Lake, bucketed, folder_column, folder_names, run_column
@@ -106,25 +106,38 @@ def _dimensions(change: Change) -> dict[str, DataFrame]:
 def _all_orders(change: Change, dims: dict[str, DataFrame], order_buckets: int | None) -> tuple[Callable[[str], DataFrame], bool]:
     """What ``_fact`` reads for all orders, and whether it lies by order.
 
-    If it does, the orders are kept aside with their customer's key, once for all facts.
+    If it does, the orders are kept aside with their customer's key, and, where
+    the products cannot be broadcast, the orders' products with theirs, once for all facts.
     """
     names = ("orders", "order_items", "order_payments", "order_reviews")
     if not order_buckets or not all(change.lake.dealt(change.entries[f"silver_{n}"]) for n in names):
         return lambda n: silver(change, n), False
-    spark = change.lake.spark
-    path = scratch_path(spark, "orders-keyed")
-    orders = write_bucketed(K.with_customer_key(silver(change, "orders"), dims["dim_customer"]), path,
-                            "tessera_" + path.rsplit("/", 1)[-1].replace("-", "_"), ["order_id"], order_buckets)
-    return lambda n: orders if n == "orders" else silver(change, n), True
+    aside = {"orders": K.keyed_orders(silver(change, "orders"), dims["dim_customer"], order_buckets)}
+    if change.lake.input_bytes(dims["dim_product"]) > change.lake.broadcast_limit():
+        aside[PRODUCTS] = K.products_of_orders(silver(change, "order_items"), dims["dim_product"], order_buckets)
+
+    def keep(rows: DataFrame) -> DataFrame:
+        path = scratch_path(change.lake.spark, "by-order")
+        table = "tessera_" + path.rsplit("/", 1)[-1].replace("-", "_")
+        change.aside[table] = path
+        return write_bucketed(rows, path, table, ["order_id"], order_buckets, placed=True)
+
+    kept = dict(zip(aside, _together([lambda rows=rows: keep(rows) for rows in aside.values()])))
+    return lambda n: kept.get(n) if n in ("orders", PRODUCTS) else silver(change, n), True
+
+
+PRODUCTS = "order_products"
 
 
 def _fact(name: str, change: Change, dims: dict[str, DataFrame], read: Callable[[str], DataFrame], dealt: bool = False) -> DataFrame:
+    products = read(PRODUCTS) if dealt else None
     if name == "fact_order_item":
-        return K.fact_order_item(read("orders"), read("order_items"), dims["dim_customer"], dims["dim_seller"], dims["dim_product"])
+        return K.fact_order_item(read("orders"), read("order_items"), dims["dim_customer"], dims["dim_seller"], dims["dim_product"],
+                                 products)
     if name == "fact_payment":
         return K.fact_payment(read("order_payments"), read("orders"), dims["dim_customer"])
     return K.fact_review(read("order_reviews"), read("orders"), read("order_items"), dims["dim_customer"], dims["dim_product"],
-                         dealt)
+                         dealt, products)
 
 
 def _write_whole(fact: str, change: Change, dims: dict[str, DataFrame], read: Callable[[str], DataFrame], dealt: bool) -> None:
@@ -167,18 +180,19 @@ def build_lake(spark: SparkSession, raw: Mapping[str, DataFrame], taxonomy: Data
         rows = _enriched(silver_versions(raw[name], name, latest_by, dealt), name, taxonomy)
         change.write(f"silver_{name}", bucketed(rows, [BUCKET_KEYS[name]], buckets), [BUCKET], dealt=dealt)
 
-    _together([lambda n=n: write_silver(n) for n in names])
-    _together([*(lambda n=n: change.write(DIMENSIONS[n][0], bucketed(DIMENSIONS[n][1](silver(change, n)), [BUCKET_KEYS[n]], buckets),
-                                          [BUCKET]) for n in DIMENSIONS),
-               lambda: change.write("dim_date", K.dim_date(silver(change, "orders"), silver(change, "order_reviews")))])
-    dims = _dimensions(change)
-    read, dealt = _all_orders(change, dims, order_buckets)
+    with released_shuffles(spark):
+        _together([lambda n=n: write_silver(n) for n in names])
+        _together([*(lambda n=n: change.write(DIMENSIONS[n][0], bucketed(DIMENSIONS[n][1](silver(change, n)), [BUCKET_KEYS[n]], buckets),
+                                              [BUCKET]) for n in DIMENSIONS),
+                   lambda: change.write("dim_date", K.dim_date(silver(change, "orders"), silver(change, "order_reviews")))])
+        dims = _dimensions(change)
+        read, dealt = _all_orders(change, dims, order_buckets)
 
-    def write_fact(fact):
-        _write_whole(fact, change, dims, read, dealt)
-        _write_zones(change, fact, buckets)
+        def write_fact(fact):
+            _write_whole(fact, change, dims, read, dealt)
+            _write_zones(change, fact, buckets)
 
-    _together([lambda f=f: write_fact(f) for f in GRAINS])
+        _together([lambda f=f: write_fact(f) for f in GRAINS])
     change.publish(buckets=buckets, order_buckets=order_buckets)
     return lake
 
@@ -188,7 +202,8 @@ def upsert(change: Change, name: str, raw: DataFrame, taxonomy: DataFrame, lates
 
     A batch that can be broadcast leaves the rows that it does not replace
     where they lie. A larger one, for a table that is dealt out by order, is
-    put together with all of the touched buckets: one shuffle of both.
+    put together with the rows of its orders: one shuffle of both, by order_id,
+    while rows of other orders stay in their part.
     """
     spec, order, table = SILVER_SPECS[name], _order_columns(raw, name, latest_by), f"silver_{name}"
     spark = change.lake.spark
@@ -207,18 +222,32 @@ def upsert(change: Change, name: str, raw: DataFrame, taxonomy: DataFrame, lates
     missing = [F.lit(None).cast(current.schema[c].dataType).alias(c) for c in current.columns if c not in batch.columns]
     lacking = [F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in batch.columns if c not in current.columns]
     arrived = batch.select("*", *missing, F.lit(1).alias("_src"))
-    replaced = current if dealt else current.join(arriving, same, "left_semi")
+    lies = change.lake.dealt(change.entries[table]) if dealt else None
+    if lies is not None:
+        replaced, left = _by_order(lies.where(F.col(BUCKET).isin([int(f.split("=")[1]) for f in folders])), batch, *dealt)
+    elif dealt:
+        replaced, left = current, None
+    else:
+        replaced, left = (current.join(arriving, same, how) for how in ("left_semi", "left_anti"))
     replaced = replaced.select("*", *lacking, F.lit(0).alias("_src"))
     # rows without an order of their own are replaced by what arrives
     decide = order if all(c in current.columns for c in order) and order else [*order, "_src"]
     both = replaced.unionByName(arrived)
     latest = dedupe_latest(both.repartition(*dealt) if dealt else both, spec.keys, decide).drop("_src")
     winners = _enriched(latest, name, taxonomy).select(*current.columns)
-    rows = winners if dealt else current.join(arriving, same, "left_anti").unionByName(winners)
-    change.rewrite(table, folders, rows, placed=small, dealt=dealt)
+    change.rewrite(table, folders, winners if left is None else left.unionByName(winners), placed=small, dealt=dealt)
     return batch, folders
 
 
+def _by_order(rows: DataFrame, batch: DataFrame, parts: int, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of the batch's orders, the others) of rows that lie by ``key`` in so many parts; only the batch's keys are dealt out.
+
+    Rows without a key go with the first.
+    """
+    keyed, keys = rows.where(F.col(key).isNotNull()), batch.select(key).repartition(parts, key).distinct().hint("shuffle_hash")
+    return (keyed.join(keys, key, "left_semi").unionByName(rows.where(F.col(key).isNull())), keyed.join(keys, key, "left_anti"))
+
+
 def _touched(change: Change, done: Mapping[str, tuple[DataFrame, list[str]]], buckets: int) -> tuple[DataFrame, list[str]]:
     """Distinct order ids (with their bucket) whose fact rows the batches can change, and their buckets' folders."""
     if len(done) == 1 and not set(done) & set(REFERRERS):  # the batch itself tells, and lies by order already
@@ -243,11 +272,12 @@ def refresh(lake: Lake, batches: Mapping[str, DataFrame], taxonomy: DataFrame, l
     """
     change, latest_by = lake.begin(), latest_by or {}
     buckets = change.base.notes["buckets"]
-    done = dict(zip(batches, _together([
-        lambda n=n, raw=raw: upsert(change, n, raw, taxonomy, latest_by, buckets) for n, raw in batches.items()])))
-    done = {name: (rows, folders) for name, (rows, folders) in done.items() if folders}
-    if done:
-        _refresh_gold(change, done, buckets)
+    with released_shuffles(lake.spark):
+        done = dict(zip(batches, _together([
+            lambda n=n, raw=raw: upsert(change, n, raw, taxonomy, latest_by, buckets) for n, raw in batches.items()])))
+        done = {name: (rows, folders) for name, (rows, folders) in done.items() if folders}
+        if done:
+            _refresh_gold(change, done, buckets)
     return change.publish(**notes)
 
 
@@ -255,7 +285,8 @@ def refresh_orders(lake: Lake, orders: DataFrame, **notes) -> int:
     """Recompute the fact rows of the given orders (column ``order_id``) and publish, e.g. for a backfill."""
     change = lake.begin()
     buckets = change.base.notes["buckets"]
-    rewrite_facts(change, *_staged_orders(change, orders.select("order_id"), buckets), tuple(GRAINS), buckets)
+    with released_shuffles(lake.spark):
+        rewrite_facts(change, *_staged_orders(change, orders.select("order_id"), buckets), tuple(GRAINS), buckets)
     return change.publish(**notes)
 
 

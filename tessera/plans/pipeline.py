@@ -14,10 +14,11 @@ from .lazy import LazyTables
 GOLD_TABLES = ("dim_customer", "dim_seller", "dim_product", "dim_date", "fact_order_item", "fact_payment", "fact_review")
 
 
-def build_star(silver, dealt: bool = False) -> LazyTables:
+def build_star(silver, dealt: bool = False, products: DataFrame | None = None) -> LazyTables:
     """Gold tables from Silver tables, each defined on first access (nothing runs until an action).
 
-    ``dealt``: the Silver tables about orders are bucketed by order_id.
+    ``dealt``: the Silver tables about orders are bucketed by order_id; then ``products`` can be those of
+    ``star.products_of_orders`` in the same buckets.
     """
     g: LazyTables
 
@@ -30,10 +31,11 @@ def build_star(silver, dealt: bool = False) -> LazyTables:
         "dim_product": b(lambda: K.dim_product(silver["products"])),
         "dim_date": b(lambda: K.dim_date(silver["orders"], silver["order_reviews"])),
         "fact_order_item": b(lambda: K.fact_order_item(
-            silver["orders"], silver["order_items"], g["dim_customer"], g["dim_seller"], g["dim_product"])),
+            silver["orders"], silver["order_items"], g["dim_customer"], g["dim_seller"], g["dim_product"], products)),
         "fact_payment": b(lambda: K.fact_payment(silver["order_payments"], silver["orders"], g["dim_customer"])),
         "fact_review": b(lambda: K.fact_review(
-            silver["order_reviews"], silver["orders"], silver["order_items"], g["dim_customer"], g["dim_product"], dealt)),
+            silver["order_reviews"], silver["orders"], silver["order_items"], g["dim_customer"], g["dim_product"], dealt,
+            products)),
     })
     return g
 

@@ -235,6 +235,7 @@ class Change:
     def __init__(self, base: Snapshot):
         self.lake, self.base = base.lake, base
         self.entries, self.notes = dict(base.entries), {}
+        self.aside: dict[str, str] = {}  # catalog table -> folder: scratch that goes when the change is published
 
     def read(self, name: str, folders: Iterable[str] | None = None) -> DataFrame:
         """The table as the change has it so far."""
@@ -303,7 +304,12 @@ class Change:
 
     def publish(self, **notes) -> int:
         """Make the change the next version. ``notes`` are small values kept with it (earlier ones stay)."""
-        return self.lake.publish(self.base.version, self.entries, self.base.notes | self.notes | notes)
+        version = self.lake.publish(self.base.version, self.entries, self.base.notes | self.notes | notes)
+        while self.aside:
+            table, path = self.aside.popitem()
+            self.lake.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            Files(self.lake.spark, path).delete(path)
+        return version
 
 
 def bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:

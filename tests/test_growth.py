@@ -1,10 +1,13 @@
 """What grows with the tables: shuffles that a plan must not hold."""
 
+import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF001
+from tessera.operators import star as K
 from tessera.operators.fingerprint import fingerprint
 from tessera.plans import lake as L
 from tessera.plans.pipeline import driver_star
@@ -113,3 +116,34 @@ def test_facts_are_written_anew_where_a_large_backfill_touches_most_of_them(spar
         assert [n for n, _ in seen].count("fact_order_item") == 1  # nothing was taken out first
         raw["order_items"] = raw["order_items"].select(*late.columns).unionByName(late)
         assert_equal(spark, lake, raw, taxonomy)
+
+
+def test_products_are_resolved_once_for_all_facts_of_a_dealt_lake(spark, tmp_path, no_broadcast):
+    lake, raw, _ = _small_lake(spark, tmp_path, 3)
+    now = lake.begin()
+    read, dealt = L._all_orders(now, L._dimensions(now), 3)
+    review = L._fact("fact_review", now, L._dimensions(now), read, dealt)
+    assert not [c for c in shuffled_by(review) if "order_id" in c or "product_id" in c]
+    assert now.aside and all(os.path.isdir(p) for p in now.aside.values())
+    kept = list(now.aside.values())
+    now.publish()
+    assert not [p for p in kept if os.path.isdir(p)]
+    # a batch too large to broadcast: only its order ids are dealt out, not the table
+    rows = lake.dealt(now.entries["silver_order_items"])
+    assert [len(shuffled_by(part)) for part in L._by_order(rows, raw["order_items"], 3, "order_id")[1:]] == [1]
+
+
+def test_products_kept_by_order_give_the_same_facts(spark):
+    from test_silver_star import market
+
+    _, silver, gold = market(spark)
+    base = silver["order_items"]
+    items = base
+    for n, (column, value) in enumerate((("product_id", None), ("product_id", "nowhere"), ("product_id", "nowhere else"), ("order_id", None)), 1):
+        items = items.unionByName(base.withColumns({column: F.lit(value).cast("string"), "order_item_id": F.col("order_item_id") + 100 * n}))
+    dims = [gold[n] for n in ("dim_customer", "dim_seller", "dim_product")]
+    products = K.products_of_orders(items, gold["dim_product"], 3)
+    pairs = [[K.fact_order_item(silver["orders"], items, *dims, p) for p in (None, products)],
+             [K.fact_review(silver["order_reviews"], silver["orders"], items, dims[0], dims[2], bool(p), p) for p in (None, products)]]
+    for plain, by_order in pairs:
+        assert plain.count() > 0 and fingerprint(plain).first() == fingerprint(by_order).first()
