@@ -23,19 +23,22 @@ from ..operators.fingerprint import compare_fingerprints, fingerprints
 from ..operators.star import PARTITIONS
 from ..operators.violations import gold_violations
 from ..sources.io import new_batch, write_bucketed, write_partitioned, write_table
-from ..sources.versions import Files
+from ..sources.versions import Files, Lake
 from .lazy import LazyTables
 
 POINTER = "_current"
 SCHEMA_SUFFIX = "._schema"
 
 
+def _bucket_table(folder: str, name: str) -> str:
+    return "tessera_" + re.sub(r"[^0-9a-zA-Z]", "_", "_".join(folder.rstrip("/").split("/")[-2:]) + "_" + name)
+
+
 def _stage_one(spark: SparkSession, name: str, df: DataFrame, folder: str, bucket=None, placed: Sequence[str] = ()) -> DataFrame:
     path = os.path.join(folder, name)
     if bucket is not None:
         cols, n, *lies = bucket
-        table = "tessera_" + re.sub(r"[^0-9a-zA-Z]", "_", "_".join(folder.rstrip("/").split("/")[-2:]) + "_" + name)
-        return write_bucketed(df, path, table, cols, n, *lies).select(*df.columns)
+        return write_bucketed(df, path, _bucket_table(folder, name), cols, n, *lies).select(*df.columns)
     if name in PARTITIONS:
         write_partitioned(df, path, PARTITIONS[name], placed=name in placed)
         # keep the declared schema next to the table so readers need no inference
@@ -97,11 +100,13 @@ def stage_layers(spark: SparkSession, silver, folder: str, order_buckets: int |
 
 
 def stage_dimensions(spark: SparkSession, silver, folder: str, order_buckets: int | None = None,
-                     placed: bool = False) -> tuple[dict[str, DataFrame], LazyTables]:
+                     placed: bool = False, products_aside: bool = False) -> tuple[dict[str, DataFrame], LazyTables]:
     """Silver and dimensions written and read back: (Silver, the star on them, its facts defined but not written).
 
     With ``order_buckets`` the orders are also kept with their customer's key,
-    in the same buckets: one join to the customers serves all facts.
+    in the same buckets: one join to the customers serves all facts. So are,
+    with ``products_aside``, the orders' products with their keys, unless these
+    can be broadcast.
     """
     from .pipeline import build_star
 
@@ -109,17 +114,28 @@ def stage_dimensions(spark: SparkSession, silver, folder: str, order_buckets: in
     written_silver = stage_tables(spark, dict(silver.items()), os.path.join(folder, "silver"), buckets=buckets)
     star = build_star(written_silver)
     dims = stage_tables(spark, {n: star[n] for n in DIMENSIONS}, os.path.join(folder, "gold"))
-    fact_sources = written_silver
+    fact_sources, keyed = written_silver, {}
     if order_buckets:
-        keyed = {"orders_keyed": K.with_customer_key(written_silver["orders"], dims["dim_customer"])}
-        fact_sources = {**written_silver, "orders": stage_tables(
-            spark, keyed, os.path.join(folder, "gold"), buckets={"orders_keyed": (["order_id"], order_buckets)})["orders_keyed"]}
-    star_on_dims = build_star(fact_sources, dealt=bool(order_buckets))  # facts join the written dimensions
+        keyed["orders_keyed"] = K.keyed_orders(written_silver["orders"], dims["dim_customer"], order_buckets)
+        lake = Lake(spark, folder)
+        if products_aside and lake.input_bytes(dims["dim_product"]) > lake.broadcast_limit():
+            keyed["order_products"] = K.products_of_orders(written_silver["order_items"], dims["dim_product"], order_buckets)
+        keyed = stage_tables(spark, keyed, os.path.join(folder, "gold"), buckets={n: (["order_id"], order_buckets, True) for n in keyed})
+        fact_sources = {**written_silver, "orders": keyed["orders_keyed"]}
+    star_on_dims = build_star(fact_sources, bool(order_buckets), keyed.get("order_products"))  # facts join the written dimensions
     for n, df in dims.items():
         star_on_dims.provide(n, df)
     return written_silver, star_on_dims
 
 
+def unstage(spark: SparkSession, folder: str) -> None:
+    """Delete what ``stage_layers`` or ``stage_dimensions`` wrote into a scratch folder."""
+    for layer, names in (("silver", ORDER_LEVEL), ("gold", ("orders_keyed", "order_products"))):
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {_bucket_table(os.path.join(folder, layer), name)}")
+    Files(spark, folder).delete(folder)
+
+
 def publish_gold(spark: SparkSession, silver, root: str, fresh_df: DataFrame, fresh_ts: str,
                  as_of: Column | None = None, run_id: str | None = None,
                  order_buckets: int | None = None, max_unresolved_pct: float | None = None,
@@ -212,6 +228,6 @@ def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def idempotency_check(first: dict[str, DataFrame], second: dict[str, DataFrame]) -> DataFrame:
-    """Fingerprints of two builds of the same tables, compared per table."""
-    return compare_fingerprints(fingerprints(first), fingerprints(second))
+def idempotency_check(first: dict[str, DataFrame] | DataFrame, second: dict[str, DataFrame] | DataFrame) -> DataFrame:
+    """Fingerprints of two builds of the same tables, compared per table (a build is its tables, or their fingerprints)."""
+    return compare_fingerprints(*(b if isinstance(b, DataFrame) else fingerprints(b) for b in (first, second)))

@@ -147,3 +147,16 @@ def test_products_kept_by_order_give_the_same_facts(spark):
              [K.fact_review(silver["order_reviews"], silver["orders"], items, dims[0], dims[2], bool(p), p) for p in (None, products)]]
     for plain, by_order in pairs:
         assert plain.count() > 0 and fingerprint(plain).first() == fingerprint(by_order).first()
+
+
+def test_idempotency_check_leaves_no_build_behind(spark):
+    from tessera.plans.catalog import QUERIES
+    from tessera.session import SHUFFLES_GO, ensure_checkpoint_dir
+
+    def builds():
+        return {n for n in os.listdir(ensure_checkpoint_dir(spark)) if n.endswith("-build") or "-build-" in n}
+
+    before, setting = builds(), spark.conf.get(SHUFFLES_GO)
+    rows = QUERIES["idempotency_check"](spark, SF001).collect()
+    assert len(rows) == 14 and all(r.equal and r.rows_a == r.rows_b for r in rows)
+    assert builds() == before and spark.conf.get(SHUFFLES_GO) == setting
