@@ -623,3 +623,17 @@ def test_warc_round_trip(spark, tmp_path):
             assert (r.record_type, r.refers_to, bytes(r.payload)) == ("response", None, payload)
         else:
             assert (r.record_type, r.refers_to, r.payload) == ("revisit", min(same), None)
+
+
+def test_chosen_path_near_copies_meet_where_few_shingles_are_picked():
+    rng = np.random.default_rng(13)
+    met = []
+    for _ in range(4000):
+        base = rng.integers(0, 2**63, 146).astype(np.uint64)
+        six = np.concatenate([chosen_path.picked(base, chosen_path.seeded(r), 0.8) for r in range(6)])
+        if len(six) > 2:
+            continue
+        copies = [np.concatenate([rng.permutation(base)[8:], rng.integers(0, 2**63, 8).astype(np.uint64)]) for _ in range(20)]
+        paths = [set(chosen_path.first_paths(c, 6, 0.8, chosen_path.limits(c, 0.8)).tolist()) for c in copies]
+        met += [bool(a & b) for a, b in itertools.combinations(paths, 2)]
+    assert len(met) > 2000 and np.mean(met) >= 0.99
